@@ -100,9 +100,12 @@ def code_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def test_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sample_id, test_idx, passed) from lineitem: one test per order line."""
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag"])
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag"])
+    # position of the line in its order (line number, then part, then quantity);
+    # a window over one order's lines (at most a handful of rows per key)
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity")
     return li.select(F.col("l_orderkey").cast("string").alias("sample_id"),
-                     (F.col("l_linenumber") - 1).cast("int").alias("test_idx"),
+                     (F.row_number().over(w) - 1).cast("int").alias("test_idx"),
                      (F.col("l_returnflag") != F.lit("R")).alias("passed"))
 
 
@@ -128,7 +131,8 @@ def code_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
     qty = F.col("l_quantity").cast("bigint").cast("string")
     per_order = (li.groupBy("l_orderkey")
-                 .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", F.col("l_partkey").cast("string").alias("inp"),
+                 .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity",
+                                                           F.col("l_partkey").cast("string").alias("inp"),
                                                            qty.alias("out")))).alias("lines")))
     j = d.join(per_order, d.doc_id == per_order.l_orderkey, "left")
     asserts = F.transform("lines", lambda x: F.concat(F.lit("assert f("), x["inp"], F.lit(") == "), x["out"]))
