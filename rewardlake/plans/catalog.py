@@ -18,7 +18,7 @@ from ..functions.text import (create_statements, extract_code, extract_solution,
                               summary_sentences)
 from ..operators import code_reward, convert, episodes, judge_reward, monitor, resultset
 from ..sources import readers, standins as S
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,15 +180,19 @@ def q_conciseness(spark, sf_dir):
     return s.select("id", n.alias("code_lines"), conciseness(n).alias("conciseness"))
 
 
+def _code_samples(spark, sf_dir):
+    return materialize(spark, S.code_samples(spark, sf_dir), "code_samples")
+
+
 @query
 def q_rlvr_reward(spark, sf_dir):
-    r = code_reward.rlvr_rewards(S.code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
+    r = code_reward.rlvr_rewards(_code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
     return r.select("id", "aggregate_reward_score", "total", "passed", "correctness", "conciseness", "code_lines")
 
 
 @query
 def q_rlvr_correctness(spark, sf_dir):
-    r = code_reward.rlvr_rewards(S.code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
+    r = code_reward.rlvr_rewards(_code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
     return r.select(F.col("id").alias("sample_id"), "total", "passed",
                     F.when(F.col("total") > 0, F.col("passed") / F.col("total")).otherwise(F.lit(0.0)).alias("correctness"))
 
@@ -270,7 +274,7 @@ def q_judge_aggregate(spark, sf_dir):
 
 @query
 def q_metrics_long(spark, sf_dir):
-    a = code_reward.rlvr_rewards(S.code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
+    a = code_reward.rlvr_rewards(_code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
     b = judge_reward.judge_rewards(S.judge_samples(spark, sf_dir), S.judge_replies(spark, sf_dir))
     la = code_reward.metrics_long(a).withColumn("scorer", F.lit("rlvr"))
     lb = code_reward.metrics_long(b).withColumn("scorer", F.lit("rlaif"))
@@ -313,7 +317,7 @@ def q_prompt_parse(spark, sf_dir):
 
 # ---------------------------------------------------------------- episodes
 def _traj(spark, sf_dir):
-    return S.trajectories(spark, sf_dir)
+    return materialize(spark, S.trajectories(spark, sf_dir), "trajectories")
 
 
 def _rewards(spark, sf_dir, allow_fallback=False):

@@ -64,3 +64,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path in the shared scratch area for one run."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(spark: SparkSession, df, name: str):
+    """Write a derived table once to the shared checkpoint folder and read it
+    back: later branches scan it (with pruning and pushdown) instead of
+    recomputing its lineage, and a lost executor cannot lose it."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -10,10 +10,25 @@ from pyspark.sql import functions as F
 from ..functions.text import create_statements, py_strip
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Parquet table ``{sf_dir}/{name}.parquet``; ``columns`` prunes the scan."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None,
+               spread: bool = True) -> DataFrame:
+    """Parquet table ``{sf_dir}/{name}.parquet``; ``columns`` prunes the scan.
+
+    A parquet row group cannot be split, so a small table stored as one row
+    group is scanned by one task and every per-row expression after it runs
+    there.  With ``spread`` such a scan (fewer partitions than the cluster's
+    parallelism) is redistributed round-robin; large tables already scan in
+    many splits and are left alone.  Filters and column pruning still reach
+    the scan (Catalyst pushes them below a repartition).
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    if spread:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+    return df
 
 
 def union_splits(frames: dict[str, DataFrame], split_col: str = "split") -> DataFrame:

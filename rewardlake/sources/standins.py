@@ -130,6 +130,7 @@ def code_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
     qty = F.col("l_quantity").cast("bigint").cast("string")
+    li = li.join(d.select(F.col("doc_id").alias("l_orderkey")), "l_orderkey", "left_semi")
     per_order = (li.groupBy("l_orderkey")
                  .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity",
                                                            F.col("l_partkey").cast("string").alias("inp"),
