@@ -54,8 +54,8 @@ def rlaif_tagged(articles: DataFrame, instruction: str = SUMMARY_INSTRUCTION) ->
     """FLT1 + FN9 + PRJ2: every article row with ``reason`` and the record."""
     a = py_strip("article")
     h = py_strip("highlights")
-    reason = F.when((F.length(a) < MIN_ARTICLE_CHARS) | (F.length(h) < MIN_HIGHLIGHT_CHARS),
-                    F.lit("skipped_short")).otherwise(F.lit("converted"))
+    short = F.coalesce((F.length(a) < MIN_ARTICLE_CHARS) | (F.length(h) < MIN_HIGHLIGHT_CHARS), F.lit(True))
+    reason = F.when(short, F.lit("skipped_short")).otherwise(F.lit("converted"))
     content = F.concat(F.lit(instruction), F.lit("\n\n" + ARTICLE_MARK), sentence_snap(a))
     return articles.select(
         "ordinal", reason.alias("reason"),
@@ -92,9 +92,9 @@ def capped_stats(tagged: DataFrame, ordinal: str, n: int | None, kept_reason: st
         scoped = tagged
     else:
         kept = first_n(tagged.filter(F.col("reason") == kept_reason).select(ordinal), ordinal, n)
-        n_kept = kept.agg(F.count(F.lit(1))).scalar()
-        last = kept.agg(F.max(ordinal)).scalar()
-        scoped = tagged.filter((n_kept < F.lit(n)) | (F.col(ordinal) <= last))
+        # one scalar subquery: (how many were kept, ordinal of the last kept)
+        cut = kept.agg(F.struct(F.count(F.lit(1)).alias("n"), F.max(ordinal).alias("last"))).scalar()
+        scoped = tagged.filter((cut["n"] < F.lit(n)) | (F.col(ordinal) <= cut["last"]))
     return scoped.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -54,7 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    # unset: local run (tests / bench) -> a fresh folder under /tmp
+    # unset: only a local run (tests / bench) may use a folder under /tmp; a
+    # cluster must name a shared folder, executors cannot see a driver's /tmp
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="rewardlake-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

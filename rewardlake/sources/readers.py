@@ -120,3 +120,8 @@ def strip_cols(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, py_strip(c))
     return df
+
+
+def preview_first(df: DataFrame, order_col: str, chars: int = 2000) -> DataFrame:
+    """LIM7: the first record (by ``order_col``) as JSON text, cut to ``chars``."""
+    return df.orderBy(order_col).limit(1).select(F.left(F.to_json(F.struct(*df.columns)), F.lit(chars)).alias("preview"))

@@ -194,8 +194,11 @@ def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     row are observations; every 7th is an error.
     """
     c = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    prev_role = F.lag("role").over(w)
+    # role of the previous message: equi-join on (conv_id, turn) rather than a
+    # window, so one very long conversation is not sorted in a single task
+    prev = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("prev_role"))
+    c = c.join(prev, ["conv_id", "turn"], "left")
+    prev_role = F.col("prev_role")
     key = (F.col("conv_id") + F.col("turn"))
     sql = F.concat(F.lit("SELECT count(*) FROM t WHERE turn = "), F.col("turn").cast("string"))
     assistant = (F.when(key % 5 == 3, F.concat(F.col("text"), F.lit("\n<solution>SELECT "),
@@ -242,13 +245,17 @@ def result_rows(spark: SparkSession, sf_dir: str, pred_min: float = 50000.0, gol
     from ..operators.resultset import to_cells
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     yr = F.year("o_orderdate")
-    pred = o.filter(F.col("o_totalprice") > pred_min).select(
-        F.col("o_custkey").cast("string").alias("episode_id"), F.lit("pred").alias("side"),
-        F.col("o_orderkey").alias("row_no"), to_cells((F.col("o_orderstatus"), T.StringType()), (yr.cast("bigint"), T.LongType())).alias("cells"))
-    gold = o.filter(F.col("o_totalprice") > gold_min).select(
-        F.col("o_custkey").cast("string").alias("episode_id"), F.lit("gold").alias("side"),
-        F.col("o_orderkey").alias("row_no"), to_cells((F.col("o_orderstatus"), T.StringType()), (yr.cast("double"), T.DoubleType())).alias("cells"))
-    return pred.unionByName(gold)
+    status = (F.col("o_orderstatus"), T.StringType())
+    pred = F.struct(F.lit("pred").alias("side"), to_cells(status, (yr.cast("bigint"), T.LongType())).alias("cells"),
+                    (F.col("o_totalprice") > pred_min).alias("keep"))
+    gold = F.struct(F.lit("gold").alias("side"), to_cells(status, (yr.cast("double"), T.DoubleType())).alias("cells"),
+                    (F.col("o_totalprice") > gold_min).alias("keep"))
+    # one scan of orders feeds both sides
+    both = o.filter(F.col("o_totalprice") > min(pred_min, gold_min)).select(
+        F.col("o_custkey").cast("string").alias("episode_id"), F.col("o_orderkey").alias("row_no"),
+        F.explode(F.array(pred, gold)).alias("r"))
+    return both.filter(F.col("r.keep")).select("episode_id", F.col("r.side").alias("side"), "row_no",
+                                               F.col("r.cells").alias("cells"))
 
 
 def customer_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
