@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,7 +41,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
@@ -76,3 +77,36 @@ def materialize(spark: SparkSession, df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_PKG_DIR = os.path.dirname(os.path.abspath(__file__))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rewardlake`` importable in Python workers (Pandas UDFs pickle
+    references to its functions): zip the package once per SparkContext into
+    the shared scratch folder and register it with ``addPyFile``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_rewardlake_shipped", False):
+        return
+    path = scratch_path(spark, "pyfiles") + "/rewardlake.zip"
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if "://" in local:  # remote folder: build locally, then let Spark fetch it
+        local = tempfile.mkdtemp(prefix="rewardlake-zip-") + "/rewardlake.zip"
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    root = os.path.dirname(_PKG_DIR)
+    with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(_PKG_DIR):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(local)
+    sc._rewardlake_shipped = True
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Checkpoint folder + package shipped to the workers."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    return spark

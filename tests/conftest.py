@@ -22,4 +22,6 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rewardlake-test-ckpt-"))
+    from rewardlake.session import prepare
+    prepare(s)
     yield s
