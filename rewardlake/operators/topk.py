@@ -1,11 +1,12 @@
 """Skew-safe first-k rows per group.
 
-A plain ``row_number() over (partition by key)`` sorts every row of a key in
-one task; with one key holding a large share of the data that task becomes
-the job.  Here the rows of each key are first spread over ``salt_buckets``
-sub-groups (by a hash of the ordering columns), each sub-group keeps its own
-first k, and only those <= k * salt_buckets rows per key meet in the second
-window.
+``row_number() over (partition by key order by ...) <= k`` is planned by
+Catalyst with a *partial* ``WindowGroupLimit`` before the shuffle: every map
+task sorts its own rows and sends at most k rows per key, so even a key that
+holds a third of the data reaches the final window as <= k rows per map task
+(a map-side combine for top-k).  ``test_plans.py`` checks that the partial
+limit is in the plan.  ``salt_buckets`` adds a salted pre-stage for engines
+without that rule.
 """
 
 from __future__ import annotations
@@ -17,12 +18,13 @@ from pyspark.sql import functions as F
 
 
 def first_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int,
-                      rank_col: str = "rank", salt_buckets: int = 16) -> DataFrame:
-    """Rows ranked 1..k per ``keys`` by ascending ``order`` (ties broken by
-    the full row order of ``order``; give a unique order for a stable result)."""
-    salt = F.pmod(F.xxhash64(*order), F.lit(salt_buckets))
-    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    stage1 = (df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1))
+                      rank_col: str = "rank", salt_buckets: int = 0) -> DataFrame:
+    """Rows ranked 1..k per ``keys`` by ascending ``order`` (give a unique
+    order for a stable result)."""
+    if salt_buckets:
+        salt = F.pmod(F.xxhash64(*order), F.lit(salt_buckets))
+        w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = (df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1))
               .filter(F.col("_r1") <= k).drop("_r1", "_salt"))
-    w2 = Window.partitionBy(*keys).orderBy(*order)
-    return stage1.withColumn(rank_col, F.row_number().over(w2)).filter(F.col(rank_col) <= k)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)

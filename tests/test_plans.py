@@ -37,3 +37,10 @@ def test_semi_join_sized_at_runtime(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in final
+
+
+def test_top_k_is_combined_map_side(spark):
+    p = plan(C.q_episode_truncate(spark, SF_SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p
+    p = plan(C.q_result_preview(spark, SF_SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p
