@@ -2,31 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Means of fixed-point values (rewards have <= 4 decimals, event values 2) are
+# computed from DECIMAL sums: exact, so independent of partitioning and of the
+# order rows are summed in -- a rerun after a lost executor gives the same bits.
+REWARD_SCALE = 4
+
+
+def exact_sum(c, scale: int) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.sum(c.cast(f"decimal(18,{scale})"))
+
+
+def exact_mean(c, scale: int) -> Column:
+    """Mean of a column whose values have at most ``scale`` decimals."""
+    c = F.col(c) if isinstance(c, str) else c
+    return exact_sum(c, scale).cast("double") / F.count(c)
+
+
+def exact_std_pop(c, scale: int) -> Column:
+    """Population standard deviation from exact first and second moments."""
+    c = F.col(c) if isinstance(c, str) else c
+    d = c.cast(f"decimal(18,{scale})")
+    n = F.count(c)
+    m1 = F.sum(d).cast("double") / n
+    m2 = F.sum(d * d).cast("double") / n
+    return F.sqrt(F.greatest(m2 - m1 * m1, F.lit(0.0)))
+
 
 def verdict_summary(rewards: DataFrame, with_subtotals: bool = False) -> DataFrame:
     """AGG8: episodes and mean reward per (verdict, db_id); ``rollup`` adds
     per-verdict and grand totals."""
     g = rewards.rollup("verdict", "db_id") if with_subtotals else rewards.groupBy("verdict", "db_id")
-    return g.agg(F.count(F.lit(1)).alias("episodes"), F.avg("reward").alias("mean_reward"))
+    return g.agg(F.count(F.lit(1)).alias("episodes"), exact_mean("reward", REWARD_SCALE).alias("mean_reward"))
 
 
-def rollout_stats(scored: DataFrame, group_col: str, score_col: str, item_col: str) -> DataFrame:
+def rollout_stats(scored: DataFrame, group_col: str, score_col: str, item_col: str,
+                  scale: int = REWARD_SCALE) -> DataFrame:
     """AGG10: per prompt group -- count, mean, population stddev and max of the
     scores, and the best-scored item (``max_by``); all partial aggregates."""
     return scored.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(score_col).alias("mean_score"),
-        F.stddev_pop(score_col).alias("std_score"), F.max(score_col).alias("max_score"),
+        F.count(F.lit(1)).alias("n"), exact_mean(score_col, scale).alias("mean_score"),
+        exact_std_pop(score_col, scale).alias("std_score"), F.max(score_col).alias("max_score"),
         F.max_by(item_col, F.struct(F.col(score_col), F.col(item_col))).alias("best_item"))
 
 
 def reward_monitor(df: DataFrame, ts_col: str, value_col: str, every: str = "1 day",
-                   slide: str | None = None, length_col: str | None = None) -> DataFrame:
+                   slide: str | None = None, length_col: str | None = None, scale: int = REWARD_SCALE) -> DataFrame:
     """AGG9: mean reward (and mean episode length) per tumbling or sliding window."""
     w = F.window(ts_col, every, slide) if slide else F.window(ts_col, every)
-    aggs = [F.count(F.lit(1)).alias("n"), F.avg(value_col).alias("mean_reward")]
+    aggs = [F.count(F.lit(1)).alias("n"), exact_mean(value_col, scale).alias("mean_reward")]
     if length_col:
         aggs.append(F.avg(length_col).alias("mean_length"))
     return df.groupBy(w.alias("w")).agg(*aggs).select(

@@ -417,7 +417,7 @@ def q_episode_flat(spark, sf_dir):
 @query
 def q_verdict_summary(spark, sf_dir):
     v = monitor.verdict_summary(_rewards(spark, sf_dir))
-    return v.select("verdict", "db_id", "episodes", F.round("mean_reward", 6).alias("mean_reward"))
+    return v.select("verdict", "db_id", "episodes", "mean_reward")
 
 
 # ---------------------------------------------------------------- result sets
@@ -442,8 +442,7 @@ def q_result_preview(spark, sf_dir):
 def q_rollout_stats(spark, sf_dir):
     e = readers.read_table(spark, sf_dir, "events", ["event_id", "user_id", "value"])
     r = monitor.rollout_stats(e, "user_id", "value", "event_id")
-    return r.select("user_id", "n", F.round("mean_score", 6).alias("mean_score"),
-                    F.round("std_score", 6).alias("std_score"), "max_score", F.col("best_item").alias("best_event_id"))
+    return r.select("user_id", "n", "mean_score", "std_score", "max_score", F.col("best_item").alias("best_event_id"))
 
 
 def _events_ts(spark, sf_dir):
@@ -454,8 +453,7 @@ def _events_ts(spark, sf_dir):
 @query
 def q_reward_monitor(spark, sf_dir):
     m = monitor.reward_monitor(_events_ts(spark, sf_dir), "ts", "value", "1 day")
-    return m.select(F.col("window_start").cast("string").alias("window_start"), "n",
-                    F.round("mean_reward", 6).alias("mean_reward"))
+    return m.select(F.col("window_start").cast("string").alias("window_start"), "n", "mean_reward")
 
 
 # ---------------------------------------------------------------- documented SQL shapes
@@ -574,8 +572,7 @@ def q_stream_monitor(spark, sf_dir):
     streams.run_complete_to_table(streams.windowed_monitor(stream, "ts", "value"), table,
                                   scratch_path(spark, "monitor_ckpt"))
     m = spark.read.parquet(table)
-    return m.select(F.col("window_start").cast("string").alias("window_start"), "n",
-                    F.round("mean_reward", 6).alias("mean_reward"))
+    return m.select(F.col("window_start").cast("string").alias("window_start"), "n", "mean_reward")
 
 
 @query

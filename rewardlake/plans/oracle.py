@@ -282,6 +282,10 @@ OBS_TEXT = (f"CASE WHEN sql IS NOT NULL THEN {lit('<observation>' + chr(10))} ||
 
 HINT = convert.CODE_NAME_HINT.split("{fn}")
 
+
+def EXACT_MEAN(c: str) -> str:  # noqa: N802 - mirrors monitor.exact_mean
+    return f"(CAST(sum({c}::DECIMAL(18,4)) AS DOUBLE) / count({c}))"
+
 ORACLE_SQL: dict[str, str] = {
     # ---------------------------------------------------------- converters
     "q_rlaif_convert": f"""WITH {ART} SELECT ordinal, 'cnn_dailymail' AS data_source, 'user' AS role, {RLAIF_CONTENT} AS content,
@@ -403,7 +407,7 @@ ORACLE_SQL: dict[str, str] = {
         sql_errors AS episode_sql_errors, empty_responses AS episode_empty_responses,
         submitted_solution AS episode_submitted_solution, used_last_sql_fallback AS episode_used_last_sql_fallback,
         coalesce(final_sql, '') AS episode_final_sql FROM rf""",
-    "q_verdict_summary": f"""{REWARD_WITH(False)} SELECT verdict, db_id, count(*) AS episodes, round(avg(reward), 6) AS mean_reward
+    "q_verdict_summary": f"""{REWARD_WITH(False)} SELECT verdict, db_id, count(*) AS episodes, {EXACT_MEAN('reward')} AS mean_reward
         FROM rf GROUP BY verdict, db_id""",
     # ---------------------------------------------------------- result sets
     "q_resultset_reward": f"""WITH {RESULTS} SELECT episode_id, sets_equal, pred_only, gold_only,
@@ -419,12 +423,14 @@ ORACLE_SQL: dict[str, str] = {
           CASE WHEN n > 20 THEN '  ... (' || CAST(n - 20 AS VARCHAR) || ' more rows)' || {NL} ELSE '' END AS preview
         FROM rk WHERE rn <= 20 GROUP BY episode_id, side, n""",
     # ---------------------------------------------------------- monitors
-    "q_rollout_stats": """SELECT user_id, count(*) AS n, round(avg(value), 6) AS mean_score, round(stddev_pop(value), 6) AS std_score,
+    "q_rollout_stats": f"""SELECT user_id, count(*) AS n, {EXACT_MEAN('value')} AS mean_score,
+        sqrt(greatest(CAST(sum(value::DECIMAL(18,4) * value::DECIMAL(18,4)) AS DOUBLE) / count(value)
+          - ({EXACT_MEAN('value')}) * ({EXACT_MEAN('value')}), 0.0)) AS std_score,
         max(value) AS max_score, first(event_id ORDER BY value DESC, event_id DESC) AS best_event_id FROM events GROUP BY user_id""",
-    "q_reward_monitor": """SELECT CAST(time_bucket(INTERVAL '1 day', ts) AS VARCHAR) AS window_start, count(*) AS n,
-        round(avg(value), 6) AS mean_reward FROM events GROUP BY 1""",
-    "q_stream_monitor": """SELECT CAST(time_bucket(INTERVAL '1 day', ts) AS VARCHAR) AS window_start, count(*) AS n,
-        round(avg(value), 6) AS mean_reward FROM events GROUP BY 1""",
+    "q_reward_monitor": f"""SELECT CAST(time_bucket(INTERVAL '1 day', ts) AS VARCHAR) AS window_start, count(*) AS n,
+        {EXACT_MEAN('value')} AS mean_reward FROM events GROUP BY 1""",
+    "q_stream_monitor": f"""SELECT CAST(time_bucket(INTERVAL '1 day', ts) AS VARCHAR) AS window_start, count(*) AS n,
+        {EXACT_MEAN('value')} AS mean_reward FROM events GROUP BY 1""",
     # ---------------------------------------------------------- documented SQL shapes
     "q_count_filter": "SELECT count(*) AS n FROM customer WHERE c_acctbal > 1000",
     "q_above_avg": "SELECT c_custkey, c_name FROM customer WHERE c_acctbal > (SELECT avg(c_acctbal) FROM customer)",

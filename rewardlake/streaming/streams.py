@@ -19,6 +19,7 @@ from ..functions.jsonfns import tool_calls_sql
 from ..functions.text import extract_solution, extract_sql, observation_body
 from ..operators.episodes import ERROR_PREFIX, MAX_TURNS
 from ..operators.judge_reward import judge_rewards
+from ..operators.monitor import REWARD_SCALE, exact_mean
 from ..session import scratch_path
 
 
@@ -44,7 +45,7 @@ def windowed_monitor(events: DataFrame, ts_col: str, value_col: str, every: str
                      delay: str = "1 hour") -> DataFrame:
     """STR3: mean reward per tumbling window with a late-data cut-off."""
     return (events.withWatermark(ts_col, delay).groupBy(F.window(ts_col, every).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n"), F.avg(value_col).alias("mean_reward"))
+            .agg(F.count(F.lit(1)).alias("n"), exact_mean(value_col, REWARD_SCALE).alias("mean_reward"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "mean_reward"))
 
 
