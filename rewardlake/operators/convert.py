@@ -137,10 +137,15 @@ def _literal_value(text: str) -> str:
 def parse_literals(calls) -> tuple[list[str], list[str]]:
     """FN6: keep assertions whose arguments and expected value are literals
     that JSON can encode; returns (inputs, outputs)."""
+    calls = calls if calls is not None else []
+    return parse_literal_pairs([c["args"] for c in calls], [c["expected"] for c in calls])
+
+
+def parse_literal_pairs(args, expected) -> tuple[list[str], list[str]]:
     ins, outs = [], []
-    for c in calls if calls is not None else []:
+    for a, e in zip(args if args is not None else [], expected if expected is not None else []):
         try:
-            i, o = _literal_args(c["args"]), _literal_value(c["expected"])
+            i, o = _literal_args(a), _literal_value(e)
         except Exception:  # noqa: BLE001 - any non-literal / non-JSON value drops the test
             continue
         ins.append(i)
@@ -154,16 +159,18 @@ def rlvr_literals(structured: DataFrame) -> DataFrame:
         [f for f in structured.schema.fields if f.name != "calls"]
         + [T.StructField("inputs", T.ArrayType(T.StringType())), T.StructField("outputs", T.ArrayType(T.StringType()))])
     keep = [f.name for f in structured.schema.fields if f.name != "calls"]
+    # two flat string arrays cross the Arrow boundary cheaper than an array of structs
+    flat = structured.select(*keep, F.col("calls.args").alias("_args"), F.col("calls.expected").alias("_exp"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            parsed = [parse_literals(c) for c in pdf["calls"]]
+            parsed = [parse_literal_pairs(a, e) for a, e in zip(pdf["_args"], pdf["_exp"])]
             res = pdf[keep].copy()
             res["inputs"] = [p[0] for p in parsed]
             res["outputs"] = [p[1] for p in parsed]
             yield res
 
-    return structured.mapInPandas(run, out_schema)
+    return flat.mapInPandas(run, out_schema)
 
 
 def rlvr_tagged(problems: DataFrame, name_hint: str = CODE_NAME_HINT) -> DataFrame:

@@ -439,3 +439,59 @@ ORACLE_SQL: dict[str, str] = {
     "q_in_list": """SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN
         (SELECT c_custkey FROM customer WHERE c_nationkey = 5 ORDER BY c_custkey LIMIT 20)""",
 }
+
+_TOOL_ARGS = (
+    "ta0 AS (SELECT p_partkey AS call_id, 'SELECT * FROM part WHERE p_partkey = ' || CAST(p_partkey AS VARCHAR) AS q, p_name, "
+    "p_partkey % 6 AS k FROM part), "
+    "ta1 AS (SELECT call_id, CASE WHEN k = 0 THEN '  ' || q || ' ' WHEN k = 1 THEN '{\"sql\": \" ' || q || '\"}' "
+    "WHEN k = 2 THEN '{\"query\": \"' || q || '\", \"sql\": \"SELECT 1\"}' "
+    "WHEN k = 3 THEN '{\"limit\": 5, \"note\": \"' || p_name || '\", \"text\": \"' || q || '\"}' "
+    "WHEN k = 4 THEN '\"' || q || '\"' ELSE '[1, 2]' END AS a FROM ta0)")
+
+
+def _key_str(k: str) -> str:
+    return f"CASE WHEN json_type(a, '$.{k}') = 'VARCHAR' THEN a ->> '$.{k}' END"
+
+
+TOOL_SQL = (
+    "CASE WHEN a IS NULL OR a = '' THEN NULL WHEN NOT json_valid(a) THEN " + strip("a")
+    + " WHEN json_type(a) = 'VARCHAR' THEN " + strip("a ->> '$'")
+    + " WHEN json_type(a) = 'OBJECT' THEN " + strip(
+        "coalesce(" + ", ".join(_key_str(k) for k in ("sql", "query", "statement"))
+        + ", a ->> ('$.\"' || list_filter(json_keys(a), lambda x: json_type(a, '$.\"' || x || '\"') = 'VARCHAR')[1] || '\"'))")
+    + " END")
+
+JUDGE_SCORE_ROWS = (f"{JUDGE_WITH}, jt AS (SELECT jz.*, {JUDGE_SCORE} AS s FROM jz) "
+                    "SELECT id, CAST(id AS BIGINT) AS sample_ord, s AS aggregate_reward_score FROM jt")
+
+ORACLE_SQL.update({
+    "q_tool_call_sql": f"WITH {_TOOL_ARGS} SELECT call_id, {TOOL_SQL} AS sql FROM ta1",
+    "q_assert_literals": f"""{PROB_WITH}, ok AS (SELECT pf.* FROM pf WHERE fn_name IS NOT NULL AND p_partkey % 13 <> 5 AND p_partkey % 9 <> 4
+          AND problem_id IN (SELECT problem_id FROM pv))
+        SELECT problem_id, 0 AS test_idx, size || {NL} || CAST(p_partkey AS VARCHAR) AS input, CAST(p_size + p_partkey AS VARCHAR) AS output FROM ok
+        UNION ALL SELECT problem_id, 1, '"' || p_brand || '"' || {NL} || '[' || size || ', 2]', '[' || size || ', "' || p_brand || '"]' FROM ok
+        UNION ALL SELECT problem_id, 2, '"' || p_name || '"' || {NL} || 'null' || {NL} || 'true', '{{"n": ' || size || '}}' FROM ok""",
+    "q_score_batch": JUDGE_SCORE_ROWS,
+    "q_stream_score": JUDGE_SCORE_ROWS,
+    "q_stream_dedup": f"WITH {JUDGE_SAMPLES} SELECT id, CAST(id AS BIGINT) AS sample_ord FROM js",
+    "q_schema_corpus": f"WITH {SCHEMA_FILES}, {CORPUS} SELECT db_id, ddl FROM corpus",
+    "q_sink_jsonl": f"""{PROB_WITH}, {ART}, ok AS (SELECT pf.* FROM pf WHERE fn_name IS NOT NULL AND p_partkey % 13 <> 5 AND p_partkey % 9 <> 4
+          AND problem_id IN (SELECT problem_id FROM pv))
+        SELECT 'cnn_dailymail' AS data_source, count(*) AS n FROM art WHERE {RLAIF_KEPT}
+        UNION ALL SELECT 'mbpp', count(*) FROM ok""",
+    "q_stream_episodes": f"""{EP_WITH} SELECT episode_id, num_turns, sql_attempts, sql_errors, empty_responses, submitted_solution,
+        solution AS final_sql, CASE WHEN submitted_solution THEN 'solution' WHEN num_turns >= 5 THEN 'turn_cap' ELSE 'timeout' END AS ended_by
+        FROM em""",
+})
+
+ORACLE_SQL["q_sink_prompt"] = f"""WITH {QUESTIONS}, {AVAIL}, {SCHEMA_FILES}, {CORPUS},
+    k AS (SELECT q.*, coalesce(corpus.ddl, {DEFAULT_SCHEMA.replace('db_id', 'q.db_id')}) AS schema FROM q
+          LEFT JOIN corpus ON q.db_id = corpus.db_id
+          WHERE NOT {blank('q.question')} AND NOT {blank('q.query')} AND q.db_id IN (SELECT db_id FROM avail))
+    SELECT CAST(to_json(struct_pack(
+        prompt := [struct_pack(role := 'system', content := {lit(convert.SQL_SYSTEM_PROMPT)}),
+                   struct_pack(role := 'user', content := {lit('Database Schema:' + chr(10))} || schema
+                               || {lit(chr(10) + chr(10) + 'Question: ')} || question)],
+        env_class := 'text2sql',
+        reward_spec := struct_pack(ground_truth := query, style := 'rule'),
+        extra_info := struct_pack(db_id := db_id, question := question, split := 'train'))) AS VARCHAR) AS prompt FROM k"""

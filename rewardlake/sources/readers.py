@@ -17,17 +17,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[st
     A parquet row group cannot be split, so a small table stored as one row
     group is scanned by one task and every per-row expression after it runs
     there.  With ``spread`` such a scan (fewer partitions than the cluster's
-    parallelism) is redistributed round-robin; large tables already scan in
-    many splits and are left alone.  Filters and column pruning still reach
+    parallelism) is hash-redistributed on its first column; large tables
+    already scan in many splits and are left alone.  Filters and column pruning still reach
     the scan (Catalyst pushes them below a repartition).
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    if spread:
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
+    if spread and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        # hash on the leading (key) column: deterministic on retry without the
+        # sort a round-robin repartition needs, and reusable by a later join
+        # or aggregation on that key
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(n, df.columns[0])
     return df
 
 
