@@ -26,6 +26,7 @@ RLVR_DATA_SOURCE, RLVR_ABILITY, RLVR_STYLE = "mbpp", "code", "rule"
 MTRL_ENV_CLASS, MTRL_STYLE, MTRL_SPLIT = "text2sql", "rule", "train"
 MIN_ARTICLE_CHARS, MIN_HIGHLIGHT_CHARS = 100, 20
 RLAIF_MAX_SAMPLES, MTRL_MAX_SAMPLES = 5000, 500
+DEFAULT_SCHEMA_LINES = ("-- Database: {db_id}", "-- WARNING: no schema.sql found; schema unknown")
 # -----------------------------------------------
 
 # ---- our own default instruction wording (parameters) ----
@@ -205,7 +206,8 @@ def assertion_table(problems: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- MTRL
 def default_schema_text(db_id) -> F.Column:
     """FN25: two comment lines used when a database has no schema."""
-    return F.concat(F.lit("-- Database: "), db_id, F.lit("\n-- WARNING: no schema.sql found; schema unknown"))
+    head, tail = DEFAULT_SCHEMA_LINES[0].split("{db_id}")
+    return F.concat(F.lit(head), db_id, F.lit(tail + "\n" + DEFAULT_SCHEMA_LINES[1]))
 
 
 def semi_available(questions: DataFrame, available: DataFrame) -> DataFrame:

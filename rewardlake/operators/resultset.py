@@ -20,7 +20,14 @@ from pyspark.sql import types as T
 from .topk import first_k_per_group
 
 CELL = "struct<i:bigint,d:double,s:string>"
-PREVIEW_ROWS = 20  # fixed value: rows shown in a result preview
+
+# ---- fixed values: result observation formats ----
+PREVIEW_ROWS = 20
+RESULT_HEADER = "Result ({n} rows):\n"
+RESULT_ROW = "  {row}\n"
+RESULT_MORE = "  ... ({k} more rows)\n"
+NO_ROWS_TEXT = "Query executed successfully. No rows returned."
+# ---------------------------------------------------
 
 
 def _cell(i=None, d=None, s=None) -> Column:
@@ -130,23 +137,37 @@ def row_text(cells: Column) -> Column:
     return F.concat(F.lit("("), body, F.when(F.size(cells) == 1, F.lit(",)")).otherwise(F.lit(")")))
 
 
-def result_preview(results: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
+def _fill(template: str, **cols: Column) -> Column:
+    """One ``{name}`` slot of a fixed format filled with a string column."""
+    (name, col), = cols.items()
+    head, tail = template.split("{" + name + "}")
+    return F.concat(F.lit(head), col, F.lit(tail))
+
+
+def result_preview(results: DataFrame, rows: int = PREVIEW_ROWS, episodes: DataFrame | None = None) -> DataFrame:
     """LIM2 + FN23: per (episode_id, side) the observation text of a result:
     ``Result (n rows):`` + the first ``rows`` rows (by row_no) + the
     ``... (k more rows)`` line.  Counts use a partial aggregation and the
-    first rows a salted top-k, so a huge result never lands in one task."""
+    first rows a map-side top-k, so a huge result never lands in one task.
+
+    With ``episodes`` every (episode, side) gets a row; an empty result gives
+    the no-rows text and ``n_rows = 0``."""
     keys = ["episode_id", "side"]
     counts = results.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     top = first_k_per_group(results.select(*keys, "row_no", "cells"), keys, ["row_no"], rows, "rn")
     lines = top.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("rn", F.concat(F.lit("  "), row_text(F.col("cells")), F.lit("\n")).alias("line"))))
+        F.array_sort(F.collect_list(F.struct("rn", _fill(RESULT_ROW, row=row_text(F.col("cells"))).alias("line"))))
         .alias("lines"))
     j = counts.join(lines, keys)
-    more = F.when(F.col("n_rows") > rows, F.concat(F.lit("  ... ("), (F.col("n_rows") - rows).cast("string"),
-                                                    F.lit(" more rows)\n"))).otherwise(F.lit(""))
-    text = F.concat(F.lit("Result ("), F.col("n_rows").cast("string"), F.lit(" rows):\n"),
+    more = F.when(F.col("n_rows") > rows, _fill(RESULT_MORE, k=(F.col("n_rows") - rows).cast("string"))) \
+            .otherwise(F.lit(""))
+    text = F.concat(_fill(RESULT_HEADER, n=F.col("n_rows").cast("string")),
                     F.array_join(F.transform("lines", lambda x: x["line"]), ""), more)
-    return j.select(*keys, "n_rows", text.alias("preview"))
-
+    out = j.select(*keys, "n_rows", text.alias("preview"))
+    if episodes is None:
+        return out
+    sides = episodes.select("episode_id", F.explode(F.array(F.lit("pred"), F.lit("gold"))).alias("side"))
+    full = sides.join(out, keys, "left")
+    return full.select(*keys, F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+                       F.coalesce("preview", F.lit(NO_ROWS_TEXT)).alias("preview"))
 
-NO_ROWS_TEXT = "Query executed successfully. No rows returned."

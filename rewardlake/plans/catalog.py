@@ -434,7 +434,7 @@ def q_resultset_diff(spark, sf_dir):
 
 @query
 def q_result_preview(spark, sf_dir):
-    return resultset.result_preview(S.result_rows(spark, sf_dir))
+    return resultset.result_preview(S.result_rows(spark, sf_dir), episodes=S.customer_episodes(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- monitors

@@ -1,15 +1,15 @@
 """Oracle SQL (DuckDB dialect) for the registered queries.
 
 Each statement recomputes a query's result from the raw tables in plain SQL,
-written independently of the Spark code path.  Queries without an entry
-(file sinks, streams with state, the Python literal parser) are checked on
-row counts only, plus their own tests.
+written independently of the Spark code path (fixed texts are shared).  For
+queries that go through files, streams or the Python literal parser the
+statement recomputes the end result of the whole path.
 """
 
 from __future__ import annotations
 
 from ..functions.text import WS
-from ..operators import convert, episodes as E, judge_reward as J
+from ..operators import convert, episodes as E, judge_reward as J, resultset as R
 from ..sources.standins import CODE_PROMPT_LEAD
 
 
@@ -79,7 +79,8 @@ SCHEMA_FILES = (
 CREATE_RE = r"'(?si)CREATE TABLE.*?\(.*?\);'"
 CORPUS = (f"corpus AS (SELECT db_id, ddl FROM (SELECT db_id, array_to_string(list_transform(regexp_extract_all(schema_sql, "
           f"{CREATE_RE}, 0), lambda x: {strip('x')}), {lit(chr(10) + chr(10))}) AS ddl FROM sf) WHERE ddl <> '')")
-DEFAULT_SCHEMA = ("('-- Database: ' || db_id || " + lit("\n-- WARNING: no schema.sql found; schema unknown") + ")")
+_DS = convert.DEFAULT_SCHEMA_LINES[0].split("{db_id}")
+DEFAULT_SCHEMA = (f"({lit(_DS[0])} || db_id || " + lit(_DS[1] + "\n" + convert.DEFAULT_SCHEMA_LINES[1]) + ")")
 
 LINES = ("lines AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS inp, "
          "CAST(CAST(trunc(l_quantity) AS BIGINT) AS VARCHAR) AS out, l_returnflag, "
@@ -417,11 +418,15 @@ ORACLE_SQL: dict[str, str] = {
     "q_result_preview": f"""WITH {RESULTS}, sides AS (SELECT episode_id, 'pred' AS side, o_orderkey, s, y FROM ro WHERE o_totalprice > 50000
           UNION ALL SELECT episode_id, 'gold', o_orderkey, s, y FROM ro WHERE o_totalprice > 45000),
         rk AS (SELECT sides.*, row_number() OVER (PARTITION BY episode_id, side ORDER BY o_orderkey) AS rn,
-          count(*) OVER (PARTITION BY episode_id, side) AS n FROM sides)
-        SELECT episode_id, side, n AS n_rows, 'Result (' || CAST(n AS VARCHAR) || {lit(' rows):' + chr(10))} ||
+          count(*) OVER (PARTITION BY episode_id, side) AS n FROM sides),
+        pv AS (SELECT episode_id, side, n AS n_rows, 'Result (' || CAST(n AS VARCHAR) || {lit(' rows):' + chr(10))} ||
           string_agg('  (''' || s || ''', ' || CAST(y AS VARCHAR) || ')' || {NL}, '' ORDER BY rn) ||
           CASE WHEN n > 20 THEN '  ... (' || CAST(n - 20 AS VARCHAR) || ' more rows)' || {NL} ELSE '' END AS preview
-        FROM rk WHERE rn <= 20 GROUP BY episode_id, side, n""",
+        FROM rk WHERE rn <= 20 GROUP BY episode_id, side, n),
+        es AS (SELECT CAST(c_custkey AS VARCHAR) AS episode_id, v.side FROM customer, (VALUES ('pred'), ('gold')) v(side))
+        SELECT es.episode_id, es.side, coalesce(pv.n_rows, 0) AS n_rows,
+          coalesce(pv.preview, {lit(R.NO_ROWS_TEXT)}) AS preview
+        FROM es LEFT JOIN pv ON es.episode_id = pv.episode_id AND es.side = pv.side""",
     # ---------------------------------------------------------- monitors
     "q_rollout_stats": f"""SELECT user_id, count(*) AS n, {EXACT_MEAN('value')} AS mean_score,
         sqrt(greatest(CAST(sum(value::DECIMAL(18,4) * value::DECIMAL(18,4)) AS DOUBLE) / count(value)
