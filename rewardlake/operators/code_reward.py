@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import conciseness, extract_code, nonblank_lines, strict_json_array
-from ..functions.jsonfns import guarded_from_json
+from ..functions.text import conciseness, extract_code, nonblank_lines, py_strip
 
 # ---- fixed values of the reference scorer ----
 CORRECTNESS_WEIGHT, CONCISENESS_WEIGHT = 0.8, 0.2
@@ -41,17 +40,34 @@ def _arg_list(inp: Column, strict_reference: bool) -> Column:
     return F.when(inp == "", F.array().cast("array<string>")).otherwise(pieces)
 
 
-def structured_tests(gt: Column, strict_reference: bool = False) -> Column:
-    """FN7 + JOIN3: ARRAY<STRUCT<test_idx, assertion, fn_name, args, expected>>.
+_TEST = "struct<test_idx:int,assertion:string,fn_name:string,args:array<string>,expected:string>"
+_OBJ = "struct<fn_name:string,inputs:array<string>,outputs:array<string>>"
+
+
+def with_tests(df: DataFrame, gt_col: str = "gt", out_col: str = "tests",
+               strict_reference: bool = False) -> DataFrame:
+    """FN7 + JOIN3: adds ARRAY<STRUCT<test_idx, assertion, fn_name, args, expected>>.
 
     A JSON list gives one test per element; a JSON object with non-empty
     fn_name / inputs / outputs gives the zip of inputs and outputs truncated
     to the shorter one, keeping pairs whose parts all parse as JSON.
     Anything else gives no tests.  ``""`` as input means "no arguments"
     unless ``strict_reference`` reproduces the reference's drop.
+
+    The text is parsed once into a VARIANT column; both shapes are read from
+    it (the optimizer keeps a non-cheap column that is used several times
+    instead of inlining it into every use).
     """
-    as_list = F.when(strict_json_array(gt), F.from_json(gt, "array<string>"))
-    obj = guarded_from_json(gt, "fn_name string, inputs array<string>, outputs array<string>")
+    t = py_strip(gt_col)
+    shaped = t.rlike(r"(?s)^(\[.*\]|\{.*\})$")
+    d = df.withColumn("_gt_v", F.when(shaped, F.try_parse_json(t))) \
+          .withColumn("_gt_first", F.left(t, F.lit(1)))
+    items = F.try_variant_get("_gt_v", "$", "array<variant>")
+    as_text = F.transform(items, lambda x: F.when(F.schema_of_variant(x) == "STRING", F.variant_get(x, "$", "string"))
+                          .otherwise(F.to_json(x)))
+    d = d.withColumn("_gt_list", F.when(F.col("_gt_first") == "[", as_text)) \
+         .withColumn("_gt_obj", F.when(F.col("_gt_first") == "{", F.try_variant_get("_gt_v", "$", _OBJ)))
+    obj = F.col("_gt_obj")
     ok_obj = (F.coalesce(obj["fn_name"], F.lit("")) != "") & (F.coalesce(F.size(obj["inputs"]), F.lit(0)) > 0) \
         & (F.coalesce(F.size(obj["outputs"]), F.lit(0)) > 0)
     n = F.least(F.size(obj["inputs"]), F.size(obj["outputs"]))
@@ -61,19 +77,19 @@ def structured_tests(gt: Column, strict_reference: bool = False) -> Column:
     from_obj = F.transform(valid, lambda p, i: F.struct(
         i.alias("test_idx"), F.lit(None).cast("string").alias("assertion"), obj["fn_name"].alias("fn_name"),
         _arg_list(p["inp"], strict_reference).alias("args"), p["out"].alias("expected")))
-    from_list = F.transform(as_list, lambda x, i: F.struct(
+    from_list = F.transform("_gt_list", lambda x, i: F.struct(
         i.alias("test_idx"), x.alias("assertion"), F.lit(None).cast("string").alias("fn_name"),
         F.lit(None).cast("array<string>").alias("args"), F.lit(None).cast("string").alias("expected")))
-    empty = F.array().cast("array<struct<test_idx:int,assertion:string,fn_name:string,args:array<string>,expected:string>>")
-    return (F.when(as_list.isNotNull(), from_list)
-             .when(obj.isNotNull() & ok_obj, from_obj)
-             .otherwise(empty))
+    tests = (F.when(F.col("_gt_list").isNotNull(), from_list)
+              .when(obj.isNotNull() & ok_obj, from_obj)
+              .otherwise(F.array().cast(f"array<{_TEST}>")))
+    return d.withColumn(out_col, tests).drop("_gt_v", "_gt_first", "_gt_list", "_gt_obj")
 
 
 def zip_tests(samples: DataFrame, strict_reference: bool = False) -> DataFrame:
     """Long table of parsed tests: (sample_id, test_idx, assertion, fn_name, args, expected)."""
-    g = ground_truth_text(samples).select(F.col("id").alias("sample_id"), structured_tests(F.col("gt"), strict_reference).alias("t"))
-    return g.select("sample_id", F.inline("t"))
+    g = with_tests(ground_truth_text(samples), "gt", "t", strict_reference)
+    return g.select(F.col("id").alias("sample_id"), F.inline("t"))
 
 
 def correctness(outcomes: DataFrame, totals: DataFrame) -> DataFrame:
@@ -90,8 +106,8 @@ def rlvr_rewards(samples: DataFrame, outcomes: DataFrame, strict_reference: bool
     Output: id, sample_ord, aggregate_reward_score, metrics_list, plus the
     parts (total, passed, correctness, conciseness, code_lines).
     """
-    s = ground_truth_text(samples)
-    s = s.withColumn("total", F.size(structured_tests(F.col("gt"), strict_reference)))
+    s = with_tests(ground_truth_text(samples), "gt", "_tests", strict_reference)
+    s = s.withColumn("total", F.size("_tests")).drop("_tests")
     s = s.withColumn("code", extract_code("response"))
     passed = correctness(outcomes, s)
     j = s.join(passed, s.id == passed.sample_id, "left")

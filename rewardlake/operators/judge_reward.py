@@ -77,9 +77,13 @@ def judge_rewards(samples: DataFrame, replies: DataFrame) -> DataFrame:
     Scores are not clamped; ``out_of_range`` flags rewards outside [0, 1].
     """
     p = prepared(samples)
-    j = p.join(replies.withColumnRenamed("sample_id", "id"), "id", "left")
-    s = parse_judge(F.col("judge_text"))
-    rule = length_rule("summary")
+    # parsed once into a column; the optimizer keeps it instead of inlining
+    # the JSON parse into each of the many uses below
+    j = p.join(replies.withColumnRenamed("sample_id", "id"), "id", "left") \
+         .withColumn("_scores", parse_judge(F.col("judge_text"))) \
+         .withColumn("_rule", length_rule("summary"))
+    s = F.col("_scores")
+    rule = F.col("_rule")
     dims = {d: s[d] for d in DIMENSIONS}
     dims["appropriate_length"] = F.when(rule == 1, F.lit(LENGTH_PASS)).otherwise(F.lit(LENGTH_FAIL))
     empty = F.col("summary") == ""
