@@ -42,7 +42,7 @@ def count_parts(s: str, sep: str = "'. '") -> str:
 
 def length_rule(s: str) -> str:
     n = count_parts(f"replace({s}, '.' || {NL}, '. ')")
-    return f"(CASE WHEN {blank(s)} THEN 0 WHEN {n} BETWEEN 2 AND 4 THEN 1 ELSE 0 END)"
+    return f"CAST(CASE WHEN {blank(s)} THEN 0 WHEN {n} BETWEEN 2 AND 4 THEN 1 ELSE 0 END AS BIGINT)"
 
 
 def unfence(t: str, tag: str) -> str:
@@ -169,7 +169,7 @@ JUDGE_SCORE = "CASE WHEN empty THEN 0.0::DOUBLE ELSE round_even((f + c + nr + al
 _TSQL = "'SELECT count(*) FROM t WHERE turn = ' || CAST(turn AS VARCHAR)"
 TRAJ = (
     "cv AS (SELECT conv_id, turn, role, text, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role FROM conversations), "
-    "tr AS (SELECT CAST(conv_id AS VARCHAR) AS episode_id, CAST(turn AS INTEGER) AS turn, role, "
+    "tr AS (SELECT CAST(conv_id AS VARCHAR) AS episode_id, CAST(turn AS BIGINT) AS turn, role, "
     "CASE WHEN role = 'assistant' THEN (CASE WHEN (conv_id + turn) % 5 = 3 THEN text || " + lit("\n<solution>SELECT ")
     + " || CAST(conv_id AS VARCHAR) || ' AS answer</solution>' WHEN (conv_id + turn) % 5 = 1 THEN '' "
     "WHEN (conv_id + turn) % 5 = 4 THEN text ELSE '<think>' || text || " + lit("</think>\n<sql>") + f" || {_TSQL} || '</sql>' END) "
@@ -341,11 +341,11 @@ ORACLE_SQL: dict[str, str] = {
         FROM lines t LEFT JOIN lines o ON o.l_orderkey = t.l_orderkey AND o.idx = t.idx
         WHERE t.l_orderkey % 17 <> 0 AND t.l_orderkey IN (SELECT doc_id FROM documents)""",
     "q_fn_name": f"{PROB_WITH} SELECT problem_id, fn_name FROM pf",
-    "q_assert_table": f"""{PROB_WITH} SELECT problem_id, CAST(row_number() OVER (PARTITION BY problem_id ORDER BY pos) - 1 AS INTEGER) AS test_idx,
+    "q_assert_table": f"""{PROB_WITH} SELECT problem_id, CAST(row_number() OVER (PARTITION BY problem_id ORDER BY pos) - 1 AS BIGINT) AS test_idx,
         fn_name, args, expected FROM pv""",
     "q_rlvr_convert": f"""{PROB_WITH}, ok AS (SELECT pf.* FROM pf WHERE fn_name IS NOT NULL AND p_partkey % 13 <> 5 AND p_partkey % 9 <> 4
           AND problem_id IN (SELECT problem_id FROM pv))
-        SELECT problem_id, fn_name, 3 AS n_tests,
+        SELECT problem_id, fn_name, CAST(3 AS BIGINT) AS n_tests,
           {lit(CODE_PROMPT_LEAD)} || p_name || '.' || {lit(chr(10) * 2 + HINT[0])} || fn_name || {lit(HINT[1])} AS content,
           CAST(to_json(struct_pack(fn_name := fn_name,
             inputs := [size || {NL} || CAST(p_partkey AS VARCHAR), '"' || p_brand || '"' || {NL} || '[' || size || ', 2]',
@@ -354,7 +354,7 @@ ORACLE_SQL: dict[str, str] = {
           AS ground_truth FROM ok""",
     "q_double_json": f"""{PROB_WITH}, ok AS (SELECT pf.* FROM pf WHERE fn_name IS NOT NULL AND p_partkey % 13 <> 5 AND p_partkey % 9 <> 4
           AND problem_id IN (SELECT problem_id FROM pv))
-        SELECT problem_id, fn_name, 3 AS n_inputs, size || {NL} || CAST(p_partkey AS VARCHAR) AS first_input,
+        SELECT problem_id, fn_name, CAST(3 AS BIGINT) AS n_inputs, size || {NL} || CAST(p_partkey AS VARCHAR) AS first_input,
           CAST(p_size + p_partkey AS VARCHAR) AS first_output FROM ok""",
     # ---------------------------------------------------------- judge reward
     "q_judge_parse": f"WITH {REPLIES}, {JUDGE_PARSED} SELECT sample_id, {', '.join(J.DIMENSIONS)} FROM jp",
@@ -366,18 +366,18 @@ ORACLE_SQL: dict[str, str] = {
     "q_judge_request": f"WITH {JUDGE_SAMPLES} SELECT id, {JUDGE_REQ} AS request FROM js WHERE summary <> ''",
     "q_article_from_prompt": f"WITH {JUDGE_SAMPLES} SELECT id, article FROM js",
     "q_metrics_long": f"""{CODE_WITH}, {JUDGE_SAMPLES}, {REPLIES}, {JUDGE_PARSED}, {JUDGE_SCORED},
-        m1 AS (SELECT 'rlvr' AS scorer, id, 0 AS metric_idx, 'correctness' AS name, corr AS value, 'Reward' AS type FROM cr WHERE NOT zero
+        m1 AS (SELECT 'rlvr' AS scorer, id, CAST(0 AS BIGINT) AS metric_idx, 'correctness' AS name, corr AS value, 'Reward' AS type FROM cr WHERE NOT zero
           UNION ALL SELECT 'rlvr', id, 1, 'conciseness', conc, 'Metric' FROM cr WHERE NOT zero
           UNION ALL SELECT 'rlvr', id, 2, 'tests_passed', CAST(passed AS DOUBLE), 'Metric' FROM cr WHERE NOT zero
           UNION ALL SELECT 'rlvr', id, 3, 'code_lines', CAST(lines AS DOUBLE), 'Metric' FROM cr WHERE NOT zero),
-        m2 AS (SELECT 'rlaif' AS scorer, id, 0 AS metric_idx, 'faithfulness' AS name, CASE WHEN empty THEN 0.0 ELSE f END AS value, 'Reward' AS type FROM jz
+        m2 AS (SELECT 'rlaif' AS scorer, id, CAST(0 AS BIGINT) AS metric_idx, 'faithfulness' AS name, CASE WHEN empty THEN 0.0 ELSE f END AS value, 'Reward' AS type FROM jz
           UNION ALL SELECT 'rlaif', id, 1, 'coverage', CASE WHEN empty THEN 0.0 ELSE c END, 'Reward' FROM jz
           UNION ALL SELECT 'rlaif', id, 2, 'no_redundancy', CASE WHEN empty THEN 0.0 ELSE nr END, 'Reward' FROM jz
           UNION ALL SELECT 'rlaif', id, 3, 'appropriate_length', CASE WHEN empty THEN 0.0 ELSE al END, 'Reward' FROM jz
           UNION ALL SELECT 'rlaif', id, 4, 'coherence', CASE WHEN empty THEN 0.0 ELSE co END, 'Reward' FROM jz
           UNION ALL SELECT 'rlaif', id, 5, 'summary_sentences', CAST(sents AS DOUBLE), 'Metric' FROM jz WHERE NOT empty)
         SELECT scorer, id, metric_idx, name, value, type FROM m1 UNION ALL SELECT scorer, id, metric_idx, name, value, type FROM m2""",
-    "q_prompt_parse": """SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 1 ELSE 2 END AS n_messages, text AS user_content,
+    "q_prompt_parse": """SELECT doc_id, CAST(CASE WHEN doc_id % 10 = 0 THEN 1 ELSE 2 END AS BIGINT) AS n_messages, text AS user_content,
         CASE WHEN doc_id % 10 = 0 THEN '' ELSE 'SELECT ' || CAST(doc_id AS VARCHAR) END AS gold_query,
         CASE WHEN doc_id % 10 = 0 THEN '' ELSE 'db_' || CAST(doc_id AS VARCHAR) END AS db_id FROM documents""",
     # ---------------------------------------------------------- episodes
@@ -473,7 +473,7 @@ ORACLE_SQL.update({
     "q_tool_call_sql": f"WITH {_TOOL_ARGS} SELECT call_id, {TOOL_SQL} AS sql FROM ta1",
     "q_assert_literals": f"""{PROB_WITH}, ok AS (SELECT pf.* FROM pf WHERE fn_name IS NOT NULL AND p_partkey % 13 <> 5 AND p_partkey % 9 <> 4
           AND problem_id IN (SELECT problem_id FROM pv))
-        SELECT problem_id, 0 AS test_idx, size || {NL} || CAST(p_partkey AS VARCHAR) AS input, CAST(p_size + p_partkey AS VARCHAR) AS output FROM ok
+        SELECT problem_id, CAST(0 AS BIGINT) AS test_idx, size || {NL} || CAST(p_partkey AS VARCHAR) AS input, CAST(p_size + p_partkey AS VARCHAR) AS output FROM ok
         UNION ALL SELECT problem_id, 1, '"' || p_brand || '"' || {NL} || '[' || size || ', 2]', '[' || size || ', "' || p_brand || '"]' FROM ok
         UNION ALL SELECT problem_id, 2, '"' || p_name || '"' || {NL} || 'null' || {NL} || 'true', '{{"n": ' || size || '}}' FROM ok""",
     "q_score_batch": JUDGE_SCORE_ROWS,
