@@ -127,3 +127,11 @@ def strip_cols(df: DataFrame, *cols: str) -> DataFrame:
 def preview_first(df: DataFrame, order_col: str, chars: int = 2000) -> DataFrame:
     """LIM7: the first record (by ``order_col``) as JSON text, cut to ``chars``."""
     return df.orderBy(order_col).limit(1).select(F.left(F.to_json(F.struct(*df.columns)), F.lit(chars)).alias("preview"))
+
+
+def register_views(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> None:
+    """Register parquet tables as temporary views, so ad-hoc SELECTs (the
+    text-to-SQL shapes: joins, grouping, IN/EXISTS, set operations, LIKE)
+    run with ``spark.sql`` through Catalyst like any DataFrame query."""
+    for n in names:
+        spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet").createOrReplaceTempView(n)

@@ -33,9 +33,10 @@ def norm(v):
 
 @pytest.fixture(scope="module")
 def views(spark):
+    from rewardlake.sources.readers import register_views
+    register_views(spark, SF_SMALL, ["customer", "orders", "part"])
     con = duckdb.connect()
     for t in ["customer", "orders", "part"]:
-        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").createOrReplaceTempView(t)
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
 
