@@ -32,6 +32,22 @@ def exact_std_pop(c, scale: int) -> Column:
     return F.sqrt(F.greatest(m2 - m1 * m1, F.lit(0.0)))
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_to_instant(c) -> Column:
+    """TIMESTAMP_NTZ wall clock read as UTC -> TIMESTAMP, without the session
+    time zone (watermarks need TIMESTAMP; a plain cast would use the zone)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), c))
+
+
+def instant_to_utc_text(c) -> Column:
+    """TIMESTAMP -> its UTC wall clock as text, independent of the session zone."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit(_EPOCH_NTZ).cast("timestamp_ntz")).cast("string")
+
+
 def verdict_summary(rewards: DataFrame, with_subtotals: bool = False) -> DataFrame:
     """AGG8: episodes and mean reward per (verdict, db_id); ``rollup`` adds
     per-verdict and grand totals."""

@@ -446,13 +446,16 @@ def q_rollout_stats(spark, sf_dir):
 
 
 def _events_ts(spark, sf_dir):
+    """Events with ``ts`` as TIMESTAMP for streams (the NTZ wall clock read as UTC)."""
     e = readers.read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
-    return e.withColumn("ts", F.col("ts").cast("timestamp"))
+    return e.withColumn("ts", monitor.ntz_to_instant("ts"))
 
 
 @query
 def q_reward_monitor(spark, sf_dir):
-    m = monitor.reward_monitor(_events_ts(spark, sf_dir), "ts", "value", "1 day")
+    # windows on the TIMESTAMP_NTZ column itself: wall-clock days, whatever the session time zone
+    e = readers.read_table(spark, sf_dir, "events", ["ts", "value"])
+    m = monitor.reward_monitor(e, "ts", "value", "1 day")
     return m.select(F.col("window_start").cast("string").alias("window_start"), "n", "mean_reward")
 
 
@@ -572,7 +575,7 @@ def q_stream_monitor(spark, sf_dir):
     streams.run_complete_to_table(streams.windowed_monitor(stream, "ts", "value"), table,
                                   scratch_path(spark, "monitor_ckpt"))
     m = spark.read.parquet(table)
-    return m.select(F.col("window_start").cast("string").alias("window_start"), "n", "mean_reward")
+    return m.select(monitor.instant_to_utc_text("window_start").alias("window_start"), "n", "mean_reward")
 
 
 @query
