@@ -83,16 +83,17 @@ _PKG_DIR = os.path.dirname(os.path.abspath(__file__))
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``rewardlake`` importable in Python workers (Pandas UDFs pickle
-    references to its functions): zip the package once per SparkContext into
-    the shared scratch folder and register it with ``addPyFile``."""
+    """Local runs: make ``rewardlake`` importable in the Python workers (Pandas
+    UDFs pickle references to its functions) even when the driver imported it
+    from another directory -- zip it once per SparkContext into the scratch
+    folder and ``addPyFile`` it.  On a cluster the package is shipped the
+    usual way (``--py-files`` / an installed wheel), so nothing happens here.
+    """
     sc = spark.sparkContext
-    if getattr(sc, "_rewardlake_shipped", False):
+    if getattr(sc, "_rewardlake_shipped", False) or not sc.master.startswith("local"):
         return
     path = scratch_path(spark, "pyfiles") + "/rewardlake.zip"
     local = path[len("file:"):] if path.startswith("file:") else path
-    if "://" in local:  # remote folder: build locally, then let Spark fetch it
-        local = tempfile.mkdtemp(prefix="rewardlake-zip-") + "/rewardlake.zip"
     os.makedirs(os.path.dirname(local), exist_ok=True)
     root = os.path.dirname(_PKG_DIR)
     with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as z:
