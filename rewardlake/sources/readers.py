@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import create_statements, py_strip
+from ..functions.text import create_statements
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None,
@@ -18,8 +18,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[st
     group is scanned by one task and every per-row expression after it runs
     there.  With ``spread`` such a scan (fewer partitions than the cluster's
     parallelism) is hash-redistributed on its first column; large tables
-    already scan in many splits and are left alone.  Filters and column pruning still reach
-    the scan (Catalyst pushes them below a repartition).
+    already scan in many splits and are left alone.  Filters and column
+    pruning still reach the scan (Catalyst pushes them below a repartition).
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if columns:
@@ -134,12 +134,6 @@ def warn_if_empty(obs: Observation, kept_key: str = "converted") -> str | None:
     return None
 
 
-def strip_cols(df: DataFrame, *cols: str) -> DataFrame:
-    for c in cols:
-        df = df.withColumn(c, py_strip(c))
-    return df
-
-
 def preview_first(df: DataFrame, order_col: str, chars: int = 2000) -> DataFrame:
     """LIM7: the first record (by ``order_col``) as JSON text, cut to ``chars``."""
     return df.orderBy(order_col).limit(1).select(F.left(F.to_json(F.struct(*df.columns)), F.lit(chars)).alias("preview"))

@@ -1,6 +1,5 @@
 """Reward plug-in contract, artefact key listing, first-record preview, monitors."""
 
-import json
 import os
 import tempfile
 
