@@ -27,6 +27,7 @@ RESULT_HEADER = "Result ({n} rows):\n"
 RESULT_ROW = "  {row}\n"
 RESULT_MORE = "  ... ({k} more rows)\n"
 NO_ROWS_TEXT = "Query executed successfully. No rows returned."
+ERROR_TEXT = "Error: {error}"
 # ---------------------------------------------------
 
 
@@ -171,3 +172,15 @@ def result_preview(results: DataFrame, rows: int = PREVIEW_ROWS, episodes: DataF
     return full.select(*keys, F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
                        F.coalesce("preview", F.lit(NO_ROWS_TEXT)).alias("preview"))
 
+
+
+def execution_observation(previews: DataFrame, executions: DataFrame) -> DataFrame:
+    """FN23 complete: the observation text of each executed query.
+
+    ``executions(episode_id, side, status, error)``: a failed execution gives
+    ``Error: <message>``; otherwise the preview (or the no-rows text)."""
+    keys = ["episode_id", "side"]
+    j = executions.join(previews.select(*keys, "preview"), keys, "left")
+    text = F.when(F.col("status") == "error", _fill(ERROR_TEXT, error=F.coalesce("error", F.lit("")))) \
+            .otherwise(F.coalesce("preview", F.lit(NO_ROWS_TEXT)))
+    return j.select(*keys, text.alias("observation"))

@@ -83,3 +83,14 @@ def test_preview_text(spark):
     lines = r["preview"].split("\n")
     assert lines[0] == "Result (23 rows):" and lines[1] == "  (0, 'n')" and lines[21] == "  ... (3 more rows)"
     assert r["n_rows"] == 23
+
+
+def test_execution_observation(spark):
+    res = cells_df(spark, {("e", "pred"): [(1,)]})
+    prev = R.result_preview(res)
+    ex = spark.createDataFrame([("e", "pred", "ok", None), ("e", "gold", "ok", None), ("f", "pred", "error", "no such table: t")],
+                               "episode_id string, side string, status string, error string")
+    got = {(r["episode_id"], r["side"]): r["observation"] for r in R.execution_observation(prev, ex).collect()}
+    assert got[("e", "pred")] == "Result (1 rows):\n  (1,)\n"
+    assert got[("e", "gold")] == R.NO_ROWS_TEXT
+    assert got[("f", "pred")] == "Error: no such table: t"
