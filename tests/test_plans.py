@@ -1,6 +1,8 @@
 """Plan checks: expression-only operators stay in the JVM; filters and
 column pruning reach the scan; first-N is a top-k, not a global window."""
 
+import re
+
 from conftest import SF_SMALL
 
 from rewardlake.plans import catalog as C
@@ -44,3 +46,19 @@ def test_top_k_is_combined_map_side(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
     p = plan(C.q_result_preview(spark, SF_SMALL))
     assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_result_set_equality_spreads_hot_episodes(spark):
+    df = C.q_resultset_reward(spark, SF_SMALL)
+    p = df._jdf.queryExecution().executedPlan().toString()
+    # first level: partial aggregate, then a shuffle on (episode_id, cells)
+    assert re.search(r"Exchange hashpartitioning\(episode_id#\d+, cells#\d+", p)
+    assert "partial_bool_or" in p or "partial_max" in p
+
+
+def test_no_nested_loop_or_cartesian_anywhere(spark):
+    for name, fn in C.REGISTRY.items():
+        if name.startswith("q_stream"):
+            continue
+        p = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
