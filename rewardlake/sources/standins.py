@@ -99,8 +99,11 @@ def code_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def test_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample_id, test_idx, passed) from lineitem: one test per order line."""
+    """(sample_id, test_idx, passed) from lineitem: one test per line of the
+    orders that were sampled (a code sample is the document with that key)."""
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag"])
+    sampled = read_table(spark, sf_dir, "documents", ["doc_id"]).select(F.col("doc_id").alias("l_orderkey"))
+    li = li.join(sampled, "l_orderkey", "left_semi")
     # position of the line in its order (line number, then part, then quantity);
     # a window over one order's lines (at most a handful of rows per key)
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity")
