@@ -94,8 +94,12 @@ def zip_tests(samples: DataFrame, strict_reference: bool = False) -> DataFrame:
 
 def correctness(outcomes: DataFrame, totals: DataFrame) -> DataFrame:
     """AGG1: passed / total per sample; outcomes of tests that are not in the
-    sample's list are ignored; no outcome row counts as a failure."""
-    o = outcomes.join(totals.select(F.col("id").alias("sample_id"), "total"), "sample_id")
+    sample's list are ignored; no outcome row counts as a failure.  A test
+    reported more than once (re-delivery, retried run) counts once: one
+    verdict per (sample, test) first, a partial aggregation on the composite
+    key that also shrinks the data before the join."""
+    per_test = outcomes.groupBy("sample_id", "test_idx").agg(F.bool_or("passed").alias("passed"))
+    o = per_test.join(totals.select(F.col("id").alias("sample_id"), "total"), "sample_id")
     o = o.filter((F.col("test_idx") >= 0) & (F.col("test_idx") < F.col("total")))
     return o.groupBy("sample_id").agg(F.count_if(F.col("passed")).alias("passed"))
 

@@ -86,3 +86,12 @@ def test_judge_fenced_and_missing_keys(spark):
 def test_tool_call_arguments(spark, args, expected):
     df = spark.createDataFrame([(args,)], "a string")
     assert df.select(tool_args_sql(F.col("a")).alias("r")).first()["r"] == expected
+
+
+def test_duplicate_outcomes_count_once(spark):
+    gt = json.dumps(["assert f(1) == 1", "assert f(2) == 2"])
+    s = spark.createDataFrame([code_row("7", "x = 1", gt)], SAMPLE)
+    o = spark.createDataFrame([("7", 0, True), ("7", 0, True), ("7", 1, False), ("7", 1, True)],
+                              "sample_id string, test_idx int, passed boolean")
+    r = code_reward.rlvr_rewards(s, o).first()
+    assert r["total"] == 2 and r["passed"] == 2
