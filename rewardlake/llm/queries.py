@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from .packing import op5_harmonic_packing
+from .pii import op1_pii
+from .quality_rules import op10_quality_rules
+from .secrets import op3_secret_scan
 
-REGISTRY = {f.__name__: f for f in (op5_harmonic_packing,)}
+REGISTRY = {f.__name__: f for f in (op1_pii, op3_secret_scan, op5_harmonic_packing, op10_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}
