@@ -29,11 +29,15 @@ def words_of(text: str) -> list[str]:
 
 
 def keys_of(text: str) -> list[str]:
-    """The dictionary words of a text, in order: `` word`` for all but a segment's
-    first one, which has no blank, and the added token by its own name."""
+    """The dictionary words of a text, in order.  A word stands for itself after a
+    blank, a blank and a word for the word without one (only a segment begins
+    so), and the added token, by its name, for itself."""
     if SPECIAL not in text:
-        first, *rest = words_of(text)
-        return ([first] if first else []) + [" " + w for w in rest]
+        keys = words_of(text)
+        if keys[0]:
+            keys[0] = " " + keys[0]
+            return keys
+        return keys[1:]
     out: list[str] = []
     for i, segment in enumerate(text.split(SPECIAL)):
         if i:
@@ -60,15 +64,16 @@ class WordEncoder:
         self.fast = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
                                       special_tokens={})._core_bpe.encode_ordinary
 
-    def __call__(self, word: str) -> bytes:
-        """Ids of a word as little-endian unsigned 32-bit integers.
+    def __call__(self, key: str) -> bytes:
+        """Ids of a dictionary word as little-endian unsigned 32-bit integers.
 
         Latin text goes through the rank file; other scripts, where two
         libraries' character tables may differ, through the tokenizer itself.
         """
-        if word == SPECIAL:
+        word = key[1:] if key[0] == " " else " " + key
+        if key == SPECIAL:
             ids = [SPECIAL_ID]
-        elif word.isascii() or max(word) < "ɐ" and "\x85" not in word and "\xa0" not in word:
+        elif word.isascii() or max(word) < "\u0250" and "\x85" not in word and "\xa0" not in word:
             ids = self.fast(word)
         else:
             ids = self.exact.encode(word, add_special_tokens=False).ids
@@ -76,20 +81,20 @@ class WordEncoder:
 
 
 class IdCache(dict):
-    """Word (without its blank) to id bytes.  Holds two generations of ``limit`` words at most."""
+    """Dictionary word to id bytes; two generations of ``limit`` words at most."""
 
-    def __init__(self, encode, limit: int = 300_000, blank: str = " "):
+    def __init__(self, encode, limit: int = 300_000):
         super().__init__()
-        self.encode, self.limit, self.blank, self.old = encode, limit, blank, {}
+        self.encode, self.limit, self.old = encode, limit, {}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
         if ids is None:
-            ids = self.encode(self.blank + word)
+            ids = self.encode(key)
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
-        self[word] = ids
+        self[key] = ids
         return ids
 
 
@@ -97,17 +102,27 @@ class TextEncoder:
     """Whole texts to id bytes, with a bounded word cache."""
 
     def __init__(self, vocabulary: str, ranks: str):
-        self.encode = WordEncoder(vocabulary, ranks)
-        self.cache = IdCache(self.encode)
+        self.cache = IdCache(WordEncoder(vocabulary, ranks))
 
     def __call__(self, text: str) -> bytes:
-        if SPECIAL in text:
-            return array("I", [SPECIAL_ID]).tobytes().join(map(self._segment, text.split(SPECIAL)))
-        return self._segment(text)
-
-    def _segment(self, text: str) -> bytes:
-        first, *rest = words_of(text)
-        return (self.encode(first) if first else b"") + b"".join(map(self.cache.__getitem__, rest))
+        return b"".join(map(self.cache.__getitem__, keys_of(text)))
+
+
+def pieces_of(vocabulary: str) -> list[bytes]:
+    """The bytes of each id.  Vocabulary files write every byte as a printable
+    character: itself where it is one, else those from 256 on in turn."""
+    import json
+
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    with open(vocabulary, encoding="utf-8") as f:
+        spec = json.load(f)
+    ids = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    out = [b""] * (max(ids.values()) + 1)
+    for piece, i in ids.items():
+        out[i] = bytes(byte[c] for c in piece)
+    return out
 
 
 def vocabulary_paths() -> tuple[str, str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +29,9 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def with_blocks(spark: SparkSession, docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs`` plus ``block``, a long that names a bounded run of
-    neighbouring rows of one file.
+def with_blocks(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(doc_id, text, block) of every row, as ``id_and_text`` gives them; ``block``,
+    a long, names a bounded run of neighbouring rows of one file.
 
     The block follows from the file and the row's place in it alone, so it is
     the same however a scan is split or retried.  A frame that is not a plain
@@ -38,10 +39,11 @@ def with_blocks(spark: SparkSession, docs: DataFrame, columns: list[str]) -> Dat
     """
     try:
         docs.select("_metadata.row_index").schema
-    except Exception:  # noqa: BLE001  no file source below: the analyzer rejects the hidden column
-        docs = materialize(spark, docs.select(*columns), "blocks")
-    n, row = F.length(docs["text"]), F.col("_metadata.row_index")
+    except AnalysisException:
+        docs = materialize(spark, id_and_text(docs), "blocks")
+    n, row = F.coalesce(F.length(docs["text"]), F.lit(0)), F.col("_metadata.row_index")
     size = F.lit(1)
     for longest, rows in reversed(BLOCK_ROWS):
-        size = F.when(F.coalesce(n, F.lit(0)) <= longest, F.lit(rows)).otherwise(size)
-    return docs.select(*columns, F.xxhash64(F.col("_metadata.file_path"), size, F.floor(row / size)).alias("block"))
+        size = F.when(n <= longest, F.lit(rows)).otherwise(size)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"),
+                       F.xxhash64(F.col("_metadata.file_path"), size, F.floor(row / size)).alias("block"))
