@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from .bpe_words import op7_bpe_words
+from .lm import op2_lm_scoring
 from .packing import op5_harmonic_packing
 from .pii import op1_pii
 from .quality_rules import op10_quality_rules
 from .secrets import op3_secret_scan
 
-REGISTRY = {f.__name__: f for f in (op1_pii, op3_secret_scan, op5_harmonic_packing, op7_bpe_words, op10_quality_rules)}
+REGISTRY = {f.__name__: f for f in (op1_pii, op2_lm_scoring, op3_secret_scan, op5_harmonic_packing, op7_bpe_words, op10_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}
