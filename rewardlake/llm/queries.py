@@ -5,11 +5,12 @@ from __future__ import annotations
 from .bpe_words import op7_bpe_words
 from .jaccard import op9_ngram_jaccard
 from .lm import op2_lm_scoring
+from .order_minhash import op8_order_minhash
 from .packing import op5_harmonic_packing
 from .pii import op1_pii
 from .quality_rules import op10_quality_rules
 from .secrets import op3_secret_scan
 
-REGISTRY = {f.__name__: f for f in (op1_pii, op2_lm_scoring, op3_secret_scan, op5_harmonic_packing, op7_bpe_words, op9_ngram_jaccard, op10_quality_rules)}
+REGISTRY = {f.__name__: f for f in (op1_pii, op2_lm_scoring, op3_secret_scan, op5_harmonic_packing, op7_bpe_words, op8_order_minhash, op9_ngram_jaccard, op10_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}
