@@ -38,6 +38,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -283,7 +284,7 @@ def _links(spark: SparkSession, sets: DataFrame, link: Link) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> DataFrame:
-    """(doc_id, n_shingles, sid, component_id) of every row."""
+    """(doc_id, n_shingles, sid, class, component_id) of every row; ``class`` names the group (null: an empty set)."""
     rows = materialize(spark, _sets(docs, link), "jaccard-sets")
     shared = _shared_keys(_key_rows(docs, link, bucket_count(spark)))
     parts = materialize(spark, components(spark, shared).select(F.col("node").alias("sid"), "root"), "jaccard-parts")
@@ -293,9 +294,39 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, link: Link = Link()) -
     by_set = by_set.join(linked.withColumnRenamed("node", "sid"), "sid", "left")
     by_set = materialize(spark, by_set, "jaccard-classes")
     by_root = by_set.filter("root is not null").groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = by_set.join(by_root, "root", "left").select("sid", F.coalesce("component_id", "least").alias("component_id"))
-    full = rows.filter("sid is not null").join(classes, "sid").select("doc_id", "n_shingles", "sid", "component_id")
-    return full.unionByName(rows.filter("sid is null").withColumn("component_id", F.col("doc_id")))
+    classes = by_set.join(by_root, "root", "left").select("sid", F.coalesce("root", "sid").alias("class"),
+                                                          F.coalesce("component_id", "least").alias("component_id"))
+    full = rows.filter("sid is not null").join(classes, "sid").select("doc_id", "n_shingles", "sid", "class", "component_id")
+    return full.unionByName(rows.filter("sid is null").select(
+        "*", F.lit(None).cast("long").alias("class"), F.col("doc_id").alias("component_id")))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> DataFrame:
+    """The rows of ``docs`` without all but one row of each class: the one with the least id, and of
+    several such the one with the least set name, or any of them where that is the same too."""
+    rows = near_duplicates(spark, docs, link).filter("class is not null").select("doc_id", "sid", "class")
+    rows = materialize(spark, rows.groupBy("doc_id", "sid", "class").count(), "jaccard-rows")
+    first = rows.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sid")).alias("first"))
+    rows = rows.join(first, "class").withColumn(
+        "stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("sid") == F.col("first.sid")))
+    rows = materialize(spark, rows.select(F.col("doc_id").alias("_id"), F.col("sid").alias("_gone"), "stays", "count"), "jaccard-stays")
+
+    @F.pandas_udf("long")
+    def names(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes = WordHashes()
+        for texts in batches:
+            sets = [shingle_set(t or "", link.width, hashes) for t in texts]
+            yield pd.Series([set_id(s) if len(s) else None for s in sets], dtype="Int64")
+
+    def matching(df: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        some = F.broadcast(some) if some.count() <= MOST_BROADCAST else some
+        return df.join(some, df["doc_id"].cast("long").eqNullSafe(some["_id"]) & (df["_sid"] == some["_gone"]), how)
+
+    out = matching(docs.withColumn("_sid", names("text")), rows.filter("not stays").select("_id", "_gone"), "left_anti")
+    again = rows.filter("stays and count > 1").select("_id", "_gone")
+    if not again.isEmpty():
+        out = matching(out, again, "left_anti").unionByName(matching(out, again, "left_semi").dropDuplicates(["doc_id", "_sid"]))
+    return out.drop("_sid")
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,12 @@ from .order_minhash import op8_order_minhash
 from .packing import op5_harmonic_packing
 from .pii import op1_pii
 from .quality_rules import op10_quality_rules
+from .rule_ensemble import op4_quality_classifier
 from .secrets import op3_secret_scan
+from .toxicity import op6_toxicity
 
-REGISTRY = {f.__name__: f for f in (op1_pii, op2_lm_scoring, op3_secret_scan, op5_harmonic_packing, op7_bpe_words, op8_order_minhash, op9_ngram_jaccard, op10_quality_rules)}
+REGISTRY = {f.__name__: f for f in (
+    op1_pii, op2_lm_scoring, op3_secret_scan, op4_quality_classifier, op5_harmonic_packing, op6_toxicity, op7_bpe_words,
+    op8_order_minhash, op9_ngram_jaccard, op10_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}

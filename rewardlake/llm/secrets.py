@@ -22,6 +22,7 @@ from itertools import accumulate
 from operator import getitem, itemgetter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -269,7 +270,7 @@ def mask(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     scanner = Scanner(rules)
 
     @F.pandas_udf("string")
-    def masked(batches: Iterator) -> Iterator:
+    def masked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ready = scanner.prepare()
         for texts in batches:
             yield texts.map(lambda t: None if t is None else mask_text(ready, t))
