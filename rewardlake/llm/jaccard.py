@@ -320,13 +320,15 @@ def keep_one(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> DataF
 
     def matching(df: DataFrame, some: DataFrame, how: str) -> DataFrame:
         some = F.broadcast(some) if some.count() <= MOST_BROADCAST else some
-        return df.join(some, df["doc_id"].cast("long").eqNullSafe(some["_id"]) & (df["_sid"] == some["_gone"]), how)
+        return df.join(some, df["_doc_id"].eqNullSafe(some["_id"]) & (df["_sid"] == some["_gone"]), how)
 
-    out = matching(docs.withColumn("_sid", names("text")), rows.filter("not stays").select("_id", "_gone"), "left_anti")
+    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"),
+                        F.col("doc_id").cast("long").alias("_doc_id"), names("text").alias("_sid"))
+    out = matching(named, rows.filter("not stays").select("_id", "_gone"), "left_anti")
     again = rows.filter("stays and count > 1").select("_id", "_gone")
     if not again.isEmpty():
-        out = matching(out, again, "left_anti").unionByName(matching(out, again, "left_semi").dropDuplicates(["doc_id", "_sid"]))
-    return out.drop("_sid")
+        out = matching(out, again, "left_anti").unionByName(matching(out, again, "left_semi").dropDuplicates(["_doc_id", "_sid"]))
+    return out.select("_row.*")
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

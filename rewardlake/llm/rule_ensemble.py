@@ -172,7 +172,6 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFr
         for texts in batches:
             yield pd.DataFrame([quality_stats(t or "") for t in texts], columns=list(STATS))
 
-    inner = F.col("_stats")
-    judged = docs.withColumn("_stats", stats_of("text")).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"),
-                                                               *(inner[s].alias(s) for s in STATS))
+    row, stat = F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.col("_stats")
+    judged = docs.select(row.alias("_row"), stats_of("text").alias("_stats")).select("_row", *(stat[s].alias(s) for s in STATS))
     return judged.filter(ensemble.score() >= CUT).select("_row.*")
