@@ -49,10 +49,11 @@ def tool_args_sql(arguments) -> Column:
 
 
 def tool_calls_sql(tool_calls) -> Column:
-    """First tool call (in order) whose arguments yield SQL text."""
+    """SQL of the first tool call (in order) whose arguments yield text; blank
+    text decides too, but is no SQL (NULL)."""
     per_call = F.transform(F.coalesce(_c(tool_calls), F.array().cast("array<struct<name:string,arguments:string>>")),
                            lambda tc: tool_args_sql(tc["arguments"]))
-    return F.try_element_at(F.filter(per_call, lambda x: x.isNotNull()), F.lit(1))
+    return F.nullif(F.try_element_at(F.filter(per_call, lambda x: x.isNotNull()), F.lit(1)), F.lit(""))
 
 
 def guarded_from_json(text, schema: str) -> Column:

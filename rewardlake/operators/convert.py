@@ -26,13 +26,12 @@ RLVR_DATA_SOURCE, RLVR_ABILITY, RLVR_STYLE = "mbpp", "code", "rule"
 MTRL_ENV_CLASS, MTRL_STYLE, MTRL_SPLIT = "text2sql", "rule", "train"
 MIN_ARTICLE_CHARS, MIN_HIGHLIGHT_CHARS = 100, 20
 RLAIF_MAX_SAMPLES, MTRL_MAX_SAMPLES = 5000, 500
-DEFAULT_SCHEMA_LINES = ("-- Database: {db_id}", "-- WARNING: no schema.sql found; schema unknown")
+DEFAULT_SCHEMA_TEXT = "-- Database: {db_id}\n-- WARNING: no schema.sql found; schema unknown"
 # -----------------------------------------------
 
 # ---- our own default instruction wording (parameters) ----
-SUMMARY_INSTRUCTION = ("Write a summary of the news article below in two to four sentences, "
-                       "keeping the key facts and staying true to the text.")
-CODE_NAME_HINT = "Name the function `{fn}` and reply with the Python function only."
+SUMMARY_INSTRUCTION = "Tell a reader in a hurry what this news story reports. Two to four sentences."
+CODE_NAME_HINT = "The checks call `{fn}`, so define it under that name."
 SQL_SYSTEM_PROMPT = (
     "You answer questions about a SQL database.\n"
     "Reason inside <think>...</think>. Run a query with <sql>...</sql>; its result comes back inside "
@@ -206,8 +205,7 @@ def assertion_table(problems: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- MTRL
 def default_schema_text(db_id) -> F.Column:
     """FN25: two comment lines used when a database has no schema."""
-    head, tail = DEFAULT_SCHEMA_LINES[0].split("{db_id}")
-    return F.concat(F.lit(head), db_id, F.lit(tail + "\n" + DEFAULT_SCHEMA_LINES[1]))
+    return F.replace(F.lit(DEFAULT_SCHEMA_TEXT), F.lit("{db_id}"), db_id)
 
 
 def semi_available(questions: DataFrame, available: DataFrame) -> DataFrame:

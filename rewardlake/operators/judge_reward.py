@@ -75,7 +75,13 @@ def judge_rewards(samples: DataFrame, replies: DataFrame) -> DataFrame:
     """FLT7 (empty response), FN10/FN14 length override, AGG4, PRJ4/PRJ5.
 
     Scores are not clamped; ``out_of_range`` flags rewards outside [0, 1].
+    ``judge_text`` NULL is a failed call (neutral scores); a sample without a
+    reply row is ``pending`` and has no score yet, unless its response is
+    empty.  Of several replies to a sample one counts: a successful one, the
+    least text of them.
     """
+    replies = replies.groupBy("sample_id").agg(F.min("judge_text").alias("judge_text"))
+    replies = replies.withColumn("_replied", F.lit(True))
     p = prepared(samples)
     # parsed once into a column; the optimizer keeps it instead of inlining
     # the JSON parse into each of the many uses below
@@ -87,14 +93,16 @@ def judge_rewards(samples: DataFrame, replies: DataFrame) -> DataFrame:
     dims = {d: s[d] for d in DIMENSIONS}
     dims["appropriate_length"] = F.when(rule == 1, F.lit(LENGTH_PASS)).otherwise(F.lit(LENGTH_FAIL))
     empty = F.col("summary") == ""
+    pending = ~empty & F.col("_replied").isNull()
     total = dims["faithfulness"] + dims["coverage"] + dims["no_redundancy"] + dims["appropriate_length"] + dims["coherence"]
     score = F.when(empty, F.lit(0.0)).otherwise(F.bround((total - F.lit(5.0)) / F.lit(20.0), 4))
     zeros = F.array(*[metric(d, F.lit(0.0), "Reward") for d in DIMENSIONS])
     full = F.array(*[metric(d, dims[d], "Reward") for d in DIMENSIONS],
                    metric("summary_sentences", summary_sentences("summary"), "Metric"))
     metrics = F.when(empty, zeros).otherwise(full).cast(f"array<{METRIC}>")
-    out = j.select("id", "sample_ord", score.alias("aggregate_reward_score"), metrics.alias("metrics_list"),
-                   *[F.when(empty, F.lit(0.0)).otherwise(dims[d]).alias(d) for d in DIMENSIONS],
+    out = j.select("id", "sample_ord", F.when(~pending, score).alias("aggregate_reward_score"),
+                   F.when(~pending, metrics).alias("metrics_list"), pending.alias("pending"),
+                   *[F.when(empty, F.lit(0.0)).when(~pending, dims[d]).alias(d) for d in DIMENSIONS],
                    F.when(empty, F.lit(None)).otherwise(summary_sentences("summary")).alias("summary_sentences"),
                    rule.alias("length_rule"))
     return out.withColumn("out_of_range", (F.col("aggregate_reward_score") < 0) | (F.col("aggregate_reward_score") > 1))

@@ -3,8 +3,9 @@
 Semantics kept from the reference's ``set(rows) == set(rows)``: columns are
 positional (names ignored), duplicates and order are ignored, NULL equals
 NULL, 1 = 1.0 = True, text never equals a number, and two empty results are
-equal.  Each cell is made canonical as STRUCT<i BIGINT, d DOUBLE, s STRING>
-and a row is the ARRAY of its cells, so arity is part of the row.
+equal; decimals are compared exactly.  Each cell is made canonical as STRUCT<i
+BIGINT, d DOUBLE, s STRING, x STRING> and a row is the ARRAY of its cells, so
+arity is part of the row.
 
 Plan: two aggregations with partial (map-side) combine -- first on
 (episode_id, cells), whose hash spreads even one huge episode over all tasks,
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from .topk import first_k_per_group
 
-CELL = "struct<i:bigint,d:double,s:string>"
+CELL = "struct<i:bigint,d:double,s:string,x:string>"  # x: a decimal that no bigint or double equals
 
 # ---- fixed values: result observation formats ----
 PREVIEW_ROWS = 20
@@ -31,24 +32,40 @@ ERROR_TEXT = "Error: {error}"
 # ---------------------------------------------------
 
 
-def _cell(i=None, d=None, s=None) -> Column:
+def _cell(i=None, d=None, s=None, x=None) -> Column:
     return F.struct((i if i is not None else F.lit(None)).cast("bigint").alias("i"),
                     (d if d is not None else F.lit(None)).cast("double").alias("d"),
-                    (s if s is not None else F.lit(None)).cast("string").alias("s"))
+                    (s if s is not None else F.lit(None)).cast("string").alias("s"),
+                    (x if x is not None else F.lit(None)).cast("string").alias("x"))
+
+
+def _double_cell(d: Column) -> Column:
+    integral = ~F.isnan(d) & (F.abs(d) < F.lit(9.2e18)) & (d == F.floor(d))
+    return F.when(integral, _cell(i=d.cast("bigint"))).otherwise(_cell(d=d))
+
+
+def _decimal_cell(text: Column) -> Column:
+    """Cell of a decimal's plain text: a bigint or a double if it equals one, else its own digits."""
+    digits = F.when(text.contains("."), F.regexp_replace(text, r"\.?0*$", "")).otherwise(text)
+    whole, d = digits.try_cast("bigint"), digits.try_cast("double")
+    same = d.try_cast("decimal(38,18)") == digits.try_cast("decimal(38,18)")
+    return (F.when(~digits.contains(".") & whole.isNotNull(), _cell(i=whole))
+             .when(F.coalesce(same, F.lit(False)), _cell(d=d)).otherwise(_cell(x=digits)))
 
 
 def cell(c: Column, dtype: T.DataType) -> Column:
     """Canonical cell of a typed value."""
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.when(c.isNull(), _cell()).otherwise(_cell(i=c))
-    if isinstance(dtype, T.BooleanType):
-        return F.when(c.isNull(), _cell()).otherwise(_cell(i=c.cast("int")))
-    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        d = c.cast("double")
-        integral = ~F.isnan(d) & (F.abs(d) < F.lit(9.2e18)) & (d == F.floor(d))
-        return (F.when(c.isNull(), _cell()).when(integral, _cell(i=d.cast("bigint")))
-                 .otherwise(_cell(d=d)))
-    return F.when(c.isNull(), _cell()).otherwise(_cell(s=c.cast("string")))
+        value = _cell(i=c)
+    elif isinstance(dtype, T.BooleanType):
+        value = _cell(i=c.cast("int"))
+    elif isinstance(dtype, T.DecimalType):
+        value = _decimal_cell(c.cast("string"))
+    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
+        value = _double_cell(c.cast("double"))
+    else:
+        value = _cell(s=c.cast("string"))
+    return F.when(c.isNull(), _cell()).otherwise(value)
 
 
 def to_cells(*typed: Column) -> Column:
@@ -67,15 +84,13 @@ def to_cells(*typed: Column) -> Column:
 def _infer_cell(c: Column) -> Column:
     """Cell of a column of unknown static type, decided per value with
     ``typeof`` (only numbers, booleans and text are told apart)."""
-    t = F.typeof(c)
-    as_d = F.try_cast(c.cast("string"), "double")
-    integral = as_d.isNotNull() & ~F.isnan(as_d) & (F.abs(as_d) < F.lit(9.2e18)) & (as_d == F.floor(as_d))
-    numeric = t.isin("tinyint", "smallint", "int", "bigint", "float", "double") | t.startswith("decimal")
+    t, text = F.typeof(c), c.cast("string")
     return (F.when(c.isNull(), _cell())
-             .when(t == "boolean", _cell(i=c.cast("int")))
-             .when(numeric & integral, _cell(i=as_d.cast("bigint")))
-             .when(numeric, _cell(d=as_d))
-             .otherwise(_cell(s=c.cast("string"))))
+             .when(t == "boolean", _cell(i=F.when(text == "true", 1).otherwise(0)))
+             .when(t.isin("tinyint", "smallint", "int", "bigint"), _cell(i=text.try_cast("bigint")))
+             .when(t.isin("float", "double"), _double_cell(text.try_cast("double")))
+             .when(t.startswith("decimal"), _decimal_cell(text))
+             .otherwise(_cell(s=text)))
 
 
 def frame_cells(df: DataFrame) -> DataFrame:
@@ -125,17 +140,34 @@ def result_set_diff(results: DataFrame) -> DataFrame:
     return d.select("episode_id", F.when(F.col("p"), F.lit("pred")).otherwise(F.lit("gold")).alias("only_in"), "cells")
 
 
+def shown(c: Column, dtype: T.DataType) -> Column:
+    """Python-like text of a typed value; a float keeps its decimal point."""
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        d = c.cast("double")
+        digits = F.regexp_replace(d.try_cast("decimal(38,18)").cast("string"), r"0+$", "")
+        plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+        value = F.when((d == 0) | F.abs(d).between(1e-4, 1e16), plain).otherwise(F.lower(d.cast("string")))
+    elif isinstance(dtype, T.StringType):
+        value = F.concat(F.lit("'"), c, F.lit("'"))
+    elif isinstance(dtype, T.BooleanType):
+        value = F.initcap(c.cast("string"))
+    else:
+        value = c.cast("string")
+    return F.coalesce(value, F.lit("None"))
+
+
 def cell_text(c: Column) -> Column:
-    """Python-like repr of one cell (ints, floats, 'text', None)."""
+    """Python-like text of a canonical cell, which no longer tells 1.0 from 1."""
     return (F.when(c["i"].isNotNull(), c["i"].cast("string"))
-             .when(c["d"].isNotNull(), c["d"].cast("string"))
+             .when(c["d"].isNotNull(), shown(c["d"], T.DoubleType()))
+             .when(c["x"].isNotNull(), c["x"])
              .when(c["s"].isNotNull(), F.concat(F.lit("'"), c["s"], F.lit("'")))
              .otherwise(F.lit("None")))
 
 
-def row_text(cells: Column) -> Column:
-    body = F.array_join(F.transform(cells, cell_text), ", ")
-    return F.concat(F.lit("("), body, F.when(F.size(cells) == 1, F.lit(",)")).otherwise(F.lit(")")))
+def row_text(texts: Column) -> Column:
+    """A row of value texts as a tuple."""
+    return F.concat(F.lit("("), F.array_join(texts, ", "), F.when(F.size(texts) == 1, F.lit(",)")).otherwise(F.lit(")")))
 
 
 def _fill(template: str, **cols: Column) -> Column:
@@ -150,14 +182,17 @@ def result_preview(results: DataFrame, rows: int = PREVIEW_ROWS, episodes: DataF
     ``Result (n rows):`` + the first ``rows`` rows (by row_no) + the
     ``... (k more rows)`` line.  Counts use a partial aggregation and the
     first rows a map-side top-k, so a huge result never lands in one task.
+    The values' texts come from ``shown`` (array of string) where the results
+    have it, else from the cells.
 
     With ``episodes`` every (episode, side) gets a row; an empty result gives
     the no-rows text and ``n_rows = 0``."""
     keys = ["episode_id", "side"]
     counts = results.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    top = first_k_per_group(results.select(*keys, "row_no", "cells"), keys, ["row_no"], rows, "rn")
+    texts = F.col("shown") if "shown" in results.columns else F.transform("cells", cell_text)
+    top = first_k_per_group(results.select(*keys, "row_no", texts.alias("texts")), keys, ["row_no"], rows, "rn")
     lines = top.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("rn", _fill(RESULT_ROW, row=row_text(F.col("cells"))).alias("line"))))
+        F.array_sort(F.collect_list(F.struct("rn", _fill(RESULT_ROW, row=row_text(F.col("texts"))).alias("line"))))
         .alias("lines"))
     j = counts.join(lines, keys)
     more = F.when(F.col("n_rows") > rows, _fill(RESULT_MORE, k=(F.col("n_rows") - rows).cast("string"))) \

@@ -24,10 +24,6 @@ from ..streaming import streams
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-# cap used where the first-N rule must bind at every test scale: the
-# text-to-SQL converter's MAX_SAMPLES
-FIRST_N_CAP = convert.MTRL_MAX_SAMPLES
-
 
 def query(fn: Query) -> Query:
     REGISTRY[fn.__name__] = fn
@@ -65,14 +61,53 @@ def q_sentence_snap(spark, sf_dir):
 
 @query
 def q_first_n(spark, sf_dir):
-    kept = convert.rlaif_convert(S.articles(spark, sf_dir), max_samples=FIRST_N_CAP)
+    kept = convert.rlaif_convert(S.articles(spark, sf_dir), max_samples=convert.RLAIF_MAX_SAMPLES)
     return kept.select("ordinal", F.col("reward_model.ground_truth").alias("ground_truth"))
 
 
 @query
 def q_convert_stats(spark, sf_dir):
     tagged = convert.rlaif_tagged(S.articles(spark, sf_dir))
-    return convert.capped_stats(tagged, "ordinal", FIRST_N_CAP)
+    return convert.capped_stats(tagged, "ordinal", convert.RLAIF_MAX_SAMPLES)
+
+
+@query
+def q_mtrl_stats(spark, sf_dir):
+    """AGG7: the text-to-SQL converter's three counters under its own cap."""
+    tagged = convert.mtrl_tagged(_questions(spark, sf_dir), S.available_dbs(spark, sf_dir), _corpus(spark, sf_dir))
+    return convert.capped_stats(tagged.select("ordinal", "reason"), "ordinal", convert.MTRL_MAX_SAMPLES)
+
+
+@query
+def q_observed_counts(spark, sf_dir):
+    """SNK3: the counters gathered while the rows are written, as rows."""
+    reasons = ["converted", "skipped_empty", "skipped_missing_db"]
+    tagged = convert.mtrl_tagged(_questions(spark, sf_dir), S.available_dbs(spark, sf_dir), _corpus(spark, sf_dir))
+    counted, obs = readers.observe_counts(tagged, "mtrl", "reason", reasons)
+    readers.write_prompt_parquet(counted.filter("reason = 'converted'"), scratch_path(spark, "counted"))
+    got = obs.get
+    return spark.createDataFrame([(c, int(got[c] or 0)) for c in [*reasons, "rows"]], "counter string, n long")
+
+
+@query
+def q_available_files(spark, sf_dir):
+    """SRC5 on real files: one artefact a key (keys with a blank), listed without reading any content."""
+    path = scratch_path(spark, "artefacts")
+    keys = readers.read_table(spark, sf_dir, "labels", ["doc_id"]).select(
+        F.concat((F.col("doc_id") % 40).cast("string"), F.lit(" db")).alias("db_id")).distinct()
+    write_artefacts(keys, path)
+    return readers.available_keys_from_files(spark, path, ".sqlite")
+
+
+def write_artefacts(keys: DataFrame, path: str) -> None:
+    """``<path>/<key>/<key>.sqlite`` for each of a few keys, with the cluster's own file system."""
+    spark = keys.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for (key,) in keys.toLocalIterator():
+        target = jvm.org.apache.hadoop.fs.Path(f"{path}/{key}/{key}.sqlite")
+        out = target.getFileSystem(conf).create(target)
+        out.write(83)  # empty files are not listed
+        out.close()
 
 
 @query
@@ -180,19 +215,15 @@ def q_conciseness(spark, sf_dir):
     return s.select("id", n.alias("code_lines"), conciseness(n).alias("conciseness"))
 
 
-def _code_samples(spark, sf_dir):
-    return materialize(spark, S.code_samples(spark, sf_dir), "code_samples")
-
-
 @query
 def q_rlvr_reward(spark, sf_dir):
-    r = code_reward.rlvr_rewards(_code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
+    r = code_reward.rlvr_rewards(S.code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
     return r.select("id", "aggregate_reward_score", "total", "passed", "correctness", "conciseness", "code_lines")
 
 
 @query
 def q_rlvr_correctness(spark, sf_dir):
-    r = code_reward.rlvr_rewards(_code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
+    r = code_reward.rlvr_rewards(S.code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
     return r.select(F.col("id").alias("sample_id"), "total", "passed",
                     F.when(F.col("total") > 0, F.col("passed") / F.col("total")).otherwise(F.lit(0.0)).alias("correctness"))
 
@@ -213,7 +244,7 @@ def q_zip_tests(spark, sf_dir):
 @query
 def q_test_outcomes(spark, sf_dir):
     tests = code_reward.zip_tests(S.code_samples(spark, sf_dir)).select("sample_id", "test_idx")
-    out = S.test_outcomes(spark, sf_dir)
+    out = S.test_outcomes(spark, sf_dir).groupBy("sample_id", "test_idx").agg(F.bool_or("passed").alias("passed"))
     j = tests.join(out, ["sample_id", "test_idx"], "left")
     return j.select("sample_id", "test_idx", F.coalesce("passed", F.lit(False)).alias("passed"))
 
@@ -274,7 +305,7 @@ def q_judge_aggregate(spark, sf_dir):
 
 @query
 def q_metrics_long(spark, sf_dir):
-    a = code_reward.rlvr_rewards(_code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
+    a = code_reward.rlvr_rewards(S.code_samples(spark, sf_dir), S.test_outcomes(spark, sf_dir))
     b = judge_reward.judge_rewards(S.judge_samples(spark, sf_dir), S.judge_replies(spark, sf_dir))
     la = code_reward.metrics_long(a).withColumn("scorer", F.lit("rlvr"))
     lb = code_reward.metrics_long(b).withColumn("scorer", F.lit("rlaif"))
@@ -429,7 +460,8 @@ def q_resultset_reward(spark, sf_dir):
 @query
 def q_resultset_diff(spark, sf_dir):
     d = resultset.result_set_diff(S.result_rows(spark, sf_dir))
-    return d.select("episode_id", "only_in", F.col("cells")[0]["s"].alias("status"), F.col("cells")[1]["i"].alias("yr"))
+    return d.select("episode_id", "only_in", F.col("cells")[0]["s"].alias("status"), F.col("cells")[1]["i"].alias("yr"),
+                    F.coalesce(F.col("cells")[2]["x"], F.col("cells")[2]["i"].cast("string")).alias("price"))
 
 
 @query

@@ -1,24 +1,38 @@
 """Oracle SQL (DuckDB dialect) for the registered queries.
 
 Each statement recomputes a query's result from the raw tables in plain SQL,
-written independently of the Spark code path (fixed texts are shared).  For
-queries that go through files, streams or the Python literal parser the
+written independently of the Spark code path (only prompt texts of our own
+wording are shared; fixed values are written out below).  For queries that go through files, streams or the Python literal parser the
 statement recomputes the end result of the whole path.
 """
 
 from __future__ import annotations
 
-from ..functions.text import WS
-from ..operators import convert, episodes as E, judge_reward as J, resultset as R
+from ..operators import convert, episodes as E, judge_reward as J
 from ..sources.standins import CODE_PROMPT_LEAD
 
+# ---- fixed values, as the reference states them ----
+BLANKS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+DIMENSIONS = ("faithfulness", "coverage", "no_redundancy", "appropriate_length", "coherence")
+NO_SUBMISSION = "no <solution> submitted within turn limit"
+DB_MISSING = "database file not found for db_id '{db_id}' ({path})"
+SQL_FAILED = "final SQL failed to execute: {error}"
+CORRECT, INCORRECT = "correct: result matches gold", "incorrect: result does not match gold"
+NO_ANSWER = "No answer produced. Ran {a} SQL quer(ies), {e} errored, over {n} turn(s) before the limit. Reason: {reason}."
+ALL_ERRORED = " Every SQL query errored: last error -> {last}"
+ANSWER = "Answer {verdict} ({how}). {reason}. Ran {a} SQL quer(ies) ({e} errored) over {n} turn(s)."
+SUBMITTED, FALLBACK = "submitted via <solution>", "no explicit <solution>; used last successful query"
+NO_ROWS = "Query executed successfully. No rows returned."
+# ----------------------------------------------------
+GOLD_FAILED = "gold SQL failed to execute"  # our own
+
 
 def lit(s: str) -> str:
     """SQL string literal (raw newlines are fine inside DuckDB literals)."""
     return "'" + s.replace("'", "''") + "'"
 
 
-WSQ = "(" + " || ".join(f"chr({ord(c)})" for c in WS) + ")"
+WSQ = "(" + " || ".join(f"chr({c})" for c in BLANKS) + ")"
 NL = "chr(10)"
 
 
@@ -60,7 +74,7 @@ def concise(n: str) -> str:
 
 
 # ------------------------------------------------------------------ CTEs
-ART = f"art AS (SELECT doc_id AS ordinal, {strip('text')} AS a, {strip('left(text, 200)')} AS h FROM documents)"
+ART = f"art AS (SELECT doc_id AS ordinal, {strip('text')} AS a, {strip('text')} AS h FROM documents)"
 RLAIF_KEPT = "(length(a) >= 100 AND length(h) >= 20)"
 RLAIF_CONTENT = f"({lit(convert.SUMMARY_INSTRUCTION)} || {lit(chr(10) + chr(10) + 'Article:' + chr(10))} || {snap('a')})"
 
@@ -79,33 +93,42 @@ SCHEMA_FILES = (
 CREATE_RE = r"'(?si)CREATE TABLE.*?\(.*?\);'"
 CORPUS = (f"corpus AS (SELECT db_id, ddl FROM (SELECT db_id, array_to_string(list_transform(regexp_extract_all(schema_sql, "
           f"{CREATE_RE}, 0), lambda x: {strip('x')}), {lit(chr(10) + chr(10))}) AS ddl FROM sf) WHERE ddl <> '')")
-_DS = convert.DEFAULT_SCHEMA_LINES[0].split("{db_id}")
-DEFAULT_SCHEMA = (f"({lit(_DS[0])} || db_id || " + lit(_DS[1] + "\n" + convert.DEFAULT_SCHEMA_LINES[1]) + ")")
-
-LINES = ("lines AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS inp, "
-         "CAST(CAST(trunc(l_quantity) AS BIGINT) AS VARCHAR) AS out, l_returnflag, "
-         "row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) - 1 AS idx FROM lineitem)")
-PER_ORDER = ("po AS (SELECT l_orderkey, count(*) AS n, "
-             "list('assert f(' || inp || ') == ' || out ORDER BY idx) AS asserts, "
-             "list(inp ORDER BY idx) AS inputs, list(out ORDER BY idx) AS outputs FROM lines GROUP BY l_orderkey)")
+DEFAULT_SCHEMA = "('-- Database: ' || db_id || " + lit("\n-- WARNING: no schema.sql found; schema unknown") + ")"
+
+LINES = ("lines AS (SELECT l_orderkey, l_linenumber - 1 AS idx, bool_or(l_returnflag <> 'R') AS passed FROM lineitem GROUP BY 1, 2)")
+KEYS = ("ks AS (SELECT coalesce(d.doc_id, o.k) AS doc_id, coalesce(d.text, 'def f(x):' || chr(10) || "
+        "repeat('    x = x + 1' || chr(10), coalesce(d.doc_id, o.k) % 40) || '    return x') AS text "
+        "FROM documents d FULL JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem) o ON d.doc_id = o.k)")
+
+
+def _each(first: str, text: str) -> str:
+    return f"array_to_string(list_transform(range({first}, doc_id % 8 + 1), lambda i: {text}), ',')"
+
+
 RESPONSE = ("(CASE WHEN doc_id % 50 = 49 THEN '' WHEN doc_id % 4 = 0 THEN " + lit("```python\n") + " || text || " + lit("\n```")
             + " WHEN doc_id % 4 = 1 THEN " + lit("Answer:\n```\n") + " || text || " + lit("\n```\nDone.")
             + " WHEN doc_id % 4 = 2 THEN " + lit("```python\n") + " || text ELSE text END)")
-GT = ("(CASE WHEN doc_id % 17 = 0 THEN 'not json [' WHEN doc_id % 3 = 0 THEN "
-      "CAST(to_json(struct_pack(fn_name := 'f', inputs := coalesce(po.inputs, []::VARCHAR[]), outputs := coalesce(po.outputs, []::VARCHAR[]))) AS VARCHAR) "
-      "ELSE CAST(to_json(coalesce(po.asserts, []::VARCHAR[])) AS VARCHAR) END)")
-CODE_SAMPLES = (f"cs AS (SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) AS id, {RESPONSE} AS response, "
-                f"CASE WHEN d.doc_id % 17 = 0 THEN 0 ELSE coalesce(po.n, 0) END AS total, {GT} AS gt "
-                f"FROM documents d LEFT JOIN po ON d.doc_id = po.l_orderkey)")
+_NUMBER, _RESULT = "CAST(i AS VARCHAR)", "CAST(i * doc_id AS VARCHAR)"
+_QUOTED = "'\"' || {} || '\"'"
+GT = ("(CASE WHEN doc_id % 17 = 0 THEN 'not json [' WHEN doc_id % 3 = 0 THEN '{' || "
+      "(CASE WHEN doc_id % 7 = 0 THEN '\"fn_name\":\"g\",' ELSE '' END) || '\"fn_name\":\"f\",\"inputs\":[' || "
+      "(CASE WHEN doc_id % 5 = 0 THEN '1' || (CASE WHEN doc_id % 8 > 1 THEN ',' || " + _each("2", _QUOTED.format(_NUMBER))
+      + " ELSE '' END) ELSE " + _each("1", _QUOTED.format(_NUMBER)) + " END) || '],\"outputs\":[' || "
+      + _each("1", _QUOTED.format(_RESULT)) + " || ']}' ELSE '[' || "
+      + _each("1", f"'\"assert f(' || {_NUMBER} || ') == ' || {_RESULT} || '\"'") + " || ']' END)")
+# of the object form's tests, the one with an integer input is dropped
+_DROPPED = "(CASE WHEN doc_id % 3 = 0 AND doc_id % 5 = 0 AND doc_id % 8 > 0 THEN 1 ELSE 0 END)"
+CODE_SAMPLES = (f"{KEYS}, cs AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS id, {RESPONSE} AS response, "
+                f"CASE WHEN doc_id % 17 = 0 THEN 0 ELSE doc_id % 8 - {_DROPPED} END AS total, {_DROPPED} AS dropped, {GT} AS gt FROM ks)")
 CODE_SCORED = (
     "cx AS (SELECT cs.*, " + unfence("response", "```python") + " AS code FROM cs), "
-    "pc AS (SELECT cx.id, count(*) FILTER (WHERE l.l_returnflag <> 'R' AND l.idx < cx.total) AS passed "
-    "FROM cx JOIN lines l ON CAST(l.l_orderkey AS VARCHAR) = cx.id GROUP BY cx.id), "
+    "pc AS (SELECT cx.id, count(*) FILTER (WHERE l.passed) AS passed "
+    "FROM cx JOIN lines l ON l.l_orderkey = cx.doc_id AND l.idx < cx.total GROUP BY cx.id), "
     "cz AS (SELECT cx.id, cx.total, coalesce(pc.passed, 0) AS passed, cx.code, " + nonblank_lines("cx.code") + " AS lines, "
     "(cx.total = 0 OR cx.code = '') AS zero FROM cx LEFT JOIN pc ON cx.id = pc.id), "
     "cr AS (SELECT id, total, passed, zero, CASE WHEN total > 0 THEN CAST(passed AS DOUBLE) / total ELSE 0.0::DOUBLE END AS corr, "
     "lines, " + concise("lines") + " AS conc FROM cz)")
-CODE_WITH = f"WITH {LINES}, {PER_ORDER}, {CODE_SAMPLES}, {CODE_SCORED}"
+CODE_WITH = f"WITH {LINES}, {CODE_SAMPLES}, {CODE_SCORED}"
 
 PROBLEMS = (
     "pp AS (SELECT p_partkey AS problem_id, p_name, p_brand, CAST(p_size AS VARCHAR) AS size, "
@@ -136,8 +159,8 @@ PROB_WITH = f"WITH {PROBLEMS}, {ASSERTS}"
 
 JUDGE_SAMPLES = (
     f"js AS (SELECT CAST(d.doc_id AS VARCHAR) AS id, d.doc_id, l.quality, l.toxic, "
-    f"{strip(f'CASE WHEN l.toxic = 1 THEN {lit(chr(32) * 2)} ELSE split_part(d.text, {NL}, 1) END')} AS summary, "
-    f"{strip(snap(strip('d.text')))} AS article, left(d.text, 200) AS reference "
+    f"{strip(f'CASE WHEN l.toxic = 1 THEN {lit(chr(32) * 2)} ELSE d.text END')} AS summary, "
+    f"{strip(snap(strip('d.text')))} AS article, d.text AS reference "
     f"FROM documents d JOIN labels l ON d.doc_id = l.doc_id)")
 REPLY = (
     "(CASE WHEN doc_id % 5 = 0 THEN '{\"faithfulness\": ' || CAST(quality * 2 + 2 AS VARCHAR) || ', \"coverage\": 4, "
@@ -146,7 +169,9 @@ REPLY = (
     + " || CAST(quality + 3 AS VARCHAR) || " + lit(', "no_redundancy": 4, "appropriate_length": 1, "coherence": 4}\n```')
     + " WHEN doc_id % 5 = 2 THEN '{\"faithfulness\": 4, \"coverage\": ' || CAST(quality AS VARCHAR) || '}' "
     "WHEN doc_id % 5 = 3 THEN 'The summary looks fine to me.' END)")
-REPLIES = f"jr AS (SELECT CAST(doc_id AS VARCHAR) AS sample_id, {REPLY} AS judge_text FROM labels)"
+# every ninth reply has not come, every fourth came twice
+REPLIES = (f"jr AS (SELECT CAST(doc_id AS VARCHAR) AS sample_id, {REPLY} AS judge_text FROM labels, (VALUES (1), (2)) v(copy) "
+           "WHERE doc_id % 9 <> 4 AND (copy = 1 OR doc_id % 4 = 1))")
 
 
 def _dim(body: str, ok: str, d: str) -> str:
@@ -156,15 +181,16 @@ def _dim(body: str, ok: str, d: str) -> str:
 JUDGE_PARSED = (
     "jb AS (SELECT sample_id, " + unfence(strip("judge_text"), "```json") + " AS body FROM jr), "
     "jo AS (SELECT sample_id, body, coalesce(regexp_matches(body, '(?s)^\\{.*\\}$') AND json_valid(body), false) AS ok FROM jb), "
-    "jp AS (SELECT sample_id, " + ", ".join(f"{_dim('body', 'ok', d)} AS {d}" for d in J.DIMENSIONS) + " FROM jo)")
+    "jp AS (SELECT sample_id, " + ", ".join(f"{_dim('body', 'ok', d)} AS {d}" for d in DIMENSIONS) + " FROM jo)")
 JUDGE_SCORED = (
     "jq AS (SELECT js.id, js.summary, js.summary = '' AS empty, " + length_rule("js.summary") + " AS rule, "
     + count_parts("js.summary") + " AS sents, jp.faithfulness AS f, jp.coverage AS c, jp.no_redundancy AS nr, "
-    "jp.coherence AS co FROM js LEFT JOIN jp ON js.id = jp.sample_id), "
-    "jz AS (SELECT id, empty, rule, sents, coalesce(f, 3.0) AS f, coalesce(c, 3.0) AS c, coalesce(nr, 3.0) AS nr, "
+    "jp.coherence AS co, js.summary <> '' AND jp.sample_id IS NULL AS pending "
+    "FROM js LEFT JOIN (SELECT DISTINCT * FROM jp) jp ON js.id = jp.sample_id), "
+    "jz AS (SELECT id, empty, pending, rule, sents, coalesce(f, 3.0) AS f, coalesce(c, 3.0) AS c, coalesce(nr, 3.0) AS nr, "
     "CASE WHEN rule = 1 THEN 5.0::DOUBLE ELSE 1.0::DOUBLE END AS al, coalesce(co, 3.0) AS co FROM jq)")
 JUDGE_WITH = f"WITH {JUDGE_SAMPLES}, {REPLIES}, {JUDGE_PARSED}, {JUDGE_SCORED}"
-JUDGE_SCORE = "CASE WHEN empty THEN 0.0::DOUBLE ELSE round_even((f + c + nr + al + co - 5.0) / 20.0, 4) END"
+JUDGE_SCORE = "CASE WHEN empty THEN 0.0::DOUBLE WHEN NOT pending THEN round_even((f + c + nr + al + co - 5.0) / 20.0, 4) END"
 
 _TSQL = "'SELECT count(*) FROM t WHERE turn = ' || CAST(turn AS VARCHAR)"
 TRAJ = (
@@ -176,7 +202,7 @@ TRAJ = (
     "WHEN role = 'user' AND prev_role = 'assistant' THEN " + lit("<observation>\n")
     + " || (CASE WHEN (conv_id + turn) % 7 = 0 THEN 'Error: ' ELSE '' END) || text || " + lit("\n</observation>")
     + " ELSE text END AS content, "
-    f"CASE WHEN role = 'assistant' AND (conv_id + turn) % 5 = 1 THEN {_TSQL} END AS tool_sql FROM cv)")
+    f"CASE WHEN role = 'assistant' AND (conv_id + turn) % 5 = 1 AND conv_id % 6 <> 1 THEN {_TSQL} END AS tool_sql FROM cv)")
 OBS_RE = "'(?s)<observation>\\n(.*?)\\n</observation>'"
 ACTS = (
     "tn AS (SELECT tr.*, lead(role) OVER w AS next_role, lead(content) OVER w AS next_content FROM tr "
@@ -207,9 +233,12 @@ METRICS = (
     "solution IS NOT NULL AS submitted_solution, solution, last_successful_sql, coalesce(last_observation, '') AS last_observation "
     "FROM ep LEFT JOIN agg ON ep.episode_id = agg.episode_id)")
 RESULTS = (
-    "ro AS (SELECT CAST(o_custkey AS VARCHAR) AS episode_id, o_orderkey, o_orderstatus AS s, year(o_orderdate) AS y, o_totalprice FROM orders), "
-    "rp AS (SELECT DISTINCT episode_id, s, y FROM ro WHERE o_totalprice > 50000), "
-    "rg AS (SELECT DISTINCT episode_id, s, y FROM ro WHERE o_totalprice > 45000), "
+    "ro AS (SELECT CAST(o_custkey AS VARCHAR) AS episode_id, o_custkey AS c, o_orderkey, o_orderstatus AS s, year(o_orderdate) AS y, "
+    "o_totalprice AS tp, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,8)) + CAST(9000000000000000 AS DECIMAL(38,8)) AS p FROM orders), "
+    "rpa AS (SELECT episode_id, o_orderkey, s, y, p + CAST(CASE WHEN c % 5 = 0 THEN '0.00000001' ELSE '0' END AS DECIMAL(38,8)) AS p "
+    "FROM ro WHERE c % 3 <> 0 OR tp > 50000), "
+    "rp AS (SELECT DISTINCT episode_id, s, y, p FROM rpa), "
+    "rg AS (SELECT DISTINCT episode_id, s, y, p FROM ro), "
     "rpo AS (SELECT episode_id, count(*) AS n FROM (SELECT * FROM rp EXCEPT SELECT * FROM rg) GROUP BY episode_id), "
     "rgo AS (SELECT episode_id, count(*) AS n FROM (SELECT * FROM rg EXCEPT SELECT * FROM rp) GROUP BY episode_id), "
     "req AS (SELECT CAST(c_custkey AS VARCHAR) AS episode_id, coalesce(rpo.n, 0) AS pred_only, coalesce(rgo.n, 0) AS gold_only, "
@@ -235,19 +264,20 @@ def _fmt(template: str, **cols: str) -> str:
 def rewards_cte(fallback: bool) -> str:
     fb = "TRUE" if fallback else "FALSE"
     reason = (
-        "CASE WHEN status = 'error' THEN NULL WHEN final_sql IS NULL THEN " + lit(E.REASON_NO_SUBMISSION)
-        + " WHEN NOT db_present THEN " + _fmt(E.REASON_DB_MISSING, db_id="db_id")
-        + " WHEN pred_status = 'error' THEN " + _fmt(E.REASON_SQL_FAILED, error="''")
-        + " WHEN gold_status = 'error' THEN " + lit(E.REASON_GOLD_FAILED)
-        + " WHEN sets_equal THEN " + lit(E.REASON_CORRECT) + " ELSE " + lit(E.REASON_INCORRECT) + " END")
+        "CASE WHEN status = 'error' THEN NULL WHEN final_sql IS NULL THEN " + lit(NO_SUBMISSION)
+        + " WHEN NOT db_present THEN " + _fmt(DB_MISSING, db_id="db_id", path="'/db/' || db_id || '.sqlite'")
+        + " WHEN pred_status = 'error' THEN " + _fmt(SQL_FAILED, error="pred_error")
+        + " WHEN gold_status = 'error' THEN " + lit(GOLD_FAILED)
+        + " WHEN sets_equal THEN " + lit(CORRECT) + " ELSE " + lit(INCORRECT) + " END")
     return (
         "meta AS (SELECT episode_id, conv_id, 'db_' || CAST(conv_id % 8 AS VARCHAR) AS db_id, "
         "CASE WHEN conv_id % 23 = 22 THEN 'error' ELSE 'ok' END AS status, "
         "CASE WHEN conv_id % 11 = 10 THEN 'error' ELSE 'ok' END AS pred_status, "
+        "CASE WHEN conv_id % 23 = 22 THEN 'ValueError: no reply' WHEN conv_id % 11 = 10 THEN 'no such column: x' END AS pred_error, "
         "CASE WHEN conv_id % 31 = 30 THEN 'error' ELSE 'ok' END AS gold_status, conv_id % 8 <> 7 AS db_present FROM ep), "
         f"fs AS (SELECT em.*, (solution IS NULL AND last_successful_sql IS NOT NULL AND {fb}) AS used_last_sql_fallback, "
         f"CASE WHEN solution IS NULL AND last_successful_sql IS NOT NULL AND {fb} THEN last_successful_sql ELSE solution END AS final_sql FROM em), "
-        "rj AS (SELECT meta.episode_id, meta.db_id, meta.status, meta.pred_status, meta.gold_status, meta.db_present, fs.num_turns, "
+        "rj AS (SELECT meta.episode_id, meta.db_id, meta.status, meta.pred_status, meta.pred_error, meta.gold_status, meta.db_present, fs.num_turns, "
         "fs.sql_attempts, fs.sql_errors, fs.empty_responses, fs.submitted_solution, fs.used_last_sql_fallback, fs.final_sql, "
         "fs.last_observation, coalesce(req.sets_equal, false) AS sets_equal FROM meta JOIN fs ON meta.episode_id = fs.episode_id "
         "LEFT JOIN req ON req.episode_id = meta.episode_id), "
@@ -264,11 +294,11 @@ EP_WITH = f"WITH {TRAJ}, {ACTS}, {METRICS}"
 REWARD_WITH = lambda fb: f"WITH {TRAJ}, {ACTS}, {METRICS}, {RESULTS}, {rewards_cte(fb)}"
 
 OUTCOME = (
-    "CASE WHEN status = 'error' THEN " + _fmt(E.OUTCOME_AGENT_ERROR, error="''")
-    + " WHEN final_sql IS NULL THEN " + _fmt(E.OUTCOME_NO_ANSWER, a="sql_attempts", e="sql_errors", n="num_turns", reason="reason")
-    + " || (CASE WHEN sql_errors > 0 AND sql_errors = sql_attempts THEN " + _fmt(E.OUTCOME_ALL_ERRORED, last="last_observation")
-    + " ELSE '' END) ELSE " + _fmt(E.OUTCOME_ANSWER, verdict="CASE WHEN reward = 1.0 THEN 'CORRECT' ELSE 'WRONG' END",
-                                   how=f"CASE WHEN used_last_sql_fallback THEN {lit(E.HOW_FALLBACK)} ELSE {lit(E.HOW_SUBMITTED)} END",
+    "CASE WHEN status = 'error' THEN " + _fmt("agent raised {error}", error="pred_error")
+    + " WHEN final_sql IS NULL THEN " + _fmt(NO_ANSWER, a="sql_attempts", e="sql_errors", n="num_turns", reason="reason")
+    + " || (CASE WHEN sql_errors > 0 AND sql_errors = sql_attempts THEN " + _fmt(ALL_ERRORED, last="last_observation")
+    + " ELSE '' END) ELSE " + _fmt(ANSWER, verdict="CASE WHEN reward IS NULL THEN 'UNSCORED' WHEN reward = 1.0 THEN 'CORRECT' ELSE 'WRONG' END",
+                                   how=f"CASE WHEN used_last_sql_fallback THEN {lit(FALLBACK)} ELSE {lit(SUBMITTED)} END",
                                    reason="reason", a="sql_attempts", e="sql_errors", n="num_turns") + " END")
 
 JUDGE_REQ = (lit(J.JUDGE_TEMPLATE.split("{article}")[0]) + " || left(article, 3000) || "
@@ -278,8 +308,8 @@ JUDGE_REQ = (lit(J.JUDGE_TEMPLATE.split("{article}")[0]) + " || left(article, 30
 
 GUIDE = (f"CASE WHEN errored THEN {lit(E.GUIDE_AFTER_ERROR)} ELSE {lit(E.GUIDE_AFTER_RESULT)} END")
 OBS_TEXT = (f"CASE WHEN sql IS NOT NULL THEN {lit('<observation>' + chr(10))} || coalesce(obs, '') || "
-            f"{lit(chr(10) + '</observation>' + chr(10))} || {GUIDE} || ' You have ' || CAST(5 - a_idx AS VARCHAR) || "
-            f"' turn(s) left.' ELSE {lit(E.NUDGE)} END")
+            f"{lit(chr(10) + '</observation>' + chr(10))} || {GUIDE} || ' Turns left: ' || CAST(5 - a_idx AS VARCHAR) || "
+            f"'.' ELSE {lit(E.NUDGE)} END")
 
 HINT = convert.CODE_NAME_HINT.split("{fn}")
 
@@ -293,11 +323,11 @@ ORACLE_SQL: dict[str, str] = {
         'summarization' AS ability, 'llmj' AS style, h AS ground_truth FROM art WHERE {RLAIF_KEPT}""",
     "q_min_length": f"WITH {ART} SELECT ordinal, length(a) AS article_chars, length(h) AS highlight_chars FROM art WHERE {RLAIF_KEPT}",
     "q_sentence_snap": f"WITH {ART} SELECT ordinal, length(a) AS article_chars, length({snap('a')}) AS snapped_chars, {snap('a')} AS article FROM art",
-    "q_first_n": f"WITH {ART} SELECT ordinal, h AS ground_truth FROM art WHERE {RLAIF_KEPT} ORDER BY ordinal LIMIT 500",
+    "q_first_n": f"WITH {ART} SELECT ordinal, h AS ground_truth FROM art WHERE {RLAIF_KEPT} ORDER BY ordinal LIMIT 5000",
     "q_convert_stats": f"""WITH {ART}, t AS (SELECT ordinal, CASE WHEN {RLAIF_KEPT} THEN 'converted' ELSE 'skipped_short' END AS reason FROM art),
-        k AS (SELECT ordinal FROM t WHERE reason = 'converted' ORDER BY ordinal LIMIT 500),
+        k AS (SELECT ordinal FROM t WHERE reason = 'converted' ORDER BY ordinal LIMIT 5000),
         c AS (SELECT count(*) AS n, max(ordinal) AS last FROM k)
-        SELECT reason, count(*) AS n FROM t, c WHERE c.n < 500 OR t.ordinal <= c.last GROUP BY reason""",
+        SELECT reason, count(*) AS n FROM t, c WHERE c.n < 5000 OR t.ordinal <= c.last GROUP BY reason""",
     "q_length_rule": f"SELECT doc_id, {length_rule(strip('text'))} AS length_rule FROM documents",
     "q_summary_sentences": f"SELECT doc_id, {count_parts(strip('text'))} AS summary_sentences FROM documents",
     "q_union_splits": """SELECT 'train' AS split, doc_id AS ordinal, text AS article FROM documents WHERE lang = 'en'
@@ -321,25 +351,24 @@ ORACLE_SQL: dict[str, str] = {
         array_to_string(list_transform(regexp_extract_all(schema_sql, {CREATE_RE}, 0), lambda x: {strip('x')}), {lit(chr(10) * 2)}) AS ddl FROM sf""",
     "q_available_keys": f"WITH {AVAIL} SELECT DISTINCT db_id FROM avail",
     # ---------------------------------------------------------- code reward
-    "q_extract_code": f"WITH {LINES}, {PER_ORDER}, {CODE_SAMPLES} SELECT id, {unfence('response', '```python')} AS code FROM cs",
+    "q_extract_code": f"WITH {CODE_SAMPLES} SELECT id, {unfence('response', '```python')} AS code FROM cs",
     "q_conciseness": f"""{CODE_WITH} SELECT id, {nonblank_lines('code')} AS code_lines, {concise(nonblank_lines('code'))} AS conciseness FROM cx""",
     "q_rlvr_reward": f"""{CODE_WITH} SELECT id,
         CASE WHEN zero THEN 0.0::DOUBLE ELSE round_even(0.8::DOUBLE * corr + 0.2::DOUBLE * conc, 4) END AS aggregate_reward_score,
         total, passed, CASE WHEN zero THEN NULL ELSE corr END AS correctness, CASE WHEN zero THEN NULL ELSE conc END AS conciseness,
         CASE WHEN zero THEN NULL ELSE lines END AS code_lines FROM cr""",
     "q_rlvr_correctness": f"{CODE_WITH} SELECT id AS sample_id, total, passed, corr AS correctness FROM cr",
-    "q_ground_truth_fallback": f"""WITH {LINES}, {PER_ORDER}, {CODE_SAMPLES}
+    "q_ground_truth_fallback": f"""WITH {CODE_SAMPLES}
         SELECT id, CASE WHEN CAST(id AS BIGINT) % 13 = 0 THEN 'reference_answer' ELSE 'reward_model' END AS gt_source, gt FROM cs""",
-    "q_zip_tests": f"""WITH {LINES}
-        SELECT CAST(l_orderkey AS VARCHAR) AS sample_id, idx AS test_idx,
-          CASE WHEN l_orderkey % 3 <> 0 THEN 'assert f(' || inp || ') == ' || out END AS assertion,
-          CASE WHEN l_orderkey % 3 = 0 THEN 'f' END AS fn_name,
-          CASE WHEN l_orderkey % 3 = 0 THEN inp END AS args_text, CASE WHEN l_orderkey % 3 = 0 THEN out END AS expected
-        FROM lines WHERE l_orderkey % 17 <> 0 AND l_orderkey IN (SELECT doc_id FROM documents)""",
-    "q_test_outcomes": f"""WITH {LINES}
-        SELECT CAST(t.l_orderkey AS VARCHAR) AS sample_id, t.idx AS test_idx, coalesce(o.l_returnflag <> 'R', false) AS passed
-        FROM lines t LEFT JOIN lines o ON o.l_orderkey = t.l_orderkey AND o.idx = t.idx
-        WHERE t.l_orderkey % 17 <> 0 AND t.l_orderkey IN (SELECT doc_id FROM documents)""",
+    "q_zip_tests": f"""WITH {CODE_SAMPLES}, t AS (SELECT id, doc_id, dropped, unnest(range(total)) AS idx FROM cs)
+        SELECT id AS sample_id, idx AS test_idx,
+          CASE WHEN doc_id % 3 <> 0 THEN 'assert f(' || CAST(idx + 1 AS VARCHAR) || ') == ' || CAST((idx + 1) * doc_id AS VARCHAR) END AS assertion,
+          CASE WHEN doc_id % 3 = 0 THEN 'f' END AS fn_name,
+          CASE WHEN doc_id % 3 = 0 THEN CAST(idx + 1 + dropped AS VARCHAR) END AS args_text,
+          CASE WHEN doc_id % 3 = 0 THEN CAST((idx + 1 + dropped) * doc_id AS VARCHAR) END AS expected FROM t""",
+    "q_test_outcomes": f"""WITH {LINES}, {CODE_SAMPLES}, t AS (SELECT id, doc_id, unnest(range(total)) AS idx FROM cs)
+        SELECT t.id AS sample_id, t.idx AS test_idx, coalesce(l.passed, false) AS passed
+        FROM t LEFT JOIN lines l ON l.l_orderkey = t.doc_id AND l.idx = t.idx""",
     "q_fn_name": f"{PROB_WITH} SELECT problem_id, fn_name FROM pf",
     "q_assert_table": f"""{PROB_WITH} SELECT problem_id, CAST(row_number() OVER (PARTITION BY problem_id ORDER BY pos) - 1 AS BIGINT) AS test_idx,
         fn_name, args, expected FROM pv""",
@@ -357,11 +386,11 @@ ORACLE_SQL: dict[str, str] = {
         SELECT problem_id, fn_name, CAST(3 AS BIGINT) AS n_inputs, size || {NL} || CAST(p_partkey AS VARCHAR) AS first_input,
           CAST(p_size + p_partkey AS VARCHAR) AS first_output FROM ok""",
     # ---------------------------------------------------------- judge reward
-    "q_judge_parse": f"WITH {REPLIES}, {JUDGE_PARSED} SELECT sample_id, {', '.join(J.DIMENSIONS)} FROM jp",
+    "q_judge_parse": f"WITH {REPLIES}, {JUDGE_PARSED} SELECT sample_id, {', '.join(DIMENSIONS)} FROM jp",
     "q_judge_aggregate": f"""{JUDGE_WITH}, jt AS (SELECT jz.*, {JUDGE_SCORE} AS s FROM jz)
-        SELECT id, s AS aggregate_reward_score, CASE WHEN empty THEN 0.0 ELSE f END AS faithfulness,
-          CASE WHEN empty THEN 0.0 ELSE c END AS coverage, CASE WHEN empty THEN 0.0 ELSE nr END AS no_redundancy,
-          CASE WHEN empty THEN 0.0 ELSE al END AS appropriate_length, CASE WHEN empty THEN 0.0 ELSE co END AS coherence,
+        SELECT id, s AS aggregate_reward_score, CASE WHEN empty THEN 0.0 WHEN NOT pending THEN f END AS faithfulness,
+          CASE WHEN empty THEN 0.0 WHEN NOT pending THEN c END AS coverage, CASE WHEN empty THEN 0.0 WHEN NOT pending THEN nr END AS no_redundancy,
+          CASE WHEN empty THEN 0.0 WHEN NOT pending THEN al END AS appropriate_length, CASE WHEN empty THEN 0.0 WHEN NOT pending THEN co END AS coherence,
           CASE WHEN empty THEN NULL ELSE sents END AS summary_sentences, rule AS length_rule, (s < 0 OR s > 1) AS out_of_range FROM jt""",
     "q_judge_request": f"WITH {JUDGE_SAMPLES} SELECT id, {JUDGE_REQ} AS request FROM js WHERE summary <> ''",
     "q_article_from_prompt": f"WITH {JUDGE_SAMPLES} SELECT id, article FROM js",
@@ -370,12 +399,12 @@ ORACLE_SQL: dict[str, str] = {
           UNION ALL SELECT 'rlvr', id, 1, 'conciseness', conc, 'Metric' FROM cr WHERE NOT zero
           UNION ALL SELECT 'rlvr', id, 2, 'tests_passed', CAST(passed AS DOUBLE), 'Metric' FROM cr WHERE NOT zero
           UNION ALL SELECT 'rlvr', id, 3, 'code_lines', CAST(lines AS DOUBLE), 'Metric' FROM cr WHERE NOT zero),
-        m2 AS (SELECT 'rlaif' AS scorer, id, CAST(0 AS BIGINT) AS metric_idx, 'faithfulness' AS name, CASE WHEN empty THEN 0.0 ELSE f END AS value, 'Reward' AS type FROM jz
-          UNION ALL SELECT 'rlaif', id, 1, 'coverage', CASE WHEN empty THEN 0.0 ELSE c END, 'Reward' FROM jz
-          UNION ALL SELECT 'rlaif', id, 2, 'no_redundancy', CASE WHEN empty THEN 0.0 ELSE nr END, 'Reward' FROM jz
-          UNION ALL SELECT 'rlaif', id, 3, 'appropriate_length', CASE WHEN empty THEN 0.0 ELSE al END, 'Reward' FROM jz
-          UNION ALL SELECT 'rlaif', id, 4, 'coherence', CASE WHEN empty THEN 0.0 ELSE co END, 'Reward' FROM jz
-          UNION ALL SELECT 'rlaif', id, 5, 'summary_sentences', CAST(sents AS DOUBLE), 'Metric' FROM jz WHERE NOT empty)
+        m2 AS (SELECT 'rlaif' AS scorer, id, CAST(0 AS BIGINT) AS metric_idx, 'faithfulness' AS name, CASE WHEN empty THEN 0.0 ELSE f END AS value, 'Reward' AS type FROM jz WHERE NOT pending
+          UNION ALL SELECT 'rlaif', id, 1, 'coverage', CASE WHEN empty THEN 0.0 ELSE c END, 'Reward' FROM jz WHERE NOT pending
+          UNION ALL SELECT 'rlaif', id, 2, 'no_redundancy', CASE WHEN empty THEN 0.0 ELSE nr END, 'Reward' FROM jz WHERE NOT pending
+          UNION ALL SELECT 'rlaif', id, 3, 'appropriate_length', CASE WHEN empty THEN 0.0 ELSE al END, 'Reward' FROM jz WHERE NOT pending
+          UNION ALL SELECT 'rlaif', id, 4, 'coherence', CASE WHEN empty THEN 0.0 ELSE co END, 'Reward' FROM jz WHERE NOT pending
+          UNION ALL SELECT 'rlaif', id, 5, 'summary_sentences', CAST(sents AS DOUBLE), 'Metric' FROM jz WHERE NOT empty AND NOT pending)
         SELECT scorer, id, metric_idx, name, value, type FROM m1 UNION ALL SELECT scorer, id, metric_idx, name, value, type FROM m2""",
     "q_prompt_parse": """SELECT doc_id, CAST(CASE WHEN doc_id % 10 = 0 THEN 1 ELSE 2 END AS BIGINT) AS n_messages, text AS user_content,
         CASE WHEN doc_id % 10 = 0 THEN '' ELSE 'SELECT ' || CAST(doc_id AS VARCHAR) END AS gold_query,
@@ -407,25 +436,26 @@ ORACLE_SQL: dict[str, str] = {
         coalesce(db_id, '') AS episode_db_id, num_turns AS episode_num_turns, sql_attempts AS episode_sql_attempts,
         sql_errors AS episode_sql_errors, empty_responses AS episode_empty_responses,
         submitted_solution AS episode_submitted_solution, used_last_sql_fallback AS episode_used_last_sql_fallback,
-        coalesce(final_sql, '') AS episode_final_sql FROM rf""",
+        coalesce(final_sql, '') AS episode_final_sql, CASE WHEN status = 'error' THEN pred_error ELSE '' END AS episode_error FROM rf""",
     "q_verdict_summary": f"""{REWARD_WITH(False)} SELECT verdict, db_id, count(*) AS episodes, {EXACT_MEAN('reward')} AS mean_reward
         FROM rf GROUP BY verdict, db_id""",
     # ---------------------------------------------------------- result sets
     "q_resultset_reward": f"""WITH {RESULTS} SELECT episode_id, sets_equal, pred_only, gold_only,
         CASE WHEN sets_equal THEN 1.0 ELSE 0.0 END::DOUBLE AS reward FROM req""",
-    "q_resultset_diff": f"""WITH {RESULTS} SELECT episode_id, 'pred' AS only_in, s AS status, y AS yr FROM (SELECT * FROM rp EXCEPT SELECT * FROM rg)
-        UNION ALL SELECT episode_id, 'gold', s, y FROM (SELECT * FROM rg EXCEPT SELECT * FROM rp)""",
-    "q_result_preview": f"""WITH {RESULTS}, sides AS (SELECT episode_id, 'pred' AS side, o_orderkey, s, y FROM ro WHERE o_totalprice > 50000
-          UNION ALL SELECT episode_id, 'gold', o_orderkey, s, y FROM ro WHERE o_totalprice > 45000),
+    "q_resultset_diff": f"""WITH {RESULTS}, d AS (SELECT 'pred' AS only_in, * FROM (SELECT * FROM rp EXCEPT SELECT * FROM rg)
+          UNION ALL SELECT 'gold', * FROM (SELECT * FROM rg EXCEPT SELECT * FROM rp))
+        SELECT episode_id, only_in, s AS status, y AS yr, rtrim(rtrim(CAST(p AS VARCHAR), '0'), '.') AS price FROM d""",
+    "q_result_preview": f"""WITH {RESULTS}, sides AS (SELECT episode_id, 'pred' AS side, o_orderkey, s, CAST(y AS VARCHAR) AS y, p FROM rpa
+          UNION ALL SELECT episode_id, 'gold', o_orderkey, s, CAST(y AS VARCHAR) || '.0', p FROM ro),
         rk AS (SELECT sides.*, row_number() OVER (PARTITION BY episode_id, side ORDER BY o_orderkey) AS rn,
           count(*) OVER (PARTITION BY episode_id, side) AS n FROM sides),
         pv AS (SELECT episode_id, side, n AS n_rows, 'Result (' || CAST(n AS VARCHAR) || {lit(' rows):' + chr(10))} ||
-          string_agg('  (''' || s || ''', ' || CAST(y AS VARCHAR) || ')' || {NL}, '' ORDER BY rn) ||
+          string_agg('  (''' || s || ''', ' || y || ', ' || CAST(p AS VARCHAR) || ')' || {NL}, '' ORDER BY rn) ||
           CASE WHEN n > 20 THEN '  ... (' || CAST(n - 20 AS VARCHAR) || ' more rows)' || {NL} ELSE '' END AS preview
         FROM rk WHERE rn <= 20 GROUP BY episode_id, side, n),
         es AS (SELECT CAST(c_custkey AS VARCHAR) AS episode_id, v.side FROM customer, (VALUES ('pred'), ('gold')) v(side))
         SELECT es.episode_id, es.side, coalesce(pv.n_rows, 0) AS n_rows,
-          coalesce(pv.preview, {lit(R.NO_ROWS_TEXT)}) AS preview
+          coalesce(pv.preview, {lit(NO_ROWS)}) AS preview
         FROM es LEFT JOIN pv ON es.episode_id = pv.episode_id AND es.side = pv.side""",
     # ---------------------------------------------------------- monitors
     "q_rollout_stats": f"""SELECT user_id, count(*) AS n, {EXACT_MEAN('value')} AS mean_score,
@@ -478,6 +508,16 @@ ORACLE_SQL.update({
         UNION ALL SELECT problem_id, 2, '"' || p_name || '"' || {NL} || 'null' || {NL} || 'true', '{{"n": ' || size || '}}' FROM ok""",
     "q_score_batch": JUDGE_SCORE_ROWS,
     "q_stream_score": JUDGE_SCORE_ROWS,
+    "q_mtrl_stats": f"""WITH {QUESTIONS}, {AVAIL}, t AS (SELECT ordinal, CASE WHEN {blank('question')} OR {blank('query')} THEN 'skipped_empty'
+          WHEN db_id NOT IN (SELECT db_id FROM avail) THEN 'skipped_missing_db' ELSE 'converted' END AS reason FROM q),
+        k AS (SELECT ordinal FROM t WHERE reason = 'converted' ORDER BY ordinal LIMIT 500),
+        c AS (SELECT count(*) AS n, max(ordinal) AS last FROM k)
+        SELECT reason, count(*) AS n FROM t, c WHERE c.n < 500 OR t.ordinal <= c.last GROUP BY reason""",
+    "q_observed_counts": f"""WITH {QUESTIONS}, {AVAIL}, t AS (SELECT CASE WHEN {blank('question')} OR {blank('query')} THEN 'skipped_empty'
+          WHEN db_id NOT IN (SELECT db_id FROM avail) THEN 'skipped_missing_db' ELSE 'converted' END AS reason FROM q),
+        r AS (SELECT unnest(['converted', 'skipped_empty', 'skipped_missing_db', 'rows']) AS counter)
+        SELECT counter, (SELECT count(*) FROM t WHERE counter = 'rows' OR t.reason = counter) AS n FROM r""",
+    "q_available_files": f"WITH {SCHEMA_FILES} SELECT DISTINCT CAST(doc_id % 40 AS VARCHAR) || ' db' AS db_id FROM labels",
     "q_stream_dedup": f"WITH {JUDGE_SAMPLES} SELECT id, CAST(id AS BIGINT) AS sample_ord FROM js",
     "q_schema_corpus": f"WITH {SCHEMA_FILES}, {CORPUS} SELECT db_id, ddl FROM corpus",
     "q_sink_jsonl": f"""{PROB_WITH}, {ART}, ok AS (SELECT pf.* FROM pf WHERE fn_name IS NOT NULL AND p_partkey % 13 <> 5 AND p_partkey % 9 <> 4

@@ -4,49 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import create_statements
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None,
-               spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet table ``{sf_dir}/{name}.parquet``; ``columns`` prunes the scan.
 
-    A parquet row group cannot be split, so a small table stored as one row
-    group is scanned by one task and every per-row expression after it runs
-    there.  With ``spread`` such a scan (fewer partitions than the cluster's
-    parallelism) is hash-redistributed on its first column; large tables
-    already scan in many splits and are left alone.  Filters and column
-    pruning still reach the scan (Catalyst pushes them below a repartition).
-    """
+    How a scan is split is the session's business (``spark.sql.files.*``)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    if spread and _scan_partitions(df) < _parallelism(spark):
-        # hash on the leading (key) column: deterministic on retry without the
-        # sort a round-robin repartition needs, and reusable by a later join
-        # or aggregation on that key
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartition(n, df.columns[0])
-    return df
-
-
-def _scan_partitions(df: DataFrame) -> int:
-    """Partitions of a planned scan (planning only, no job); a session that
-    cannot tell (e.g. a remote client) reports 'enough'."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        return 1 << 30
-
-
-def _parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return 0
+    return df.select(*columns) if columns else df
 
 
 def union_splits(frames: dict[str, DataFrame], split_col: str = "split") -> DataFrame:
@@ -59,14 +28,19 @@ def union_splits(frames: dict[str, DataFrame], split_col: str = "split") -> Data
     return out
 
 
+def decoded_path(path: Column) -> Column:
+    """File paths come percent-encoded; a plus sign stands for itself in them."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def read_text_tree(spark: SparkSession, glob: str, key_regex: str) -> DataFrame:
     """SRC4: whole text files keyed by a regex group of their path.
 
     ``glob`` selects the files (directories without a match are skipped by
-    the glob itself); ``key_regex`` extracts the key from the file path.
+    the glob itself); ``key_regex`` extracts the key from the (decoded) file path.
     """
     df = spark.read.text(glob, wholetext=True)
-    return df.select(F.regexp_extract(F.col("_metadata.file_path"), key_regex, 1).alias("key"),
+    return df.select(F.regexp_extract(decoded_path(F.col("_metadata.file_path")), key_regex, 1).alias("key"),
                      F.col("value").alias("text"))
 
 
@@ -84,7 +58,7 @@ def available_keys_from_files(spark: SparkSession, root: str, suffix: str) -> Da
     """
     files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*{suffix}").select("path")
     esc = suffix.replace(".", r"\.")
-    k = F.regexp_extract("path", rf"([^/]+)/\1{esc}$", 1)
+    k = F.regexp_extract(decoded_path(F.col("path")), rf"([^/]+)/\1{esc}$", 1)
     return files.select(k.alias("db_id")).filter(F.col("db_id") != "").distinct()
 
 
@@ -100,7 +74,9 @@ def read_prompt_records(df: DataFrame, raw_col: str = "prompt") -> DataFrame:
                        F.lit(None).cast("string").alias("env_class"),
                        F.lit(None).cast("struct<ground_truth:string,style:string>").alias("reward_spec"),
                        F.lit(None).cast("struct<db_id:string,question:string,split:string>").alias("extra_info"))
-    return df.withColumn("record", F.when(parsed.isNull(), wrapped).otherwise(parsed))
+    # a record without messages has an empty list of them
+    filled = parsed.withField("prompt", F.coalesce(parsed["prompt"], F.array().cast("array<struct<role:string,content:string>>")))
+    return df.withColumn("record", F.when(parsed.isNull(), wrapped).otherwise(filled))
 
 
 def read_scoring_batches(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -5,12 +5,12 @@ recorded agent episodes) are not available offline, so each is derived
 deterministically from the given tables.  Every derivation is an ordinary
 Spark projection / join / aggregation, so its work grows with the input.
 Branch variety the source data lacks (fences, JSON, empty text) is
-synthesised by fixed rules on the keys; no row is ever dropped or capped.
+synthesised by fixed rules on the keys; whole tables and whole texts are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
@@ -25,10 +25,9 @@ CODE_PROMPT_LEAD = "Write a Python function for the task: "
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ordinal, article, highlights) from documents; highlights = first 200 chars."""
+    """(ordinal, article, highlights) from documents; both are the whole text."""
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    return d.select(F.col("doc_id").alias("ordinal"), F.col("text").alias("article"),
-                    F.left("text", F.lit(200)).alias("highlights"))
+    return d.select(F.col("doc_id").alias("ordinal"), F.col("text").alias("article"), F.col("text").alias("highlights"))
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,16 +98,11 @@ def code_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def test_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample_id, test_idx, passed) from lineitem: one test per line of the
-    orders that were sampled (a code sample is the document with that key)."""
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag"])
-    sampled = read_table(spark, sf_dir, "documents", ["doc_id"]).select(F.col("doc_id").alias("l_orderkey"))
-    li = li.join(sampled, "l_orderkey", "left_semi")
-    # position of the line in its order (line number, then part, then quantity);
-    # a window over one order's lines (at most a handful of rows per key)
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity")
+    """(sample_id, test_idx, passed) from lineitem: every line reports the test
+    of its line number (a line number that occurs twice is a re-delivery)."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag"])
     return li.select(F.col("l_orderkey").cast("string").alias("sample_id"),
-                     (F.row_number().over(w) - 1).cast("int").alias("test_idx"),
+                     (F.col("l_linenumber") - 1).cast("int").alias("test_idx"),
                      (F.col("l_returnflag") != F.lit("R")).alias("passed"))
 
 
@@ -124,41 +118,48 @@ def fenced_response(doc_id, text):
 
 
 def code_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RLVR scoring batch: one sample per document, tests from its order's lines.
-
-    Ground truth: a JSON list of assertions (format A) or, every third key, a
-    JSON object with fn_name/inputs/outputs (format B); every 13th key moves it
-    to extra_info.reference_answer.text; every 17th key is not JSON.
+    """RLVR scoring batch: one sample per order of ``lineitem`` and per document.
+
+    The response is the document with the order's key or, where there is none,
+    a function whose length follows from the key.  The ground truth has
+    ``key % 8`` tests: a JSON list of assertions or, every third key, a JSON
+    object with fn_name/inputs/outputs, in which every fifth such object begins
+    with an integer input and every seventh repeats a key; every 13th key moves
+    it to extra_info.reference_answer.text; every 17th is not JSON.
     """
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
-    qty = F.col("l_quantity").cast("bigint").cast("string")
-    li = li.join(d.select(F.col("doc_id").alias("l_orderkey")), "l_orderkey", "left_semi")
-    per_order = (li.groupBy("l_orderkey")
-                 .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity",
-                                                           F.col("l_partkey").cast("string").alias("inp"),
-                                                           qty.alias("out")))).alias("lines")))
-    j = d.join(per_order, d.doc_id == per_order.l_orderkey, "left")
-    asserts = F.transform("lines", lambda x: F.concat(F.lit("assert f("), x["inp"], F.lit(") == "), x["out"]))
-    fmt_a = F.to_json(F.coalesce(asserts, F.array().cast("array<string>")))
-    fmt_b = F.to_json(F.struct(F.lit("f").alias("fn_name"),
-                               F.coalesce(F.transform("lines", lambda x: x["inp"]), F.array().cast("array<string>")).alias("inputs"),
-                               F.coalesce(F.transform("lines", lambda x: x["out"]), F.array().cast("array<string>")).alias("outputs")))
-    gt = (F.when(F.col("doc_id") % 17 == 0, F.lit("not json ["))
-           .when(F.col("doc_id") % 3 == 0, fmt_b).otherwise(fmt_a))
-    in_ref = F.col("doc_id") % 13 == 0
+    orders = read_table(spark, sf_dir, "lineitem", ["l_orderkey"]).distinct()
+    j = d.join(orders, d["doc_id"] == orders["l_orderkey"], "full")
+    key = F.coalesce("doc_id", "l_orderkey")
+    code = F.concat(F.lit("def f(x):\n"), F.repeat(F.lit("    x = x + 1\n"), (key % 40).cast("int")), F.lit("    return x"))
+    j = j.select(key.alias("k"), F.coalesce("text", code).alias("text"))
+    k, n = F.col("k"), (F.col("k") % 8).cast("int")
+    each = lambda f, none: F.when(n == 0, F.array().cast(none)).otherwise(
+        F.transform(F.sequence(F.lit(1), n), f))
+    number = lambda i: i.cast("string")
+    result = lambda i: (i * k).cast("string")
+    fmt_a = F.to_json(each(lambda i: F.concat(F.lit("assert f("), number(i), F.lit(") == "), result(i)), "array<string>"))
+    quoted = lambda f: F.array_join(each(lambda i: F.concat(F.lit('"'), f(i), F.lit('"')), "array<string>"), ",")
+    inputs = F.when(k % 5 == 0, F.concat(F.lit("1"), F.when(n > 1, F.concat(F.lit(","), F.array_join(F.transform(
+        F.sequence(F.lit(2), F.greatest(n, F.lit(2))), lambda i: F.concat(F.lit('"'), number(i), F.lit('"'))), ","))).otherwise("")
+        )).otherwise(quoted(number))
+    fmt_b = F.concat(F.lit("{"), F.when(k % 7 == 0, F.lit('"fn_name":"g",')).otherwise(""), F.lit('"fn_name":"f","inputs":['),
+                     inputs, F.lit('],"outputs":['), quoted(result), F.lit("]}"))
+    gt = F.when(k % 17 == 0, F.lit("not json [")).when(k % 3 == 0, fmt_b).otherwise(fmt_a)
+    in_ref = k % 13 == 0
     return j.select(
-        F.col("doc_id").cast("string").alias("id"),
+        k.cast("string").alias("id"),
         F.lit("mbpp").alias("data_source"),
         messages(("user", F.lit("Solve the task."))).alias("prompt"),
-        fenced_response(F.col("doc_id"), F.col("text")).alias("response"),
+        fenced_response(k, F.col("text")).alias("response"),
         F.struct(F.lit("rule").alias("style"), F.when(in_ref, F.lit("")).otherwise(gt).alias("ground_truth")).alias("reward_model"),
         F.struct(F.struct(F.when(in_ref, gt).alias("text")).alias("reference_answer")).alias("extra_info"),
-        F.col("doc_id").alias("sample_ord"))
+        k.alias("sample_ord"))
 
 
 def judge_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RLAIF scoring batch: labelled documents; toxic rows give a blank response."""
+    """RLAIF scoring batch: labelled documents, whole texts as response and
+    reference; toxic rows give a blank response."""
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     lab = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
     j = d.join(lab, "doc_id")
@@ -168,13 +169,14 @@ def judge_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("id"),
         F.lit("cnn_dailymail").alias("data_source"),
         messages(("user", content)).alias("prompt"),
-        F.when(F.col("toxic") == 1, F.lit("  ")).otherwise(F.substring_index("text", "\n", 1)).alias("response"),
-        F.struct(F.lit("llmj").alias("style"), F.left("text", F.lit(200)).alias("ground_truth")).alias("reward_model"),
+        F.when(F.col("toxic") == 1, F.lit("  ")).otherwise(F.col("text")).alias("response"),
+        F.struct(F.lit("llmj").alias("style"), F.col("text").alias("ground_truth")).alias("reward_model"),
         F.col("doc_id").alias("sample_ord"), "quality", "toxic")
 
 
 def judge_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample_id, judge_text): five reply shapes by key; NULL = failed call."""
+    """(sample_id, judge_text): five reply shapes by key; NULL = failed call.
+    Every ninth sample's reply has not come yet; every fourth's came twice."""
     lab = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
     k = F.col("doc_id") % 5
     q = F.col("quality").cast("string")
@@ -186,7 +188,9 @@ def judge_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    F.lit(', "no_redundancy": 4, "appropriate_length": 1, "coherence": 4}\n```')))
             .when(k == 2, F.concat(F.lit('{"faithfulness": 4, "coverage": '), q, F.lit("}")))
             .when(k == 3, F.lit("The summary looks fine to me.")))
-    return lab.select(F.col("doc_id").cast("string").alias("sample_id"), txt.alias("judge_text"))
+    times = F.when(F.col("doc_id") % 9 == 4, 0).when(F.col("doc_id") % 4 == 1, 2).otherwise(1)
+    return lab.select(F.col("doc_id").cast("string").alias("sample_id"), txt.alias("judge_text"),
+                      F.explode(F.array_repeat(F.lit(0), times)).alias("_copy")).drop("_copy")
 
 
 def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,6 +219,7 @@ def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when((F.col("role") == "user") & (prev_role == "assistant"), observation)
                 .otherwise(F.col("text")))
     args = (F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit('{"sql": "'), sql, F.lit('"}')))
+             .when(F.col("conv_id") % 6 == 1, F.lit('{"sql": "  "}'))
              .when(F.col("conv_id") % 3 == 1, sql)
              .otherwise(F.concat(F.lit('{"limit": 5, "text": "'), sql, F.lit('"}'))))
     calls = F.when((F.col("role") == "assistant") & (key % 5 == 1),
@@ -225,7 +230,7 @@ def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def episodes_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(episode_id, db_id, gold_query, status, pred_status, gold_status, db_present)."""
+    """(episode_id, db_id, gold_query, status, pred_status, pred_error, gold_status, db_present, db_path)."""
     c = read_table(spark, sf_dir, "conversations", ["conv_id"]).distinct()
     k = F.col("conv_id")
     return c.select(
@@ -234,31 +239,39 @@ def episodes_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("SELECT "), k.cast("string"), F.lit(" AS answer")).alias("gold_query"),
         F.when(k % 23 == 22, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
         F.when(k % 11 == 10, F.lit("error")).otherwise(F.lit("ok")).alias("pred_status"),
+        F.when(k % 23 == 22, F.lit("ValueError: no reply")).when(k % 11 == 10, F.lit("no such column: x")).alias("pred_error"),
+        F.concat(F.lit("/db/db_"), (k % 8).cast("string"), F.lit(".sqlite")).alias("db_path"),
         F.when(k % 31 == 30, F.lit("error")).otherwise(F.lit("ok")).alias("gold_status"),
         (k % 8 != 7).alias("db_present"))
 
 
-def result_rows(spark: SparkSession, sf_dir: str, pred_min: float = 50000.0, gold_min: float = 45000.0) -> DataFrame:
-    """Predicted and gold result rows per customer episode, from orders.
+def result_rows(spark: SparkSession, sf_dir: str, pred_min: float = 50000.0) -> DataFrame:
+    """Predicted and gold result rows per customer episode, from all orders.
 
-    pred: (status, year as BIGINT) of orders above ``pred_min``;
-    gold: (status, year as DOUBLE) above ``gold_min`` -- equal rows differ only
-    in numeric type, which the comparison must ignore.
+    gold: (status, year as DOUBLE, price as DECIMAL) of every order; pred: the
+    same with the year as BIGINT, which the comparison must ignore.  Every
+    third customer's predicted query also asks for a price above ``pred_min``;
+    every fifth's adds a hundred-millionth to prices that are far beyond a
+    double's digits, which the comparison must not ignore.
     """
-    from ..operators.resultset import to_cells
+    from ..operators.resultset import shown, to_cells
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
-    yr = F.year("o_orderdate")
+    yr, c = F.year("o_orderdate"), F.col("o_custkey")
     status = (F.col("o_orderstatus"), T.StringType())
-    pred = F.struct(F.lit("pred").alias("side"), to_cells(status, (yr.cast("bigint"), T.LongType())).alias("cells"),
-                    (F.col("o_totalprice") > pred_min).alias("keep"))
-    gold = F.struct(F.lit("gold").alias("side"), to_cells(status, (yr.cast("double"), T.DoubleType())).alias("cells"),
-                    (F.col("o_totalprice") > gold_min).alias("keep"))
+    wide = T.DecimalType(38, 8)
+    price = F.col("o_totalprice").cast("decimal(18,2)") + F.lit("9000000000000000").cast("decimal(18,0)")
+    more = price + F.when(c % 5 == 0, F.lit("0.00000001").cast("decimal(9,8)")).otherwise(F.lit(0).cast("decimal(9,8)"))
+    side = lambda name, *typed: (F.lit(name).alias("side"), to_cells(*typed).alias("cells"),
+                                 F.array(*(shown(*t) for t in typed)).alias("shown"))
+    pred = F.struct(*side("pred", status, (yr.cast("bigint"), T.LongType()), (more.cast(wide), wide)),
+                    ((c % 3 != 0) | (F.col("o_totalprice") > pred_min)).alias("keep"))
+    gold = F.struct(*side("gold", status, (yr.cast("double"), T.DoubleType()), (price.cast(wide), wide)),
+                    F.lit(True).alias("keep"))
     # one scan of orders feeds both sides
-    both = o.filter(F.col("o_totalprice") > min(pred_min, gold_min)).select(
-        F.col("o_custkey").cast("string").alias("episode_id"), F.col("o_orderkey").alias("row_no"),
-        F.explode(F.array(pred, gold)).alias("r"))
+    both = o.select(c.cast("string").alias("episode_id"), F.col("o_orderkey").alias("row_no"),
+                    F.explode(F.array(pred, gold)).alias("r"))
     return both.filter(F.col("r.keep")).select("episode_id", F.col("r.side").alias("side"), "row_no",
-                                               F.col("r.cells").alias("cells"))
+                                               F.col("r.cells").alias("cells"), F.col("r.shown").alias("shown"))
 
 
 def customer_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
