@@ -7,6 +7,7 @@ return the nested reference records.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -612,10 +613,20 @@ def q_stream_monitor(spark, sf_dir):
 
 @query
 def q_stream_episodes(spark, sf_dir):
+    """STR2, fed in three runs over growing parts of the time range; each resumes
+    from the checkpoint, and a row without an episode id closes the last one."""
     t = _traj(spark, sf_dir)
-    src = streams.stage_table(spark, t, "traj_in")
-    stream = spark.readStream.schema(t.schema).parquet(src)
-    out = streams.assemble_episodes(streams.annotate_turns(stream))
-    sink = scratch_path(spark, "episodes_out")
-    streams.run_available_now(out, sink, scratch_path(spark, "episodes_ckpt"))
+    low, high = t.agg(F.min("ts"), F.max("ts")).first()
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("traj_in", "episodes_out", "episodes_ckpt"))
+    if low is None:
+        return spark.createDataFrame([], streams.EPISODE_OUT)
+    cuts = [low, low + (high - low) / 3, low + (high - low) * 2 / 3, None]
+    for start, end in zip(cuts, cuts[1:]):
+        part = t.filter((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end) if end else F.lit(True)))
+        if end is None:
+            part = part.unionByName(spark.createDataFrame([(high + (high - low) + timedelta(days=1),)], "ts timestamp"),
+                                    allowMissingColumns=True)
+        part.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(t.schema).parquet(src)
+        streams.run_available_now(streams.assemble_episodes(streams.annotate_turns(stream)), sink, ckpt)
     return spark.read.parquet(sink)

@@ -64,11 +64,16 @@ EPISODE_OUT = T.StructType([
     T.StructField("sql_attempts", T.IntegerType()), T.StructField("sql_errors", T.IntegerType()),
     T.StructField("empty_responses", T.IntegerType()), T.StructField("submitted_solution", T.BooleanType()),
     T.StructField("final_sql", T.StringType()), T.StructField("ended_by", T.StringType())])
+# what has been counted, and the messages that came ahead of their turn
 EPISODE_STATE = T.StructType([
-    T.StructField("turns", T.ArrayType(T.IntegerType())), T.StructField("roles", T.ArrayType(T.StringType())),
-    T.StructField("solutions", T.ArrayType(T.StringType())), T.StructField("sqls", T.ArrayType(T.StringType())),
-    T.StructField("obs", T.ArrayType(T.StringType())), T.StructField("empties", T.ArrayType(T.BooleanType())),
-    T.StructField("done", T.BooleanType())])
+    T.StructField("next_turn", T.IntegerType()), T.StructField("turns", T.IntegerType()),
+    T.StructField("attempts", T.IntegerType()), T.StructField("errors", T.IntegerType()),
+    T.StructField("empties", T.IntegerType()), T.StructField("waiting", T.BooleanType()),
+    T.StructField("last_ms", T.LongType()), T.StructField("done", T.BooleanType()),
+    T.StructField("ahead", T.ArrayType(T.StructType([
+        T.StructField("turn", T.IntegerType()), T.StructField("role", T.StringType()),
+        T.StructField("solution", T.StringType()), T.StructField("has_sql", T.BooleanType()),
+        T.StructField("is_error", T.BooleanType()), T.StructField("empty", T.BooleanType())])))])
 
 
 def annotate_turns(traj: DataFrame) -> DataFrame:
@@ -82,71 +87,92 @@ def annotate_turns(traj: DataFrame) -> DataFrame:
                        ((F.col("role") == "assistant") & (content == "")).alias("empty"))
 
 
-def _replay(rows: list[tuple], max_turns: int, final: bool):
-    """Replay buffered messages in turn order; return an outcome tuple when the
-    episode is decided (solution, turn cap, or ``final`` = timed out)."""
-    rows = sorted(rows, key=lambda r: r[0])
-    # only a gap-free prefix of turns can be evaluated
-    prefix = []
-    for r in rows:
-        if prefix and r[0] != prefix[-1][0] + 1:
-            break
-        prefix.append(r)
-    n = attempts = errors = empties = 0
-    for i, (turn, role, sol, sql, obs, empty) in enumerate(prefix):
-        if role != "assistant":
-            continue
-        n += 1
-        empties += int(bool(empty))
-        if sol:
-            return (n, attempts, errors, empties, True, sol, "solution")
-        if sql:
-            nxt = prefix[i + 1] if i + 1 < len(prefix) else None
-            if nxt is None and not final:
-                return None  # observation not arrived yet
-            attempts += 1
-            if nxt is not None and nxt[1] == "user" and nxt[4] is not None and nxt[4].startswith(ERROR_PREFIX):
-                errors += 1
-        if n >= max_turns:
-            return (n, attempts, errors, empties, False, None, "turn_cap")
-    if final:
-        return (n, attempts, errors, empties, False, None, "timeout")
-    return None
-
-
-def assemble_episodes(annotated: DataFrame, timeout: str = "30 minutes", max_turns: int = MAX_TURNS) -> DataFrame:
-    """STR2: hold an episode's messages in state until it is decided, then emit
-    one outcome row; an episode that goes quiet past the watermark times out
-    (no submission).  State per episode is bounded by its messages."""
+class _Episode:
+    """An episode's counters, advanced message by message in turn order."""
+
+    def __init__(self, state: tuple | None, first_turn: int, max_turns: int):
+        (self.next_turn, self.turns, self.attempts, self.errors, self.empties, self.waiting, self.last_ms, self.done,
+         ahead) = state or (first_turn, 0, 0, 0, 0, False, 0, False, [])
+        self.first_turn, self.max_turns = first_turn, max_turns
+        self.ahead = {m[0]: tuple(m) for m in ahead}
+
+    def outcome(self, solution: str | None, ended_by: str) -> tuple:
+        return (self.turns, self.attempts, self.errors, self.empties, solution is not None, solution, ended_by)
+
+    def take(self, message: tuple) -> tuple | None:
+        """Counts one message; the outcome if it decides the episode."""
+        _, role, solution, has_sql, is_error, empty = message
+        if self.waiting:  # the message after a statement is its observation
+            self.waiting = False
+            self.errors += int(role == "user" and is_error)
+            if self.turns >= self.max_turns:
+                return self.outcome(None, "turn_cap")
+        if role == "assistant":
+            self.turns += 1
+            self.empties += int(empty)
+            if solution is not None:
+                return self.outcome(solution, "solution")
+            self.attempts += int(has_sql)
+            self.waiting = has_sql
+            if self.turns >= self.max_turns and not has_sql:
+                return self.outcome(None, "turn_cap")
+        return None
+
+    def advance(self, skip_gaps: bool = False) -> tuple | None:
+        """Counts what has come in turn order, up to the first gap or, with ``skip_gaps``, beyond."""
+        while self.ahead:
+            turn = min(self.ahead) if skip_gaps else self.next_turn
+            if turn not in self.ahead:
+                return None
+            if turn != self.next_turn:
+                self.waiting = False  # the observation was lost
+            self.next_turn = turn + 1
+            if (out := self.take(self.ahead.pop(turn))) is not None:
+                return out
+        return None
+
+    def state(self) -> tuple:
+        return (self.next_turn, self.turns, self.attempts, self.errors, self.empties, self.waiting, self.last_ms, self.done,
+                [self.ahead[t] for t in sorted(self.ahead)])
+
+
+def assemble_episodes(annotated: DataFrame, timeout: str = "30 minutes", max_turns: int = MAX_TURNS,
+                      first_turn: int = 0) -> DataFrame:
+    """STR2: one outcome row for each episode, as soon as it is decided.
+
+    State holds counters and the messages that came before their turn.  An
+    episode ends with its solution or the turn cap, or when the watermark
+    passes its own last message by ``timeout``; then its state goes.  A decided
+    episode's state stays until then too, so that re-delivered messages give
+    no second row; messages without the first turn never give one.  A row
+    without an episode id only moves the watermark.
+    """
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         (episode_id,) = key
-        if state.exists:
-            st = state.get
-            if st[6]:
-                return
-            rows = list(zip(st[0], st[1], st[2], st[3], st[4], st[5]))
-        else:
-            rows = []
-        final = state.hasTimedOut
-        for pdf in pdfs:
-            rows += list(zip(pdf["turn"].astype(int), pdf["role"], pdf["solution"].where(pdf["solution"].notna(), None),
-                             pdf["sql"].where(pdf["sql"].notna(), None), pdf["obs"].where(pdf["obs"].notna(), None),
-                             pdf["empty"].astype(bool)))
-        out = _replay(rows, max_turns, final)
-        if out is None:
-            cols = list(zip(*rows)) if rows else [[]] * 6
-            state.update(([int(x) for x in cols[0]], list(cols[1]), list(cols[2]), list(cols[3]), list(cols[4]),
-                          [bool(x) for x in cols[5]], False))
-            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + _ms(timeout))
-            return
-        if final:
+        episode = _Episode(state.get if state.exists else None, first_turn, max_turns)
+        out = None
+        if state.hasTimedOut:
+            if not episode.done and episode.next_turn > first_turn:
+                out = episode.advance(skip_gaps=True) or episode.outcome(None, "timeout")
             state.remove()
         else:
-            state.update(([], [], [], [], [], [], True))
-            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + _ms(timeout))
-        yield pd.DataFrame([{"episode_id": episode_id, "num_turns": out[0], "sql_attempts": out[1],
-                             "sql_errors": out[2], "empty_responses": out[3], "submitted_solution": out[4],
-                             "final_sql": out[5], "ended_by": out[6]}])
+            for pdf in pdfs:
+                episode.last_ms = max(episode.last_ms, int(pdf["ts"].max().timestamp() * 1000))
+                if episode.done or episode_id is None:
+                    continue
+                for turn, role, solution, sql, obs, empty in zip(*(pdf[c] for c in ("turn", "role", "solution", "sql", "obs", "empty"))):
+                    if turn >= episode.next_turn:
+                        episode.ahead.setdefault(int(turn), (
+                            int(turn), role, solution if isinstance(solution, str) else None, isinstance(sql, str),
+                            isinstance(obs, str) and obs.startswith(ERROR_PREFIX), bool(empty)))
+            if episode_id is None:
+                return
+            if not episode.done and (out := episode.advance()) is not None:
+                episode.done, episode.ahead = True, {}
+            state.update(episode.state())
+            state.setTimeoutTimestamp(max(episode.last_ms + _ms(timeout), state.getCurrentWatermarkMs() + 1))
+        if out is not None:
+            yield pd.DataFrame([(episode_id, *out)], columns=EPISODE_OUT.fieldNames())
 
     return (annotated.withWatermark("ts", timeout).groupBy("episode_id")
             .applyInPandasWithState(step, EPISODE_OUT, EPISODE_STATE, "append", GroupStateTimeout.EventTimeTimeout))
