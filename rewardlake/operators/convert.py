@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import ast
 import json
-from collections.abc import Iterator
+import operator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -113,6 +113,39 @@ def rlvr_structure(problems: DataFrame) -> DataFrame:
     return with_fn.withColumn("calls", F.when(F.col("fn_name").isNotNull(), calls).otherwise(F.array().cast(_CALLS)))
 
 
+#: Largest exponent and number of digits that arithmetic on literals may reach.
+MOST_POWER, MOST_DIGITS = 64, 400
+_ARITHMETIC = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: operator.truediv,
+               ast.FloorDiv: operator.floordiv, ast.Mod: operator.mod, ast.Pow: operator.pow}
+
+
+def _number(node: ast.AST):
+    """Value of arithmetic on number literals; anything else, or anything huge, is an error."""
+    if isinstance(node, ast.Constant) and type(node.value) in (int, float):
+        return node.value
+    if isinstance(node, ast.UnaryOp) and isinstance(node.op, (ast.USub, ast.UAdd)):
+        value = _number(node.operand)
+        return -value if isinstance(node.op, ast.USub) else value
+    if isinstance(node, ast.BinOp) and type(node.op) in _ARITHMETIC:
+        left, right = _number(node.left), _number(node.right)
+        if isinstance(node.op, ast.Pow) and abs(right) > MOST_POWER:
+            raise ValueError("exponent out of bounds")
+        value = _ARITHMETIC[type(node.op)](left, right)
+        if isinstance(value, complex) or abs(value) >= 10 ** MOST_DIGITS:
+            raise ValueError("value out of bounds")
+        return value
+    raise ValueError("not a literal")
+
+
+class _Fold(ast.NodeTransformer):
+    def visit_BinOp(self, node):  # noqa: N802 - the name the visitor calls
+        return ast.Constant(_number(node))
+
+
+def _value(node: ast.AST):
+    return ast.literal_eval(_Fold().visit(node))
+
+
 def _literal_args(args_text: str) -> str:
     """Positional literal arguments of ``f(<args_text>)`` as newline-joined
     JSON (keyword arguments are ignored, as in the reference)."""
@@ -123,12 +156,12 @@ def _literal_args(args_text: str) -> str:
     for a in node.args:
         if isinstance(a, ast.Starred):
             raise ValueError("starred argument")
-        vals.append(ast.literal_eval(a))
+        vals.append(_value(a))
     return "\n".join(json.dumps(v) for v in vals)
 
 
 def _literal_value(text: str) -> str:
-    v = ast.literal_eval(text)
+    v = _value(ast.parse(text.strip(), mode="eval").body)
     if isinstance(v, tuple):
         v = list(v)
     return json.dumps(v)
@@ -153,24 +186,16 @@ def parse_literal_pairs(args, expected) -> tuple[list[str], list[str]]:
     return ins, outs
 
 
+@F.pandas_udf(T.StructType([T.StructField(c, T.ArrayType(T.StringType())) for c in ("inputs", "outputs")]))
+def _literals(args: pd.Series, expected: pd.Series) -> pd.DataFrame:
+    parsed = [parse_literal_pairs(a, e) for a, e in zip(args, expected)]
+    return pd.DataFrame({"inputs": [p[0] for p in parsed], "outputs": [p[1] for p in parsed]})
+
+
 def rlvr_literals(structured: DataFrame) -> DataFrame:
-    """UDF4: literal parsing with ``mapInPandas`` (Arrow batches, no shuffle)."""
-    out_schema = T.StructType(
-        [f for f in structured.schema.fields if f.name != "calls"]
-        + [T.StructField("inputs", T.ArrayType(T.StringType())), T.StructField("outputs", T.ArrayType(T.StringType()))])
-    keep = [f.name for f in structured.schema.fields if f.name != "calls"]
-    # two flat string arrays cross the Arrow boundary cheaper than an array of structs
-    flat = structured.select(*keep, F.col("calls.args").alias("_args"), F.col("calls.expected").alias("_exp"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            parsed = [parse_literal_pairs(a, e) for a, e in zip(pdf["_args"], pdf["_exp"])]
-            res = pdf[keep].copy()
-            res["inputs"] = [p[0] for p in parsed]
-            res["outputs"] = [p[1] for p in parsed]
-            yield res
-
-    return flat.mapInPandas(run, out_schema)
+    """UDF4: literal parsing in Arrow batches; only the two arrays of texts leave the JVM."""
+    parsed = structured.withColumn("_io", _literals(F.col("calls.args"), F.col("calls.expected")))
+    return parsed.withColumn("inputs", F.col("_io.inputs")).withColumn("outputs", F.col("_io.outputs")).drop("_io", "calls")
 
 
 def rlvr_tagged(problems: DataFrame, name_hint: str = CODE_NAME_HINT) -> DataFrame:

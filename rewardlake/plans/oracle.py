@@ -374,16 +374,16 @@ ORACLE_SQL: dict[str, str] = {
         fn_name, args, expected FROM pv""",
     "q_rlvr_convert": f"""{PROB_WITH}, ok AS (SELECT pf.* FROM pf WHERE fn_name IS NOT NULL AND p_partkey % 13 <> 5 AND p_partkey % 9 <> 4
           AND problem_id IN (SELECT problem_id FROM pv))
-        SELECT problem_id, fn_name, CAST(3 AS BIGINT) AS n_tests,
+        SELECT problem_id, fn_name, CAST(4 AS BIGINT) AS n_tests,
           {lit(CODE_PROMPT_LEAD)} || p_name || '.' || {lit(chr(10) * 2 + HINT[0])} || fn_name || {lit(HINT[1])} AS content,
           CAST(to_json(struct_pack(fn_name := fn_name,
             inputs := [size || {NL} || CAST(p_partkey AS VARCHAR), '"' || p_brand || '"' || {NL} || '[' || size || ', 2]',
-                       '"' || p_name || '"' || {NL} || 'null' || {NL} || 'true'],
-            outputs := [CAST(p_size + p_partkey AS VARCHAR), '[' || size || ', "' || p_brand || '"]', '{{"n": ' || size || '}}'])) AS VARCHAR)
+                       CAST(p_size * p_size AS VARCHAR), '"' || p_name || '"' || {NL} || 'null' || {NL} || 'true'],
+            outputs := [CAST(p_size + p_partkey AS VARCHAR), '[' || size || ', "' || p_brand || '"]', CAST(p_size * p_size AS VARCHAR), '{{"n": ' || size || '}}'])) AS VARCHAR)
           AS ground_truth FROM ok""",
     "q_double_json": f"""{PROB_WITH}, ok AS (SELECT pf.* FROM pf WHERE fn_name IS NOT NULL AND p_partkey % 13 <> 5 AND p_partkey % 9 <> 4
           AND problem_id IN (SELECT problem_id FROM pv))
-        SELECT problem_id, fn_name, CAST(3 AS BIGINT) AS n_inputs, size || {NL} || CAST(p_partkey AS VARCHAR) AS first_input,
+        SELECT problem_id, fn_name, CAST(4 AS BIGINT) AS n_inputs, size || {NL} || CAST(p_partkey AS VARCHAR) AS first_input,
           CAST(p_size + p_partkey AS VARCHAR) AS first_output FROM ok""",
     # ---------------------------------------------------------- judge reward
     "q_judge_parse": f"WITH {REPLIES}, {JUDGE_PARSED} SELECT sample_id, {', '.join(DIMENSIONS)} FROM jp",
@@ -505,7 +505,8 @@ ORACLE_SQL.update({
           AND problem_id IN (SELECT problem_id FROM pv))
         SELECT problem_id, CAST(0 AS BIGINT) AS test_idx, size || {NL} || CAST(p_partkey AS VARCHAR) AS input, CAST(p_size + p_partkey AS VARCHAR) AS output FROM ok
         UNION ALL SELECT problem_id, 1, '"' || p_brand || '"' || {NL} || '[' || size || ', 2]', '[' || size || ', "' || p_brand || '"]' FROM ok
-        UNION ALL SELECT problem_id, 2, '"' || p_name || '"' || {NL} || 'null' || {NL} || 'true', '{{"n": ' || size || '}}' FROM ok""",
+        UNION ALL SELECT problem_id, 2, CAST(p_size * p_size AS VARCHAR), CAST(p_size * p_size AS VARCHAR) FROM ok
+        UNION ALL SELECT problem_id, 3, '"' || p_name || '"' || {NL} || 'null' || {NL} || 'true', '{{"n": ' || size || '}}' FROM ok""",
     "q_score_batch": JUDGE_SCORE_ROWS,
     "q_stream_score": JUDGE_SCORE_ROWS,
     "q_mtrl_stats": f"""WITH {QUESTIONS}, {AVAIL}, t AS (SELECT ordinal, CASE WHEN {blank('question')} OR {blank('query')} THEN 'skipped_empty'

@@ -28,7 +28,9 @@ def test_capped_stats_brute_force(spark):
 @pytest.mark.parametrize("calls,ins,outs", [
     ([{"args": "1, 2", "expected": "3"}], ["1\n2"], ["3"]),
     ([{"args": "'a', [1, (2, 3)]", "expected": "(1, 'b')"}], ['"a"\n[1, [2, 3]]'], ['[1, "b"]']),
-    ([{"args": "x", "expected": "1"}, {"args": "2 ** 3", "expected": "8"}], [], []),
+    ([{"args": "x", "expected": "1"}, {"args": "2 ** 3", "expected": "8"}, {"args": "-(7 // 2), [1 + 1]", "expected": "3 * 2.5"},
+      {"args": "9 ** 9 ** 9", "expected": "1"}, {"args": "f(2)", "expected": "1"}, {"args": "1 / 0", "expected": "1"}],
+     ["8", "-3\n[2]"], ["8", "7.5"]),
     ([{"args": "1, key=2", "expected": "{1, 2}"}], [], []),
     ([{"args": "None, True", "expected": "{'k': 1.5}"}], ["null\ntrue"], ['{"k": 1.5}'])])
 def test_literal_parser(calls, ins, outs):
