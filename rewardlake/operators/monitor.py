@@ -13,7 +13,7 @@ REWARD_SCALE = 4
 
 def exact_sum(c, scale: int) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(f"decimal(18,{scale})"))
+    return F.sum(c.cast(f"decimal(38,{scale})"))
 
 
 def exact_mean(c, scale: int) -> Column:
@@ -22,16 +22,6 @@ def exact_mean(c, scale: int) -> Column:
     return exact_sum(c, scale).cast("double") / F.count(c)
 
 
-def exact_std_pop(c, scale: int) -> Column:
-    """Population standard deviation from exact first and second moments."""
-    c = F.col(c) if isinstance(c, str) else c
-    d = c.cast(f"decimal(18,{scale})")
-    n = F.count(c)
-    m1 = F.sum(d).cast("double") / n
-    m2 = F.sum(d * d).cast("double") / n
-    return F.sqrt(F.greatest(m2 - m1 * m1, F.lit(0.0)))
-
-
 _EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
@@ -61,7 +51,7 @@ def rollout_stats(scored: DataFrame, group_col: str, score_col: str, item_col: s
     scores, and the best-scored item (``max_by``); all partial aggregates."""
     return scored.groupBy(group_col).agg(
         F.count(F.lit(1)).alias("n"), exact_mean(score_col, scale).alias("mean_score"),
-        exact_std_pop(score_col, scale).alias("std_score"), F.max(score_col).alias("max_score"),
+        F.stddev_pop(score_col).alias("std_score"), F.max(score_col).alias("max_score"),
         F.max_by(item_col, F.struct(F.col(score_col), F.col(item_col))).alias("best_item"))
 
 
@@ -73,5 +63,5 @@ def reward_monitor(df: DataFrame, ts_col: str, value_col: str, every: str = "1 d
     if length_col:
         aggs.append(F.avg(length_col).alias("mean_length"))
     return df.groupBy(w.alias("w")).agg(*aggs).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *[a for a in ["n", "mean_reward"]],
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "mean_reward",
         *(["mean_length"] if length_col else []))

@@ -17,7 +17,7 @@ from ..functions.jsonfns import tool_args_sql
 from ..functions.text import (create_statements, extract_code, extract_solution, extract_sql, length_rule,
                               nonblank_lines, conciseness, observation_body, py_strip, sentence_snap,
                               summary_sentences)
-from ..operators import code_reward, convert, episodes, judge_reward, monitor, resultset
+from ..operators import code_reward, convert, episodes, judge_reward, monitor, plugins, resultset
 from ..sources import readers, standins as S
 from ..session import materialize, scratch_path
 from ..streaming import streams
@@ -190,11 +190,14 @@ def q_regex_all(spark, sf_dir):
 @query
 def q_schema_corpus(spark, sf_dir):
     """SRC4 + FN15 + FLT11 over real files: the derived dumps are written as
-    one file per database folder, then read back whole and keyed by folder."""
+    one file per database folder (names with a blank), then read back whole
+    and keyed by folder."""
     path = scratch_path(spark, "schema_files")
-    S.schema_files(spark, sf_dir).write.partitionBy("db_id").mode("overwrite").text(path)
+    dumps = S.schema_files(spark, sf_dir).withColumn("db_id", F.replace("db_id", F.lit("_"), F.lit(" ")))
+    dumps.write.partitionBy("db_id").mode("overwrite").text(path)
     files = readers.read_text_tree(spark, f"{path}/*/*.txt", r"db_id=([^/]+)/[^/]+$")
-    return readers.schema_corpus(files, key_col="key", text_col="text")
+    corpus = readers.schema_corpus(files, key_col="key", text_col="text")
+    return corpus.withColumn("db_id", F.replace("db_id", F.lit(" "), F.lit("_")))
 
 
 @query
@@ -492,6 +495,15 @@ def q_reward_monitor(spark, sf_dir):
     return m.select(F.col("window_start").cast("string").alias("window_start"), "n", "mean_reward")
 
 
+@query
+def q_length_monitor(spark, sf_dir):
+    """AGG9: mean reward and mean episode length per sliding window."""
+    e = readers.read_table(spark, sf_dir, "events", ["event_id", "ts", "value"])
+    e = e.withColumn("turns", F.col("event_id") % 5 + 1)
+    m = monitor.reward_monitor(e, "ts", "value", "2 days", "1 day", "turns")
+    return m.select(F.col("window_start").cast("string").alias("window_start"), "n", "mean_reward", "mean_length")
+
+
 # ---------------------------------------------------------------- documented SQL shapes
 @query
 def q_count_filter(spark, sf_dir):
@@ -531,13 +543,14 @@ def q_in_list(spark, sf_dir):
 # ---------------------------------------------------------------- sinks / batches
 @query
 def q_sink_jsonl(spark, sf_dir):
-    """SNK1 + SET4: JSON Lines written, then a second split appended."""
+    """SNK1 + SET4: JSON Lines written, then a second split appended; every record as read back."""
     path = scratch_path(spark, "rlaif_jsonl")
     recs = convert.rlaif_convert(S.articles(spark, sf_dir)).drop("ordinal")
-    readers.write_jsonl(recs.filter(F.col("prompt")[0]["content"].isNotNull()), path)
+    readers.write_jsonl(recs, path)
     readers.write_jsonl(convert.rlvr_convert(S.code_problems(spark, sf_dir)).select(*recs.columns), path, mode="append")
     back = spark.read.schema(convert.TRAINING_RECORD).json(path)
-    return back.groupBy("data_source").agg(F.count(F.lit(1)).alias("n"))
+    return back.select("data_source", F.col("prompt")[0]["content"].alias("content"), "ability",
+                       F.col("reward_model.style").alias("style"), F.col("reward_model.ground_truth").alias("ground_truth"))
 
 
 @query
@@ -561,20 +574,40 @@ SAMPLE_SCHEMA = T.StructType([
 
 @query
 def q_score_batch(spark, sf_dir):
-    """SRC7 + FN27: batches of at most 128 samples written as JSON arrays
-    (single samples as a bare object), read back, scored, order kept by
+    """SRC7 + FN27: batches of at most 128 samples, JSON arrays (single samples
+    as a bare object), many to a file, read back, scored, order kept by
     ``sample_ord``."""
     s = S.judge_samples(spark, sf_dir).select(*SAMPLE_SCHEMA.fieldNames())
     batch = (F.col("sample_ord") / 128).cast("bigint")
     grouped = s.groupBy(batch.alias("batch")).agg(F.collect_list(F.struct(*SAMPLE_SCHEMA.fieldNames())).alias("items"))
     text = F.when(F.size("items") == 1, F.to_json(F.col("items")[0])).otherwise(F.to_json("items"))
     path = scratch_path(spark, "score_batches")
-    grouped.select("batch", text.alias("value")).write.partitionBy("batch").mode("overwrite").text(path)
-    back = readers.read_scoring_batches(spark, path, SAMPLE_SCHEMA)
+    grouped.select(text.alias("value")).write.mode("overwrite").text(path)
+    back = readers.read_scoring_batches(spark, path, SAMPLE_SCHEMA, whole_files=False)
     r = judge_reward.judge_rewards(back, S.judge_replies(spark, sf_dir))
     return r.select("id", "sample_ord", "aggregate_reward_score")
 
 
+# ---------------------------------------------------------------- plug-ins
+@query
+def q_reward_presets(spark, sf_dir):
+    """UDF1 + UDF2: a preset by name, through the contract check."""
+    presets = plugins.registry(outcomes=S.test_outcomes(spark, sf_dir))
+    return plugins.with_reward(S.code_samples(spark, sf_dir), "correctness", presets).select("id", "aggregate_reward_score")
+
+
+def _length_score(sample: dict) -> tuple[float, list[tuple[str, float, str]]]:
+    n = len(sample["response"])
+    return min(n, 1000) / 1000, [("chars", n, "Metric")]
+
+
+@query
+def q_reward_plugin(spark, sf_dir):
+    """UDF3: a Python scorer per partition."""
+    scored = plugins.with_reward(S.judge_samples(spark, sf_dir), plugins.partition_scorer(_length_score, ["id", "response"]))
+    return scored.select("id", "aggregate_reward_score", F.col("metrics_list")[0]["value"].alias("chars"))
+
+
 # ---------------------------------------------------------------- streams
 @query
 def q_stream_score(spark, sf_dir):
@@ -611,6 +644,24 @@ def q_stream_monitor(spark, sf_dir):
     return m.select(monitor.instant_to_utc_text("window_start").alias("window_start"), "n", "mean_reward")
 
 
+@query
+def q_stream_monitor_append(spark, sf_dir):
+    """STR3 in append mode, sliding: a far later row closes the windows, and a
+    second delivery of all rows then comes too late to count."""
+    ev = _events_ts(spark, sf_dir).select("ts", "value")
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("events_in", "monitor_out", "monitor_ckpt"))
+    low, high = ev.agg(F.min("ts"), F.max("ts")).first()
+    if low is None:
+        return spark.createDataFrame([], "window_start string, n long, mean_reward double")
+    later = spark.createDataFrame([(high + timedelta(days=30), 0.0)], ev.schema)
+    for part in (ev.unionByName(later), ev):
+        part.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ev.schema).parquet(src)
+        streams.run_available_now(streams.windowed_monitor(stream, "ts", "value", "2 days", slide="1 day"), sink, ckpt)
+    m = spark.read.parquet(sink)
+    return m.select(monitor.instant_to_utc_text("window_start").alias("window_start"), "n", "mean_reward")
+
+
 @query
 def q_stream_episodes(spark, sf_dir):
     """STR2, fed in three runs over growing parts of the time range; each resumes

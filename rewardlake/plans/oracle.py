@@ -459,8 +459,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM es LEFT JOIN pv ON es.episode_id = pv.episode_id AND es.side = pv.side""",
     # ---------------------------------------------------------- monitors
     "q_rollout_stats": f"""SELECT user_id, count(*) AS n, {EXACT_MEAN('value')} AS mean_score,
-        sqrt(greatest(CAST(sum(value::DECIMAL(18,4) * value::DECIMAL(18,4)) AS DOUBLE) / count(value)
-          - ({EXACT_MEAN('value')}) * ({EXACT_MEAN('value')}), 0.0)) AS std_score,
+        stddev_pop(value) AS std_score,
         max(value) AS max_score, first(event_id ORDER BY value DESC, event_id DESC) AS best_event_id FROM events GROUP BY user_id""",
     "q_reward_monitor": f"""SELECT CAST(time_bucket(INTERVAL '1 day', ts) AS VARCHAR) AS window_start, count(*) AS n,
         {EXACT_MEAN('value')} AS mean_reward FROM events GROUP BY 1""",
@@ -521,10 +520,6 @@ ORACLE_SQL.update({
     "q_available_files": f"WITH {SCHEMA_FILES} SELECT DISTINCT CAST(doc_id % 40 AS VARCHAR) || ' db' AS db_id FROM labels",
     "q_stream_dedup": f"WITH {JUDGE_SAMPLES} SELECT id, CAST(id AS BIGINT) AS sample_ord FROM js",
     "q_schema_corpus": f"WITH {SCHEMA_FILES}, {CORPUS} SELECT db_id, ddl FROM corpus",
-    "q_sink_jsonl": f"""{PROB_WITH}, {ART}, ok AS (SELECT pf.* FROM pf WHERE fn_name IS NOT NULL AND p_partkey % 13 <> 5 AND p_partkey % 9 <> 4
-          AND problem_id IN (SELECT problem_id FROM pv))
-        SELECT 'cnn_dailymail' AS data_source, count(*) AS n FROM art WHERE {RLAIF_KEPT}
-        UNION ALL SELECT 'mbpp', count(*) FROM ok""",
     "q_stream_episodes": f"""{EP_WITH} SELECT episode_id, num_turns, sql_attempts, sql_errors, empty_responses, submitted_solution,
         solution AS final_sql, CASE WHEN submitted_solution THEN 'solution' WHEN num_turns >= 5 THEN 'turn_cap' ELSE 'timeout' END AS ended_by
         FROM em""",
@@ -541,3 +536,17 @@ ORACLE_SQL["q_sink_prompt"] = f"""WITH {QUESTIONS}, {AVAIL}, {SCHEMA_FILES}, {CO
         env_class := 'text2sql',
         reward_spec := struct_pack(ground_truth := query, style := 'rule'),
         extra_info := struct_pack(db_id := db_id, question := question, split := 'train'))) AS VARCHAR) AS prompt FROM k"""
+
+ORACLE_SQL["q_sink_jsonl"] = f"""SELECT data_source, content, ability, style, ground_truth FROM ({ORACLE_SQL['q_rlaif_convert']})
+    UNION ALL SELECT 'mbpp', content, 'code', 'rule', ground_truth FROM ({ORACLE_SQL['q_rlvr_convert']})"""
+_SLIDING = "(SELECT unnest([time_bucket(INTERVAL '1 day', ts), time_bucket(INTERVAL '1 day', ts) - INTERVAL '1 day']) AS w, * FROM events)"
+ORACLE_SQL.update({
+    "q_reward_presets": f"{CODE_WITH} SELECT id, CASE WHEN total > 0 THEN round_even(corr, 4) ELSE 0.0::DOUBLE END AS aggregate_reward_score FROM cr",
+    "q_reward_plugin": """SELECT CAST(doc_id AS VARCHAR) AS id, least(n, 1000) / 1000.0::DOUBLE AS aggregate_reward_score,
+        CAST(n AS DOUBLE) AS chars FROM (SELECT doc_id, CASE WHEN toxic = 1 THEN 2 ELSE length(text) END AS n
+        FROM documents JOIN labels USING (doc_id))""",
+    "q_length_monitor": f"""SELECT CAST(w AS VARCHAR) AS window_start, count(*) AS n, {EXACT_MEAN('value')} AS mean_reward,
+        avg(event_id % 5 + 1) AS mean_length FROM {_SLIDING} GROUP BY 1""",
+    "q_stream_monitor_append": f"""SELECT CAST(w AS VARCHAR) AS window_start, count(*) AS n, {EXACT_MEAN('value')} AS mean_reward
+        FROM {_SLIDING} GROUP BY 1""",
+})

@@ -79,9 +79,10 @@ def read_prompt_records(df: DataFrame, raw_col: str = "prompt") -> DataFrame:
     return df.withColumn("record", F.when(parsed.isNull(), wrapped).otherwise(filled))
 
 
-def read_scoring_batches(spark: SparkSession, path: str, schema) -> DataFrame:
-    """SRC7: JSON batch files; a file may hold one object or an array of them."""
-    return spark.read.schema(schema).option("multiLine", "true").json(path)
+def read_scoring_batches(spark: SparkSession, path: str, schema, whole_files: bool = True) -> DataFrame:
+    """SRC7: JSON batches, each one object or an array of them; a batch is a
+    whole file or, with ``whole_files`` off, a line."""
+    return spark.read.schema(schema).option("multiLine", str(whole_files).lower()).json(path)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:

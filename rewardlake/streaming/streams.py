@@ -19,7 +19,7 @@ from ..functions.jsonfns import tool_calls_sql
 from ..functions.text import extract_solution, extract_sql, observation_body
 from ..operators.episodes import ERROR_PREFIX, MAX_TURNS
 from ..operators.judge_reward import judge_rewards
-from ..operators.monitor import REWARD_SCALE, exact_mean
+from ..operators.monitor import reward_monitor
 from ..session import scratch_path
 
 
@@ -41,12 +41,12 @@ def dedup_by_id(samples: DataFrame, ts_col: str, delay: str = "1 hour") -> DataF
     return samples.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(["id"])
 
 
-def windowed_monitor(events: DataFrame, ts_col: str, value_col: str, every: str = "1 day",
-                     delay: str = "1 hour") -> DataFrame:
-    """STR3: mean reward per tumbling window with a late-data cut-off."""
-    return (events.withWatermark(ts_col, delay).groupBy(F.window(ts_col, every).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n"), exact_mean(value_col, REWARD_SCALE).alias("mean_reward"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "mean_reward"))
+def windowed_monitor(events: DataFrame, ts_col: str, value_col: str, every: str = "1 day", delay: str = "1 hour",
+                     slide: str | None = None, length_col: str | None = None) -> DataFrame:
+    """STR3: mean reward (and mean episode length) per tumbling or sliding
+    window.  In append mode a window is emitted once, when the watermark has
+    passed it, its state goes, and rows that come later still are cut off."""
+    return reward_monitor(events.withWatermark(ts_col, delay), ts_col, value_col, every, slide, length_col)
 
 
 def run_complete_to_table(df: DataFrame, table_path: str, checkpoint: str) -> None:
