@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rewardlake.plans.catalog import REGISTRY  # noqa: E402
-from rewardlake.session import get_session  # noqa: E402
+from rewardlake.session import clear_scratch, get_session  # noqa: E402
 
 HEADLINE = [
     "q_rlaif_convert", "q_convert_stats", "q_first_n", "q_mtrl_convert", "q_rlvr_convert", "q_assert_literals",
@@ -46,6 +46,7 @@ def main() -> None:
             t0 = time.perf_counter()
             REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             best = min(best, time.perf_counter() - t0)
+            clear_scratch(spark)
         times[name] = round(best, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_wall", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -184,8 +184,3 @@ def strict_json_object(text) -> Column:
     """True when ``text`` is a single JSON object (guards lenient parsers)."""
     t = py_strip(_c(text))
     return F.coalesce(t.rlike(r"(?s)^\{.*\}$") & F.try_parse_json(t).isNotNull(), F.lit(False))
-
-
-def strict_json_array(text) -> Column:
-    t = py_strip(_c(text))
-    return F.coalesce(t.rlike(r"(?s)^\[.*\]$") & F.try_parse_json(t).isNotNull(), F.lit(False))

@@ -5,8 +5,7 @@ Catalyst with a *partial* ``WindowGroupLimit`` before the shuffle: every map
 task sorts its own rows and sends at most k rows per key, so even a key that
 holds a third of the data reaches the final window as <= k rows per map task
 (a map-side combine for top-k).  ``test_plans.py`` checks that the partial
-limit is in the plan.  ``salt_buckets`` adds a salted pre-stage for engines
-without that rule.
+limit is in the plan.
 """
 
 from __future__ import annotations
@@ -18,13 +17,8 @@ from pyspark.sql import functions as F
 
 
 def first_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int,
-                      rank_col: str = "rank", salt_buckets: int = 0) -> DataFrame:
+                      rank_col: str = "rank") -> DataFrame:
     """Rows ranked 1..k per ``keys`` by ascending ``order`` (give a unique
     order for a stable result)."""
-    if salt_buckets:
-        salt = F.pmod(F.xxhash64(*order), F.lit(salt_buckets))
-        w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = (df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1))
-              .filter(F.col("_r1") <= k).drop("_r1", "_salt"))
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)

@@ -79,6 +79,13 @@ def materialize(spark: SparkSession, df, name: str):
     return spark.read.parquet(path)
 
 
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete what ``scratch_path`` has handed out so far.  For the end of a job:
+    frames that read such a table cannot be computed again afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark).rstrip("/") + "/scratch")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _PKG_DIR = os.path.dirname(os.path.abspath(__file__))
 
 

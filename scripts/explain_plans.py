@@ -25,7 +25,7 @@ def facts(plan: str) -> dict:
         "broadcast_joins": plan.count("BroadcastHashJoin"),
         "sort_merge_joins": plan.count("SortMergeJoin"),
         "partial_topk": plan.count("WindowGroupLimit") // 2,
-        "python": "yes" if re.search(r"EvalPython|MapInPandas|FlatMapGroupsInPandas", plan) else "no",
+        "python": "yes" if re.search(r"EvalPython|MapInPandas|MapInArrow|FlatMapGroupsInPandas", plan) else "no",
         "nested_loop_or_cartesian": "yes" if re.search(r"BroadcastNestedLoopJoin|CartesianProduct", plan) else "no",
     }
 
@@ -39,8 +39,9 @@ def main() -> None:
             rows.append((name, None))
             continue
         df = fn(spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        # runs this very plan, so that AQE's choices are final in it
+        df._jdf.queryExecution().toRdd().count()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         rows.append((name, facts(plan)))
         if name in HEADLINE:
             formatted[name] = df._jdf.queryExecution().explainString(
@@ -48,9 +49,8 @@ def main() -> None:
     out = ["# Physical plans", "",
            f"Generated by `scripts/explain_plans.py` on `{sf}` (local[8], AQE on). Facts are read from the",
            "executed plan after the run, so they show AQE's final join choices.  Stream queries run",
-           "as micro-batches and are listed without facts.  The test tables are one parquet row group",
-           "each, so every scan here is followed by the small-input spread (`read_table`): one",
-           "hash exchange per scanned table that does not exist on inputs with enough splits.", "",
+           "as micro-batches and are listed without facts.  Tables that a query writes on its way (`materialize`)",
+           "are scans here.", "",
            "| query | shuffles | broadcast joins | sort-merge joins | map-side top-k | Python | nested loop / cartesian |",
            "| --- | --- | --- | --- | --- | --- | --- |"]
     for name, f in rows:

@@ -1,6 +1,8 @@
 """Run every registered query once and print row counts and timings."""
-import sys, time
-sys.path.insert(0, "/root/repo")
+import os
+import sys
+import time
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from rewardlake.session import get_session
 from rewardlake.plans.catalog import REGISTRY
 

@@ -5,13 +5,21 @@ import re
 
 from conftest import SF_SMALL
 
+from rewardlake.operators import code_reward
 from rewardlake.plans import catalog as C
+from rewardlake.sources import standins as S
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def executed(df):
+    """The plan that ran, with AQE's final choices."""
+    df._jdf.queryExecution().toRdd().count()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
 EXPRESSION_ONLY = ["q_rlaif_convert", "q_rlvr_reward", "q_judge_aggregate", "q_episode_rewards", "q_resultset_reward",
                    "q_mtrl_convert", "q_tool_call_sql", "q_result_preview"]
 
@@ -35,10 +43,21 @@ def test_first_n_is_top_k(spark):
 
 
 def test_semi_join_sized_at_runtime(spark):
-    df = C.q_semi_available(spark, SF_SMALL)
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in final
+    final = executed(C.q_semi_available(spark, SF_SMALL))
+    assert "isFinalPlan=true" in final and re.search(r"BroadcastHashJoin .*LeftSemi", final)
+
+
+def test_kept_turns_are_parsed_once(spark):
+    final = executed(C.q_episode_metrics(spark, SF_SMALL))
+    assert final.count("<solution>") == 1 and len(re.findall("Exchange hashpartitioning", final)) <= 6
+
+
+def test_code_scorer_joins_narrow_rows(spark):
+    final = executed(C.q_rlvr_reward(spark, SF_SMALL))
+    assert "response" not in final and "text#" not in final and "code#" not in final
+    parts = executed(code_reward.scored_parts(S.code_samples(spark, SF_SMALL)))
+    # the fixture's distinct orders and its join; the scorer itself shuffles no text
+    assert parts.count("Exchange hashpartitioning") <= 3
 
 
 def test_top_k_is_combined_map_side(spark):
