@@ -18,17 +18,17 @@ def cells_df(spark, rows_by_side):
             cells = []
             for v in row:
                 if v is None:
-                    cells.append((None, None, None))
+                    cells.append((None, None, None, None))
                 elif isinstance(v, bool):
-                    cells.append((int(v), None, None))
+                    cells.append((int(v), None, None, None))
                 elif isinstance(v, int):
-                    cells.append((v, None, None))
+                    cells.append((v, None, None, None))
                 elif isinstance(v, float):
-                    cells.append((int(v), None, None) if v == int(v) else (None, v, None))
+                    cells.append((int(v), None, None, None) if v == int(v) else (None, v, None, None))
                 else:
-                    cells.append((None, None, v))
+                    cells.append((None, None, v, None))
             data.append((ep, side, i, cells))
-    return spark.createDataFrame(data, "episode_id string, side string, row_no bigint, cells array<struct<i:bigint,d:double,s:string>>")
+    return spark.createDataFrame(data, f"episode_id string, side string, row_no bigint, cells array<{R.CELL}>")
 
 
 def equal(spark, pred, gold):
