@@ -8,6 +8,7 @@ Added tokens (``<|endoftext|>``) are cut out first, as the library does.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from array import array
@@ -80,6 +81,12 @@ class WordEncoder:
         return array("I", ids).tobytes()
 
 
+@functools.cache
+def word_encoder(vocabulary: str, ranks: str) -> WordEncoder:
+    """One encoder for each worker process, as reading the files takes a second."""
+    return WordEncoder(vocabulary, ranks)
+
+
 class IdCache(dict):
     """Dictionary word to id bytes; two generations of ``limit`` words at most."""
 
@@ -102,12 +109,13 @@ class TextEncoder:
     """Whole texts to id bytes, with a bounded word cache."""
 
     def __init__(self, vocabulary: str, ranks: str):
-        self.cache = IdCache(WordEncoder(vocabulary, ranks))
+        self.cache = IdCache(word_encoder(vocabulary, ranks))
 
     def __call__(self, text: str) -> bytes:
         return b"".join(map(self.cache.__getitem__, keys_of(text)))
 
 
+@functools.cache
 def pieces_of(vocabulary: str) -> list[bytes]:
     """The bytes of each id.  Vocabulary files write every byte as a printable
     character: itself where it is one, else those from 256 on in turn."""

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import block_texts, block_words, bucket_count, expand, rows_of, squeeze, unpack_words
-from .bpe import WordEncoder, keys_of, pieces_of, vocabulary_paths
+from .blocks import block_texts, block_words, bucket_count, expand, rows_of, shares, squeeze, unpack_words
+from .bpe import keys_of, pieces_of, vocabulary_paths, word_encoder
 from .common import read_documents, with_blocks
 
 
@@ -32,45 +32,58 @@ def _add(counter: dict[bytes, int], row: dict) -> None:
 
 
 def _answers(words: DataFrame) -> DataFrame:
-    """(block, words, ids, ends): the ids of each block's words; a bucket encodes each of its words once."""
+    """(block, bucket, ids, sizes): the ids of each block's words, in the order of the words; a bucket
+    encodes each of its words once."""
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary())])
+
     def run(group: pa.Table) -> pa.Table:
-        encode, known = WordEncoder(*vocabulary_paths()), {}
-        out: dict[str, list] = {"block": [], "words": [], "ids": [], "ends": []}
+        encode, known = word_encoder(*vocabulary_paths()), {}
+        of_block: dict[int, list[bytes]] = {}
         for block, data in zip(group["block"].to_pylist(), group["words"].to_pylist(), strict=True):
-            words = unpack_words(data)
+            of_block.setdefault(block, []).append(data)
+        out = []
+        for block, parts in of_block.items():
+            words = unpack_words(parts[0]) if len(parts) == 1 else sorted({w for p in parts for w in unpack_words(p)})
             for word in words:
                 if word not in known:
                     known[word] = encode(word.decode())
             ids = list(map(known.__getitem__, words))
-            out["block"].append(block)
-            out["words"].append(data)
-            out["ids"].append(squeeze(b"".join(ids)))
-            out["ends"].append(squeeze(np.cumsum([len(i) // 4 for i in ids], dtype="<u4").tobytes()))
-        return pa.table(out, schema=pa.schema([("block", pa.int64())] + [(c, pa.binary()) for c in ("words", "ids", "ends")]))
+            flat = np.frombuffer(b"".join(ids), "<u4")
+            # two bytes an id where they are enough
+            kind = "<u2" if flat.max(initial=0) < 1 << 16 else "<u4"
+            out.append({"block": block, "bucket": group["bucket"][0].as_py(),
+                        "ids": kind[-1].encode() + squeeze(flat.astype(kind).tobytes()),
+                        "sizes": squeeze(np.array([len(i) // 4 for i in ids], "<u4").tobytes())})
+        return pa.Table.from_pylist(out, schema)
 
-    return words.groupBy("bucket").applyInArrow(run, "block long, words binary, ids binary, ends binary")
+    return words.groupBy("bucket").applyInArrow(run, "block long, bucket long, ids binary, sizes binary")
 
 
 def encode(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, ids): ids of whole texts as little-endian unsigned 32-bit integers."""
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+    schema, buckets = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())]), bucket_count(spark)
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        ids_of: dict[str, bytes] = {}
-        for words, ids, ends in zip(*(answers[c].to_pylist() for c in ("words", "ids", "ends")), strict=True):
-            flat, at = expand(ids), 0
-            for word, end in zip(unpack_words(words), np.frombuffer(expand(ends), "<u4").tolist(), strict=True):
-                ids_of[word.decode()] = flat[4 * at:4 * end]
-                at = end
+        keys: set[str] = set()
+        for data in texts["docs"]:
+            for text in rows_of(data.as_py())["text"]:
+                keys.update(keys_of(text.as_py()))
+        words, ids_of = shares([k.encode() for k in keys], buckets), {}
+        del keys
+        for bucket, ids, sizes in zip(*(answers[c].to_pylist() for c in ("bucket", "ids", "sizes")), strict=True):
+            flat, at = np.frombuffer(expand(ids[1:]), "<u" + ids[:1].decode()).astype("<u4").tobytes(), 0
+            for word, size in zip(words.pop(bucket), np.frombuffer(expand(sizes), "<u4").tolist(), strict=True):
+                ids_of[word.decode()] = flat[at:at + 4 * size]
+                at += 4 * size
         out = []
-        for data in texts["docs"].to_pylist():
-            rows = rows_of(data)
+        for data in texts["docs"]:
+            rows = rows_of(data.as_py())
             out.append(pa.table([rows["doc_id"], pa.array(
                 (b"".join(map(ids_of.__getitem__, keys_of(t.as_py()))) for t in rows["text"]), pa.binary())], schema=schema))
         return pa.concat_tables(out) if out else schema.empty_table()
 
     blocks = with_blocks(spark, docs)
-    words = _answers(block_words(blocks.select("block", "text"), _add, bucket_count(spark)))
+    words = _answers(block_words(blocks.select("block", "text"), _add, buckets))
     return block_texts(blocks).groupBy("block").cogroup(words.groupBy("block")).applyInArrow(run, "doc_id long, ids binary")
 
 

@@ -12,7 +12,7 @@ from ..session import materialize
 LOWER_AZ = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 #: Rows of a block by the longest text it may hold; longer texts get a block each.
-BLOCK_ROWS = ((16_384, 4096), (262_144, 256))
+BLOCK_ROWS = ((8_192, 8192), (65_536, 1024), (1_048_576, 64))
 
 
 def read_documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
