@@ -20,6 +20,7 @@ uniform; an empty table gives no row; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +35,7 @@ from .common import LOWER_AZ, fold, read_documents, with_blocks
 
 FOLDS, HELD_OUT = 7, 2
 #: Words with classes of their own, classes by ending, latent states, passes of training.
-WORDS, ENDINGS, STATES, PASSES = 16_384, 1024, 8, 6
+WORDS, ENDINGS, STATES, PASSES = 16_384, 1024, 8, 3
 #: The end token; no word is empty.
 END = b""
 #: Words' worth of the corpus-wide distribution in each state's emissions, and of even transitions.
@@ -59,25 +60,22 @@ class Vocabulary:
     total: int
     distinct: int
     own: dict[bytes, int]
+    own_counts: np.ndarray
     ending_mass: np.ndarray  # of (c + 1) over the rare words of the class, and 1 for a word never seen
 
-    @property
-    def classes(self) -> int:
-        return len(self.own) + ENDINGS
+    def share(self) -> np.ndarray:
+        """The classes' shares of all tokens, nearly."""
+        mass = np.append(self.own_counts + 0.5, self.ending_mass)
+        return mass / mass.sum()
 
 
 def count_words(blocks: DataFrame, buckets: int) -> DataFrame:
     """Rows (block, words, counts) that answer the blocks, and per bucket one without a block:
     its most frequent words, their counts, its totals and its sums by ending."""
-    def add(counter: dict[bytes, int], row: dict) -> None:
+    def add(counter: Counter[bytes], row: dict) -> None:
         found = tokens(row["text"])
         found.append(END)
-        if row["held_out"]:
-            for word in found:
-                counter.setdefault(word, 0)
-        else:
-            for word in found:
-                counter[word] += 1
+        counter.update(dict.fromkeys(found, 0) if row["held_out"] else found)
 
     most = 4 * WORDS // buckets + 64
     fields = [("block", pa.int64()), ("words", pa.binary()), ("counts", pa.binary()), ("total", pa.int64()),
@@ -120,12 +118,14 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
         counts = np.frombuffer(expand(bytes(row["counts"])), "<u8").tolist()
         top += zip((-c for c in counts), unpack_words(bytes(row["words"])), strict=True)
         top = sorted(top)[:WORDS] if len(top) > 8 * WORDS else top
-    own: dict[bytes, int] = {END: 0}
-    for c, word in sorted(top)[:WORDS]:
+    top = sorted(top)[:WORDS]
+    own, counts = {END: 0}, [sum(-c for c, word in top if not word)]
+    for c, word in top:
         if word:
             own[word] = len(own)
+            counts.append(-c)
             mass[ending(word)] -= 1 - c
-    return Vocabulary(int(totals[0] or 0), int(totals[1] or 0), own, mass)
+    return Vocabulary(int(totals[0] or 0), int(totals[1] or 0), own, np.array(counts, float), mass)
 
 
 def as_classes(blocks: DataFrame, counted: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -133,35 +133,28 @@ def as_classes(blocks: DataFrame, counted: DataFrame, vocab: Vocabulary) -> Data
     of the words' shares of their classes."""
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("base_score", pa.float64()), ("inner", pa.float64()), ("ids", pa.binary())])
-    unit = np.log10(vocab.total + vocab.distinct + 1)
+    unit, log_mass, n_own = np.log10(vocab.total + vocab.distinct + 1), np.log10(vocab.ending_mass), len(vocab.own)
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        index: dict[bytes, int] = {}
-        counts: list[int] = []
-        for words, data in zip(answers["words"].to_pylist(), answers["counts"].to_pylist(), strict=True):
-            for word, c in zip(unpack_words(words), np.frombuffer(expand(data), "<u8").tolist(), strict=True):
-                if word not in index:
-                    index[word] = len(counts)
-                    counts.append(c)
-        seen = np.array(counts, np.int64)
+        names: list[bytes] = []
+        for words in answers["words"].to_pylist():
+            names += unpack_words(words)
+        seen = np.frombuffer(b"".join(map(expand, answers["counts"].to_pylist())), "<u8").astype(np.int64)
+        index = dict(zip(names, range(len(names))))  # a word that comes twice has one count
         logs = np.log10(seen + 1.0)
-        ids, inner = np.empty(len(counts), "<u2"), np.zeros(len(counts))
-        for word, i in index.items():
-            own = vocab.own.get(word)
-            if own is None:
-                e = ending(word)
-                own = len(vocab.own) + e
-                inner[i] = logs[i] - np.log10(vocab.ending_mass[e])
-            ids[i] = own
+        own = np.fromiter((vocab.own.get(w, -1) for w in names), np.int64, len(names))
+        end = np.fromiter((zlib.crc32(w[-4:]) for w in names), np.int64, len(names)) % ENDINGS
+        ids = np.where(own < 0, n_own + end, own).astype("<u2")
+        inner = np.where(own < 0, logs - log_mass[end], 0.0)
         out: dict[str, list] = {c: [] for c in schema.names}
         for data in texts["docs"].to_pylist():
             rows = rows_of(data)
-            for doc_id, text, held_out in zip(*(rows[c] for c in ("doc_id", "text", "held_out")), strict=True):
+            out["doc_id"] += rows["doc_id"].to_pylist()
+            out["held_out"] += rows["held_out"].to_pylist()
+            for text in rows["text"]:
                 words = tokens(text.as_py())
                 words.append(END)
                 at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-                out["doc_id"].append(doc_id.as_py())
-                out["held_out"].append(held_out.as_py())
                 out["n_tokens"].append(len(words))
                 out["n_known"].append(int(np.count_nonzero(seen[at])))
                 out["base_score"].append(float(logs[at].sum() - unit * len(words)))
@@ -185,10 +178,10 @@ class Model:
     @classmethod
     def fresh(cls, share: np.ndarray, states: int = STATES) -> Model:
         """Sticky transitions, and emissions spread at random (fixed seed) about the classes' shares."""
-        noise = np.random.default_rng(7).gamma(1.0, size=(len(share), states)) + 0.2
+        noise = np.random.default_rng(7).gamma(0.5, size=(len(share), states)) + 0.2
         emit = share[:, None] * noise
-        move = np.full((states, states), 0.1 / max(1, states - 1))
-        np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
+        move = np.full((states, states), 0.03 / max(1, states - 1))
+        np.fill_diagonal(move, 0.97 if states > 1 else 1.0)
         return cls(np.full(states, 1 / states), move, emit / emit.sum(0))
 
 
@@ -260,14 +253,12 @@ def expected_counts(model: Model, batches: Iterator[list[bytes]]) -> tuple[np.nd
     return starts, moves, emits, fit
 
 
-def train(coded: DataFrame, classes: int, passes: int = PASSES, states: int = STATES) -> tuple[Model, list[float]]:
-    """Baum-Welch over ``coded.ids``; the model and each pass's log10 likelihood."""
+def train(coded: DataFrame, share: np.ndarray, passes: int = PASSES, states: int = STATES) -> tuple[Model, list[float]]:
+    """Baum-Welch over ``coded.ids`` from the classes' shares; the model and each pass's log10 likelihood."""
+    classes, n = len(share), states
     kind = pa.schema([("part", pa.int32()), ("at", pa.int32()), ("counts", pa.list_(pa.float64()))])
 
-    def sums(model: Model | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-        n = states if model else 1
-        model = model or Model(np.ones(1), np.ones((1, 1)), np.ones((classes, 1)))
-
+    def sums(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts, moves, emits, fit = expected_counts(model, (b.column(0).to_pylist() for b in batches))
             used = np.flatnonzero(emits.any(1))
@@ -282,8 +273,6 @@ def train(coded: DataFrame, classes: int, passes: int = PASSES, states: int = ST
             (emits, moves, rest, rest)[part][at if part < 2 else part - 2] = counts
         return rest[0], moves, emits, float(rest[1, 0])
 
-    starts, moves, emits, _ = sums(None)
-    share = (emits[:, 0] + 0.5) / (emits[:, 0] + 0.5).sum()
     model, fits = Model.fresh(share, states), []
     for _ in range(passes):
         starts, moves, emits, fit = sums(model)
@@ -300,7 +289,7 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     counted = materialize(spark, count_words(blocks, bucket_count(spark)), "lm-words")
     vocab = vocabulary(counted)
     coded = materialize(spark, as_classes(blocks, counted, vocab), "lm-ids")
-    model, _ = train(coded.filter(~F.col("held_out")), vocab.classes)
+    model, _ = train(coded.filter(~F.col("held_out")), vocab.share())
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
