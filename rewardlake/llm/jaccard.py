@@ -16,8 +16,10 @@ shingles.
    units of bounded size: small parts together, a large part cut into chunks of
    which any two meet.  There a parity bit sketch, whose Hamming distance is at
    most the number of differences, throws out most pairs, and the sets verify
-   the others.  Only a spanning forest of the links leaves a unit.
-4. Connected components of the links are the result.
+   all others.  Each pair meets in one unit, so each link leaves one unit, in a
+   row of its first set; a spanning forest of a unit's links goes with them.
+4. Connected components of the forests are the classes.  A row's links are the
+   other rows of its set and the rows of all sets linked to it.
 
 An empty block says nothing and gives no key, which could lose a pair whose
 only common blocks are empty.  That needs every difference in a block of its
@@ -26,14 +28,15 @@ e^-40 for it; smaller ones with an empty block are cut again with another hash
 until a cut has none (at most ``CUTS`` times; then the whole set is compared
 with all sets of its band that got as far, by one key for the band).
 
-Defined results: a null or empty text, or one of blanks, has an empty set and
-its own id as class; a class without any id has a null one; a null ``doc_id``
+Defined results: a null or empty text, or one of blanks, has an empty set, no
+link and its own id as class; a class without any id has a null one; a null ``doc_id``
 counts as larger than any; repeated rows are in one class; an empty table gives
 no row; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,8 +53,8 @@ from .common import LOWER_AZ, id_and_text, read_documents
 from .components import components
 
 SURE, CUTS = 40, 24
-#: Words in a worker's hash cache; keys that a task holds; shingles and sets in one unit.
-CACHE, PACK_KEYS, UNIT_SHINGLES, UNIT_SETS = 500_000, 2_000_000, 2_000_000, 1024
+#: Words in a worker's hash cache; keys that a task holds; shingles and sets in one unit; shingles looked up at a time.
+CACHE, PACK_KEYS, UNIT_SHINGLES, UNIT_SETS, GATHERED = 500_000, 2_000_000, 2_000_000, 1024, 1_000_000
 #: Most candidate sets whose ids (16 bytes each) are broadcast; more are joined by shuffle.
 MOST_BROADCAST = 500_000
 
@@ -203,19 +206,22 @@ def _shared_keys(key_rows: DataFrame) -> DataFrame:
 
 
 def _candidate_sets(docs: DataFrame, link: Link, parts: DataFrame, n: int) -> DataFrame:
-    """(sid, root, n, shingles) of each of the ``n`` sets in ``parts`` (sid, root), once."""
+    """(sid, root, n, rows, shingles) of each of the ``n`` sets in ``parts`` (sid, root), once; ``rows``: rows with it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            found = {set_id(s): s.tobytes() for s in (shingle_set(t.as_py(), link.width, hashes) for t in batch.column(0))
-                     if len(s)}
+            sets = [s for s in (shingle_set(t.as_py(), link.width, hashes) for t in batch.column(0)) if len(s)]
+            times = Counter(sids := [set_id(s) for s in sets])
+            found = dict(zip(sids, sets, strict=True))
             yield pa.RecordBatch.from_pydict({"sid": pa.array(found.keys(), pa.int64()),
-                                              "shingles": pa.array(found.values(), pa.binary())})
+                                              "rows": pa.array([times[i] for i in found], pa.int64()),
+                                              "shingles": pa.array([s.tobytes() for s in found.values()], pa.binary())})
 
-    sets = id_and_text(docs).select("text").mapInArrow(run, "sid long, shingles binary")
+    sets = id_and_text(docs).select("text").mapInArrow(run, "sid long, rows long, shingles binary")
     sets = sets.join(F.broadcast(parts) if n <= MOST_BROADCAST else parts, "sid")
-    return sets.groupBy("sid").agg(F.first("root").alias("root"), F.first("shingles").alias("shingles")).select(
-        "sid", "root", (F.length("shingles") / 8).cast("long").alias("n"), "shingles")
+    return sets.groupBy("sid").agg(F.first("root").alias("root"), F.sum("rows").alias("rows"),
+                                   F.first("shingles").alias("shingles")).select(
+        "sid", "root", (F.length("shingles") / 8).cast("long").alias("n"), "rows", "shingles")
 
 
 def parity_bits(shingles: np.ndarray, bits: int) -> np.ndarray:
@@ -224,14 +230,18 @@ def parity_bits(shingles: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def links_among(link: Link, ids: list[int], sets: list[np.ndarray], split: int | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the sets; with ``split``, only of those between the sets
-    before it and the others."""
-    n = len(ids)
+def links_among(link: Link, sets: list[np.ndarray], split: int | None = None) -> Iterator[tuple[int, np.ndarray, list[int]]]:
+    """For each set with links to sets after it: its place, theirs, and those of them that join a spanning
+    forest; with ``split``, only links between the sets before it and the others."""
+    n = len(sets)
     size = np.array([len(s) for s in sets])
     most = int(size.max()) * 2 * (link.den - link.num) // (link.den + link.num) + 1
     bits = 1 << min(16, max(8, int(8 * most - 1).bit_length()))
     sketch = np.stack([parity_bits(s, bits) for s in sets])
+    # the sets in numbers from 0, so that those of one set can be marked and looked up in others
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+    numbered = np.split(numbers, np.cumsum(size)[:-1])
+    marked = np.zeros(int(numbers.max()) + 1, np.uint8)
     parent = list(range(n))
 
     def find(i: int) -> int:
@@ -240,22 +250,35 @@ def links_among(link: Link, ids: list[int], sets: list[np.ndarray], split: int |
             i = parent[i]
         return i
 
-    out = []
+    def linked_to(i: int, near: np.ndarray) -> np.ndarray:
+        both, at = np.empty(len(near), np.int64), 0
+        marked[numbered[i]] = 1
+        while at < len(near):  # so many at a time that they stay small
+            some = near[at:at + max(1, GATHERED // int(size[near[at:]].max()))]
+            starts = np.cumsum(size[some]) - size[some]
+            both[at:at + len(some)] = np.add.reduceat(marked[np.concatenate([numbered[j] for j in some.tolist()])], starts, dtype=np.int64)
+            at += len(some)
+        marked[numbered[i]] = 0
+        return near[link.den * both >= link.num * (size[i] + size[near] - both)]
+
     for i in range(n if split is None else split):
         low = i + 1 if split is None else split
         others = sketch[low:]
         apart = np.bitwise_count(others ^ sketch[i]).sum(1, dtype=np.int64)
         near = np.flatnonzero(apart * (link.den + link.num) <= (size[low:] + size[i]) * (link.den - link.num)) + low
-        for j in near.tolist():
-            a, b = find(i), find(j)
-            if a != b and link.linked(sets[i], sets[j]):
-                parent[a] = b
-                out.append((ids[i], ids[j]))
-    return out
+        if len(near) and len(near := linked_to(i, near)):
+            tree = []
+            for j in near.tolist():
+                a, b = find(i), find(j)
+                if a != b:
+                    parent[a] = b
+                    tree.append(j)
+            yield i, near, tree
 
 
 def _links(spark: SparkSession, sets: DataFrame, link: Link) -> DataFrame:
-    """Verified links (u, v), a forest of each unit."""
+    """(u, linked, tree, more) of sets in each unit: the sets linked to u, each link in one row of one unit; those
+    of them whose links are a spanning forest of the unit; and how many rows the unit finds linked to a row of u."""
     sizes = sets.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
     sizes = sizes.select("root", F.greatest(F.ceil(F.col("m") / UNIT_SETS), F.ceil(F.col("total") / UNIT_SHINGLES)).alias("chunks"))
     total = sets.agg(F.sum("n")).first()[0] or 0
@@ -263,42 +286,64 @@ def _links(spark: SparkSession, sets: DataFrame, link: Link) -> DataFrame:
     rows = sets.join(sizes, "root").withColumn("chunk", F.pmod(F.xxhash64("sid"), F.col("chunks")))
     # a chunk's partners: itself and every other chunk; the pair is named by the smaller, then the larger
     rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")).select(
-        "root", "sid", "shingles", "chunk", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
+        "root", "sid", "rows", "shingles", "chunk", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
         F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("root"), F.lit(units)).cast("string"))
         .otherwise(F.concat_ws(":", "root", F.least("chunk", "other"), F.greatest("chunk", "other"))).alias("unit"))
 
+    schema = pa.schema([("u", pa.int64()), ("linked", pa.list_(pa.int64())), ("tree", pa.list_(pa.int64())), ("more", pa.int64())])
+
     def run(group: pa.Table) -> pa.Table:
-        members: dict[int, list[tuple[int, int, bytes]]] = {}
-        for root, chunk, sid, data in zip(*(group[c].to_pylist() for c in ("root", "chunk", "sid", "shingles")), strict=True):
-            members.setdefault(root, []).append((chunk, sid, data))
+        members: dict[int, list[tuple[int, int, int, bytes]]] = {}
+        for root, *row in zip(*(group[c].to_pylist() for c in ("root", "chunk", "sid", "rows", "shingles")), strict=True):
+            members.setdefault(root, []).append(tuple(row))
         a, b = group["a"][0].as_py(), group["b"][0].as_py()
-        out: list[tuple[int, int]] = []
+        out = []
         for rows in members.values():
             rows.sort(key=lambda r: r[:2])
             split = None if a == b else sum(r[0] == a for r in rows)
-            if len(rows) > 1:
-                out += links_among(link, [r[1] for r in rows], [np.frombuffer(r[2], np.uint64) for r in rows], split)
-        return pa.table({"u": pa.array([x for x, _ in out], pa.int64()), "v": pa.array([x for _, x in out], pa.int64())})
-
-    return rows.groupBy("unit").applyInArrow(run, "u long, v long")
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> DataFrame:
-    """(doc_id, n_shingles, sid, class, component_id) of every row; ``class`` names the group (null: an empty set)."""
+            if len(rows) > 1 and split != len(rows):
+                ids, times = (np.array([r[k] for r in rows], np.int64) for k in (1, 2))
+                more, found = np.zeros(len(rows), np.int64), {}
+                for i, near, tree in links_among(link, [np.frombuffer(r[3], np.uint64) for r in rows], split):
+                    more[i] += times[near].sum()
+                    more[near] += times[i]
+                    found[i] = near, tree
+                none = np.empty(0, np.int64)
+                for i in np.flatnonzero(more).tolist():
+                    near, tree = found.get(i, (none, []))
+                    out.append({"u": int(ids[i]), "linked": ids[near], "tree": ids[tree] if tree else none, "more": int(more[i])})
+        return pa.Table.from_pylist(out, schema)
+
+    return rows.groupBy("unit").applyInArrow(run, "u long, linked array<long>, tree array<long>, more long")
+
+
+def joined(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, sid, class, component_id, n_links) of every row, and the links (u, v) between
+    different sets, by their names, each once.  ``class`` names the group (null: an empty set)."""
     rows = materialize(spark, _sets(docs, link), "jaccard-sets")
     shared = _shared_keys(_key_rows(docs, link, bucket_count(spark)))
     parts = materialize(spark, components(spark, shared).select(F.col("node").alias("sid"), "root"), "jaccard-parts")
     candidates = materialize(spark, _candidate_sets(docs, link, parts, parts.count()), "jaccard-candidates")
-    linked = components(spark, _links(spark, candidates, link))
-    by_set = rows.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
-    by_set = by_set.join(linked.withColumnRenamed("node", "sid"), "sid", "left")
+    links = materialize(spark, _links(spark, candidates, link), "jaccard-links")
+    linked = components(spark, links.select("u", F.explode("tree").alias("v")))
+    more = links.groupBy(F.col("u").alias("sid")).agg(F.sum("more").alias("more"))
+    by_set = rows.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
+    by_set = by_set.join(linked.withColumnRenamed("node", "sid"), "sid", "left").join(more, "sid", "left")
     by_set = materialize(spark, by_set, "jaccard-classes")
     by_root = by_set.filter("root is not null").groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = by_set.join(by_root, "root", "left").select("sid", F.coalesce("root", "sid").alias("class"),
-                                                          F.coalesce("component_id", "least").alias("component_id"))
-    full = rows.filter("sid is not null").join(classes, "sid").select("doc_id", "n_shingles", "sid", "class", "component_id")
-    return full.unionByName(rows.filter("sid is null").select(
-        "*", F.lit(None).cast("long").alias("class"), F.col("doc_id").alias("component_id")))
+    classes = by_set.join(by_root, "root", "left").select(
+        "sid", F.coalesce("root", "sid").alias("class"), F.coalesce("component_id", "least").alias("component_id"),
+        (F.col("rows") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
+    full = rows.filter("sid is not null").join(classes, "sid").select(
+        "doc_id", "n_shingles", "sid", "class", "component_id", "n_links")
+    full = full.unionByName(rows.filter("sid is null").select(
+        "*", F.lit(None).cast("long").alias("class"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")))
+    return full, links.select("u", F.explode("linked").alias("v"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> DataFrame:
+    """(doc_id, n_shingles, sid, class, component_id, n_links) of every row; ``class`` names the group (null: an empty set)."""
+    return joined(spark, docs, link)[0]
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> DataFrame:
@@ -333,4 +378,4 @@ def keep_one(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> DataF
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, read_documents(spark, sf_dir), Link(3, 9, 10)).select(
-        "doc_id", "n_shingles", "component_id")
+        "doc_id", "n_shingles", "component_id", "n_links")
