@@ -1,7 +1,10 @@
 """Operator 8: order MinHash fingerprints, in DataFrame functions only.
 
-A text's k-mers are runs of ``K`` words (a text with hardly any blanks is cut
-every ``WORD`` code points instead).  Each k-mer is numbered by its occurrence
+A text's k-mers are runs of ``K`` units.  A unit is a word; a word of over
+``WORD`` code points (a run of Chinese, Japanese or Thai, or encoded data) has
+one for each of its code points, which is that and the ``GRAM - 1`` after it.
+What a word's units are follows from the word alone, so an edit changes only
+the k-mers about it.  Each k-mer is numbered by its occurrence
 in the text; a hash of k-mer and number orders these pairs and deals them, by
 its upper bits, to 64 bins; a bin's ``LEAST`` smallest pairs, put back in text
 order, are hashed to one entry.  Two texts agree in a bin if the same pairs are least
@@ -27,8 +30,9 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import id_and_text, read_documents
 
-#: Words of a k-mer, code points of a word, bits of a bin's number, pairs that make an entry.
-K, WORD, _BIN, LEAST = 3, 16, 6, 2
+#: Units of a k-mer, code points of a word that is one unit, of a unit of a longer one, bits of a bin's number,
+#: pairs that make an entry.
+K, WORD, GRAM, _BIN, LEAST = 3, 16, 4, 6, 2
 _PLACE = 24  # bits of a place
 _MASK = (1 << _PLACE) - 1
 
@@ -44,10 +48,13 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` plus ``out``: an int for each bin in use, the bin's number above 25 bits of hash."""
     own, t = df.columns, F.col(text)
     df = df.select(*own, F.array_remove(F.split(t, r"[\x20\x09-\x0D]+"), "").alias("_w"))
-    df = df.select(*own, F.when(F.length(t) > (WORD + 1) * F.size("_w"),
-                                F.regexp_extract_all(t, F.lit(rf"[^\x20\x09-\x0D]{{1,{WORD}}}"), F.lit(0)))
-                   .otherwise(F.col("_w")).alias("_w"))
-    df = df.select(*own, F.transform("_w", lambda w: F.xxhash64(w)).alias("_w"))
+
+    def units(points: Column) -> Column:  # a short word is the only one of its array
+        return F.transform(points, lambda x, i: F.xxhash64(x, *(F.get(points, i + j) for j in range(1, GRAM))))
+    points = F.transform("_w", lambda w: F.when(F.length(w) > WORD, F.split(w, "")).otherwise(F.array(w)))
+    # without a long word both ways give the same
+    df = df.select(*own, F.when(F.exists("_w", lambda w: F.length(w) > WORD), F.flatten(F.transform(points, units)))
+                   .otherwise(F.transform("_w", lambda w: F.xxhash64(w))).alias("_w"))
     # k-mers, shorter at the end of the text, with an empty place
     df = df.select(*own, F.transform("_w", lambda w, i: F.xxhash64(w, *(F.get("_w", i + j) for j in range(1, K)))
                                      .bitwiseAND(F.lit(~_MASK))).alias("_h"))
