@@ -3,8 +3,10 @@
 Every text gets its statistics once, in one pass.  For each language and
 source Spark builds mergeable quantile sketches of the ratios (partial
 sketches in each task, merged after the shuffle); a ratio beyond the group's
-fence, ``SPREAD`` times the way from its median to an outer quantile further
-out, rejects a document.  A group of under ``LEAST`` documents takes the fence
+fence rejects a document.  A fence lies ``SPREAD`` times the way from the
+group's median to its nearer quartile beyond the median: as long as under half
+of a group is bad, on whichever side, neither the median nor both quartiles
+are bad values, so the bad cannot move the fence out of their way.  A group of under ``LEAST`` documents takes the fence
 of its language, and a small language that of the whole corpus; these come
 from the same sketches by rollup.
 
@@ -28,11 +30,11 @@ from .common import read_documents
 
 SYMBOLS = "#*$%&|<>"
 _BLANKS = " \t\n\x0b\x0c\r"
-#: Ratio: (outer quantile, least distance from the median to the fence).  Only an upper fence, but for word length.
-RATIOS = {"symbol_ratio": (0.9, 0.05), "dup_line_ratio": (0.9, 0.35), "repeat_ratio": (0.9, 0.35),
-          "upper_ratio": (0.9, 0.2), "word_length": (0.9, 2.0)}
-LOW = {"word_length": (0.1, 1.5)}
-SPREAD, LEAST, ACCURACY = 4.0, 200, 10_000
+#: Ratio: least distance from the median to the fence.  Only an upper fence, but for word length.
+RATIOS = {"symbol_ratio": 0.05, "dup_line_ratio": 0.35, "repeat_ratio": 0.35, "upper_ratio": 0.2, "word_length": 2.0}
+LOW = {"word_length": 1.5}
+#: ``SPREAD`` quartile distances of a normal distribution are 5.1 standard deviations.
+SPREAD, LEAST, ACCURACY = 7.6, 200, 10_000
 #: Most groups whose thresholds are broadcast (about 100 bytes each); more are joined by shuffle.
 MOST_BROADCAST = 20_000
 
@@ -80,12 +82,13 @@ def measure(docs: DataFrame) -> DataFrame:
 
 def thresholds(stats: DataFrame) -> DataFrame:
     """One row a language and source with its fences, ``high_<ratio>`` and ``low_<ratio>``."""
-    def fence(ratio: str, q: float, least: float, sign: int) -> Column:
-        sketch = F.percentile_approx(ratio, F.array(F.lit(0.5), F.lit(q)), F.lit(ACCURACY))
-        return sketch[0] + sign * F.greatest(F.lit(least), SPREAD * sign * (sketch[1] - sketch[0]))
+    def fence(ratio: str, least: float, sign: int) -> Column:
+        sketch = F.percentile_approx(ratio, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(ACCURACY))
+        spread = F.least(sketch[1] - sketch[0], sketch[2] - sketch[1])
+        return sketch[1] + sign * F.greatest(F.lit(least), SPREAD * spread)
 
-    fences = [fence(r, q, least, 1).alias(f"high_{r}") for r, (q, least) in RATIOS.items()] + \
-             [fence(r, q, least, -1).alias(f"low_{r}") for r, (q, least) in LOW.items()]
+    fences = [fence(r, least, 1).alias(f"high_{r}") for r, least in RATIOS.items()] + \
+             [fence(r, least, -1).alias(f"low_{r}") for r, least in LOW.items()]
     names = [f"high_{r}" for r in RATIOS] + [f"low_{r}" for r in LOW]
     level = F.grouping_id().alias("level")
     rolled = stats.filter("n_words > 0").rollup("lang", "source").agg(level, F.count("*").alias("n"), *fences)
