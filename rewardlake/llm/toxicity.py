@@ -1,8 +1,9 @@
 """Operator 6: toxic documents by multiple-instance learning.
 
-A document is a bag of sentences.  A sentence's score is a logistic function
-of its features (words and their beginnings); a document's is the noisy-or of
-its sentences: toxic if any of them is.  The weights are fitted to document
+A document is a bag of sentences.  A telling sentence's score is a logistic
+function of its features (words and their beginnings); a document's is the
+noisy-or of these sentences and, once for all its others, of the bias: toxic if
+any is, and no more so for more sentences that tell nothing.  The weights are fitted to document
 labels alone, and the sentences with a high score are the offending ones.
 
 The fit takes at most ``TRAIN_DOCS`` labelled documents of each kind (those
@@ -49,7 +50,7 @@ def features(word: str) -> list[str]:
 
 @dataclass
 class Bags:
-    """Sentences with features: their documents, and (sentence, feature) pairs; ``plain``: each document's other sentences."""
+    """Sentences with features: their documents, and (sentence, feature) pairs; ``plain``: 1 for a document with other sentences."""
 
     toxic: np.ndarray
     plain: np.ndarray
@@ -93,18 +94,22 @@ class Model:
         """The document's probability, and (start, end, probability) of its offending sentences."""
         text_words = set(_WORD.findall(text.lower()))
         if not any(map(self.word.__getitem__, text_words)):
-            n = sum(not s.isspace() for s in _SENTENCE.findall(text))
-            return float(-np.expm1(-self.plain * n)), []
-        none, found = 0.0, []
+            plain = any(not s.isspace() for s in _SENTENCE.findall(text))
+            return float(-np.expm1(-self.plain * plain)), []
+        none, found, plain = 0.0, [], False
         for s in _SENTENCE.finditer(text):
             if s[0].isspace():
                 continue
-            z = self.bias + sum(map(self.word.__getitem__, set(_WORD.findall(s[0].lower()))))
+            told = sum(map(self.word.__getitem__, set(_WORD.findall(s[0].lower()))))
+            if told <= 0:
+                plain = True
+                continue
+            z = self.bias + told
             off = float(np.logaddexp(0, z))
             none += off
             if z >= 0:
                 found.append((s.start(), s.end(), float(-np.expm1(-off))))
-        return float(-np.expm1(-none)), found
+        return float(-np.expm1(-none - self.plain * plain)), found
 
 
 class WordScores(dict):
@@ -159,7 +164,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: bool =
                 sentences = [s for s in _SENTENCE.findall(text.as_py()) if not s.isspace()]
                 found = [sorted({number[f] for w in _WORD.findall(s.lower()) for f in features(w) if f in number}) for s in sentences]
                 bags.append([f for f in found if f])
-                plain.append(len(found) - len(bags[-1]))
+                plain.append(int(len(found) > len(bags[-1])))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(plain, pa.int64()), pa.array(bags, kind)],
                                              names=["toxic", "plain", "bags"])
 
