@@ -3,8 +3,8 @@
 Texts are split into words (``bpe.keys_of``); Spark sends the distinct words
 of each block of documents to hash buckets, where every word is encoded once;
 the ids come back to the block and are laid out in the order of its texts.
-Decoding joins ids to the pieces of the vocabulary, whose size is fixed by its
-file.
+Decoding is no join: each worker looks ids up in the list of the vocabulary's
+pieces, whose size is fixed by its file.
 
 Defined results: a null or empty text has no ids and decodes to an empty text;
 a null ``doc_id`` stays null; repeated rows are each encoded; an empty table
@@ -88,7 +88,7 @@ def encode(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def decode(encoded: DataFrame) -> DataFrame:
-    """(doc_id, ids, text): the ids of each row joined to their pieces."""
+    """(doc_id, ids, text): the ids of each row looked up in the list of pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(vocabulary_paths()[0])
         for batch in batches:
