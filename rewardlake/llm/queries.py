@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe_words import op7_bpe_words
+from .filter_audit import OP12_SQL, op12_filter_audit
 from .jaccard import op9_ngram_jaccard
 from .lm import op2_lm_scoring
 from .order_minhash import op8_order_minhash
@@ -15,6 +16,6 @@ from .toxicity import op6_toxicity
 
 REGISTRY = {f.__name__: f for f in (
     op1_pii, op2_lm_scoring, op3_secret_scan, op4_quality_classifier, op5_harmonic_packing, op6_toxicity, op7_bpe_words,
-    op8_order_minhash, op9_ngram_jaccard, op10_quality_rules)}
+    op8_order_minhash, op9_ngram_jaccard, op10_quality_rules, op12_filter_audit)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_filter_audit": OP12_SQL}
