@@ -3,9 +3,15 @@
 Semantics kept from the reference's ``set(rows) == set(rows)``: columns are
 positional (names ignored), duplicates and order are ignored, NULL equals
 NULL, 1 = 1.0 = True, text never equals a number, and two empty results are
-equal; decimals are compared exactly.  Each cell is made canonical as STRUCT<i
-BIGINT, d DOUBLE, s STRING, x STRING> and a row is the ARRAY of its cells, so
-arity is part of the row.
+equal.  Numbers of any type are compared exactly: a double counts as the
+shortest decimal that names it, so 0.1 and DECIMAL 0.1 are one number and
+0.1 and DECIMAL 0.100000000000000000000000000001 are two.
+
+Each cell is made canonical by decimal arithmetic, without text: a whole number
+that fits a bigint is ``i``; any other with at most 38 digits on either side of
+the point is its floor ``w`` and the rest ``f``, at fixed scales; a double
+beyond that, which no decimal can equal, is ``n``.  There is no floating-point
+field, so a row, the ARRAY of its cells, is grouped by its bytes as it is.
 
 Plan: two aggregations with partial (map-side) combine -- first on
 (episode_id, cells), whose hash spreads even one huge episode over all tasks,
@@ -14,13 +20,15 @@ then on episode_id, which receives one partial row per task and episode.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .topk import first_k_per_group
 
-CELL = "struct<i:bigint,d:double,s:string,x:string>"  # x: a decimal that no bigint or double equals
+CELL = "struct<i:bigint,s:string,w:decimal(38,0),f:decimal(38,38),n:string>"
 
 # ---- fixed values: result observation formats ----
 PREVIEW_ROWS = 20
@@ -32,25 +40,30 @@ ERROR_TEXT = "Error: {error}"
 # ---------------------------------------------------
 
 
-def _cell(i=None, d=None, s=None, x=None) -> Column:
-    return F.struct((i if i is not None else F.lit(None)).cast("bigint").alias("i"),
-                    (d if d is not None else F.lit(None)).cast("double").alias("d"),
-                    (s if s is not None else F.lit(None)).cast("string").alias("s"),
-                    (x if x is not None else F.lit(None)).cast("string").alias("x"))
+_WHOLE, _PART = "decimal(38,0)", "decimal(38,38)"
+_ZERO = Decimal(0)
+
+
+def _cell(i=None, s=None, w=None, f=None, n=None) -> Column:
+    values = {"i": (i, "bigint"), "s": (s, "string"), "w": (w, _WHOLE), "f": (f, _PART), "n": (n, "string")}
+    return F.struct(*((v if v is not None else F.lit(None)).cast(t).alias(k) for k, (v, t) in values.items()))
 
 
 def _double_cell(d: Column) -> Column:
-    integral = ~F.isnan(d) & (F.abs(d) < F.lit(9.2e18)) & (d == F.floor(d))
-    return F.when(integral, _cell(i=d.cast("bigint"))).otherwise(_cell(d=d))
+    size, none = F.abs(d), F.lit(_ZERO).cast(_PART)
+    integral, plain = d == F.rint(d), d.try_cast("decimal(38,20)")
+    whole, part = d.try_cast(_WHOLE), d.try_cast(_PART)
+    return (F.when(integral & (size < F.lit(9.2e18)), _cell(i=d.try_cast("bigint")))
+             .when(integral & whole.isNotNull(), _cell(w=whole, f=none))
+             .when(~integral & (size >= 1), _cell(w=F.floor(plain), f=plain % 1))
+             .when((size < 1) & (part.cast("double") == d), _cell(w=F.when(d < 0, F.lit(-1)).otherwise(F.lit(0)), f=part))
+             .otherwise(_cell(n=d.cast("string"))))
 
 
-def _decimal_cell(text: Column) -> Column:
-    """Cell of a decimal's plain text: a bigint or a double if it equals one, else its own digits."""
-    digits = F.when(text.contains("."), F.regexp_replace(text, r"\.?0*$", "")).otherwise(text)
-    whole, d = digits.try_cast("bigint"), digits.try_cast("double")
-    same = d.try_cast("decimal(38,18)") == digits.try_cast("decimal(38,18)")
-    return (F.when(~digits.contains(".") & whole.isNotNull(), _cell(i=whole))
-             .when(F.coalesce(same, F.lit(False)), _cell(d=d)).otherwise(_cell(x=digits)))
+def _decimal_cell(c: Column, dtype: T.DecimalType) -> Column:
+    whole, part = (c, F.lit(_ZERO)) if dtype.scale == 0 else (F.floor(c), c % 1)
+    part, i = part.cast(_PART), whole.try_cast("bigint")
+    return F.when((part == F.lit(_ZERO).cast(_PART)) & i.isNotNull(), _cell(i=i)).otherwise(_cell(w=whole, f=part))
 
 
 def cell(c: Column, dtype: T.DataType) -> Column:
@@ -60,7 +73,7 @@ def cell(c: Column, dtype: T.DataType) -> Column:
     elif isinstance(dtype, T.BooleanType):
         value = _cell(i=c.cast("int"))
     elif isinstance(dtype, T.DecimalType):
-        value = _decimal_cell(c.cast("string"))
+        value = _decimal_cell(c, dtype)
     elif isinstance(dtype, (T.FloatType, T.DoubleType)):
         value = _double_cell(c.cast("double"))
     else:
@@ -68,29 +81,9 @@ def cell(c: Column, dtype: T.DataType) -> Column:
     return F.when(c.isNull(), _cell()).otherwise(value)
 
 
-def to_cells(*typed: Column) -> Column:
-    """Row of canonical cells from columns whose type is known by construction:
-    pass ``(col, dtype)`` pairs, or plain columns of these types:
-    strings / bigints / doubles built with an explicit cast."""
-    out = []
-    for c in typed:
-        if isinstance(c, tuple):
-            out.append(cell(*c))
-        else:
-            out.append(_infer_cell(c))
-    return F.array(*out)
-
-
-def _infer_cell(c: Column) -> Column:
-    """Cell of a column of unknown static type, decided per value with
-    ``typeof`` (only numbers, booleans and text are told apart)."""
-    t, text = F.typeof(c), c.cast("string")
-    return (F.when(c.isNull(), _cell())
-             .when(t == "boolean", _cell(i=F.when(text == "true", 1).otherwise(0)))
-             .when(t.isin("tinyint", "smallint", "int", "bigint"), _cell(i=text.try_cast("bigint")))
-             .when(t.isin("float", "double"), _double_cell(text.try_cast("double")))
-             .when(t.startswith("decimal"), _decimal_cell(text))
-             .otherwise(_cell(s=text)))
+def to_cells(*typed: tuple[Column, T.DataType]) -> Column:
+    """Row of canonical cells from ``(column, type)`` pairs."""
+    return F.array(*(cell(*c) for c in typed))
 
 
 def frame_cells(df: DataFrame) -> DataFrame:
@@ -144,9 +137,15 @@ def shown(c: Column, dtype: T.DataType) -> Column:
     """Python-like text of a typed value; a float keeps its decimal point."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         d = c.cast("double")
-        digits = F.regexp_replace(d.try_cast("decimal(38,18)").cast("string"), r"0+$", "")
+        digits = F.rtrim(d.try_cast("decimal(38,22)").cast("string"), F.lit("0"))
         plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-        value = F.when((d == 0) | F.abs(d).between(1e-4, 1e16), plain).otherwise(F.lower(d.cast("string")))
+        text = d.cast("string")  # 1.5E25, 1.0E-7
+        power = F.substring_index(text, "E", -1).try_cast("int")
+        scaled = F.concat(F.replace(F.concat(F.substring_index(text, "E", 1), F.lit("|")), F.lit(".0|"), F.lit("|")),
+                          F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                          F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(power).cast("string"))
+        value = F.when((d == 0) | F.abs(d).between(1e-4, 9999999999999998.0), plain) \
+                 .when(power.isNotNull(), F.replace(scaled, F.lit("|"), F.lit(""))).otherwise(F.lower(text))
     elif isinstance(dtype, T.StringType):
         value = F.concat(F.lit("'"), c, F.lit("'"))
     elif isinstance(dtype, T.BooleanType):
@@ -156,13 +155,20 @@ def shown(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(value, F.lit("None"))
 
 
+def number_text(c: Column) -> Column:
+    """Plain digits of a canonical cell's number; NULL if it holds none."""
+    w, f = c["w"], c["f"]
+    zero = F.lit(_ZERO).cast(_PART)
+    whole = F.abs(F.when(f < zero, w + 1).otherwise(w)).cast(_WHOLE).cast("string")
+    rest = F.rtrim(F.substring_index(F.abs(f).cast("string"), ".", -1), F.lit("0"))
+    exact = F.concat(F.when(w < 0, F.lit("-")).otherwise(F.lit("")), whole,
+                     F.when(f == zero, F.lit("")).otherwise(F.concat(F.lit("."), rest)))
+    return F.coalesce(c["i"].cast("string"), exact, c["n"])
+
+
 def cell_text(c: Column) -> Column:
     """Python-like text of a canonical cell, which no longer tells 1.0 from 1."""
-    return (F.when(c["i"].isNotNull(), c["i"].cast("string"))
-             .when(c["d"].isNotNull(), shown(c["d"], T.DoubleType()))
-             .when(c["x"].isNotNull(), c["x"])
-             .when(c["s"].isNotNull(), F.concat(F.lit("'"), c["s"], F.lit("'")))
-             .otherwise(F.lit("None")))
+    return F.coalesce(number_text(c), F.concat(F.lit("'"), c["s"], F.lit("'")), F.lit("None"))
 
 
 def row_text(texts: Column) -> Column:
@@ -177,20 +183,21 @@ def _fill(template: str, **cols: Column) -> Column:
     return F.concat(F.lit(head), col, F.lit(tail))
 
 
-def result_preview(results: DataFrame, rows: int = PREVIEW_ROWS, episodes: DataFrame | None = None) -> DataFrame:
+def result_preview(results: DataFrame, rows: int = PREVIEW_ROWS, episodes: DataFrame | None = None,
+                   texts: Column | None = None) -> DataFrame:
     """LIM2 + FN23: per (episode_id, side) the observation text of a result:
     ``Result (n rows):`` + the first ``rows`` rows (by row_no) + the
     ``... (k more rows)`` line.  Counts use a partial aggregation and the
     first rows a map-side top-k, so a huge result never lands in one task.
-    The values' texts come from ``shown`` (array of string) where the results
-    have it, else from the cells.
+    ``texts``, the values' texts as an array over the columns of ``results``
+    (else those of the cells), is computed for the first rows only.
 
     With ``episodes`` every (episode, side) gets a row; an empty result gives
     the no-rows text and ``n_rows = 0``."""
     keys = ["episode_id", "side"]
     counts = results.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    texts = F.col("shown") if "shown" in results.columns else F.transform("cells", cell_text)
-    top = first_k_per_group(results.select(*keys, "row_no", texts.alias("texts")), keys, ["row_no"], rows, "rn")
+    top = first_k_per_group(results, keys, ["row_no"], rows, "rn")
+    top = top.select(*keys, "rn", (F.transform("cells", cell_text) if texts is None else texts).alias("texts"))
     lines = top.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("rn", _fill(RESULT_ROW, row=row_text(F.col("texts"))).alias("line"))))
         .alias("lines"))

@@ -464,13 +464,15 @@ def q_resultset_reward(spark, sf_dir):
 @query
 def q_resultset_diff(spark, sf_dir):
     d = resultset.result_set_diff(S.result_rows(spark, sf_dir))
+    number = lambda i: resultset.number_text(F.col("cells")[i])
     return d.select("episode_id", "only_in", F.col("cells")[0]["s"].alias("status"), F.col("cells")[1]["i"].alias("yr"),
-                    F.coalesce(F.col("cells")[2]["x"], F.col("cells")[2]["i"].cast("string")).alias("price"))
+                    number(2).alias("price"), number(3).alias("ratio"), number(4).alias("size"))
 
 
 @query
 def q_result_preview(spark, sf_dir):
-    return resultset.result_preview(S.result_rows(spark, sf_dir), episodes=S.customer_episodes(spark, sf_dir))
+    return resultset.result_preview(S.result_rows(spark, sf_dir), episodes=S.customer_episodes(spark, sf_dir),
+                                    texts=S.result_texts())
 
 
 # ---------------------------------------------------------------- monitors

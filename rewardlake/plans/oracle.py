@@ -234,11 +234,14 @@ METRICS = (
     "FROM ep LEFT JOIN agg ON ep.episode_id = agg.episode_id)")
 RESULTS = (
     "ro AS (SELECT CAST(o_custkey AS VARCHAR) AS episode_id, o_custkey AS c, o_orderkey, o_orderstatus AS s, year(o_orderdate) AS y, "
-    "o_totalprice AS tp, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,8)) + CAST(9000000000000000 AS DECIMAL(38,8)) AS p FROM orders), "
-    "rpa AS (SELECT episode_id, o_orderkey, s, y, p + CAST(CASE WHEN c % 5 = 0 THEN '0.00000001' ELSE '0' END AS DECIMAL(38,8)) AS p "
+    "o_totalprice AS tp, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,8)) + CAST(9000000000000000 AS DECIMAL(38,8)) AS p, "
+    "CAST('0.' || CAST(o_orderkey % 10 AS VARCHAR) AS DECIMAL(38,30)) AS r, CAST('1' || repeat('0', 25) AS DECIMAL(38,0)) AS z FROM orders), "
+    "rpa AS (SELECT episode_id, o_orderkey, s, y, p + CAST(CASE WHEN c % 5 = 0 THEN '0.00000001' ELSE '0' END AS DECIMAL(38,8)) AS p, "
+    "r + CAST(CASE WHEN c % 7 = 0 THEN '0.' || repeat('0', 29) || '1' ELSE '0' END AS DECIMAL(38,30)) AS r, "
+    "z + CAST(CASE WHEN c % 11 = 0 THEN 1 ELSE 0 END AS DECIMAL(38,0)) AS z "
     "FROM ro WHERE c % 3 <> 0 OR tp > 50000), "
-    "rp AS (SELECT DISTINCT episode_id, s, y, p FROM rpa), "
-    "rg AS (SELECT DISTINCT episode_id, s, y, p FROM ro), "
+    "rp AS (SELECT DISTINCT episode_id, s, y, p, r, z FROM rpa), "
+    "rg AS (SELECT DISTINCT episode_id, s, y, p, r, z FROM ro), "
     "rpo AS (SELECT episode_id, count(*) AS n FROM (SELECT * FROM rp EXCEPT SELECT * FROM rg) GROUP BY episode_id), "
     "rgo AS (SELECT episode_id, count(*) AS n FROM (SELECT * FROM rg EXCEPT SELECT * FROM rp) GROUP BY episode_id), "
     "req AS (SELECT CAST(c_custkey AS VARCHAR) AS episode_id, coalesce(rpo.n, 0) AS pred_only, coalesce(rgo.n, 0) AS gold_only, "
@@ -246,6 +249,10 @@ RESULTS = (
     "LEFT JOIN rpo ON rpo.episode_id = CAST(c_custkey AS VARCHAR) LEFT JOIN rgo ON rgo.episode_id = CAST(c_custkey AS VARCHAR))")
 
 
+def digits(x: str) -> str:
+    return f"(CASE WHEN contains(CAST({x} AS VARCHAR), '.') THEN rtrim(rtrim(CAST({x} AS VARCHAR), '0'), '.') ELSE CAST({x} AS VARCHAR) END)"
+
+
 def _fmt(template: str, **cols: str) -> str:
     out, rest = [], template
     while rest:
@@ -444,13 +451,13 @@ ORACLE_SQL: dict[str, str] = {
         CASE WHEN sets_equal THEN 1.0 ELSE 0.0 END::DOUBLE AS reward FROM req""",
     "q_resultset_diff": f"""WITH {RESULTS}, d AS (SELECT 'pred' AS only_in, * FROM (SELECT * FROM rp EXCEPT SELECT * FROM rg)
           UNION ALL SELECT 'gold', * FROM (SELECT * FROM rg EXCEPT SELECT * FROM rp))
-        SELECT episode_id, only_in, s AS status, y AS yr, rtrim(rtrim(CAST(p AS VARCHAR), '0'), '.') AS price FROM d""",
-    "q_result_preview": f"""WITH {RESULTS}, sides AS (SELECT episode_id, 'pred' AS side, o_orderkey, s, CAST(y AS VARCHAR) AS y, p FROM rpa
-          UNION ALL SELECT episode_id, 'gold', o_orderkey, s, CAST(y AS VARCHAR) || '.0', p FROM ro),
+        SELECT episode_id, only_in, s AS status, y AS yr, {digits('p')} AS price, {digits('r')} AS ratio, {digits('z')} AS size FROM d""",
+    "q_result_preview": f"""WITH {RESULTS}, sides AS (SELECT episode_id, 'pred' AS side, o_orderkey, s, CAST(y AS VARCHAR) AS y, p, CAST(r AS VARCHAR) AS r, CAST(z AS VARCHAR) AS z FROM rpa
+          UNION ALL SELECT episode_id, 'gold', o_orderkey, s, CAST(y AS VARCHAR) || '.0', p, left(CAST(r AS VARCHAR), 3), '1e+25' FROM ro),
         rk AS (SELECT sides.*, row_number() OVER (PARTITION BY episode_id, side ORDER BY o_orderkey) AS rn,
           count(*) OVER (PARTITION BY episode_id, side) AS n FROM sides),
         pv AS (SELECT episode_id, side, n AS n_rows, 'Result (' || CAST(n AS VARCHAR) || {lit(' rows):' + chr(10))} ||
-          string_agg('  (''' || s || ''', ' || y || ', ' || CAST(p AS VARCHAR) || ')' || {NL}, '' ORDER BY rn) ||
+          string_agg('  (''' || s || ''', ' || y || ', ' || CAST(p AS VARCHAR) || ', ' || r || ', ' || z || ')' || {NL}, '' ORDER BY rn) ||
           CASE WHEN n > 20 THEN '  ... (' || CAST(n - 20 AS VARCHAR) || ' more rows)' || {NL} ELSE '' END AS preview
         FROM rk WHERE rn <= 20 GROUP BY episode_id, side, n),
         es AS (SELECT CAST(c_custkey AS VARCHAR) AS episode_id, v.side FROM customer, (VALUES ('pred'), ('gold')) v(side))

@@ -248,30 +248,49 @@ def episodes_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 def result_rows(spark: SparkSession, sf_dir: str, pred_min: float = 50000.0) -> DataFrame:
     """Predicted and gold result rows per customer episode, from all orders.
 
-    gold: (status, year as DOUBLE, price as DECIMAL) of every order; pred: the
-    same with the year as BIGINT, which the comparison must ignore.  Every
-    third customer's predicted query also asks for a price above ``pred_min``;
-    every fifth's adds a hundred-millionth to prices that are far beyond a
-    double's digits, which the comparison must not ignore.
+    gold: (status, year as DOUBLE, price as DECIMAL, ratio and size as DOUBLE) of
+    every order; pred: the same with the year as BIGINT, the ratio as
+    DECIMAL(38,30) and the size, 1e25, as DECIMAL(38,0), which the comparison must
+    ignore.  Every third customer's predicted query also asks for a price above
+    ``pred_min``; every fifth's adds a hundred-millionth to prices that are far
+    beyond a double's digits, every seventh's 1e-30 to the ratio and every
+    eleventh's 1 to the size, which the comparison must not ignore.
     """
-    from ..operators.resultset import shown, to_cells
+    from ..operators.resultset import to_cells
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
-    yr, c = F.year("o_orderdate"), F.col("o_custkey")
-    status = (F.col("o_orderstatus"), T.StringType())
-    wide = T.DecimalType(38, 8)
+    c = F.col("o_custkey")
     price = F.col("o_totalprice").cast("decimal(18,2)") + F.lit("9000000000000000").cast("decimal(18,0)")
     more = price + F.when(c % 5 == 0, F.lit("0.00000001").cast("decimal(9,8)")).otherwise(F.lit(0).cast("decimal(9,8)"))
-    side = lambda name, *typed: (F.lit(name).alias("side"), to_cells(*typed).alias("cells"),
-                                 F.array(*(shown(*t) for t in typed)).alias("shown"))
-    pred = F.struct(*side("pred", status, (yr.cast("bigint"), T.LongType()), (more.cast(wide), wide)),
-                    ((c % 3 != 0) | (F.col("o_totalprice") > pred_min)).alias("keep"))
-    gold = F.struct(*side("gold", status, (yr.cast("double"), T.DoubleType()), (price.cast(wide), wide)),
-                    F.lit(True).alias("keep"))
+    tenths = F.concat(F.lit("0."), (F.col("o_orderkey") % 10).cast("string"))
+    tiny = F.concat(tenths, F.when(c % 7 == 0, F.lit("0" * 28 + "1")).otherwise(F.lit("")))
+    o = o.select(c.cast("string").alias("episode_id"), F.col("o_orderkey").alias("row_no"), F.col("o_orderstatus").alias("status"),
+                 F.year("o_orderdate").cast("bigint").alias("year"), price.cast(_PRICE).alias("price"), more.cast(_PRICE).alias("more"),
+                 tenths.cast("double").alias("ratio"), tiny.cast(_RATIO).alias("exact_ratio"),
+                 F.when(c % 11 == 0, F.lit("1" + "0" * 24 + "1")).otherwise(F.lit("1" + "0" * 25)).cast(_SIZE).alias("exact_size"),
+                 F.lit(1e25).alias("size"), ((c % 3 != 0) | (F.col("o_totalprice") > pred_min)).alias("asked"))
     # one scan of orders feeds both sides
-    both = o.select(c.cast("string").alias("episode_id"), F.col("o_orderkey").alias("row_no"),
-                    F.explode(F.array(pred, gold)).alias("r"))
-    return both.filter(F.col("r.keep")).select("episode_id", F.col("r.side").alias("side"), "row_no",
-                                               F.col("r.cells").alias("cells"), F.col("r.shown").alias("shown"))
+    sides = o.withColumn("side", F.explode(F.when(F.col("asked"), F.array(F.lit("pred"), F.lit("gold"))).otherwise(F.array(F.lit("gold")))))
+    return sides.withColumn("cells", F.when(F.col("side") == "pred", to_cells(*_result_values("pred")))
+                            .otherwise(to_cells(*_result_values("gold"))))
+
+
+_PRICE, _RATIO, _SIZE = T.DecimalType(38, 8), T.DecimalType(38, 30), T.DecimalType(38, 0)
+
+
+def _result_values(side: str) -> list:
+    """The values of a side's rows, with their types."""
+    if side == "pred":
+        typed = [("status", T.StringType()), ("year", T.LongType()), ("more", _PRICE), ("exact_ratio", _RATIO), ("exact_size", _SIZE)]
+    else:
+        typed = [("status", T.StringType()), ("year", T.DoubleType()), ("price", _PRICE), ("ratio", T.DoubleType()), ("size", T.DoubleType())]
+    return [(F.col(c).cast(t), t) for c, t in typed]
+
+
+def result_texts():
+    """The texts of the values of ``result_rows``, as its preview shows them."""
+    from ..operators.resultset import shown
+    texts = {side: F.array(*(shown(*t) for t in _result_values(side))) for side in ("pred", "gold")}
+    return F.when(F.col("side") == "pred", texts["pred"]).otherwise(texts["gold"])
 
 
 def customer_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
