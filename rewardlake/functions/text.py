@@ -84,21 +84,27 @@ def fn_name_from_tests(test_list) -> Column:
     return F.nullif(F.regexp_extract(drop_assert_prefix(first), FN_NAME_PATTERN, 1), F.lit(""))
 
 
-def split_assert(assertion, fn_name) -> Column:
-    """FN5 structural part: STRUCT<ok, args, expected> of one assertion.
+def split_asserts(assertions, fn_name) -> Column:
+    """FN5 structural part: ARRAY<STRUCT<ok, args, expected>>, one for each assertion.
 
     ``ok`` is true when the text splits at the first ' == ' and the left side
-    is exactly ``fn(...)``; ``args`` is the text between the parentheses.
+    is exactly ``fn(...)``; ``args`` is the text between the parentheses.  Each
+    step is an array of its own, so that no text is cut or stripped twice.
     """
-    s = drop_assert_prefix(py_strip(_c(assertion)))
-    fn = _c(fn_name)
-    pos = F.locate(" == ", s)
-    call = py_strip(F.when(pos > 0, F.substring(s, F.lit(1), pos - 1)))
-    expected = py_strip(F.when(pos > 0, F.substring(s, pos + 4, F.lit(1 << 30))))
-    head = F.concat(fn, F.lit("("))
-    ok = (pos > 0) & call.startswith(head) & call.endswith(")") & (F.length(call) >= F.length(head) + 1)
-    args = F.substring(call, F.length(head) + 1, F.length(call) - F.length(head) - 1)
-    return F.struct(F.coalesce(ok, F.lit(False)).alias("ok"), args.alias("args"), expected.alias("expected"))
+    head = F.concat(_c(fn_name), F.lit("("))
+    texts = F.transform(F.transform(_c(assertions), py_strip), drop_assert_prefix)
+    cut = F.transform(texts, lambda s: F.struct(s.alias("s"), F.locate(" == ", s).alias("pos")))
+    sides = F.transform(cut, lambda c: F.struct(
+        py_strip(F.when(c["pos"] > 0, F.substring(c["s"], F.lit(1), c["pos"] - 1))).alias("call"),
+        py_strip(F.when(c["pos"] > 0, F.substring(c["s"], c["pos"] + 4, F.lit(1 << 30)))).alias("expected")))
+
+    def parts(c: Column) -> Column:
+        call = c["call"]
+        ok = call.startswith(head) & call.endswith(")") & (F.length(call) >= F.length(head) + 1)
+        args = F.substring(call, F.length(head) + 1, F.length(call) - F.length(head) - 1)
+        return F.struct(F.coalesce(ok, F.lit(False)).alias("ok"), args.alias("args"), c["expected"].alias("expected"))
+
+    return F.transform(sides, parts)
 
 
 def first_user_content(prompt) -> Column:

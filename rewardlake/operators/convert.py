@@ -10,15 +10,16 @@ from __future__ import annotations
 import ast
 import json
 import operator
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.jsonfns import messages
 from ..functions.text import (ARTICLE_MARK, fn_name_from_tests, is_blank, py_strip, sentence_snap,
-                              split_assert)
+                              split_asserts)
 
 # ---- fixed values of the reference records ----
 RLAIF_DATA_SOURCE, RLAIF_ABILITY, RLAIF_STYLE = "cnn_dailymail", "summarization", "llmj"
@@ -58,44 +59,75 @@ def rlaif_tagged(articles: DataFrame, instruction: str = SUMMARY_INSTRUCTION) ->
     reason = F.when(short, F.lit("skipped_short")).otherwise(F.lit("converted"))
     content = F.concat(F.lit(instruction), F.lit("\n\n" + ARTICLE_MARK), sentence_snap(a))
     return articles.select(
-        "ordinal", reason.alias("reason"),
+        *(c for c in ("split_ord",) if c in articles.columns), "ordinal", reason.alias("reason"),
         F.lit(RLAIF_DATA_SOURCE).alias("data_source"),
         messages(("user", content)).alias("prompt"),
         F.lit(RLAIF_ABILITY).alias("ability"),
         F.struct(F.lit(RLAIF_STYLE).alias("style"), h.alias("ground_truth")).alias("reward_model"))
 
 
+def source_order(df: DataFrame) -> list[str]:
+    """The columns of source order: the split first, where there are splits."""
+    return [c for c in ("split_ord", "ordinal") if c in df.columns]
+
+
 def rlaif_convert(articles: DataFrame, max_samples: int | None = None) -> DataFrame:
     """Training records for summarisation (optionally the first N kept)."""
     tagged = rlaif_tagged(articles)
     kept = tagged.filter(F.col("reason") == "converted")
     if max_samples is not None:
-        kept = first_n(kept, "ordinal", max_samples)
-    return kept.select("ordinal", "data_source", "prompt", "ability", "reward_model")
+        kept = first_n(kept, source_order(kept), max_samples)
+    return kept.select(*source_order(kept), "data_source", "prompt", "ability", "reward_model")
 
 
 # --------------------------------------------------------------------- LIM1
-def first_n(kept: DataFrame, ordinal: str, n: int) -> DataFrame:
-    """First ``n`` kept rows in source order (TakeOrderedAndProject: each task
-    keeps n rows, one merge of n x tasks rows)."""
-    return kept.orderBy(ordinal).limit(n)
+def _up_to_nth(rows: DataFrame, order: Sequence[str], n: int) -> Column:
+    """Condition that holds for rows no later in ``order`` than the n-th of
+    ``rows`` (for all, where there are fewer).
+
+    Only the order's columns are dealt to ranges.  What each range holds is
+    counted, one number a range; the counts, summed up, name the range that
+    holds the n-th row, and that range alone is sorted.  So no task holds n
+    rows, and no wide row moves.
+    """
+    from ..session import materialize
+    if n <= 0:
+        return F.lit(False)
+    ranged = rows.select(*order).repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(rows.sparkSession, ranged, "order")
+    left = n
+    for r, held in ranged.groupBy("_range").count().orderBy("_range").collect():
+        if held >= left:
+            last = ranged.filter(F.col("_range") == r).orderBy(*order).offset(left - 1).limit(1).first()
+            break
+        left -= held
+    else:
+        return F.lit(True)
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    key = [F.lit(last[c]).cast(types[c]) for c in order]
+    if len(order) == 1:
+        return F.coalesce(F.col(order[0]) <= key[0], F.lit(True))  # nulls come first
+    return F.struct(*order) <= F.struct(*(k.alias(c) for k, c in zip(key, order)))
 
 
-def capped_stats(tagged: DataFrame, ordinal: str, n: int | None, kept_reason: str = "converted") -> DataFrame:
-    """AGG7 under LIM1: per-reason counts of the rows the reference's loop
-    looks at before it stops (all rows when fewer than ``n`` are kept).
+def _names(order: str | Sequence[str]) -> list[str]:
+    return [order] if isinstance(order, str) else list(order)
 
-    The cut-off is an uncorrelated scalar subquery over the n kept rows, so no
-    single-partition window and no cross join are needed.
-    """
-    if n is None:
-        scoped = tagged
-    else:
-        kept = first_n(tagged.filter(F.col("reason") == kept_reason).select(ordinal), ordinal, n)
-        # one scalar subquery: (how many were kept, ordinal of the last kept)
-        cut = kept.agg(F.struct(F.count(F.lit(1)).alias("n"), F.max(ordinal).alias("last"))).scalar()
-        scoped = tagged.filter((cut["n"] < F.lit(n)) | (F.col(ordinal) <= cut["last"]))
-    return scoped.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+def first_n(kept: DataFrame, order: str | Sequence[str], n: int) -> DataFrame:
+    """LIM1 / WIN4: the first ``n`` kept rows in source order, which may need
+    several columns (split, ordinal) and must tell all rows apart."""
+    return kept.filter(_up_to_nth(kept, _names(order), n))
+
+
+def capped_stats(tagged: DataFrame, order: str | Sequence[str], n: int | None, kept_reason: str = "converted") -> DataFrame:
+    """AGG7 under LIM1: per-reason counts of the rows the reference's loop
+    looks at before it stops: those up to the n-th kept one (all rows when
+    fewer than ``n`` are kept)."""
+    if n is not None:
+        kept = tagged.filter(F.col("reason") == kept_reason)
+        tagged = tagged.filter(_up_to_nth(kept, _names(order), n))
+    return tagged.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --------------------------------------------------------------------- RLVR
@@ -107,8 +139,7 @@ def rlvr_structure(problems: DataFrame) -> DataFrame:
     (in test order) as (args text, expected text)."""
     fn = fn_name_from_tests("test_list")
     with_fn = problems.withColumn("fn_name", fn)
-    parts = F.transform("test_list", lambda t: split_assert(t, F.col("fn_name")))
-    calls = F.transform(F.filter(parts, lambda p: p["ok"]),
+    calls = F.transform(F.filter(split_asserts("test_list", "fn_name"), lambda p: p["ok"]),
                         lambda p: F.struct(p["args"].alias("args"), p["expected"].alias("expected")))
     return with_fn.withColumn("calls", F.when(F.col("fn_name").isNotNull(), calls).otherwise(F.array().cast(_CALLS)))
 
@@ -137,19 +168,33 @@ def _number(node: ast.AST):
     raise ValueError("not a literal")
 
 
-class _Fold(ast.NodeTransformer):
-    def visit_BinOp(self, node):  # noqa: N802 - the name the visitor calls
-        return ast.Constant(_number(node))
+def _value(node: ast.AST):
+    """Value of a literal, in which numbers may be computed; anything else is an error."""
+    if isinstance(node, ast.Constant):
+        return node.value
+    if isinstance(node, ast.Tuple):
+        return tuple(map(_value, node.elts))
+    if isinstance(node, ast.List):
+        return list(map(_value, node.elts))
+    if isinstance(node, ast.Dict):
+        return {_value(k): _value(v) for k, v in zip(node.keys, node.values, strict=True)}
+    return _number(node)
 
 
-def _value(node: ast.AST):
-    return ast.literal_eval(_Fold().visit(node))
+_PARSE = ast.PyCF_ONLY_AST
+
+
+def _is_int(text: str) -> bool:
+    return text.isascii() and text.isdecimal() and (text[0] != "0" or len(text) == 1) and len(text) < 4000
 
 
 def _literal_args(args_text: str) -> str:
     """Positional literal arguments of ``f(<args_text>)`` as newline-joined
     JSON (keyword arguments are ignored, as in the reference)."""
-    node = ast.parse(f"_f({args_text})", mode="eval").body
+    plain = args_text.split(", ")
+    if all(map(_is_int, plain)):
+        return "\n".join(plain)
+    node = compile(f"_f({args_text})", "", "eval", _PARSE).body
     if not isinstance(node, ast.Call):
         raise ValueError("not a single call")
     vals = []
@@ -161,7 +206,9 @@ def _literal_args(args_text: str) -> str:
 
 
 def _literal_value(text: str) -> str:
-    v = _value(ast.parse(text.strip(), mode="eval").body)
+    if _is_int(text):
+        return text
+    v = _value(compile(text.strip(), "", "eval", _PARSE).body)
     if isinstance(v, tuple):
         v = list(v)
     return json.dumps(v)
@@ -186,15 +233,22 @@ def parse_literal_pairs(args, expected) -> tuple[list[str], list[str]]:
     return ins, outs
 
 
-@F.pandas_udf(T.StructType([T.StructField(c, T.ArrayType(T.StringType())) for c in ("inputs", "outputs")]))
-def _literals(args: pd.Series, expected: pd.Series) -> pd.DataFrame:
-    parsed = [parse_literal_pairs(a, e) for a, e in zip(args, expected)]
-    return pd.DataFrame({"inputs": [p[0] for p in parsed], "outputs": [p[1] for p in parsed]})
+_PARSED = T.StructType([T.StructField(c, T.ArrayType(T.StringType())) for c in ("inputs", "outputs")])
+
+
+def _parse_batch(calls: pa.Array) -> pa.Array:
+    rows = [parse_literals(c) for c in calls.to_pylist()]
+    text = pa.list_(pa.string())
+    return pa.array([{"inputs": i, "outputs": o} for i, o in rows], pa.struct([("inputs", text), ("outputs", text)]))
 
 
 def rlvr_literals(structured: DataFrame) -> DataFrame:
-    """UDF4: literal parsing in Arrow batches; only the two arrays of texts leave the JVM."""
-    parsed = structured.withColumn("_io", _literals(F.col("calls.args"), F.col("calls.expected")))
+    """UDF4: literal parsing in Arrow batches; only the calls' texts leave the JVM.
+
+    Parsing has no side effects, but it is marked as if it might, or filters on
+    its results would be pushed below it together with a second run of it."""
+    parse = F.arrow_udf(_parse_batch, _PARSED).asNondeterministic()
+    parsed = structured.withColumn("_io", parse(F.col("calls")))
     return parsed.withColumn("inputs", F.col("_io.inputs")).withColumn("outputs", F.col("_io.outputs")).drop("_io", "calls")
 
 
@@ -266,12 +320,12 @@ def mtrl_tagged(questions: DataFrame, available: DataFrame, corpus: DataFrame,
         F.lit(MTRL_ENV_CLASS).alias("env_class"),
         F.struct(F.col("query").alias("ground_truth"), F.lit(MTRL_STYLE).alias("style")).alias("reward_spec"),
         F.struct("db_id", "question", F.lit(MTRL_SPLIT).alias("split")).alias("extra_info"))
-    return q.select("ordinal", "reason", "db_id", "question", "query", "schema", F.to_json(record).alias("prompt"))
+    return q.select(*source_order(q), "reason", "db_id", "question", "query", "schema", F.to_json(record).alias("prompt"))
 
 
 def mtrl_convert(questions: DataFrame, available: DataFrame, corpus: DataFrame,
                  max_samples: int | None = None) -> DataFrame:
     kept = mtrl_tagged(questions, available, corpus).filter(F.col("reason") == "converted")
     if max_samples is not None:
-        kept = first_n(kept, "ordinal", max_samples)
+        kept = first_n(kept, source_order(kept), max_samples)
     return kept

@@ -50,20 +50,27 @@ def _cell(i=None, s=None, w=None, f=None, n=None) -> Column:
 
 
 def _double_cell(d: Column) -> Column:
-    size, none = F.abs(d), F.lit(_ZERO).cast(_PART)
-    integral, plain = d == F.rint(d), d.try_cast("decimal(38,20)")
-    whole, part = d.try_cast(_WHOLE), d.try_cast(_PART)
-    return (F.when(integral & (size < F.lit(9.2e18)), _cell(i=d.try_cast("bigint")))
-             .when(integral & whole.isNotNull(), _cell(w=whole, f=none))
-             .when(~integral & (size >= 1), _cell(w=F.floor(plain), f=plain % 1))
-             .when((size < 1) & (part.cast("double") == d), _cell(w=F.when(d < 0, F.lit(-1)).otherwise(F.lit(0)), f=part))
+    # no cast below can overflow where it is used: a failing cast costs more than all the rest
+    size, plain, part = F.abs(d), d.cast("decimal(38,20)"), d.cast(_PART)
+    integral = d == F.rint(d)
+    return (F.when(integral & (size < F.lit(9.2e18)), _cell(i=d.cast("bigint")))
+             .when(integral & (size < F.lit(9e37)), _cell(w=d.cast(_WHOLE), f=F.lit(_ZERO)))
+             .when(~integral & (size >= 1) & (size < F.lit(9.2e18)), _cell(w=F.floor(plain), f=plain % 1))
+             .when((size < 1) & F.when(size < 1, part.cast("double") == d),
+                   _cell(w=F.when(d < 0, F.lit(-1)).otherwise(F.lit(0)), f=part))
              .otherwise(_cell(n=d.cast("string"))))
 
 
 def _decimal_cell(c: Column, dtype: T.DecimalType) -> Column:
-    whole, part = (c, F.lit(_ZERO)) if dtype.scale == 0 else (F.floor(c), c % 1)
-    part, i = part.cast(_PART), whole.try_cast("bigint")
-    return F.when((part == F.lit(_ZERO).cast(_PART)) & i.isNotNull(), _cell(i=i)).otherwise(_cell(w=whole, f=part))
+    digits, scale = dtype.precision - dtype.scale, dtype.scale
+    whole, rest, fits = c, F.lit(_ZERO), F.lit(True)
+    if scale:
+        whole, rest = F.floor(c), c % 1
+        fits = rest == F.lit(_ZERO).cast(T.DecimalType(min(digits, 1) + scale, scale))
+    if digits > 18:
+        low, high = (F.lit(Decimal(v)).cast(dtype) for v in (-(1 << 63), (1 << 63) - 1))
+        fits = c.between(low, high) & fits
+    return F.when(fits, _cell(i=whole.cast("bigint"))).otherwise(_cell(w=whole, f=rest))
 
 
 def cell(c: Column, dtype: T.DataType) -> Column:

@@ -72,6 +72,34 @@ def q_convert_stats(spark, sf_dir):
     return convert.capped_stats(tagged, "ordinal", convert.RLAIF_MAX_SAMPLES)
 
 
+#: Cap of the two-split queries: low enough to bind on the smallest tables.
+SPLIT_CAP = 60
+
+
+def _split_articles(spark, sf_dir):
+    """LIM1 over (split, ordinal): documents in English are the first split, all others the second."""
+    d = readers.read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    t = d.select(F.col("doc_id").alias("ordinal"), F.col("text").alias("article"), F.col("text").alias("highlights"), "lang")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    return readers.union_splits({"train": t.filter(english), "test": t.filter(~english)})
+
+
+@query
+def q_first_n_splits(spark, sf_dir):
+    """SRC1 + LIM1: the first rows over both splits, in the order split, ordinal; more than the first split has."""
+    t = _split_articles(spark, sf_dir)
+    n = t.filter(F.col("split") == "train").count() + SPLIT_CAP
+    kept = convert.rlaif_convert(t, max_samples=n)
+    return kept.select("split_ord", "ordinal", F.col("reward_model.ground_truth").alias("ground_truth"))
+
+
+@query
+def q_convert_stats_splits(spark, sf_dir):
+    """AGG7 under LIM1 over both splits, the cap being reached within the first."""
+    tagged = convert.rlaif_tagged(_split_articles(spark, sf_dir))
+    return convert.capped_stats(tagged, ["split_ord", "ordinal"], SPLIT_CAP)
+
+
 @query
 def q_mtrl_stats(spark, sf_dir):
     """AGG7: the text-to-SQL converter's three counters under its own cap."""

@@ -120,15 +120,22 @@ GT = ("(CASE WHEN doc_id % 17 = 0 THEN 'not json [' WHEN doc_id % 3 = 0 THEN '{'
 _DROPPED = "(CASE WHEN doc_id % 3 = 0 AND doc_id % 5 = 0 AND doc_id % 8 > 0 THEN 1 ELSE 0 END)"
 CODE_SAMPLES = (f"{KEYS}, cs AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS id, {RESPONSE} AS response, "
                 f"CASE WHEN doc_id % 17 = 0 THEN 0 ELSE doc_id % 8 - {_DROPPED} END AS total, {_DROPPED} AS dropped, {GT} AS gt FROM ks)")
+# the passed tests of an order, joined by its key alone
+OKS = "oks AS (SELECT l_orderkey, list(idx) AS passed_tests FROM lines WHERE passed GROUP BY l_orderkey)"
+PASSED = "coalesce(len(list_filter(oks.passed_tests, lambda t: t < total)), 0)"
 CODE_SCORED = (
     "cx AS (SELECT cs.*, " + unfence("response", "```python") + " AS code FROM cs), "
-    "pc AS (SELECT cx.id, count(*) FILTER (WHERE l.passed) AS passed "
-    "FROM cx JOIN lines l ON l.l_orderkey = cx.doc_id AND l.idx < cx.total GROUP BY cx.id), "
-    "cz AS (SELECT cx.id, cx.total, coalesce(pc.passed, 0) AS passed, cx.code, " + nonblank_lines("cx.code") + " AS lines, "
-    "(cx.total = 0 OR cx.code = '') AS zero FROM cx LEFT JOIN pc ON cx.id = pc.id), "
+    "cl AS (SELECT doc_id, id, total, code = '' AS blank, " + nonblank_lines("code") + " AS lines FROM cx), "
+    "cz AS (SELECT cl.id, cl.total, " + PASSED + " AS passed, cl.lines, (cl.total = 0 OR cl.blank) AS zero "
+    "FROM cl LEFT JOIN oks ON oks.l_orderkey = cl.doc_id), "
     "cr AS (SELECT id, total, passed, zero, CASE WHEN total > 0 THEN CAST(passed AS DOUBLE) / total ELSE 0.0::DOUBLE END AS corr, "
     "lines, " + concise("lines") + " AS conc FROM cz)")
-CODE_WITH = f"WITH {LINES}, {CODE_SAMPLES}, {CODE_SCORED}"
+CODE_WITH = f"WITH {LINES}, {OKS}, {CODE_SAMPLES}, {CODE_SCORED}"
+# correctness alone needs no code
+CODE_PASSED = (f"WITH {LINES}, {OKS}, ks AS (SELECT doc_id FROM documents UNION SELECT l_orderkey FROM lineitem), "
+               f"tt AS (SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN 0 ELSE doc_id % 8 - {_DROPPED} END AS total FROM ks), "
+               f"cr AS (SELECT CAST(doc_id AS VARCHAR) AS id, total, {PASSED} AS passed FROM tt LEFT JOIN oks ON oks.l_orderkey = tt.doc_id)")
+_CORR = "CASE WHEN total > 0 THEN CAST(passed AS DOUBLE) / total ELSE 0.0::DOUBLE END"
 
 PROBLEMS = (
     "pp AS (SELECT p_partkey AS problem_id, p_name, p_brand, CAST(p_size AS VARCHAR) AS size, "
@@ -335,6 +342,15 @@ ORACLE_SQL: dict[str, str] = {
         k AS (SELECT ordinal FROM t WHERE reason = 'converted' ORDER BY ordinal LIMIT 5000),
         c AS (SELECT count(*) AS n, max(ordinal) AS last FROM k)
         SELECT reason, count(*) AS n FROM t, c WHERE c.n < 5000 OR t.ordinal <= c.last GROUP BY reason""",
+    "q_first_n_splits": f"""WITH sp AS (SELECT CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS split_ord, doc_id AS ordinal, {strip('text')} AS h FROM documents)
+        SELECT split_ord, ordinal, h AS ground_truth FROM sp WHERE length(h) >= 100 ORDER BY split_ord, ordinal
+        LIMIT (SELECT count(*) + 60 FROM sp WHERE split_ord = 0)""",
+    "q_convert_stats_splits": f"""WITH sp AS (SELECT CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS split_ord, doc_id AS ordinal,
+          CASE WHEN length({strip('text')}) >= 100 THEN 'converted' ELSE 'skipped_short' END AS reason FROM documents),
+        pl AS (SELECT *, row_number() OVER (ORDER BY split_ord, ordinal) AS place,
+          coalesce(sum(CASE WHEN reason = 'converted' THEN 1 ELSE 0 END) OVER (ORDER BY split_ord, ordinal
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS kept_before FROM sp)
+        SELECT reason, count(*) AS n FROM pl WHERE kept_before < 60 GROUP BY reason""",
     "q_length_rule": f"SELECT doc_id, {length_rule(strip('text'))} AS length_rule FROM documents",
     "q_summary_sentences": f"SELECT doc_id, {count_parts(strip('text'))} AS summary_sentences FROM documents",
     "q_union_splits": """SELECT 'train' AS split, doc_id AS ordinal, text AS article FROM documents WHERE lang = 'en'
@@ -364,7 +380,7 @@ ORACLE_SQL: dict[str, str] = {
         CASE WHEN zero THEN 0.0::DOUBLE ELSE round_even(0.8::DOUBLE * corr + 0.2::DOUBLE * conc, 4) END AS aggregate_reward_score,
         total, passed, CASE WHEN zero THEN NULL ELSE corr END AS correctness, CASE WHEN zero THEN NULL ELSE conc END AS conciseness,
         CASE WHEN zero THEN NULL ELSE lines END AS code_lines FROM cr""",
-    "q_rlvr_correctness": f"{CODE_WITH} SELECT id AS sample_id, total, passed, corr AS correctness FROM cr",
+    "q_rlvr_correctness": f"{CODE_PASSED} SELECT id AS sample_id, total, passed, {_CORR} AS correctness FROM cr",
     "q_ground_truth_fallback": f"""WITH {CODE_SAMPLES}
         SELECT id, CASE WHEN CAST(id AS BIGINT) % 13 = 0 THEN 'reference_answer' ELSE 'reward_model' END AS gt_source, gt FROM cs""",
     "q_zip_tests": f"""WITH {CODE_SAMPLES}, t AS (SELECT id, doc_id, dropped, unnest(range(total)) AS idx FROM cs)
@@ -548,7 +564,7 @@ ORACLE_SQL["q_sink_jsonl"] = f"""SELECT data_source, content, ability, style, gr
     UNION ALL SELECT 'mbpp', content, 'code', 'rule', ground_truth FROM ({ORACLE_SQL['q_rlvr_convert']})"""
 _SLIDING = "(SELECT unnest([time_bucket(INTERVAL '1 day', ts), time_bucket(INTERVAL '1 day', ts) - INTERVAL '1 day']) AS w, * FROM events)"
 ORACLE_SQL.update({
-    "q_reward_presets": f"{CODE_WITH} SELECT id, CASE WHEN total > 0 THEN round_even(corr, 4) ELSE 0.0::DOUBLE END AS aggregate_reward_score FROM cr",
+    "q_reward_presets": f"{CODE_PASSED} SELECT id, CASE WHEN total > 0 THEN round_even({_CORR}, 4) ELSE 0.0::DOUBLE END AS aggregate_reward_score FROM cr",
     "q_reward_plugin": """SELECT CAST(doc_id AS VARCHAR) AS id, least(n, 1000) / 1000.0::DOUBLE AS aggregate_reward_score,
         CAST(n AS DOUBLE) AS chars FROM (SELECT doc_id, CASE WHEN toxic = 1 THEN 2 ELSE length(text) END AS n
         FROM documents JOIN labels USING (doc_id))""",

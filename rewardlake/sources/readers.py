@@ -69,14 +69,15 @@ def read_prompt_records(df: DataFrame, raw_col: str = "prompt") -> DataFrame:
     schema = ("prompt array<struct<role:string,content:string>>, env_class string, "
               "reward_spec struct<ground_truth:string,style:string>, "
               "extra_info struct<db_id:string,question:string,split:string>")
-    parsed = guarded_from_json(F.col(raw_col), schema)
-    wrapped = F.struct(F.array(F.struct(F.lit("user").alias("role"), F.col(raw_col).alias("content"))).alias("prompt"),
-                       F.lit(None).cast("string").alias("env_class"),
-                       F.lit(None).cast("struct<ground_truth:string,style:string>").alias("reward_spec"),
-                       F.lit(None).cast("struct<db_id:string,question:string,split:string>").alias("extra_info"))
+    # parsed in a column of its own, which the optimizer keeps: every use of the
+    # expression itself would parse again
+    df = df.withColumn("_parsed", guarded_from_json(F.col(raw_col), schema))
+    parsed, messages = F.col("_parsed"), "array<struct<role:string,content:string>>"
+    wrapped = F.array(F.struct(F.lit("user").alias("role"), F.col(raw_col).alias("content")))
     # a record without messages has an empty list of them
-    filled = parsed.withField("prompt", F.coalesce(parsed["prompt"], F.array().cast("array<struct<role:string,content:string>>")))
-    return df.withColumn("record", F.when(parsed.isNull(), wrapped).otherwise(filled))
+    prompt = F.when(parsed.isNull(), wrapped).otherwise(F.coalesce(parsed["prompt"], F.array().cast(messages)))
+    record = F.struct(prompt.alias("prompt"), *(parsed[c].alias(c) for c in ("env_class", "reward_spec", "extra_info")))
+    return df.withColumn("record", record).drop("_parsed")
 
 
 def read_scoring_batches(spark: SparkSession, path: str, schema, whole_files: bool = True) -> DataFrame:

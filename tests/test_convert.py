@@ -44,13 +44,28 @@ def test_rlvr_record_shape(spark):
 
 
 def test_sinks_round_trip(spark):
-    back = {r["data_source"]: r["n"] for r in C.q_sink_jsonl(spark, SF_SMALL).collect()}
-    assert back["cnn_dailymail"] == C.q_rlaif_convert(spark, SF_SMALL).count()
-    assert back["mbpp"] == C.q_rlvr_convert(spark, SF_SMALL).count()
+    back = dict(C.q_sink_jsonl(spark, SF_SMALL).groupBy("data_source").count().collect())
+    assert back == {"cnn_dailymail": C.q_rlaif_convert(spark, SF_SMALL).count(), "mbpp": C.q_rlvr_convert(spark, SF_SMALL).count()}
     p = C.q_sink_prompt(spark, SF_SMALL)
     assert p.columns == ["prompt"] and p.count() == C.q_mtrl_convert(spark, SF_SMALL).count()
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 29, 30, 31, 60, 61, 200])
+def test_first_n_over_split_and_ordinal(spark, n):
+    rows = [(split, i, "converted" if (i + split) % 3 else "skipped_short") for split in (0, 1) for i in range(45)]
+    df = spark.createDataFrame(rows[::-1], "split_ord int, ordinal bigint, reason string").repartition(4)
+    kept = [r for r in sorted(rows) if r[2] == "converted"][:n]
+    order = ["split_ord", "ordinal"]
+    assert sorted(map(tuple, convert.first_n(df.filter("reason = 'converted'"), order, n).collect())) == kept
+    seen, counts = 0, {}
+    for split, i, reason in sorted(rows):
+        if seen >= n:
+            break
+        counts[reason] = counts.get(reason, 0) + 1
+        seen += reason == "converted"
+    assert dict(convert.capped_stats(df, order, n).collect()) == counts
+
+
 def test_observe_and_empty_warning(spark):
     df = spark.createDataFrame([(1, "skipped_short")], "ordinal bigint, reason string")
     tagged, obs = readers.observe_counts(df, "t", "reason", ["converted", "skipped_short"])

@@ -1,5 +1,5 @@
 """Plan checks: expression-only operators stay in the JVM; filters and
-column pruning reach the scan; first-N is a top-k, not a global window."""
+column pruning reach the scan; first-N needs neither a global window nor a shuffle of its rows."""
 
 import re
 
@@ -37,9 +37,23 @@ def test_pushdown_and_pruning(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double>" in p
 
 
-def test_first_n_is_top_k(spark):
-    p = plan(C.q_first_n(spark, SF_SMALL))
-    assert "TakeOrderedAndProject" in p and "Window" not in p
+def test_first_n_moves_no_wide_row(spark):
+    for name in ("q_first_n", "q_first_n_splits"):
+        p = plan(C.REGISTRY[name](spark, SF_SMALL))
+        assert "Exchange" not in p and "Window" not in p and "TakeOrdered" not in p, name
+
+
+def test_literals_are_parsed_once(spark):
+    for name in ("q_rlvr_convert", "q_double_json", "q_assert_literals"):
+        assert plan(C.REGISTRY[name](spark, SF_SMALL)).count("ArrowEvalPython") == 1, name
+
+
+def test_prompts_are_parsed_once(spark):
+    assert plan(C.q_prompt_parse(spark, SF_SMALL)).count("from_json") == 1
+
+
+def test_result_cells_use_no_regular_expression(spark):
+    assert "regexp" not in plan(C.q_resultset_reward(spark, SF_SMALL))
 
 
 def test_semi_join_sized_at_runtime(spark):
