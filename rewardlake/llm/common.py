@@ -19,6 +19,14 @@ def read_documents(spark: SparkSession, sf_dir: str, table: str = "documents") -
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables (frames that ``materialize`` gave) that nothing will read again."""
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only ``doc_id`` (long) and ``text`` (null: empty); other columns are pruned from the scan."""
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))

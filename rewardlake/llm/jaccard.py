@@ -10,16 +10,23 @@ shingles.
    one below.  A band's sets are cut by hash ranges into one block more than
    the most differences it allows: linked sets agree in a whole block.
 2. A block's shingles are XORed into a word; band, block and word make a key.
-   Each task sends its keys, once for each set, packed by hash of the key; who
-   shares a key is joined to the least of them.
-3. Connected parts of that graph hold all candidates.  Their sets meet in
-   units of bounded size: small parts together, a large part cut into chunks of
-   which any two meet.  There a parity bit sketch, whose Hamming distance is at
-   most the number of differences, throws out most pairs, and the sets verify
-   all others.  Each pair meets in one unit, so each link leaves one unit, in a
-   row of its first set; a spanning forest of a unit's links goes with them.
-4. Connected components of the forests are the classes.  A row's links are the
-   other rows of its set and the rows of all sets linked to it.
+   One pass over the texts names the sets, makes their keys and a parity bit
+   sketch of each: its Hamming distance to another's is at most the number of
+   differences.  Keys travel packed by hash of the key.
+3. Sets that share a key are a group.  Each is compared, by sketch and size, with
+   the least of its group.  Groups in which one fails are compared pair by pair,
+   since any two of them may be near.  Only pairs whose sketches pass join sets
+   to parts, so texts that merely share a passage do not.
+4. Shingles are made again for the sets in parts alone.  They meet in units of
+   bounded size: small parts together, a large part cut into chunks of which any
+   two meet; pairs whose sketches pass are verified on the sets.  Each pair meets
+   in one unit.  A unit gives a spanning forest of its links and, where asked
+   for, how many rows are linked to each set, or the links themselves.
+5. Connected components of the forests are the classes.  A row's links are the
+   other rows of its set and the rows of all sets linked to it.  Where classes
+   alone are asked for, pairs that a unit has joined already are not verified.
+
+Tables of the shared folder that nothing needs any more are deleted.
 
 An empty block says nothing and gives no key, which could lose a pair whose
 only common blocks are empty.  That needs every difference in a block of its
@@ -36,7 +43,6 @@ no row; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,14 +54,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .blocks import bucket_count
-from .common import LOWER_AZ, id_and_text, read_documents
+from .common import LOWER_AZ, discard, id_and_text, read_documents
 from .components import components
 
 SURE, CUTS = 40, 24
-#: Words in a worker's hash cache; keys that a task holds; shingles and sets in one unit; shingles looked up at a time.
-CACHE, PACK_KEYS, UNIT_SHINGLES, UNIT_SETS, GATHERED = 500_000, 2_000_000, 2_000_000, 1024, 1_000_000
-#: Most candidate sets whose ids (16 bytes each) are broadcast; more are joined by shuffle.
+#: Words in a worker's hash cache, bytes of the longest one in it; keys that a task holds; text characters a bucket.
+CACHE, CACHED_WORD, PACK_KEYS, BUCKET_CHARS = 500_000, 64, 2_000_000, 16 << 20
+#: Shingles and sets in one unit; sets of one group compared in one unit; shingles looked up at a time.
+UNIT_SHINGLES, UNIT_SETS, GROUP_SETS, GATHERED = 2_000_000, 1024, 4096, 1_000_000
+#: Most rows of a table of ids that is broadcast; larger ones are joined by shuffle.
 MOST_BROADCAST = 500_000
 
 _U = np.uint64
@@ -70,9 +77,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHED_WORD:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = h
         return h
 
 
@@ -136,92 +145,215 @@ class Link:
                 return np.concatenate(out)
         return np.concatenate([*out, mix(np.array([_U(band) << _U(20)]))])
 
-    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        return self.den * both >= self.num * (len(a) + len(b) - both)
+    def bits(self, size: int) -> int:
+        """The bits of a set's sketch: enough for the differences that it may have, a power of two."""
+        most = 2 * size * (self.den - self.num) // (self.den + self.num) + 1
+        return 1 << min(16, max(8, int(8 * most - 1).bit_length()))
 
+    def near(self, apart, sizes):
+        """Whether sets of so many shingles together may be linked, so many bits of whose sketches differ."""
+        return apart * (self.den + self.num) <= sizes * (self.den - self.num)
 
-def _sets(docs: DataFrame, link: Link) -> DataFrame:
-    """(doc_id, n_shingles, sid) of every row; ``sid`` is null for an empty set."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), link.width, hashes) for t in batch.column(1)]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                "sid": pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())})
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, sid long")
+_PASS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), ("sketch", pa.binary()),
+                   ("bucket", pa.int64()), ("keys", pa.binary()), ("sids", pa.binary()), ("counts", pa.binary())])
 
 
-def _key_rows(docs: DataFrame, link: Link, buckets: int) -> DataFrame:
-    """(bucket, keys, sids): packed keys of the sets that a task sees, each set once."""
+def _pass(docs: DataFrame, link: Link, buckets: int) -> DataFrame:
+    """Two kinds of rows: (doc_id, n_shingles, sid, sketch) of every row, ``sid`` being null for an empty set and
+    ``sketch`` there when its task meets the set first; and (bucket, keys, sids, counts), packed keys of these sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen, keys, sids, held = WordHashes(), set(), [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             key = np.concatenate(keys)
-            sid = np.repeat(np.array(sids, np.int64), [len(k) for k in keys])
+            owner = np.repeat(np.arange(len(sids)), [len(k) for k in keys])
             bucket = (key % _U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            key, sid, bucket = key[order], sid[order], bucket[order]
+            key, owner, bucket = key[order], owner[order], bucket[order]
             starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-            ends = [*starts[1:].tolist(), len(bucket)]
-            cuts = list(zip(starts.tolist(), ends, strict=True))
-            yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array(bucket[starts]), "keys": pa.array([key[a:b].tobytes() for a, b in cuts], pa.binary()),
-                "sids": pa.array([sid[a:b].tobytes() for a, b in cuts], pa.binary())})
+            names, out = np.array(sids, np.int64), []
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)], strict=True):
+                first = np.flatnonzero(np.diff(owner[a:b], prepend=-1))
+                out.append({"bucket": int(bucket[a]), "keys": key[a:b].tobytes(), "sids": names[owner[a:b][first]].tobytes(),
+                            "counts": np.diff(first, append=b - a).astype(np.uint32).tobytes()})
+            yield pa.RecordBatch.from_pylist(out, _PASS)
 
         for batch in batches:
-            for text in batch.column(0):
+            out = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 shingles = shingle_set(text.as_py(), link.width, hashes)
-                if not len(shingles) or (sid := set_id(shingles)) in seen:
-                    continue
-                seen.add(sid)
-                keys.append(link.keys(shingles))
-                sids.append(sid)
-                held += len(keys[-1])
+                row = {"doc_id": doc_id, "n_shingles": len(shingles)}
+                if len(shingles):
+                    sid = row["sid"] = set_id(shingles)
+                    if sid not in seen:
+                        seen.add(sid)
+                        row["sketch"] = parity_bits(shingles, link.bits(len(shingles))).tobytes()
+                        keys.append(link.keys(shingles))
+                        sids.append(sid)
+                        held += len(keys[-1])
+                out.append(row)
                 if held > PACK_KEYS:
                     yield from flush()
                     keys, sids, held, seen = [], [], 0, set()
+            yield pa.RecordBatch.from_pylist(out, _PASS)
         if keys:
             yield from flush()
 
-    return id_and_text(docs).select("text").mapInArrow(run, "bucket long, keys binary, sids binary")
+    return id_and_text(docs).mapInArrow(
+        run, "doc_id long, n_shingles long, sid long, sketch binary, bucket long, keys binary, sids binary, counts binary")
 
 
-def _shared_keys(key_rows: DataFrame) -> DataFrame:
-    """Edges (u, v) from the least set with a key to the others with it, each pair once a bucket."""
+def _groups(packed: DataFrame) -> DataFrame:
+    """(gid, m, center, sid): the sets with a key, from the second on, with their number and the least of them; once for all
+    keys of a bucket that the same sets share."""
+    schema = pa.schema([("gid", pa.int64()), ("m", pa.int64()), ("center", pa.int64()), ("sid", pa.int64())])
+
     def run(group: pa.Table) -> pa.Table:
         keys = np.concatenate([np.frombuffer(k, np.uint64) for k in group["keys"].to_pylist()])
-        sids = np.concatenate([np.frombuffer(s, np.int64) for s in group["sids"].to_pylist()])
-        order = np.lexsort((sids, keys))
+        sids = np.concatenate([np.repeat(np.frombuffer(s, np.int64), np.frombuffer(c, np.uint32))
+                               for s, c in zip(group["sids"].to_pylist(), group["counts"].to_pylist(), strict=True)])
+        order = np.argsort(keys, kind="stable")
         keys, sids = keys[order], sids[order]
-        first = np.diff(keys, prepend=~keys[:1]) != 0
-        least = sids[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
-        pairs = np.unique(np.stack([sids, least], 1)[sids != least], axis=0)
-        return pa.table({"u": pa.array(pairs[:, 0]), "v": pa.array(pairs[:, 1])})
+        starts = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0)
+        sizes = np.diff(starts, append=len(keys))
+        found: dict[int, np.ndarray] = {}
+        for a, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+            members = np.unique(sids[a:a + n])
+            if len(members) > 1:
+                found[xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63)] = members
+        if not found:
+            return schema.empty_table()
+        rest = [len(m) - 1 for m in found.values()]
+        return pa.table([np.repeat(np.fromiter(found, np.int64, len(found)), rest), np.repeat(np.array(rest, np.int64) + 1, rest),
+                         np.repeat(np.array([m[0] for m in found.values()]), rest), np.concatenate([m[1:] for m in found.values()])],
+                        schema=schema)
+
+    return packed.groupBy("bucket").applyInArrow(run, "gid long, m long, center long, sid long")
+
+
+def folded(sketch: int, bits: int, to: int) -> int:
+    """A parity sketch of fewer bits, from one of more."""
+    while bits > to:
+        bits //= 2
+        sketch = (sketch >> bits) ^ (sketch & ((1 << bits) - 1))
+    return sketch
+
+
+def _passes(link: Link, a: bytes, n_a: int, b: bytes, n_b: int) -> bool:
+    bits = 8 * min(len(a), len(b))
+    apart = folded(int.from_bytes(a, "little"), 8 * len(a), bits) ^ folded(int.from_bytes(b, "little"), 8 * len(b), bits)
+    return link.near(apart.bit_count(), n_a + n_b)
+
+
+def _checked(edges: DataFrame, sketches: DataFrame, link: Link) -> DataFrame:
+    """(center, sid, near) of each edge (center, sid), by the sketches (sid, n, sketch)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("sketch", "n", "sketch_2", "n_2")), strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column("center"), batch.column("sid"), pa.array([_passes(link, *r) for r in rows], pa.bool_())],
+                                             names=["center", "sid", "near"])
+
+    other = sketches.select(F.col("sid").alias("center"), F.col("n").alias("n_2"), F.col("sketch").alias("sketch_2"))
+    return edges.join(sketches, "sid").join(other, "center").select("center", "sid", "sketch", "n", "sketch_2", "n_2").mapInArrow(
+        run, "center long, sid long, near boolean")
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """``df``, a written table, with a hint to broadcast it if it has few rows."""
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
-    return key_rows.groupBy("bucket").applyInArrow(run, "u long, v long")
 
+class _Forest:
+    def __init__(self, n: int) -> None:
+        self.parent = list(range(n))
 
-def _candidate_sets(docs: DataFrame, link: Link, parts: DataFrame, n: int) -> DataFrame:
-    """(sid, root, n, rows, shingles) of each of the ``n`` sets in ``parts`` (sid, root), once; ``rows``: rows with it."""
+    def find(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = self.parent[self.parent[i]]
+            i = self.parent[i]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        a, b = self.find(i), self.find(j)
+        self.parent[a] = b
+        return a != b
+
+
+def _chunked(rows: DataFrame, group: str, chunks: DataFrame, units: int) -> DataFrame:
+    """``rows`` with ``unit`` and the chunks ``a`` <= ``b`` that meet in it.  Groups without a row in ``chunks`` (group,
+    chunks) are whole, many to a unit; a chunk of another meets itself and each other chunk once."""
+    rows = rows.join(_sized(chunks), group, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("long")))
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("sid"), F.col("chunks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    a, b = F.least("chunk", "other"), F.greatest("chunk", "other")
+    unit = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64(group), F.lit(units)).cast("string")).otherwise(F.concat_ws(":", group, a, b))
+    return rows.withColumn("a", a).withColumn("b", b).withColumn("unit", unit)
+
+
+def _compared(spark: SparkSession, groups: DataFrame, failed: DataFrame, sketches: DataFrame, link: Link) -> DataFrame:
+    """(u, v): a spanning forest of the pairs whose sketches pass, within each group that has an edge in ``failed``."""
+    bad = groups.filter("m > 2").join(_sized(failed), ["center", "sid"], "left_semi").select("gid").distinct()
+    bad = materialize(spark, bad, "jaccard-bad")
+    members = groups.join(_sized(bad), "gid", "left_semi").select("gid", "m", F.explode(F.array("center", "sid")).alias("sid")).distinct()
+    members = materialize(spark, members.join(_sized(sketches), "sid"), "jaccard-members")
+    large = materialize(spark, members.filter(F.col("m") > GROUP_SETS).select("gid", F.ceil(F.col("m") / GROUP_SETS).alias("chunks")).distinct(), "jaccard-large")
+    units = members.count() // 20_000 + int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(group: pa.Table) -> pa.Table:
+        sets: dict[int, list[tuple]] = {}
+        for gid, *row in zip(*(group[c].to_pylist() for c in ("gid", "chunk", "sid", "n", "sketch")), strict=True):
+            sets.setdefault(gid, []).append(tuple(row))
+        a, b = group["a"][0].as_py(), group["b"][0].as_py()
+        out = []
+        for rows in sets.values():
+            rows.sort(key=lambda r: r[:2])
+            split = None if a == b else sum(r[0] == a for r in rows)
+            bits = 8 * min(len(r[3]) for r in rows)
+            flat = [folded(int.from_bytes(r[3], "little"), 8 * len(r[3]), bits) for r in rows]
+            sketch = np.frombuffer(b"".join(f.to_bytes(bits // 8, "little") for f in flat), np.uint64).reshape(len(rows), -1)
+            size, ids, forest = np.array([r[2] for r in rows]), [r[1] for r in rows], _Forest(len(rows))
+            for i in range(len(rows) if split is None else split):
+                low = i + 1 if split is None else split
+                apart = np.bitwise_count(sketch[low:] ^ sketch[i]).sum(1, dtype=np.int64)
+                for j in (np.flatnonzero(link.near(apart, size[low:] + size[i])) + low).tolist():
+                    if forest.join(i, j):
+                        out.append((ids[i], ids[j]))
+        us, vs = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+
+    rows = _chunked(members, "gid", large, units).select("unit", "a", "b", "gid", "chunk", "sid", "n", "sketch")
+    pairs = materialize(spark, rows.groupBy("unit").applyInArrow(run, "u long, v long").distinct(), "jaccard-pairs")
+    discard(bad, members, large)
+    return pairs
+
+
+def _parts(spark: SparkSession, groups: DataFrame, sketches: DataFrame, link: Link) -> DataFrame:
+    """(sid, root) of the sets that pairs with a common key and near sketches connect."""
+    edges = materialize(spark, _checked(groups.select("center", "sid").distinct(), sketches, link), "jaccard-edges")
+    near = edges.filter("near").select(F.col("center").alias("u"), F.col("sid").alias("v"))
+    failed = edges.filter("not near").select("center", "sid")
+    if not failed.isEmpty():
+        near = near.unionByName(_compared(spark, groups, failed, sketches, link))
+    parts = materialize(spark, components(spark, near).select(F.col("node").alias("sid"), "root"), "jaccard-parts")
+    discard(edges)
+    return parts
+
+
+def _candidate_sets(docs: DataFrame, link: Link, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (sid, root, n, rows, least) with the shingles of its sets, made from the documents with the ids ``least``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sets = [s for s in (shingle_set(t.as_py(), link.width, hashes) for t in batch.column(0)) if len(s)]
-            times = Counter(sids := [set_id(s) for s in sets])
-            found = dict(zip(sids, sets, strict=True))
-            yield pa.RecordBatch.from_pydict({"sid": pa.array(found.keys(), pa.int64()),
-                                              "rows": pa.array([times[i] for i in found], pa.int64()),
-                                              "shingles": pa.array([s.tobytes() for s in found.values()], pa.binary())})
+            sets = {set_id(s): s for s in (shingle_set(t.as_py(), link.width, hashes) for t in batch.column(0)) if len(s)}
+            yield pa.RecordBatch.from_pydict({"sid": pa.array(sets.keys(), pa.int64()),
+                                              "shingles": pa.array([s.tobytes() for s in sets.values()], pa.binary())})
 
-    sets = id_and_text(docs).select("text").mapInArrow(run, "sid long, rows long, shingles binary")
-    sets = sets.join(F.broadcast(parts) if n <= MOST_BROADCAST else parts, "sid")
-    return sets.groupBy("sid").agg(F.first("root").alias("root"), F.sum("rows").alias("rows"),
-                                   F.first("shingles").alias("shingles")).select(
-        "sid", "root", (F.length("shingles") / 8).cast("long").alias("n"), "rows", "shingles")
+    ids = _sized(wanted.select(F.col("least").alias("_id")).distinct())
+    texts = id_and_text(docs)
+    texts = texts.join(ids, texts["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select("text")
+    sets = texts.mapInArrow(run, "sid long, shingles binary").join(_sized(wanted.select("sid", "root", "n", "rows")), "sid")
+    return sets.groupBy("sid").agg(*(F.first(c).alias(c) for c in ("root", "n", "rows", "shingles")))
 
 
 def parity_bits(shingles: np.ndarray, bits: int) -> np.ndarray:
@@ -230,25 +362,20 @@ def parity_bits(shingles: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def links_among(link: Link, sets: list[np.ndarray], split: int | None = None) -> Iterator[tuple[int, np.ndarray, list[int]]]:
+def links_among(link: Link, sets: list[np.ndarray], split: int | None = None,
+                classes_only: bool = False) -> Iterator[tuple[int, np.ndarray, list[int]]]:
     """For each set with links to sets after it: its place, theirs, and those of them that join a spanning
-    forest; with ``split``, only links between the sets before it and the others."""
+    forest; with ``split``, only links between the sets before it and the others; with ``classes_only``, no
+    links between sets that are connected already."""
     n = len(sets)
     size = np.array([len(s) for s in sets])
-    most = int(size.max()) * 2 * (link.den - link.num) // (link.den + link.num) + 1
-    bits = 1 << min(16, max(8, int(8 * most - 1).bit_length()))
+    bits = link.bits(int(size.max()))
     sketch = np.stack([parity_bits(s, bits) for s in sets])
     # the sets in numbers from 0, so that those of one set can be marked and looked up in others
     numbers = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
     numbered = np.split(numbers, np.cumsum(size)[:-1])
     marked = np.zeros(int(numbers.max()) + 1, np.uint8)
-    parent = list(range(n))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
+    forest = _Forest(n)
 
     def linked_to(i: int, near: np.ndarray) -> np.ndarray:
         both, at = np.empty(len(near), np.int64), 0
@@ -263,33 +390,24 @@ def links_among(link: Link, sets: list[np.ndarray], split: int | None = None) ->
 
     for i in range(n if split is None else split):
         low = i + 1 if split is None else split
-        others = sketch[low:]
-        apart = np.bitwise_count(others ^ sketch[i]).sum(1, dtype=np.int64)
-        near = np.flatnonzero(apart * (link.den + link.num) <= (size[low:] + size[i]) * (link.den - link.num)) + low
+        apart = np.bitwise_count(sketch[low:] ^ sketch[i]).sum(1, dtype=np.int64)
+        near = np.flatnonzero(link.near(apart, size[low:] + size[i])) + low
+        if classes_only and len(near):
+            near = np.array([j for j in near.tolist() if forest.find(j) != forest.find(i)], np.int64)
         if len(near) and len(near := linked_to(i, near)):
-            tree = []
-            for j in near.tolist():
-                a, b = find(i), find(j)
-                if a != b:
-                    parent[a] = b
-                    tree.append(j)
-            yield i, near, tree
-
-
-def _links(spark: SparkSession, sets: DataFrame, link: Link) -> DataFrame:
-    """(u, linked, tree, more) of sets in each unit: the sets linked to u, each link in one row of one unit; those
-    of them whose links are a spanning forest of the unit; and how many rows the unit finds linked to a row of u."""
+            yield i, near, [j for j in near.tolist() if forest.join(i, j)]
+
+
+def _links(spark: SparkSession, sets: DataFrame, link: Link, give: str) -> DataFrame:
+    """(u, linked, tree, more) of sets in each unit: ``tree``, the sets whose links to u are in a spanning forest of the
+    unit; unless ``give`` is "classes", ``more``, how many rows the unit finds linked to a row of u; if it is "links",
+    ``linked``, the sets linked to u, each link in one row of one unit."""
     sizes = sets.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
     sizes = sizes.select("root", F.greatest(F.ceil(F.col("m") / UNIT_SETS), F.ceil(F.col("total") / UNIT_SHINGLES)).alias("chunks"))
+    large = materialize(spark, sizes.filter("chunks > 1"), "jaccard-large")
     total = sets.agg(F.sum("n")).first()[0] or 0
     units = int(total // UNIT_SHINGLES) + int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = sets.join(sizes, "root").withColumn("chunk", F.pmod(F.xxhash64("sid"), F.col("chunks")))
-    # a chunk's partners: itself and every other chunk; the pair is named by the smaller, then the larger
-    rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")).select(
-        "root", "sid", "rows", "shingles", "chunk", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
-        F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("root"), F.lit(units)).cast("string"))
-        .otherwise(F.concat_ws(":", "root", F.least("chunk", "other"), F.greatest("chunk", "other"))).alias("unit"))
-
+    rows = _chunked(sets, "root", large, units).select("unit", "a", "b", "root", "chunk", "sid", "rows", "shingles")
     schema = pa.schema([("u", pa.int64()), ("linked", pa.list_(pa.int64())), ("tree", pa.list_(pa.int64())), ("more", pa.int64())])
 
     def run(group: pa.Table) -> pa.Table:
@@ -304,57 +422,87 @@ def _links(spark: SparkSession, sets: DataFrame, link: Link) -> DataFrame:
             if len(rows) > 1 and split != len(rows):
                 ids, times = (np.array([r[k] for r in rows], np.int64) for k in (1, 2))
                 more, found = np.zeros(len(rows), np.int64), {}
-                for i, near, tree in links_among(link, [np.frombuffer(r[3], np.uint64) for r in rows], split):
+                for i, near, tree in links_among(link, [np.frombuffer(r[3], np.uint64) for r in rows], split, give == "classes"):
                     more[i] += times[near].sum()
                     more[near] += times[i]
                     found[i] = near, tree
                 none = np.empty(0, np.int64)
-                for i in np.flatnonzero(more).tolist():
+                for i in (found if give == "classes" else np.flatnonzero(more).tolist()):
                     near, tree = found.get(i, (none, []))
-                    out.append({"u": int(ids[i]), "linked": ids[near], "tree": ids[tree] if tree else none, "more": int(more[i])})
+                    out.append({"u": int(ids[i]), "linked": ids[near] if give == "links" else none, "tree": ids[tree] if tree else none,
+                                "more": 0 if give == "classes" else int(more[i])})
         return pa.Table.from_pylist(out, schema)
 
-    return rows.groupBy("unit").applyInArrow(run, "u long, linked array<long>, tree array<long>, more long")
-
-
-def joined(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, sid, class, component_id, n_links) of every row, and the links (u, v) between
-    different sets, by their names, each once.  ``class`` names the group (null: an empty set)."""
-    rows = materialize(spark, _sets(docs, link), "jaccard-sets")
-    shared = _shared_keys(_key_rows(docs, link, bucket_count(spark)))
-    parts = materialize(spark, components(spark, shared).select(F.col("node").alias("sid"), "root"), "jaccard-parts")
-    candidates = materialize(spark, _candidate_sets(docs, link, parts, parts.count()), "jaccard-candidates")
-    links = materialize(spark, _links(spark, candidates, link), "jaccard-links")
-    linked = components(spark, links.select("u", F.explode("tree").alias("v")))
+    links = rows.groupBy("unit").applyInArrow(run, "u long, linked array<long>, tree array<long>, more long")
+    links = materialize(spark, links, "jaccard-links")
+    discard(large)
+    return links
+
+
+def _joined(spark: SparkSession, docs: DataFrame, link: Link, give: str) -> tuple[DataFrame, DataFrame]:
+    chars = id_and_text(docs).agg(F.sum(F.length("text"))).first()[0] or 0
+    made = materialize(spark, _pass(docs, link, max(64, chars // BUCKET_CHARS)), "jaccard-pass")
+    groups = materialize(spark, _groups(made.filter("bucket is not null").select("bucket", "keys", "sids", "counts")).distinct(), "jaccard-groups")
+    rows = made.filter("bucket is null").select("doc_id", "n_shingles", "sid")
+    by_set = materialize(spark, rows.filter("sid is not null").groupBy("sid").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.first("n_shingles").alias("n")), "jaccard-sets")
+    some = materialize(spark, groups.select(F.explode(F.array("center", "sid")).alias("sid")).distinct(), "jaccard-some")
+    sketches = made.filter("sketch is not null").select("sid", F.col("n_shingles").alias("n"), "sketch").join(_sized(some), "sid", "left_semi")
+    sketches = materialize(spark, sketches.groupBy("sid").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "jaccard-sketches")
+    rows = materialize(spark, rows, "jaccard-rows")
+    discard(made)
+    parts = _parts(spark, groups, sketches, link)
+    discard(groups, some, sketches)
+    wanted = materialize(spark, by_set.join(_sized(parts), "sid"), "jaccard-wanted")
+    candidates = materialize(spark, _candidate_sets(docs, link, wanted), "jaccard-candidates")
+    links = _links(spark, candidates, link, give)
+    discard(parts, wanted, candidates)
+    linked = materialize(spark, components(spark, links.select("u", F.explode("tree").alias("v"))), "jaccard-linked")
     more = links.groupBy(F.col("u").alias("sid")).agg(F.sum("more").alias("more"))
-    by_set = rows.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
-    by_set = by_set.join(linked.withColumnRenamed("node", "sid"), "sid", "left").join(more, "sid", "left")
+    more = materialize(spark, more, "jaccard-more")
+    by_set = by_set.join(_sized(linked.withColumnRenamed("node", "sid")), "sid", "left").join(_sized(more), "sid", "left")
     by_set = materialize(spark, by_set, "jaccard-classes")
-    by_root = by_set.filter("root is not null").groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = by_set.join(by_root, "root", "left").select(
+    by_root = materialize(spark, by_set.filter("root is not null").groupBy("root").agg(F.min("least").alias("component_id")), "jaccard-roots")
+    classes = by_set.join(_sized(by_root), "root", "left").select(
         "sid", F.coalesce("root", "sid").alias("class"), F.coalesce("component_id", "least").alias("component_id"),
         (F.col("rows") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
     full = rows.filter("sid is not null").join(classes, "sid").select(
         "doc_id", "n_shingles", "sid", "class", "component_id", "n_links")
     full = full.unionByName(rows.filter("sid is null").select(
         "*", F.lit(None).cast("long").alias("class"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")))
+    return full, links
+
+
+def joined(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> tuple[DataFrame, DataFrame]:
+    """``near_duplicates`` and the links (u, v) between different sets, by their names, each once."""
+    full, links = _joined(spark, docs, link, "links")
     return full, links.select("u", F.explode("linked").alias("v"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> DataFrame:
     """(doc_id, n_shingles, sid, class, component_id, n_links) of every row; ``class`` names the group (null: an empty set)."""
-    return joined(spark, docs, link)[0]
+    return _joined(spark, docs, link, "counts")[0]
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> DataFrame:
     """The rows of ``docs`` without all but one row of each class: the one with the least id, and of
     several such the one with the least set name, or any of them where that is the same too."""
-    rows = near_duplicates(spark, docs, link).filter("class is not null").select("doc_id", "sid", "class")
-    rows = materialize(spark, rows.groupBy("doc_id", "sid", "class").count(), "jaccard-rows")
-    first = rows.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sid")).alias("first"))
-    rows = rows.join(first, "class").withColumn(
-        "stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("sid") == F.col("first.sid")))
-    rows = materialize(spark, rows.select(F.col("doc_id").alias("_id"), F.col("sid").alias("_gone"), "stays", "count"), "jaccard-stays")
+    named = _joined(spark, docs, link, "classes")[0].select("doc_id", "sid", "class")
+    rows = materialize(spark, named.groupBy("doc_id", "sid", "class").count(), "jaccard-named")
+    first = rows.filter("class is not null").groupBy("class").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sid")).alias("first"))
+    first = materialize(spark, first, "jaccard-first")
+    rows = rows.join(first, "class", "left").withColumn("stays", F.col("class").isNull() | (
+        F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("sid") == F.col("first.sid"))))
+    rows = materialize(spark, rows.select(F.col("doc_id").alias("_id"), F.col("sid").alias("_gone"), "stays", "count",
+                                          F.col("class").isNotNull().alias("grouped")), "jaccard-stays")
+    # an id all of whose rows go needs no look at the texts; others (ids with several rows, no id) do
+    ids = rows.groupBy("_id").agg(F.bool_or("stays").alias("some"), F.bool_or(~F.col("stays")).alias("gone"),
+                                  F.max(F.when(F.col("stays") & F.col("grouped"), F.col("count"))).alias("most"))
+    ids = materialize(spark, ids, "jaccard-ids")
+    plain = ids.filter("_id is not null and gone and not some").select("_id")
+    mixed = ids.filter("(gone and some) or most > 1 or (_id is null and gone)").select(F.col("_id").alias("_mixed"))
+    discard(first)
 
     @F.pandas_udf("long")
     def names(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -363,16 +511,25 @@ def keep_one(spark: SparkSession, docs: DataFrame, link: Link = Link()) -> DataF
             sets = [shingle_set(t or "", link.width, hashes) for t in texts]
             yield pd.Series([set_id(s) if len(s) else None for s in sets], dtype="Int64")
 
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"),
+                        F.col("doc_id").cast("long").alias("_doc_id"), F.col("text").alias("_text"))
+    plain = _sized(plain)
+    kept = whole.join(plain, whole["_doc_id"] == plain["_id"], "left_anti")
+    if mixed.isEmpty():
+        return kept.select("_row.*")
+    mixed = _sized(mixed)
+    on = whole["_doc_id"].eqNullSafe(mixed["_mixed"])
+    out = kept.join(mixed, on, "left_anti").select("_row")
+    told = kept.join(mixed, on, "left_semi").select("_row", "_doc_id", names("_text").alias("_sid"))
+
     def matching(df: DataFrame, some: DataFrame, how: str) -> DataFrame:
-        some = F.broadcast(some) if some.count() <= MOST_BROADCAST else some
+        some = _sized(some)
         return df.join(some, df["_doc_id"].eqNullSafe(some["_id"]) & (df["_sid"] == some["_gone"]), how)
 
-    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"),
-                        F.col("doc_id").cast("long").alias("_doc_id"), names("text").alias("_sid"))
-    out = matching(named, rows.filter("not stays").select("_id", "_gone"), "left_anti")
-    again = rows.filter("stays and count > 1").select("_id", "_gone")
-    if not again.isEmpty():
-        out = matching(out, again, "left_anti").unionByName(matching(out, again, "left_semi").dropDuplicates(["_doc_id", "_sid"]))
+    told = matching(told, rows.filter("not stays").select("_id", "_gone"), "left_anti")
+    again = rows.filter("stays and grouped and count > 1").select("_id", "_gone")
+    out = out.unionByName(matching(told, again, "left_anti").select("_row")).unionByName(
+        matching(told, again, "left_semi").dropDuplicates(["_doc_id", "_sid"]).select("_row"))
     return out.select("_row.*")
 
 
