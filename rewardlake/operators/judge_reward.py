@@ -71,38 +71,46 @@ def parse_judge(judge_text: Column) -> Column:
     return F.struct(*[F.coalesce(parsed[d], F.lit(NEUTRAL_SCORE)).alias(d) for d in DIMENSIONS])
 
 
-def judge_rewards(samples: DataFrame, replies: DataFrame) -> DataFrame:
-    """FLT7 (empty response), FN10/FN14 length override, AGG4, PRJ4/PRJ5.
+def measured(samples: DataFrame) -> DataFrame:
+    """What a score needs of each sample, without its texts, and the stream's columns if there are any."""
+    p = prepared(samples)
+    return p.select("id", "sample_ord", *(c for c in ("ts",) if c in samples.columns), (F.col("summary") == "").alias("_empty"),
+                    length_rule("summary").alias("_rule"), summary_sentences("summary").alias("_sentences"))
+
+
+def scored(joined: DataFrame) -> DataFrame:
+    """FLT7 (empty response), FN10/FN14 length override, AGG4, PRJ4/PRJ5 of
+    ``measured`` samples joined to ``judge_text`` and ``_replied``.
 
     Scores are not clamped; ``out_of_range`` flags rewards outside [0, 1].
     ``judge_text`` NULL is a failed call (neutral scores); a sample without a
-    reply row is ``pending`` and has no score yet, unless its response is
-    empty.  Of several replies to a sample one counts: a successful one, the
-    least text of them.
+    reply is ``pending`` and has no score, unless its response is empty.
     """
-    replies = replies.groupBy("sample_id").agg(F.min("judge_text").alias("judge_text"))
-    replies = replies.withColumn("_replied", F.lit(True))
-    p = prepared(samples)
     # parsed once into a column; the optimizer keeps it instead of inlining
     # the JSON parse into each of the many uses below
-    j = p.join(replies.withColumnRenamed("sample_id", "id"), "id", "left") \
-         .withColumn("_scores", parse_judge(F.col("judge_text"))) \
-         .withColumn("_rule", length_rule("summary"))
-    s = F.col("_scores")
-    rule = F.col("_rule")
+    j = joined.withColumn("_scores", parse_judge(F.col("judge_text")))
+    s, rule, empty = F.col("_scores"), F.col("_rule"), F.col("_empty")
     dims = {d: s[d] for d in DIMENSIONS}
     dims["appropriate_length"] = F.when(rule == 1, F.lit(LENGTH_PASS)).otherwise(F.lit(LENGTH_FAIL))
-    empty = F.col("summary") == ""
-    pending = ~empty & F.col("_replied").isNull()
+    pending = ~empty & ~F.col("_replied")
     total = dims["faithfulness"] + dims["coverage"] + dims["no_redundancy"] + dims["appropriate_length"] + dims["coherence"]
     score = F.when(empty, F.lit(0.0)).otherwise(F.bround((total - F.lit(5.0)) / F.lit(20.0), 4))
     zeros = F.array(*[metric(d, F.lit(0.0), "Reward") for d in DIMENSIONS])
     full = F.array(*[metric(d, dims[d], "Reward") for d in DIMENSIONS],
-                   metric("summary_sentences", summary_sentences("summary"), "Metric"))
+                   metric("summary_sentences", F.col("_sentences"), "Metric"))
     metrics = F.when(empty, zeros).otherwise(full).cast(f"array<{METRIC}>")
     out = j.select("id", "sample_ord", F.when(~pending, score).alias("aggregate_reward_score"),
                    F.when(~pending, metrics).alias("metrics_list"), pending.alias("pending"),
                    *[F.when(empty, F.lit(0.0)).when(~pending, dims[d]).alias(d) for d in DIMENSIONS],
-                   F.when(empty, F.lit(None)).otherwise(summary_sentences("summary")).alias("summary_sentences"),
+                   F.when(empty, F.lit(None)).otherwise(F.col("_sentences")).alias("summary_sentences"),
                    rule.alias("length_rule"))
     return out.withColumn("out_of_range", (F.col("aggregate_reward_score") < 0) | (F.col("aggregate_reward_score") > 1))
+
+
+def judge_rewards(samples: DataFrame, replies: DataFrame) -> DataFrame:
+    """Scores of samples with the replies there are (see ``scored``).  Of several
+    replies to a sample one counts: a successful one, the least text of them."""
+    replies = replies.groupBy(F.col("sample_id").alias("id")).agg(F.min("judge_text").alias("judge_text"))
+    replies = replies.withColumn("_replied", F.lit(True))
+    joined = measured(samples).join(replies, "id", "left")
+    return scored(joined.withColumn("_replied", F.coalesce("_replied", F.lit(False))))

@@ -4,11 +4,13 @@ A reward is a function ``DataFrame -> DataFrame`` returning one row per
 sample with ``id``, ``aggregate_reward_score`` and ``metrics_list``.  Presets
 are expression-only; user code that cannot be an expression runs per
 partition through ``mapInPandas`` (Arrow batches, resources opened once per
-partition).
+partition), in a child process with a time limit for each sample.
 """
 
 from __future__ import annotations
 
+import multiprocessing
+import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -61,21 +63,78 @@ def with_reward(samples: DataFrame, reward: Reward | str, presets: dict[str, Rew
     return out
 
 
-def partition_scorer(score_row: Callable[[dict], tuple[float, list[tuple[str, float, str]]]],
-                     columns: list[str]) -> Reward:
+#: Seconds that a scorer may take for a sample (fixed value of the reference).
+SCORE_SECONDS = 5.0
+
+Scored = tuple[float, list[tuple[str, float, str]]]
+
+
+class IsolatedScorer:
+    """Runs a scorer in a child process, sample by sample, under a time limit.
+
+    A sample that raises gives score 0 and the reason.  One that takes too long,
+    or takes the child down with it, does so too; then the child is ended and
+    the next sample gets a new one.
+    """
+
+    def __init__(self, score_row: Callable[[dict], Scored], seconds: float = SCORE_SECONDS) -> None:
+        self.score_row, self.seconds, self.child, self.pipe = score_row, seconds, None, None
+
+    def _serve(self, pipe) -> None:
+        while True:
+            try:
+                sample = pipe.recv()
+            except EOFError:
+                os._exit(0)
+            try:
+                score, metrics = self.score_row(sample)
+                pipe.send((float(score), [(str(n), float(v), str(t)) for n, v, t in metrics], None))
+            except BaseException as error:  # noqa: BLE001 - whatever a user's scorer may raise
+                pipe.send((0.0, [], f"{type(error).__name__}: {error}"))
+
+    def score(self, sample: dict) -> tuple[float, list[tuple[str, float, str]], str | None]:
+        if self.child is None:
+            context = multiprocessing.get_context("fork")
+            self.pipe, theirs = context.Pipe()
+            self.child = context.Process(target=self._serve, args=(theirs,), daemon=True)
+            self.child.start()
+            theirs.close()
+        try:
+            self.pipe.send(sample)
+            if self.pipe.poll(self.seconds):
+                return self.pipe.recv()
+            reason = f"no score within {self.seconds:g} s"
+        except (EOFError, OSError):
+            reason = "the scorer's process died"
+        self.close()
+        return 0.0, [], reason
+
+    def close(self) -> None:
+        if self.child is not None:
+            self.child.kill()
+            self.child.join()
+            self.pipe.close()
+            self.child = None
+
+
+def partition_scorer(score_row: Callable[[dict], Scored], columns: list[str], seconds: float = SCORE_SECONDS) -> Reward:
     """UDF3: wrap a per-sample Python scorer as a ``mapInPandas`` reward.
 
-    ``score_row(sample_dict) -> (score, [(name, value, type), ...])``.
+    ``score_row(sample_dict) -> (score, [(name, value, type), ...])``.  ``error``
+    says why a sample got no score of its own (see ``IsolatedScorer``).
     """
     def run(samples: DataFrame) -> DataFrame:
         def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in it:
-                ids, scores, metrics = [], [], []
-                for rec in pdf.to_dict("records"):
-                    s, m = score_row(rec)
-                    ids.append(rec.get("id"))
-                    scores.append(float(s))
-                    metrics.append([{"name": n, "value": float(v), "type": t} for n, v, t in m])
-                yield pd.DataFrame({"id": ids, "aggregate_reward_score": scores, "metrics_list": metrics})
-        return samples.select(*columns).mapInPandas(batches, REWARD_SCHEMA)
+            scorer = IsolatedScorer(score_row, seconds)
+            try:
+                for pdf in it:
+                    records = pdf.to_dict("records")
+                    scores, metrics, errors = zip(*map(scorer.score, records)) if records else ((), (), ())
+                    yield pd.DataFrame({
+                        "id": [r.get("id") for r in records], "aggregate_reward_score": scores, "error": errors,
+                        "metrics_list": [[{"name": n, "value": v, "type": t} for n, v, t in m] for m in metrics]})
+            finally:
+                scorer.close()
+        schema = T.StructType([*REWARD_SCHEMA.fields, T.StructField("error", T.StringType())])
+        return samples.select(*columns).mapInPandas(batches, schema)
     return run

@@ -6,9 +6,11 @@ return the nested reference records.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,7 @@ from ..functions.text import (create_statements, extract_code, extract_solution,
                               nonblank_lines, conciseness, observation_body, py_strip, sentence_snap,
                               summary_sentences)
 from ..operators import code_reward, convert, episodes, judge_reward, monitor, plugins, resultset
-from ..sources import readers, standins as S
+from ..sources import arrays, batches, readers, standins as S
 from ..session import materialize, scratch_path
 from ..streaming import streams
 
@@ -120,23 +122,16 @@ def q_observed_counts(spark, sf_dir):
 
 @query
 def q_available_files(spark, sf_dir):
-    """SRC5 on real files: one artefact a key (keys with a blank), listed without reading any content."""
+    """SRC5 on real files: an artefact for every labelled document's key (keys with a blank), written by the executors
+    into sharded folders and listed without reading any content."""
     path = scratch_path(spark, "artefacts")
-    keys = readers.read_table(spark, sf_dir, "labels", ["doc_id"]).select(
-        F.concat((F.col("doc_id") % 40).cast("string"), F.lit(" db")).alias("db_id")).distinct()
-    write_artefacts(keys, path)
-    return readers.available_keys_from_files(spark, path, ".sqlite")
-
-
-def write_artefacts(keys: DataFrame, path: str) -> None:
-    """``<path>/<key>/<key>.sqlite`` for each of a few keys, with the cluster's own file system."""
-    spark = keys.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for (key,) in keys.toLocalIterator():
-        target = jvm.org.apache.hadoop.fs.Path(f"{path}/{key}/{key}.sqlite")
-        out = target.getFileSystem(conf).create(target)
-        out.write(83)  # empty files are not listed
-        out.close()
+    keys = readers.read_table(spark, sf_dir, "labels", ["doc_id"]).distinct().select(
+        F.concat(F.col("doc_id").cast("string"), F.lit(" db")).alias("db_id"), F.lit("artefact").alias("value"))
+    readers.write_by_key(keys, path, "db_id")
+    folders = readers.shard_folders(spark, path)
+    if not folders:
+        return spark.createDataFrame([], "db_id string")
+    return readers.available_keys_from_files(spark, folders, ".txt", r"/db_id=([^/]+)/[^/]+$")
 
 
 @query
@@ -222,8 +217,11 @@ def q_schema_corpus(spark, sf_dir):
     and keyed by folder."""
     path = scratch_path(spark, "schema_files")
     dumps = S.schema_files(spark, sf_dir).withColumn("db_id", F.replace("db_id", F.lit("_"), F.lit(" ")))
-    dumps.write.partitionBy("db_id").mode("overwrite").text(path)
-    files = readers.read_text_tree(spark, f"{path}/*/*.txt", r"db_id=([^/]+)/[^/]+$")
+    readers.write_by_key(dumps, path, "db_id")
+    folders = readers.shard_folders(spark, path)
+    if not folders:
+        return spark.createDataFrame([], "db_id string, ddl string")
+    files = readers.read_text_tree(spark, folders, r"db_id=([^/]+)/[^/]+$")
     corpus = readers.schema_corpus(files, key_col="key", text_col="text")
     return corpus.withColumn("db_id", F.replace("db_id", F.lit(" "), F.lit("_")))
 
@@ -573,12 +571,13 @@ def q_in_list(spark, sf_dir):
 # ---------------------------------------------------------------- sinks / batches
 @query
 def q_sink_jsonl(spark, sf_dir):
-    """SNK1 + SET4: JSON Lines written, then a second split appended; every record as read back."""
+    """SNK1 + SET4: JSON Lines in two batches, the second delivered twice; every committed record as read back."""
     path = scratch_path(spark, "rlaif_jsonl")
     recs = convert.rlaif_convert(S.articles(spark, sf_dir)).drop("ordinal")
-    readers.write_jsonl(recs, path)
-    readers.write_jsonl(convert.rlvr_convert(S.code_problems(spark, sf_dir)).select(*recs.columns), path, mode="append")
-    back = spark.read.schema(convert.TRAINING_RECORD).json(path)
+    more = convert.rlvr_convert(S.code_problems(spark, sf_dir)).select(*recs.columns)
+    for batch_id, rows in (("articles", recs), ("problems", more), ("problems", more)):
+        batches.append_batch(rows, path, batch_id)
+    back = batches.read_batches(spark, path, convert.TRAINING_RECORD)
     return back.select("data_source", F.col("prompt")[0]["content"].alias("content"), "ability",
                        F.col("reward_model.style").alias("style"), F.col("reward_model.ground_truth").alias("ground_truth"))
 
@@ -618,6 +617,25 @@ def q_score_batch(spark, sf_dir):
     return r.select("id", "sample_ord", "aggregate_reward_score")
 
 
+@query
+def q_score_array(spark, sf_dir):
+    """SRC7: samples in large JSON array files, one of each writer, each read by many tasks over byte ranges."""
+    s = S.judge_samples(spark, sf_dir).select(*SAMPLE_SCHEMA.fieldNames())
+    path = scratch_path(spark, "score_arrays")
+
+    def array_lines(it):
+        lead = "["
+        for pdf in it:
+            yield pd.DataFrame({"value": [("," if i or lead == "," else "[") + text for i, text in enumerate(pdf["value"])]})
+            lead = "," if len(pdf) else lead
+        yield pd.DataFrame({"value": ["[]" if lead == "[" else "]"]})
+
+    s.select(F.to_json(F.struct(*SAMPLE_SCHEMA.fieldNames())).alias("value")).mapInPandas(array_lines, "value string").write.text(path)
+    back = arrays.read_json_array(spark, path, SAMPLE_SCHEMA, range_bytes=1 << 20)
+    r = judge_reward.judge_rewards(back, S.judge_replies(spark, sf_dir))
+    return r.select("id", "sample_ord", "aggregate_reward_score")
+
+
 # ---------------------------------------------------------------- plug-ins
 @query
 def q_reward_presets(spark, sf_dir):
@@ -627,41 +645,87 @@ def q_reward_presets(spark, sf_dir):
 
 
 def _length_score(sample: dict) -> tuple[float, list[tuple[str, float, str]]]:
+    if not sample["response"].strip():
+        raise ValueError("no response")
     n = len(sample["response"])
     return min(n, 1000) / 1000, [("chars", n, "Metric")]
 
 
 @query
 def q_reward_plugin(spark, sf_dir):
-    """UDF3: a Python scorer per partition."""
+    """UDF3: a Python scorer per partition; it raises for blank responses, which cost themselves the score and nothing else."""
     scored = plugins.with_reward(S.judge_samples(spark, sf_dir), plugins.partition_scorer(_length_score, ["id", "response"]))
-    return scored.select("id", "aggregate_reward_score", F.col("metrics_list")[0]["value"].alias("chars"))
+    return scored.select("id", "aggregate_reward_score", F.try_element_at("metrics_list", F.lit(1))["value"].alias("chars"), "error")
 
 
 # ---------------------------------------------------------------- streams
+def _stream_time(ordinal):
+    """Event times of samples: within half an hour, whatever their number."""
+    return F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), ordinal % 1800)
+
+
 @query
 def q_stream_score(spark, sf_dir):
-    src = streams.stage_table(spark, S.judge_samples(spark, sf_dir).select(*SAMPLE_SCHEMA.fieldNames()), "judge_in")
-    stream = spark.readStream.schema(SAMPLE_SCHEMA).parquet(src)
-    scored = streams.stream_judge_scores(stream, S.judge_replies(spark, sf_dir)).select(
-        "id", "sample_ord", "aggregate_reward_score")
-    sink = scratch_path(spark, "judge_out")
-    streams.run_available_now(scored, sink, scratch_path(spark, "judge_ckpt"))
-    return spark.read.parquet(sink)
+    """STR1 in three runs: all samples with the replies to every other one; the rest of the replies; rows of the next day,
+    which end the wait for replies that never come."""
+    samples = S.judge_samples(spark, sf_dir).select(*SAMPLE_SCHEMA.fieldNames()).withColumn("ts", _stream_time(F.col("sample_ord")))
+    ten = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(10))
+    replies = S.judge_replies(spark, sf_dir).withColumn("ts", _stream_time(F.col("sample_id").cast("bigint")) + ten)
+    next_day = spark.createDataFrame([(datetime(2024, 1, 2),)], "ts timestamp")
+    even = F.col("sample_id").cast("bigint") % 2 == 0
+    paths = {n: scratch_path(spark, n) for n in ("judge_in", "replies_in", "judge_out", "judge_ckpt")}
+    for some, answered in ((samples, replies.filter(even)), (samples.limit(0), replies.filter(~even)), (next_day, next_day)):
+        samples.limit(0).unionByName(some, allowMissingColumns=True).write.mode("append").parquet(paths["judge_in"])
+        replies.limit(0).unionByName(answered, allowMissingColumns=True).write.mode("append").parquet(paths["replies_in"])
+        scores = streams.stream_judge_scores(spark.readStream.schema(samples.schema).parquet(paths["judge_in"]),
+                                             spark.readStream.schema(replies.schema).parquet(paths["replies_in"]))
+        streams.run_available_now(scores.select("id", "sample_ord", "aggregate_reward_score"), paths["judge_out"], paths["judge_ckpt"])
+    return spark.read.parquet(paths["judge_out"]).filter("id is not null")
 
 
 @query
 def q_stream_dedup(spark, sf_dir):
+    """STR4: every sample is delivered twice in one micro-batch, and again in a later run."""
     s = S.judge_samples(spark, sf_dir).select("id", "sample_ord", "response")
-    ts = (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("sample_ord")))
-    once = s.withColumn("ts", ts)
-    src = streams.stage_table(spark, once.unionByName(once), "dedup_in")  # every sample delivered twice
-    stream = spark.readStream.schema(once.schema).parquet(src)
-    sink = scratch_path(spark, "dedup_out")
-    streams.run_available_now(streams.dedup_by_id(stream, "ts"), sink, scratch_path(spark, "dedup_ckpt"))
+    once = s.withColumn("ts", _stream_time(F.col("sample_ord")))
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("dedup_in", "dedup_out", "dedup_ckpt"))
+    for delivery in (once.unionByName(once), once):
+        delivery.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(once.schema).parquet(src)
+        streams.run_available_now(streams.dedup_by_id(stream, "ts"), sink, ckpt)
     return spark.read.parquet(sink).select("id", "sample_ord")
 
 
+@query
+def q_stream_counts(spark, sf_dir):
+    """SNK3 in a stream: the text-to-SQL converter's counters, gathered by micro-batch while the prompts are written."""
+    q = _questions(spark, sf_dir)
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("questions_in", "prompts_out", "prompts_ckpt"))
+    q.repartition(4, "ordinal").write.parquet(src)
+    stream = spark.readStream.schema(q.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    tagged = convert.mtrl_tagged(stream, S.available_dbs(spark, sf_dir), _corpus(spark, sf_dir))
+    reasons = ["converted", "skipped_empty", "skipped_missing_db"]
+    observed, counters = streams.counted(tagged.select("reason", "prompt"), f"mtrl-{uuid.uuid4().hex}", "reason", reasons)
+    try:
+        streams.run_available_now(observed.filter("reason = 'converted'").select("prompt"), sink, ckpt)
+        totals = counters.totals()
+    finally:
+        spark.streams.removeListener(counters)
+    return spark.createDataFrame([(c, totals.get(c, 0)) for c in [*reasons, "rows"]], "counter string, n long")
+
+
+@query
+def q_stream_lengths(spark, sf_dir):
+    """STR3 with episode lengths: mean reward and mean length by day, as the stream's updates leave them."""
+    ev = _events_ts(spark, sf_dir).withColumn("turns", F.col("event_id") % 5 + 1).select("ts", "value", "turns")
+    src = streams.stage_table(spark, ev, "events_in")
+    table = scratch_path(spark, "lengths_table")
+    windows = streams.windowed_monitor(spark.readStream.schema(ev.schema).parquet(src), "ts", "value", length_col="turns")
+    streams.run_complete_to_table(windows, table, scratch_path(spark, "lengths_ckpt"))
+    m = spark.read.parquet(table)
+    return m.select(monitor.instant_to_utc_text("window_start").alias("window_start"), "n", "mean_reward", "mean_length")
+
+
 @query
 def q_stream_monitor(spark, sf_dir):
     ev = _events_ts(spark, sf_dir)

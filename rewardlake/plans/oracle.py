@@ -167,8 +167,9 @@ PROB_WITH = f"WITH {PROBLEMS}, {ASSERTS}"
 JUDGE_SAMPLES = (
     f"js AS (SELECT CAST(d.doc_id AS VARCHAR) AS id, d.doc_id, l.quality, l.toxic, "
     f"{strip(f'CASE WHEN l.toxic = 1 THEN {lit(chr(32) * 2)} ELSE d.text END')} AS summary, "
+    f"CASE WHEN l.toxic = 1 THEN {lit(chr(32) * 2)} ELSE d.text END AS response, "
     f"{strip(snap(strip('d.text')))} AS article, d.text AS reference "
-    f"FROM documents d JOIN labels l ON d.doc_id = l.doc_id)")
+    f"FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)")
 REPLY = (
     "(CASE WHEN doc_id % 5 = 0 THEN '{\"faithfulness\": ' || CAST(quality * 2 + 2 AS VARCHAR) || ', \"coverage\": 4, "
     "\"no_redundancy\": ' || CAST(5 - toxic * 2 AS VARCHAR) || ', \"appropriate_length\": 2, \"coherence\": 5}' "
@@ -530,6 +531,7 @@ ORACLE_SQL.update({
         UNION ALL SELECT problem_id, 2, CAST(p_size * p_size AS VARCHAR), CAST(p_size * p_size AS VARCHAR) FROM ok
         UNION ALL SELECT problem_id, 3, '"' || p_name || '"' || {NL} || 'null' || {NL} || 'true', '{{"n": ' || size || '}}' FROM ok""",
     "q_score_batch": JUDGE_SCORE_ROWS,
+    "q_score_array": JUDGE_SCORE_ROWS,
     "q_stream_score": JUDGE_SCORE_ROWS,
     "q_mtrl_stats": f"""WITH {QUESTIONS}, {AVAIL}, t AS (SELECT ordinal, CASE WHEN {blank('question')} OR {blank('query')} THEN 'skipped_empty'
           WHEN db_id NOT IN (SELECT db_id FROM avail) THEN 'skipped_missing_db' ELSE 'converted' END AS reason FROM q),
@@ -540,7 +542,7 @@ ORACLE_SQL.update({
           WHEN db_id NOT IN (SELECT db_id FROM avail) THEN 'skipped_missing_db' ELSE 'converted' END AS reason FROM q),
         r AS (SELECT unnest(['converted', 'skipped_empty', 'skipped_missing_db', 'rows']) AS counter)
         SELECT counter, (SELECT count(*) FROM t WHERE counter = 'rows' OR t.reason = counter) AS n FROM r""",
-    "q_available_files": f"WITH {SCHEMA_FILES} SELECT DISTINCT CAST(doc_id % 40 AS VARCHAR) || ' db' AS db_id FROM labels",
+    "q_available_files": "SELECT DISTINCT CAST(doc_id AS VARCHAR) || ' db' AS db_id FROM labels",
     "q_stream_dedup": f"WITH {JUDGE_SAMPLES} SELECT id, CAST(id AS BIGINT) AS sample_ord FROM js",
     "q_schema_corpus": f"WITH {SCHEMA_FILES}, {CORPUS} SELECT db_id, ddl FROM corpus",
     "q_stream_episodes": f"""{EP_WITH} SELECT episode_id, num_turns, sql_attempts, sql_errors, empty_responses, submitted_solution,
@@ -565,11 +567,14 @@ ORACLE_SQL["q_sink_jsonl"] = f"""SELECT data_source, content, ability, style, gr
 _SLIDING = "(SELECT unnest([time_bucket(INTERVAL '1 day', ts), time_bucket(INTERVAL '1 day', ts) - INTERVAL '1 day']) AS w, * FROM events)"
 ORACLE_SQL.update({
     "q_reward_presets": f"{CODE_PASSED} SELECT id, CASE WHEN total > 0 THEN round_even({_CORR}, 4) ELSE 0.0::DOUBLE END AS aggregate_reward_score FROM cr",
-    "q_reward_plugin": """SELECT CAST(doc_id AS VARCHAR) AS id, least(n, 1000) / 1000.0::DOUBLE AS aggregate_reward_score,
-        CAST(n AS DOUBLE) AS chars FROM (SELECT doc_id, CASE WHEN toxic = 1 THEN 2 ELSE length(text) END AS n
-        FROM documents JOIN labels USING (doc_id))""",
+    "q_reward_plugin": f"""WITH {JUDGE_SAMPLES} SELECT id, CASE WHEN summary = '' THEN 0.0::DOUBLE ELSE least(length(response), 1000) / 1000.0::DOUBLE END
+          AS aggregate_reward_score, CASE WHEN summary <> '' THEN CAST(length(response) AS DOUBLE) END AS chars,
+        CASE WHEN summary = '' THEN 'ValueError: no response' END AS error FROM js""",
     "q_length_monitor": f"""SELECT CAST(w AS VARCHAR) AS window_start, count(*) AS n, {EXACT_MEAN('value')} AS mean_reward,
         avg(event_id % 5 + 1) AS mean_length FROM {_SLIDING} GROUP BY 1""",
     "q_stream_monitor_append": f"""SELECT CAST(w AS VARCHAR) AS window_start, count(*) AS n, {EXACT_MEAN('value')} AS mean_reward
         FROM {_SLIDING} GROUP BY 1""",
 })
+ORACLE_SQL["q_stream_counts"] = ORACLE_SQL["q_observed_counts"]
+ORACLE_SQL["q_stream_lengths"] = f"""SELECT CAST(time_bucket(INTERVAL '1 day', ts) AS VARCHAR) AS window_start, count(*) AS n,
+    {EXACT_MEAN('value')} AS mean_reward, avg(event_id % 5 + 1) AS mean_length FROM events GROUP BY 1"""

@@ -33,13 +33,33 @@ def decoded_path(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def read_text_tree(spark: SparkSession, glob: str, key_regex: str) -> DataFrame:
-    """SRC4: whole text files keyed by a regex group of their path.
+#: Sub-folders that files of many keys are spread over.
+SHARDS = 64
 
-    ``glob`` selects the files (directories without a match are skipped by
-    the glob itself); ``key_regex`` extracts the key from the (decoded) file path.
+
+def write_by_key(df: DataFrame, path: str, key: str, shards: int = SHARDS) -> None:
+    """``<path>/shard=<s>/<key>=<k>/part-*``: the rows' other column as text files, one for each key, written by the
+    executors; a key's shard follows from its hash."""
+    rows = df.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)))
+    rows.repartition(shards, "shard").write.partitionBy("shard", key).mode("overwrite").text(path)
+
+
+def shard_folders(spark: SparkSession, path: str) -> list[str]:
+    """The sub-folders of ``path``: one listing, whatever they hold."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)
+    return sorted(s.getPath().toString() for s in found if s.isDirectory() and not s.getPath().getName().startswith("_"))
+
+
+def read_text_tree(spark: SparkSession, paths: str | Sequence[str], key_regex: str) -> DataFrame:
+    """SRC4: whole text files keyed by a regex group of their (decoded) path.
+
+    ``paths`` is a glob, or folders that are searched through: Spark lists more
+    than a few (``spark.sql.sources.parallelPartitionDiscovery.threshold``) in
+    tasks, one a folder.
     """
-    df = spark.read.text(glob, wholetext=True)
+    reader = spark.read if isinstance(paths, str) else spark.read.option("recursiveFileLookup", "true")
+    df = reader.text(paths, wholetext=True)
     return df.select(F.regexp_extract(decoded_path(F.col("_metadata.file_path")), key_regex, 1).alias("key"),
                      F.col("value").alias("text"))
 
@@ -51,15 +71,22 @@ def schema_corpus(files: DataFrame, key_col: str = "db_id", text_col: str = "sch
             .filter(F.col("ddl") != ""))
 
 
-def available_keys_from_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    """SRC5: keys ``k`` that have an artefact ``<root>/k/k<suffix>``.
+def available_keys_from_files(spark: SparkSession, root: str | Sequence[str], suffix: str, key_regex: str | None = None) -> DataFrame:
+    """SRC5: keys ``k`` that have an artefact ``<root>/k/k<suffix>`` or, with
+    ``key_regex``, a file whose path it matches; ``root`` may be many folders, which
+    are then searched through and listed in tasks, as in ``read_text_tree``.
 
     Only the path column of the binary-file source is read (content pruned).
     """
-    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*{suffix}").select("path")
+    reader = spark.read.format("binaryFile")
+    if isinstance(root, str):
+        files = reader.load(f"{root.rstrip('/')}/*/*{suffix}")
+    else:
+        files = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(list(root))
     esc = suffix.replace(".", r"\.")
-    k = F.regexp_extract(decoded_path(F.col("path")), rf"([^/]+)/\1{esc}$", 1)
-    return files.select(k.alias("db_id")).filter(F.col("db_id") != "").distinct()
+    path = decoded_path(F.col("path"))
+    k = F.regexp_extract(path, key_regex, 1) if key_regex else F.regexp_extract(path, rf"([^/]+)/\1{esc}$", 1)
+    return files.select("path").select(k.alias("db_id")).filter(F.col("db_id") != "").distinct()
 
 
 def read_prompt_records(df: DataFrame, raw_col: str = "prompt") -> DataFrame:

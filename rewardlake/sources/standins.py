@@ -158,11 +158,12 @@ def code_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def judge_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RLAIF scoring batch: labelled documents, whole texts as response and
-    reference; toxic rows give a blank response."""
+    """RLAIF scoring batch: all documents, whole texts as response and
+    reference; toxic rows give a blank response.  No judge has answered for a
+    document without a label yet."""
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     lab = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
-    j = d.join(lab, "doc_id")
+    j = d.join(lab, "doc_id", "left")
     article = sentence_snap(py_strip("text"))
     content = F.concat(F.lit(SUMMARY_INSTRUCTION), F.lit("\n\nArticle:\n"), article)
     return j.select(
