@@ -88,13 +88,16 @@ def word_encoder(vocabulary: str, ranks: str) -> WordEncoder:
 
 
 class IdCache(dict):
-    """Dictionary word to id bytes; two generations of ``limit`` words at most."""
+    """Dictionary word to id bytes; two generations of ``limit`` words of at most ``longest`` characters.
+    In scripts without blanks a word may be a whole text: longer ones are encoded each time."""
 
-    def __init__(self, encode, limit: int = 300_000):
+    def __init__(self, encode, limit: int = 100_000, longest: int = 64):
         super().__init__()
-        self.encode, self.limit, self.old = encode, limit, {}
+        self.encode, self.limit, self.longest, self.old = encode, limit, longest, {}
 
     def __missing__(self, key: str) -> bytes:
+        if len(key) > self.longest:
+            return self.encode(key)
         ids = self.old.get(key)
         if ids is None:
             ids = self.encode(key)

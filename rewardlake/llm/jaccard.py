@@ -59,9 +59,9 @@ from .components import components
 
 SURE, CUTS = 40, 24
 #: Words in a worker's hash cache, bytes of the longest one in it; keys that a task holds; text characters a bucket.
-CACHE, CACHED_WORD, PACK_KEYS, BUCKET_CHARS = 500_000, 64, 2_000_000, 16 << 20
+CACHE, CACHED_WORD, PACK_KEYS, BUCKET_CHARS = 200_000, 64, 500_000, 16 << 20
 #: Shingles and sets in one unit; sets of one group compared in one unit; shingles looked up at a time.
-UNIT_SHINGLES, UNIT_SETS, GROUP_SETS, GATHERED = 2_000_000, 1024, 4096, 1_000_000
+UNIT_SHINGLES, UNIT_SETS, GROUP_SETS, GATHERED = 1_000_000, 1024, 4096, 500_000
 #: Most rows of a table of ids that is broadcast; larger ones are joined by shuffle.
 MOST_BROADCAST = 500_000
 
