@@ -106,21 +106,33 @@ def find_spans(df: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KIND
             F.lower(F.left(g, F.lit(NEAR))).alias("after"))))
     df = df.select("*", *(between(k).alias(f"_g_{k.name}") for k in kinds))
 
+    # a match ends where all gaps and matches so far end: sums over whole blocks of about the root of
+    # their number, and over the own block; nothing grows match by match
+    def blocks(k: Kind) -> Column:
+        m, g = F.col(f"_m_{k.name}"), F.col(f"_g_{k.name}")
+        size = F.ceil(F.sqrt(F.size(m))).cast("int")
+        steps = F.zip_with(F.slice(g, F.lit(1), F.size(m)), m, lambda gap, match: gap["n"] + F.length(match))
+        return F.when(F.size(m) > 0, F.transform(F.sequence(F.lit(0), F.ceil(F.size(m) / size).cast("int") - 1),
+                                                 lambda b: F.slice(steps, b * size + 1, size)))
+    df = df.select(*own, *(F.col(f"_{c}_{k.name}") for k in kinds for c in "mg"), *(blocks(k).alias(f"_b_{k.name}") for k in kinds))
+
+    def total(steps: Column) -> Column:
+        return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
+    df = df.select("*", *(F.transform(f"_b_{k.name}", total).alias(f"_t_{k.name}") for k in kinds))
+
+    def ends(k: Kind) -> Column:
+        sums = F.col(f"_t_{k.name}")
+        begins = F.transform(sums, lambda _, b: total(F.slice(sums, F.lit(1), b)))
+        return F.flatten(F.transform(F.arrays_zip(begins.alias("at"), F.col(f"_b_{k.name}").alias("steps")), lambda b: F.transform(
+            b["steps"], lambda _, i: b["at"] + total(F.slice(b["steps"], F.lit(1), i + 1)))))
+    df = df.select("*", *(ends(k).alias(f"_e_{k.name}") for k in kinds))
+
     def located(k: Kind) -> Column:
         """Every match with its place and the texts around it."""
         m, g = F.col(f"_m_{k.name}"), F.col(f"_g_{k.name}")
-        empty = F.lit(None).cast("array<struct<start:int,end:int,match:string,before:string,after:string>>")
-        start = F.struct(F.lit(0).alias("at"), F.coalesce(empty, F.array().cast(empty_type)).alias("out"))
-
-        def step(acc: Column, i: Column) -> Column:
-            match, gap = F.get(m, i), F.get(g, i)
-            begin = acc["at"] + gap["n"]
-            end = begin + F.length(match)
-            one = F.struct(begin.alias("start"), end.alias("end"), match.alias("match"), gap["before"].alias("before"),
-                           F.get(g, i + 1)["after"].alias("after"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-        return F.when(F.size(m) > 0, F.aggregate(F.sequence(F.lit(0), F.size(m) - 1), start, step)["out"])
-    empty_type = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
+        return F.transform(f"_e_{k.name}", lambda end, i: F.struct(
+            (end - F.length(F.get(m, i))).alias("start"), end.alias("end"), F.get(m, i).alias("match"),
+            F.get(g, i)["before"].alias("before"), F.get(g, i + 1)["after"].alias("after")))
     df = df.select(*own, *(located(k).alias(f"_l_{k.name}") for k in kinds))
 
     def scored(no: int, k: Kind) -> Column:
