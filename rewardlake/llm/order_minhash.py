@@ -33,7 +33,7 @@ from .common import id_and_text, read_documents
 #: Units of a k-mer, code points of a word that is one unit, of a unit of a longer one, bits of a bin's number,
 #: pairs that make an entry.
 K, WORD, GRAM, _BIN, LEAST = 3, 16, 4, 6, 2
-_PLACE = 24  # bits of a place
+_PLACE = 24  # bits of a place; units beyond the last share it, and go by hash
 _MASK = (1 << _PLACE) - 1
 
 
@@ -59,7 +59,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.select(*own, F.transform("_w", lambda w, i: F.xxhash64(w, *(F.get("_w", i + j) for j in range(1, K)))
                                      .bitwiseAND(F.lit(~_MASK))).alias("_h"))
     df = df.select(*own, (F.size(F.array_distinct("_h")) < F.size("_h")).alias("_again"),
-                   F.sort_array(F.transform("_h", lambda h, i: h.bitwiseOR(i.cast("bigint")))).alias("_s"))
+                   F.sort_array(F.transform("_h", lambda h, i: h.bitwiseOR(F.least(i, F.lit(_MASK)).cast("bigint")))).alias("_s"))
     # equal k-mers stand side by side: a second or later occurrence gets a hash of its own
     df = df.select(*own, "_s", F.when(F.col("_again"), _starts(F.col("_s"), _PLACE)).alias("_r"))
     df = df.select(*own, "_s", F.when(F.col("_r").isNotNull(), F.flatten(F.transform("_r", lambda at, j: F.sequence(
