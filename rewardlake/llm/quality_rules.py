@@ -3,12 +3,22 @@
 Every text gets its statistics once, in one pass.  For each language and
 source Spark builds mergeable quantile sketches of the ratios (partial
 sketches in each task, merged after the shuffle); a ratio beyond the group's
-fence rejects a document.  A fence lies ``SPREAD`` times the way from the
-group's median to its nearer quartile beyond the median: as long as under half
-of a group is bad, on whichever side, neither the median nor both quartiles
-are bad values, so the bad cannot move the fence out of their way.  A group of under ``LEAST`` documents takes the fence
-of its language, and a small language that of the whole corpus; these come
-from the same sketches by rollup.
+fence rejects a document.  A fence's distance from the group's median is the
+larger of two, neither of which a bad minority can move:
+
+* ``SPREAD`` times the distance of the nearer quartile: as long as under half of
+  a group is bad, on whichever side, neither the median nor both quartiles are
+  bad values;
+* ``REACH`` times the 99th percentile of the distances of the group's values
+  beyond the median that are no further than the ratio's bound, from a second
+  sketch.  Most ratios are 0 in most documents, where the first says nothing; this
+  one follows what the group's other documents do, and what lies beyond the
+  bound is left out of it.
+
+Only a group in which no value differs from the median within the bound takes
+the bound itself.  Fences of small groups lean on those of their language, and
+these on the corpus', in proportion: ``n`` documents of a group count against
+``LEAN`` of what it belongs to.
 
 Defined results: a null or empty text has no words, so it fails the base rule;
 null language or source forms a group of its own; a null ``doc_id`` stays
@@ -30,11 +40,11 @@ from .common import read_documents
 
 SYMBOLS = "#*$%&|<>"
 _BLANKS = " \t\n\x0b\x0c\r"
-#: Ratio: least distance from the median to the fence.  Only an upper fence, but for word length.
+#: Ratio: distance from the median up to which values may be ordinary.  Only an upper fence, but for word length.
 RATIOS = {"symbol_ratio": 0.05, "dup_line_ratio": 0.35, "repeat_ratio": 0.35, "upper_ratio": 0.2, "word_length": 2.0}
 LOW = {"word_length": 1.5}
-#: ``SPREAD`` quartile distances of a normal distribution are 5.1 standard deviations.
-SPREAD, LEAST, ACCURACY = 7.6, 200, 10_000
+#: ``SPREAD`` quartile distances of a normal distribution are 5.1 standard deviations, ``REACH`` of its 99th percentiles 9.
+SPREAD, REACH, LEAN, ACCURACY = 7.6, 4.0, 200, 10_000
 #: Most groups whose thresholds are broadcast (about 100 bytes each); more are joined by shuffle.
 MOST_BROADCAST = 20_000
 
@@ -80,36 +90,74 @@ def measure(docs: DataFrame) -> DataFrame:
                 over("word_chars", "n_words").alias("word_length"))
 
 
+def _levels(stats: DataFrame, columns: list[Column]) -> DataFrame:
+    """``columns``, aggregated for each language and source, language, and all, told apart by ``level`` 0, 1, 3."""
+    return stats.rollup("lang", "source").agg(F.grouping_id().alias("level"), *columns)
+
+
+def _fences() -> list[tuple[str, str, float, int]]:
+    return [(f"high_{r}", r, bound, 1) for r, bound in RATIOS.items()] + [(f"low_{r}", r, bound, -1) for r, bound in LOW.items()]
+
+
 def thresholds(stats: DataFrame) -> DataFrame:
     """One row a language and source with its fences, ``high_<ratio>`` and ``low_<ratio>``."""
-    def fence(ratio: str, least: float, sign: int) -> Column:
-        sketch = F.percentile_approx(ratio, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(ACCURACY))
-        spread = F.least(sketch[1] - sketch[0], sketch[2] - sketch[1])
-        return sketch[1] + sign * F.greatest(F.lit(least), SPREAD * spread)
-
-    fences = [fence(r, least, 1).alias(f"high_{r}") for r, least in RATIOS.items()] + \
-             [fence(r, least, -1).alias(f"low_{r}") for r, least in LOW.items()]
-    names = [f"high_{r}" for r in RATIOS] + [f"low_{r}" for r in LOW]
-    level = F.grouping_id().alias("level")
-    rolled = stats.filter("n_words > 0").rollup("lang", "source").agg(level, F.count("*").alias("n"), *fences)
-    limits = F.struct(F.col("n"), *names)
-    groups = rolled.filter("level = 0").select("lang", "source", limits.alias("own"))
-    langs = rolled.filter("level = 1").select(F.col("lang").alias("l_lang"), limits.alias("of_lang"))
-    whole = rolled.filter("level = 3").select(*names).first()  # one row
-    of_all = F.struct(F.lit(0).cast("long").alias("n"),
-                      *(F.lit(whole[n] if whole else None).cast("double").alias(n) for n in names))
-    joined = groups.join(langs, groups["lang"].eqNullSafe(langs["l_lang"]), "left")
-    pick = F.when(F.col("own.n") >= LEAST, F.col("own")).when(F.col("of_lang.n") >= LEAST, F.col("of_lang")) \
-        .otherwise(of_all)
-    return joined.select("lang", "source", pick.alias("t")).select("lang", "source", *(f"t.{n}" for n in names))
+    stats = stats.filter("n_words > 0")
+    thirds = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    first = materialize(stats.sparkSession, _levels(stats, [
+        F.count("*").alias("n"), *(F.percentile_approx(r, thirds, F.lit(ACCURACY)).alias(r) for r in RATIOS)]), "quality-quartiles")
+    whole = first.filter("level = 3").first()  # one row
+    if whole is None or not whole["n"]:
+        return first.select("lang", "source", *(F.lit(None).cast("double").alias(f) for f, *_ in _fences())).limit(0)
+
+    def of_level(level: int, name: str) -> DataFrame:
+        keys = ["lang", "source"][:2 - level]
+        return first.filter(F.col("level") == level).select(*(F.col(k).alias(f"{name}_{k}") for k in keys), F.struct("n", *RATIOS).alias(name))
+
+    def with_quartiles(rows: DataFrame) -> DataFrame:
+        own, lang = (_bounded(of_level(*x)) for x in ((0, "own"), (1, "of_lang")))
+        rows = rows.join(own, rows["lang"].eqNullSafe(own["own_lang"]) & rows["source"].eqNullSafe(own["own_source"]), "left")
+        rows = rows.join(lang, rows["lang"].eqNullSafe(lang["of_lang_lang"]), "left")
+        of_all = F.struct(F.lit(whole["n"]).alias("n"), *(F.lit([float(x) for x in whole[r]]).alias(r) for r in RATIOS))
+        return rows.withColumn("of_all", of_all)
+
+    # the second sketch: ordinary distances beyond the median of each level
+    names = ("own", "of_lang", "of_all")
+    beyond = {}
+    for fence, ratio, bound, sign in _fences():
+        for name in names:
+            away = sign * (F.col(ratio) - F.col(name)[ratio][1])
+            beyond[f"{name}_{fence}"] = F.percentile_approx(F.when((away > 0) & (away <= bound), away), F.lit(0.99), F.lit(ACCURACY))
+    second = materialize(stats.sparkSession, _levels(with_quartiles(stats), [v.alias(k) for k, v in beyond.items()]), "quality-distances")
+    reach = {level: second.filter(F.col("level") == level) for level in (0, 1, 3)}
+    groups = with_quartiles(first.filter("level = 0").select("lang", "source"))
+    own = reach[0].select(F.col("lang").alias("_l"), F.col("source").alias("_s"), *(f"own_{f}" for f, *_ in _fences()))
+    lang = reach[1].select(F.col("lang").alias("_ll"), *(f"of_lang_{f}" for f, *_ in _fences()))
+    over_all = reach[3].first()
+    groups = groups.join(_bounded(own), groups["lang"].eqNullSafe(F.col("_l")) & groups["source"].eqNullSafe(F.col("_s")), "left")
+    groups = groups.join(_bounded(lang), groups["lang"].eqNullSafe(F.col("_ll")), "left")
+
+    def fence(name: str, ratio: str, bound: float, sign: int) -> Column:
+        def at(level: str) -> Column:
+            low, middle, high = (F.col(level)[ratio][i] for i in range(3))
+            far = F.lit(over_all[f"of_all_{name}"]).cast("double") if level == "of_all" else F.col(f"{level}_{name}")
+            return middle + sign * F.greatest(SPREAD * F.least(middle - low, high - middle), F.coalesce(REACH * far, F.lit(bound)))
+        lang_n, own_n = F.col("of_lang")["n"], F.col("own")["n"]
+        of_lang = (lang_n * at("of_lang") + LEAN * at("of_all")) / (lang_n + LEAN)
+        return (own_n * at("own") + LEAN * of_lang) / (own_n + LEAN)
+
+    return groups.select("lang", "source", *(fence(*f).alias(f[0]) for f in _fences()))
+
+
+def _bounded(groups: DataFrame) -> DataFrame:
+    """``groups`` with a hint to broadcast them if they are few."""
+    return F.broadcast(groups) if groups.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else groups
 
 
 def judge(stats: DataFrame, limits: DataFrame) -> DataFrame:
     """``stats`` plus ``base_failed`` and ``kept``."""
     limits = limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
                            *(c for c in limits.columns if c not in ("lang", "source")))
-    if limits.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
-        limits = F.broadcast(limits)
+    limits = _bounded(limits)
     on = stats["lang"].eqNullSafe(limits["_lang"]) & stats["source"].eqNullSafe(limits["_source"])
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     fine = F.lit(True)
