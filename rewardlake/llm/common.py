@@ -37,6 +37,15 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def least_hashes(rows: DataFrame, count: int, n: int) -> DataFrame:
+    """The ``n`` of ``count`` rows whose ids have the least hashes.  A bound on the hash leaves about 1.2 ``n``
+    rows, so that no task holds or sends on more than its share of those."""
+    key = F.xxhash64("doc_id")
+    if count > 2 * n:
+        rows = rows.filter(F.shiftrightunsigned(key, 24) < int((1 << 40) * 1.2 * n / count))
+    return rows.orderBy(key, "doc_id").limit(n)
+
+
 def with_blocks(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, text, block) of every row, as ``id_and_text`` gives them; ``block``,
     a long, names a bounded run of neighbouring rows of one file.

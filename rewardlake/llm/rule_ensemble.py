@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import fold, id_and_text, read_documents
+from .common import fold, id_and_text, least_hashes, read_documents
 from .quality_rules import text_stats
 
 FOLDS, HELD_OUT, CUT = 4, 2, 0.7
@@ -150,7 +150,8 @@ def train(stats: DataFrame, labels: DataFrame, folds: bool = True) -> Ensemble:
     known = labels.filter("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
     if folds:
         known = known.filter(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
-    rows = stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS).select(*STATS, "quality").collect()
+    joined = stats.join(known, "doc_id")
+    rows = least_hashes(joined, joined.count(), TRAIN_ROWS).select(*STATS, "quality").collect()
     table = np.array(rows, np.float64).reshape(-1, len(STATS) + 1)
     return fit(table[:, :-1], table[:, -1])
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import fold, id_and_text, read_documents
+from .common import fold, id_and_text, least_hashes, read_documents
 
 FOLDS, HELD_OUT, CUT = 5, 0, 0.5
 TRAIN_DOCS, FEATURES, LEAST_DOCS, STEPS, SHRINK = 6000, 4000, 3, 600, 1e-5
@@ -40,7 +40,8 @@ TRAIN_DOCS, FEATURES, LEAST_DOCS, STEPS, SHRINK = 6000, 4000, 3, 600, 1e-5
 STARTS = range(3, 7)
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
-CACHE = 500_000
+#: Words in a worker's cache, and characters of the longest one in it.
+CACHE, CACHED_WORD = 200_000, 64
 
 
 def features(word: str) -> list[str]:
@@ -86,7 +87,7 @@ class Model:
     bias: float
 
     def prepare(self) -> Model:
-        self.word = WordScores(self.weights)
+        self.word = WordFeatures(self.weights)
         self.plain = float(np.logaddexp(0, self.bias))
         return self
 
@@ -100,11 +101,12 @@ class Model:
         for s in _SENTENCE.finditer(text):
             if s[0].isspace():
                 continue
-            told = sum(map(self.word.__getitem__, set(_WORD.findall(s[0].lower()))))
-            if told <= 0:
+            # as in the fit: each feature counts once a sentence, whatever words it comes from
+            told = set().union(*map(self.word.__getitem__, set(_WORD.findall(s[0].lower()))))
+            if not told:
                 plain = True
                 continue
-            z = self.bias + told
+            z = self.bias + sum(map(self.weights.__getitem__, told))
             off = float(np.logaddexp(0, z))
             none += off
             if z >= 0:
@@ -112,16 +114,20 @@ class Model:
         return float(-np.expm1(-none - self.plain * plain)), found
 
 
-class WordScores(dict):
+class WordFeatures(dict):
+    """The model's features that a word has."""
+
     def __init__(self, weights: dict[str, float]):
         super().__init__()
         self.weights = weights
 
-    def __missing__(self, word: str) -> float:
-        if len(self) >= CACHE:
-            self.clear()
-        score = self[word] = sum(self.weights.get(f, 0.0) for f in features(word))
-        return score
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        found = tuple(f for f in features(word) if f in self.weights)
+        if len(word) <= CACHED_WORD:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = found
+        return found
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: bool = True) -> Model:
@@ -134,7 +140,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: bool =
     total = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(total) < 2:
         return Model({}, -40.0)
-    by_hash = lambda toxic: known.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
+    by_hash = lambda toxic: least_hashes(known.filter(F.col("toxic") == toxic), total[toxic], TRAIN_DOCS)
     chosen = by_hash(True).unionByName(by_hash(False))
     sample = materialize(spark, rows.join(F.broadcast(chosen), "doc_id").select("toxic", "text"), "toxicity-sample")
 
@@ -177,7 +183,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: bool =
                 np.array([f for s in sentences for f in s], np.int64))
     weight = np.where(toxic, total[True] / max(1, n1), total[False] / max(1, n0))
     w, b = fit(bags, weight, np.array([0.5 * r["odds"] for r in top]))
-    return Model({f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-3}, b)
+    return Model({f: float(w[i]) for f, i in number.items()}, b)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
