@@ -55,13 +55,14 @@ def sf_dir(spark, docs, tmp_path_factory):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     more = spark.createDataFrame([(1001, None, None), (None, 1, 0), (999_999, 1, 1)], "doc_id long, quality int, toxic int")
     labels.unionByName(more.select("doc_id", "quality", "toxic")).write.parquet(f"{d}/labels.parquet")
+    spark.read.parquet(f"{SF_SMALL}/conversations.parquet").write.parquet(f"{d}/conversations.parquet")
     return d
 
 
 @pytest.fixture(scope="module")
 def empty_dir(spark, sf_dir, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("empty"))
-    for t in ("documents", "labels"):
+    for t in ("documents", "labels", "conversations"):
         spark.read.parquet(f"{sf_dir}/{t}.parquet").filter("1 = 0").write.parquet(f"{d}/{t}.parquet")
     return d
 
