@@ -9,11 +9,11 @@ larger of two, neither of which a bad minority can move:
 * ``SPREAD`` times the distance of the nearer quartile: as long as under half of
   a group is bad, on whichever side, neither the median nor both quartiles are
   bad values;
-* ``REACH`` times the 99th percentile of the distances of the group's values
-  beyond the median that are no further than the ratio's bound, from a second
-  sketch.  Most ratios are 0 in most documents, where the first says nothing; this
-  one follows what the group's other documents do, and what lies beyond the
-  bound is left out of it.
+* half-way from the 99th percentile of the group's ordinary distances beyond
+  the median to the ratio's bound, from a second sketch; ordinary are those
+  within the bound.  Most ratios are 0 in most documents, where the first says
+  nothing; this one follows what the group's other documents do, and what lies
+  beyond the bound neither moves it nor passes it.
 
 Only a group in which no value differs from the median within the bound takes
 the bound itself.  Fences of small groups lean on those of their language, and
@@ -43,8 +43,8 @@ _BLANKS = " \t\n\x0b\x0c\r"
 #: Ratio: distance from the median up to which values may be ordinary.  Only an upper fence, but for word length.
 RATIOS = {"symbol_ratio": 0.05, "dup_line_ratio": 0.35, "repeat_ratio": 0.35, "upper_ratio": 0.2, "word_length": 2.0}
 LOW = {"word_length": 1.5}
-#: ``SPREAD`` quartile distances of a normal distribution are 5.1 standard deviations, ``REACH`` of its 99th percentiles 9.
-SPREAD, REACH, LEAN, ACCURACY = 7.6, 4.0, 200, 10_000
+#: ``SPREAD`` quartile distances of a normal distribution are 5.1 standard deviations.
+SPREAD, LEAN, ACCURACY = 7.6, 200, 10_000
 #: Most groups whose thresholds are broadcast (about 100 bytes each); more are joined by shuffle.
 MOST_BROADCAST = 20_000
 
@@ -140,7 +140,7 @@ def thresholds(stats: DataFrame) -> DataFrame:
         def at(level: str) -> Column:
             low, middle, high = (F.col(level)[ratio][i] for i in range(3))
             far = F.lit(over_all[f"of_all_{name}"]).cast("double") if level == "of_all" else F.col(f"{level}_{name}")
-            return middle + sign * F.greatest(SPREAD * F.least(middle - low, high - middle), F.coalesce(REACH * far, F.lit(bound)))
+            return middle + sign * F.greatest(SPREAD * F.least(middle - low, high - middle), (F.coalesce(far, F.lit(bound)) + bound) / 2)
         lang_n, own_n = F.col("of_lang")["n"], F.col("own")["n"]
         of_lang = (lang_n * at("of_lang") + LEAN * at("of_all")) / (lang_n + LEAN)
         return (own_n * at("own") + LEAN * of_lang) / (own_n + LEAN)
