@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rewardlake.llm import jaccard, packing, rule_ensemble, secrets, toxicity
-from rewardlake.llm.common import read_documents
+from rewardlake.llm.common import discard, read_documents
 from rewardlake.session import materialize
 
 
@@ -56,7 +56,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, in order, over ``documents``."""
-    docs = read_documents(spark, sf_dir)
+    docs, written = read_documents(spark, sf_dir), []
     for name, stage in STAGES[:-1]:
         docs = materialize(spark, stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        discard(*written)  # the stage before is done with
+        written = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
