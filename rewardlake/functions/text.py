@@ -189,4 +189,4 @@ def observation_body(text) -> Column:
 def strict_json_object(text) -> Column:
     """True when ``text`` is a single JSON object (guards lenient parsers)."""
     t = py_strip(_c(text))
-    return F.coalesce(t.rlike(r"(?s)^\{.*\}$") & F.try_parse_json(t).isNotNull(), F.lit(False))
+    return F.coalesce(t.startswith("{") & t.endswith("}") & F.try_parse_json(t).isNotNull(), F.lit(False))
