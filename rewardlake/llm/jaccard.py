@@ -59,7 +59,7 @@ from .components import components
 
 SURE, CUTS = 40, 24
 #: Words in a worker's hash cache, bytes of the longest one in it; keys that a task holds; text characters a bucket.
-CACHE, CACHED_WORD, PACK_KEYS, BUCKET_CHARS = 200_000, 64, 500_000, 16 << 20
+CACHE, CACHED_WORD, PACK_KEYS, BUCKET_CHARS = 200_000, 64, 500_000, 4 << 20
 #: Shingles and sets in one unit; sets of one group compared in one unit; shingles looked up at a time.
 UNIT_SHINGLES, UNIT_SETS, GROUP_SETS, GATHERED = 1_000_000, 1024, 4096, 500_000
 #: Most rows of a table of ids that is broadcast; larger ones are joined by shuffle.
@@ -441,7 +441,7 @@ def _links(spark: SparkSession, sets: DataFrame, link: Link, give: str) -> DataF
 
 def _joined(spark: SparkSession, docs: DataFrame, link: Link, give: str) -> tuple[DataFrame, DataFrame]:
     chars = id_and_text(docs).agg(F.sum(F.length("text"))).first()[0] or 0
-    made = materialize(spark, _pass(docs, link, max(64, chars // BUCKET_CHARS)), "jaccard-pass")
+    made = materialize(spark, _pass(docs, link, max(128, chars // BUCKET_CHARS)), "jaccard-pass")
     groups = materialize(spark, _groups(made.filter("bucket is not null").select("bucket", "keys", "sids", "counts")).distinct(), "jaccard-groups")
     rows = made.filter("bucket is null").select("doc_id", "n_shingles", "sid")
     by_set = materialize(spark, rows.filter("sid is not null").groupBy("sid").agg(

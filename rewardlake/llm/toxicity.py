@@ -146,12 +146,9 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: bool =
 
     def all_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, toxic = [], []
-            for t, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for t, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):  # a batch may hold millions of features
                 found = {f for w in set(_WORD.findall(text.as_py().lower())) for f in features(w)}
-                names += found
-                toxic += [int(t)] * len(found)
-            yield pa.RecordBatch.from_pydict({"feature": pa.array(names, pa.string()), "toxic": pa.array(toxic, pa.int64())})
+                yield pa.RecordBatch.from_pydict({"feature": pa.array(list(found), pa.string()), "toxic": pa.array([int(t)] * len(found), pa.int64())})
 
     n1, n0 = (sample.filter(F.col("toxic") == t).count() for t in (True, False))
     counts = sample.mapInArrow(all_features, "feature string, toxic long").groupBy("feature").agg(
