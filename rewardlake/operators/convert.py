@@ -274,10 +274,13 @@ def rlvr_convert(problems: DataFrame) -> DataFrame:
 
 def assertion_table(problems: DataFrame) -> DataFrame:
     """FLT5 as a long table: (problem_id, test_idx, fn_name, args, expected)
-    of the structurally valid assertions."""
+    of the structurally valid assertions.
+
+    From an outer explode no filter on the calls' number is inferred, which
+    would be pushed to the scan and there work out every text anew at each use."""
     s = rlvr_structure(problems)
-    return s.select("problem_id", "fn_name", F.posexplode("calls").alias("test_idx", "call")) \
-            .select("problem_id", "test_idx", "fn_name", F.col("call.args").alias("args"),
+    return s.select("problem_id", "fn_name", F.posexplode_outer("calls").alias("test_idx", "call")) \
+            .filter(F.col("test_idx").isNotNull()).select("problem_id", "test_idx", "fn_name", F.col("call.args").alias("args"),
                     F.col("call.expected").alias("expected"))
 
 

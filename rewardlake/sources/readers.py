@@ -18,6 +18,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[st
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows, dealt evenly to tasks.  For narrow tables whose rows take long: a scan is split by bytes, and
+    a million rows of a few compressed megabytes would be one task's."""
+    return df.hint("rebalance")
+
+
 def union_splits(frames: dict[str, DataFrame], split_col: str = "split") -> DataFrame:
     """SRC1/SET1: bag union of named splits (``train+test``), tagged by split,
     with ``split_ord`` keeping the split order for ordinal-based operators."""

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.jsonfns import messages
 from ..functions.text import sentence_snap, py_strip
 from ..operators.convert import SUMMARY_INSTRUCTION
-from .readers import read_table
+from .readers import read_table, spread
 
 # our own wording of the synthetic code prompts
 CODE_PROMPT_LEAD = "Write a Python function for the task: "
@@ -75,7 +75,7 @@ def code_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     string/None/bool call returning a dict.  Some problems start with the
     mismatching test (name 'set', nothing parses) and some have no tests.
     """
-    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"])
+    p = spread(read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]))
     fn = F.concat(F.lower("p_type"), F.lit("_"), F.regexp_replace("p_name", " ", "_"))
     size = F.col("p_size").cast("string")
     key = F.col("p_partkey").cast("string")

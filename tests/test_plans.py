@@ -48,6 +48,17 @@ def test_literals_are_parsed_once(spark):
         assert plan(C.REGISTRY[name](spark, SF_SMALL)).count("ArrowEvalPython") == 1, name
 
 
+def filters(df):
+    return re.findall(r"(?m)^.*\bFilter .*$", df._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_assertions_are_split_once(spark):
+    df = C.q_assert_table(spark, SF_SMALL)
+    assert not any("assert" in f or "size(" in f for f in filters(df))
+    assert plan(df).count("regexp_extract") == 1 and "rebalance" in plan(df).lower()
+    assert df.filter("test_idx is null or args is null").count() == 0
+
+
 def test_prompts_are_parsed_once(spark):
     assert plan(C.q_prompt_parse(spark, SF_SMALL)).count("from_json") == 1
 
