@@ -84,9 +84,11 @@ def with_tests(df: DataFrame, gt_col: str = "gt", out_col: str = "tests",
 
 
 def zip_tests(samples: DataFrame, strict_reference: bool = False) -> DataFrame:
-    """Long table of parsed tests: (sample_id, test_idx, assertion, fn_name, args, expected)."""
+    """Long table of parsed tests: (sample_id, test_idx, assertion, fn_name, args, expected).
+
+    An outer ``inline``, for the reason given in ``convert.assertion_table``."""
     g = with_tests(ground_truth_text(samples), "gt", "t", strict_reference)
-    return g.select(F.col("id").alias("sample_id"), F.inline("t"))
+    return g.select(F.col("id").alias("sample_id"), F.inline_outer("t")).filter(F.col("test_idx").isNotNull())
 
 
 def correctness(outcomes: DataFrame, totals: DataFrame) -> DataFrame:

@@ -59,6 +59,11 @@ def test_assertions_are_split_once(spark):
     assert df.filter("test_idx is null or args is null").count() == 0
 
 
+def test_tests_are_parsed_once(spark):
+    for name in ("q_test_outcomes", "q_zip_tests"):
+        assert not any("variant" in f or "reward_model" in f for f in filters(C.REGISTRY[name](spark, SF_SMALL))), name
+
+
 def test_prompts_are_parsed_once(spark):
     assert plan(C.q_prompt_parse(spark, SF_SMALL)).count("from_json") == 1
 
