@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import re
+import uuid
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,13 +45,112 @@ def decoded_path(path: Column) -> Column:
 
 #: Sub-folders that files of many keys are spread over.
 SHARDS = 64
+#: Files that a task hands on at a time, or fewer if they have so many bytes.
+FILES_AT_ONCE, BYTES_AT_ONCE = 1000, 8 << 20
+
+
+def local_path(path: str) -> str | None:
+    """The plain path of a local or mounted folder, None for other stores.
+
+    Hadoop's local file system starts a process for each file and folder that it makes (chmod), which takes a
+    hundred times the writing of a short file; there tasks make, list and read many small files themselves."""
+    found = re.fullmatch(r"(?:file:(?://)?)?(/.*)", path)
+    return found and found.group(1)
+
+
+def _folder_name(key: str, value: str | None) -> str:
+    """``key=value`` as Spark names partition folders."""
+    escaped = re.sub(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda c: f"%{ord(c.group()):02X}", value or "__HIVE_DEFAULT_PARTITION__")
+    return f"{key}={escaped}"
+
+
+def _file_writer(root: str, key: str):
+    """Writes rows (shard, key, value), in order, to a file for each key.
+
+    A file gets its name when it is whole, so that an attempt which dies or runs beside another does no harm."""
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, out, files = None, None, 0
+
+        def end() -> int:
+            if out is None:
+                return 0
+            out.close()
+            os.replace(out.name, os.path.join(os.path.dirname(out.name), "part-0.txt"))
+            return 1
+
+        for batch in batches:
+            for shard, value, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (shard, value) != last:
+                    files += end()
+                    last, folder = (shard, value), os.path.join(root, f"shard={shard}", _folder_name(key, value))
+                    os.makedirs(folder, exist_ok=True)
+                    out = open(os.path.join(folder, f".{uuid.uuid4().hex}"), "wb")  # noqa: SIM115
+                out.write((text or b"") + b"\n")
+        files += end()
+        yield pa.RecordBatch.from_pydict({"files": [files]}, pa.schema([("files", pa.int64())]))
+
+    return write
 
 
 def write_by_key(df: DataFrame, path: str, key: str, shards: int = SHARDS) -> None:
     """``<path>/shard=<s>/<key>=<k>/part-*``: the rows' other column as text files, one for each key, written by the
     executors; a key's shard follows from its hash."""
-    rows = df.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)))
-    rows.repartition(shards, "shard").write.partitionBy("shard", key).mode("overwrite").text(path)
+    rows = df.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards))).repartition(shards, "shard")
+    root = local_path(path)
+    if root is None:
+        rows.write.partitionBy("shard", key).mode("overwrite").text(path)
+        return
+    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    fs.delete(hadoop, True)
+    fs.mkdirs(hadoop)
+    (value,) = [c for c in df.columns if c != key]
+    rows = rows.select("shard", F.nullif(F.col(key).cast("string"), F.lit("")).alias("key"), F.col(value).cast("binary").alias("value"))
+    rows.sortWithinPartitions("shard", "key").mapInArrow(_file_writer(root, key), "files long").agg(F.sum("files")).collect()
+
+
+def _files_under(folder: str) -> Iterator[os.DirEntry]:
+    """The files that Spark would read from a folder and those in it: neither hidden nor empty."""
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            if entry.name.startswith(".") or (entry.name.startswith("_") and "=" not in entry.name):
+                continue
+            if entry.is_dir():
+                yield from _files_under(entry.path)
+            elif entry.stat().st_size:
+                yield entry
+
+
+def _local_files(spark: SparkSession, folders: Sequence[str], suffix: str = "", content: bool = False) -> DataFrame:
+    """(path, content) of the files in local folders, each folder listed, and its files read if asked for, by a task:
+    no file's name passes the driver."""
+    roots = [local_path(f) for f in folders]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("path", pa.string()), ("content", pa.binary())])
+        paths, texts, held = [], [], 0
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                for entry in _files_under(roots[i]):
+                    if not entry.name.endswith(suffix):
+                        continue
+                    text = None
+                    if content:
+                        with open(entry.path, "rb") as f:
+                            text = f.read()
+                        held += len(text)
+                    paths.append(entry.path)
+                    texts.append(text)
+                    if len(paths) >= FILES_AT_ONCE or held >= BYTES_AT_ONCE:
+                        yield pa.RecordBatch.from_pydict({"path": paths, "content": texts}, schema)
+                        paths, texts, held = [], [], 0
+        yield pa.RecordBatch.from_pydict({"path": paths, "content": texts}, schema)
+
+    return spark.range(0, len(roots), 1, len(roots)).mapInArrow(run, "path string, content binary")
+
+
+def _all_local(paths: str | Sequence[str]) -> bool:
+    return not isinstance(paths, str) and all(map(local_path, paths))
 
 
 def shard_folders(spark: SparkSession, path: str) -> list[str]:
@@ -84,13 +187,14 @@ def available_keys_from_files(spark: SparkSession, root: str | Sequence[str], su
 
     Only the path column of the binary-file source is read (content pruned).
     """
-    reader = spark.read.format("binaryFile")
+    reader, path = spark.read.format("binaryFile"), decoded_path(F.col("path"))
     if isinstance(root, str):
         files = reader.load(f"{root.rstrip('/')}/*/*{suffix}")
+    elif _all_local(root):
+        files = _local_files(spark, root, suffix)
     else:
         files = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(list(root))
     esc = suffix.replace(".", r"\.")
-    path = decoded_path(F.col("path"))
     k = F.regexp_extract(path, key_regex, 1) if key_regex else F.regexp_extract(path, rf"([^/]+)/\1{esc}$", 1)
     return files.select("path").select(k.alias("db_id")).filter(F.col("db_id") != "").distinct()
 

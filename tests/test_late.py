@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rewardlake.operators import plugins
 from rewardlake.plans import catalog as C
-from rewardlake.sources import batches
+from rewardlake.sources import batches, readers
 from rewardlake.streaming import streams
 
 T0 = datetime(2024, 1, 1)
@@ -125,3 +125,32 @@ def test_files_of_every_key(spark, name):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     want = labels.count() if name == "q_available_files" else labels.filter("quality = 1").count()
     assert C.REGISTRY[name](spark, SF_SMALL).count() == want
+
+
+ODD_KEYS = ["a b", "a+b", "50%", "x/y=z", "é日", "", None, "_u", "c:d", "q'\"[^]", "twice", "twice"]
+
+
+def test_files_by_key_as_spark_writes_and_reads_them(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(k, f"text of {k}\nline") for k in ODD_KEYS] + [("none", None)], "db_id string, value string")
+
+    def round_trip(path):
+        readers.write_by_key(rows, path, "db_id", shards=3)
+        readers.write_by_key(rows, path, "db_id", shards=3)
+        folders = readers.shard_folders(spark, path)
+        tree = readers.read_text_tree(spark, folders, r"db_id=([^/]+)/[^/]+$")
+        keys = readers.available_keys_from_files(spark, folders, ".txt", r"/db_id=([^/]+)/[^/]+$")
+        return sorted((r["key"], r["text"]) for r in tree.collect()), sorted(r["db_id"] for r in keys.collect())
+
+    own = round_trip(str(tmp_path / "own"))
+    files = [f for _, _, names in os.walk(tmp_path / "own") for f in names]
+    assert len(own[0]) == len(set(ODD_KEYS)) and files == ["part-0.txt"] * len(own[0])  # empty and null keys have one folder
+    monkeypatch.setattr(readers, "local_path", lambda path: None)
+    assert round_trip(str(tmp_path / "spark")) == own
+
+
+def test_small_files_are_listed_by_tasks(spark, tmp_path):
+    rows = spark.range(100).selectExpr("cast(id as string) db_id", "'x' value")
+    readers.write_by_key(rows, f"file:{tmp_path}/t", "db_id")
+    folders = readers.shard_folders(spark, f"file:{tmp_path}/t")
+    for df in (readers.available_keys_from_files(spark, folders, ".txt", "db_id=([0-9]+)/"),):
+        assert df.inputFiles() == [] and df.count() == 100
