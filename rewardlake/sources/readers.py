@@ -165,8 +165,11 @@ def read_text_tree(spark: SparkSession, paths: str | Sequence[str], key_regex: s
 
     ``paths`` is a glob, or folders that are searched through: Spark lists more
     than a few (``spark.sql.sources.parallelPartitionDiscovery.threshold``) in
-    tasks, one a folder.
+    tasks, one a folder.  Local folders are listed and read by the same task.
     """
+    if _all_local(paths):
+        files = _local_files(spark, paths, content=True)
+        return files.select(F.regexp_extract("path", key_regex, 1).alias("key"), F.col("content").cast("string").alias("text"))
     reader = spark.read if isinstance(paths, str) else spark.read.option("recursiveFileLookup", "true")
     df = reader.text(paths, wholetext=True)
     return df.select(F.regexp_extract(decoded_path(F.col("_metadata.file_path")), key_regex, 1).alias("key"),

@@ -152,5 +152,6 @@ def test_small_files_are_listed_by_tasks(spark, tmp_path):
     rows = spark.range(100).selectExpr("cast(id as string) db_id", "'x' value")
     readers.write_by_key(rows, f"file:{tmp_path}/t", "db_id")
     folders = readers.shard_folders(spark, f"file:{tmp_path}/t")
-    for df in (readers.available_keys_from_files(spark, folders, ".txt", "db_id=([0-9]+)/"),):
+    for df in (readers.available_keys_from_files(spark, folders, ".txt", "db_id=([0-9]+)/"),
+               readers.read_text_tree(spark, folders, "db_id=([0-9]+)/")):
         assert df.inputFiles() == [] and df.count() == 100
