@@ -25,10 +25,13 @@ from pyspark.sql import types as T
 
 #: Bytes of a range, and of what is read on at a time where an element goes beyond its range.
 RANGE_BYTES, READ_ON = 32 << 20, 1 << 20
+#: Elements that a task hands on at a time, or fewer if they have more than READ_ON bytes.
+BATCH_ROWS = 1000
 
 OUTSIDE, INSIDE, ESCAPED = range(3)
-_TOKEN = re.compile(rb'"(?:[^"\\]|\\.)*+"|[\[\]{},]|"', re.S)
-_REST_OF_STRING = re.compile(rb'(?:[^"\\]|\\.)*+"', re.S)
+# plain stretches are taken at once, not byte by byte
+_TOKEN = re.compile(rb'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{},]|"', re.S)
+_REST_OF_STRING = re.compile(rb'[^"\\]*+(?:\\.[^"\\]*+)*+"', re.S)
 _BLANK = b" \t\r\n"
 
 
@@ -77,6 +80,14 @@ def passage(data: bytes, state: int) -> tuple[int, int]:
     return OUTSIDE, depth
 
 
+def all_passages(data: bytes) -> list[int]:
+    """``passage`` for each of the three states, in a row."""
+    outside, inside = passage(data, OUTSIDE), passage(data, INSIDE)
+    # only a quote or a backslash can tell whether it was escaped
+    escaped = passage(data, ESCAPED) if data[:1] in b'"\\' else inside
+    return [*outside, *inside, *escaped]
+
+
 def elements(data: bytes, end: int, state: int, depth: int, first: bool, more) -> Iterator[tuple[int, bytes]]:
     """(place, text) of the elements at depth 1 whose leading comma is before ``end``; ``more()`` gives the bytes that follow."""
     start, at = None, 0
@@ -120,13 +131,19 @@ def elements(data: bytes, end: int, state: int, depth: int, first: bool, more) -
         data, at = data + chunk, known
 
 
+def _tasks(spark: SparkSession, ranges: int, size: int) -> int:
+    """Tasks for so many ranges: one each while they are few, then as many as keep the cluster busy, or more for large files."""
+    return max(1, min(ranges, max(64, 4 * spark.sparkContext.defaultParallelism)), size // RANGE_BYTES)
+
+
 def _ranges(spark: SparkSession, path: str, range_bytes: int) -> DataFrame:
     """(path, start, end, size) of every range of the files at ``path``, of which Spark reads names and sizes only."""
     files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size")).filter("size > 0")
     starts = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))
     rows = files.withColumn("start", F.explode(starts))
     rows = rows.select("path", "start", F.least(F.col("start") + range_bytes, "size").alias("end"), "size")
-    return rows.repartition(max(1, rows.count()), "path", "start")
+    ranges, size = rows.agg(F.count(F.lit(1)), F.sum(F.col("end") - F.col("start"))).first()
+    return rows.repartition(_tasks(spark, ranges, size or 0))
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -142,29 +159,38 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str,
                 with _open(_uri(row["path"])) as f:
                     f.seek(row["start"])
                     data = f.read(row["end"] - row["start"])
-                out.append(row | {"ends": [x for state in range(3) for x in passage(data, state)]})
+                out.append(row | {"ends": all_passages(data)})
             yield pa.RecordBatch.from_pylist(out, pa.schema([("path", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                                                              ("size", pa.int64()), ("ends", pa.list_(pa.int64()))]))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("file", pa.string()), ("at", pa.int64()), ("text", pa.string())])
         for batch in batches:
             for row in batch.to_pylist():
                 with _open(_uri(row["path"])) as f:
                     f.seek(row["start"])
                     data = f.read(row["end"] - row["start"])
                     found = elements(data, len(data), row["state"], row["depth"], row["start"] == 0, lambda: f.read(READ_ON))  # noqa: B023
+                    places, texts, held = [], [], 0
                     for place, text in found:
-                        yield pa.RecordBatch.from_pylist([{"file": row["path"], "at": row["start"] + place, "text": text.decode("utf-8", "replace")}],
-                                                         pa.schema([("file", pa.string()), ("at", pa.int64()), ("text", pa.string())]))
+                        places.append(row["start"] + place)
+                        texts.append(text.decode("utf-8", "replace"))
+                        held += len(text)
+                        if held >= READ_ON or len(texts) >= BATCH_ROWS:
+                            yield pa.RecordBatch.from_pydict({"file": [row["path"]] * len(texts), "at": places, "text": texts}, schema)
+                            places, texts, held = [], [], 0
+                    yield pa.RecordBatch.from_pydict({"file": [row["path"]] * len(texts), "at": places, "text": texts}, schema)
 
     ddl = "path string, start long, end long, size long, ends array<long>"
     begins, state, depth, last = [], OUTSIDE, 0, None
     told = _ranges(spark, path, range_bytes).mapInArrow(passages, ddl)
-    for row in told.orderBy("path", "start").toLocalIterator():  # a few numbers a range
+    # a few numbers a range, as ``begins`` holds too; sorted here, for Spark would run all passages once more to sample them
+    for row in sorted(told.collect(), key=lambda r: (r["path"], r["start"])):
         if row["path"] != last:
             state, depth, last = OUTSIDE, 0, row["path"]
         begins.append((row["path"], row["start"], row["end"], state, depth))
         state, depth = row["ends"][2 * state], depth + row["ends"][2 * state + 1]
     ranges = spark.createDataFrame(begins, "path string, start long, end long, state int, depth long")
-    texts = ranges.repartition(max(1, len(begins)), "path", "start").mapInArrow(parts, "file string, at long, text string")
+    tasks = _tasks(spark, len(begins), sum(end - start for _, start, end, _, _ in begins))
+    texts = ranges.repartition(tasks).mapInArrow(parts, "file string, at long, text string")
     return texts.withColumn("_e", F.from_json("text", schema)).select("file", "at", "_e.*")

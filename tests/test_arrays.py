@@ -58,3 +58,18 @@ def test_files_are_read_by_many_tasks_in_order(spark, tmp_path):
     got = df.orderBy("file", "at").collect()
     assert [(r["id"], r["text"]) for r in got] == [(r["id"], r["text"]) for r in [*rows, rows[0]]]
     assert df.rdd.getNumPartitions() > 20
+
+
+def test_states_told_together_as_one_by_one():
+    rng = random.Random(5)
+    for _ in range(3_000):
+        data = bytes(rng.choice(b'"\\a,[]{}\n') for _ in range(rng.randrange(1, 12)))
+        assert arrays.all_passages(data) == [x for state in range(3) for x in arrays.passage(data, state)], data
+
+
+def test_many_ranges_share_tasks(spark, tmp_path):
+    rows = [{"id": str(i), "text": "x, \"y\" " * 10} for i in range(2_000)]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    df = arrays.read_json_array(spark, str(tmp_path), "id string, text string", range_bytes=500)
+    assert 20 < df.rdd.getNumPartitions() <= max(64, 4 * spark.sparkContext.defaultParallelism)
+    assert [r["id"] for r in df.orderBy("file", "at").collect()] == [r["id"] for r in rows]
