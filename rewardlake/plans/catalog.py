@@ -700,13 +700,19 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(sink).select("id", "sample_ord")
 
 
+#: Micro-batches that the questions come in.
+MICRO_BATCHES = 4
+
+
 @query
 def q_stream_counts(spark, sf_dir):
-    """SNK3 in a stream: the text-to-SQL converter's counters, gathered by micro-batch while the prompts are written."""
+    """SNK3 in a stream: the text-to-SQL converter's counters, gathered by micro-batch while the prompts are written.
+    Each micro-batch is a quarter of the questions, in as many files as a quarter of their scan has splits."""
     q = _questions(spark, sf_dir)
+    files = -(-q.rdd.getNumPartitions() // MICRO_BATCHES)
     src, sink, ckpt = (scratch_path(spark, n) for n in ("questions_in", "prompts_out", "prompts_ckpt"))
-    q.repartition(4, "ordinal").write.parquet(src)
-    stream = spark.readStream.schema(q.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q.repartition(MICRO_BATCHES * files, "ordinal").write.parquet(src)
+    stream = spark.readStream.schema(q.schema).option("maxFilesPerTrigger", files).parquet(src)
     tagged = convert.mtrl_tagged(stream, S.available_dbs(spark, sf_dir), _corpus(spark, sf_dir))
     reasons = ["converted", "skipped_empty", "skipped_missing_db"]
     observed, counters = streams.counted(tagged.select("reason", "prompt"), f"mtrl-{uuid.uuid4().hex}", "reason", reasons)

@@ -155,3 +155,24 @@ def test_small_files_are_listed_by_tasks(spark, tmp_path):
     for df in (readers.available_keys_from_files(spark, folders, ".txt", "db_id=([0-9]+)/"),
                readers.read_text_tree(spark, folders, "db_id=([0-9]+)/")):
         assert df.inputFiles() == [] and df.count() == 100
+
+
+def test_questions_come_in_as_many_files_as_their_scan_has_splits(spark, monkeypatch):
+    from conftest import SF_SMALL
+    paths, fresh = {}, C.scratch_path
+    monkeypatch.setattr(C, "scratch_path", lambda spark, name: paths.setdefault(name, fresh(spark, name)))
+    few = {r["counter"]: r["n"] for r in C.q_stream_counts(spark, SF_SMALL).collect()}
+    paths.clear()
+    confs = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "1"}
+    before = {conf: spark.conf.get(conf) for conf in confs}
+    for conf, value in confs.items():
+        spark.conf.set(conf, value)
+    try:
+        many = {r["counter"]: r["n"] for r in C.q_stream_counts(spark, SF_SMALL).collect()}
+    finally:
+        for conf, value in before.items():
+            spark.conf.set(conf, value)
+    local = {n: p.removeprefix("file:") for n, p in paths.items()}
+    files = [f for f in os.listdir(local["questions_in"]) if f.startswith("part-")]
+    batches_run = [f for f in os.listdir(os.path.join(local["prompts_ckpt"], "commits")) if not f.startswith(".")]
+    assert many == few and len(files) > 8 and len(batches_run) == 4
