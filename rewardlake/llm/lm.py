@@ -204,52 +204,62 @@ def lanes(rows: list[bytes]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
 
 def log_likelihood(model: Model, rows: list[bytes]) -> np.ndarray:
     """log10 of the probability of each row of ids, by the scaled forward recursion."""
-    out = np.zeros(len(rows))
+    out, ones = np.zeros(len(rows)), np.ones(len(model.start))
     for group, steps in lanes(rows):
         total, alpha = np.zeros(len(group)), None
         for ids in steps:
             n = len(ids)
-            alpha = (np.broadcast_to(model.start, (n, len(model.start))) if alpha is None else alpha[:n] @ model.move) \
-                * model.emit[ids]
-            scale = alpha.sum(1)
-            alpha /= scale[:, None]
+            seen = model.emit.take(ids, axis=0)
+            seen *= model.start if alpha is None else alpha[:n] @ model.move
+            scale = seen @ ones
+            alpha = seen / scale[:, None]
             total[:n] += np.log10(scale)
         out[group] = total
     return out
 
 
 def expected_counts(model: Model, batches: Iterator[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Baum-Welch sums over rows of ids: starts, transitions, emissions and the log10 likelihood."""
+    """Baum-Welch sums over rows of ids: starts, transitions, emissions and the log10 likelihood.
+
+    The tables of a group (emissions, alphas) have its steps one below the other and are worked on in place."""
     states, classes = len(model.start), len(model.emit)
     starts, moves, emits, fit = np.zeros(states), np.zeros((states, states)), np.zeros((classes, states)), 0.0
-    move, emit = model.move.astype(np.float32), model.emit.astype(np.float32)
+    start, move, emit = (x.astype(np.float32) for x in (model.start, model.move, model.emit))
+    back, ones = np.ascontiguousarray(move.T), np.ones(states, np.float32)
     for rows in batches:
         for _, steps in lanes(rows):
-            alphas, scales, alpha = [], [], None
-            for ids in steps:
-                n = len(ids)
-                alpha = (np.broadcast_to(model.start.astype(np.float32), (n, states)) if alpha is None
-                         else alpha[:n] @ move) * emit[ids]
-                scale = alpha.sum(1, keepdims=True)
-                alpha = alpha / scale
-                alphas.append(alpha)
-                scales.append(scale)
-            fit += float(sum(np.log10(s, dtype=np.float64).sum() for s in scales))
+            ids = np.concatenate(steps).astype(np.intp)
+            edges = np.cumsum([0] + [len(s) for s in steps]).tolist()
+            spans = list(zip(edges, edges[1:]))
+            seen = emit.take(ids, axis=0)
+            alphas, scales = np.empty_like(seen), np.empty((len(ids), 1), np.float32)
+            before = None
+            for lo, hi in spans:
+                alpha, scale = alphas[lo:hi], scales[lo:hi]
+                if before is None:
+                    np.multiply(seen[lo:hi], start, out=alpha)
+                else:
+                    np.matmul(before[:hi - lo], move, out=alpha)
+                    alpha *= seen[lo:hi]
+                np.matmul(alpha, ones, out=scale[:, 0])
+                alpha /= scale
+                before = alpha
+            fit += float(np.log10(scales, dtype=np.float64).sum())
+            seen /= scales
             inner = np.zeros((states, states), np.float32)
-            beta = np.ones((len(steps[-1]), states), np.float32)
-            gammas = [alphas[-1]]
-            for t in range(len(steps) - 2, -1, -1):
-                onward = emit[steps[t + 1]] * beta / scales[t + 1]
-                n = len(onward)
-                inner += alphas[t][:n].T @ onward
-                beta = np.ones((len(steps[t]), states), np.float32)
-                beta[:n] = onward @ move.T
-                gammas.append(alphas[t] * beta)
+            beta = None  # ones
+            for (lo, hi), (onward_lo, onward_hi) in zip(spans[-2::-1], spans[:0:-1]):
+                n, onward = onward_hi - onward_lo, seen[onward_lo:onward_hi]
+                if beta is not None:
+                    onward[:len(beta)] *= beta  # rows that end here have ones
+                alpha = alphas[lo:lo + n]
+                inner += alpha.T @ onward
+                beta = onward @ back
+                alpha *= beta  # from here on the state's share at this step
             moves += inner * move
-            starts += gammas[-1].sum(0)
-            ids, gamma = np.concatenate(steps[::-1]), np.concatenate(gammas)
+            starts += alphas[:edges[1]].sum(0)
             for s in range(states):
-                emits[:, s] += np.bincount(ids, weights=gamma[:, s], minlength=classes)
+                emits[:, s] += np.bincount(ids, weights=alphas[:, s], minlength=classes)
     return starts, moves, emits, fit
 
 

@@ -80,6 +80,31 @@ def test_forward_recursion_sums_over_all_paths():
     assert abs(fit - got.sum()) < 1e-3
 
 
+def test_expected_counts_are_those_of_all_paths():
+    rng = np.random.default_rng(4)
+    states, classes = 3, 5
+    share = lambda *shape: (lambda x: x / x.sum(-1, keepdims=True))(rng.random(shape))
+    model = lm.Model(share(states), share(states, states), share(states, classes).T)
+    rows = [rng.integers(0, classes, n).astype("<u2") for n in (1, 6, 2, 6, 3, 1)]
+    starts, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((classes, states))
+    for row in rows:
+        chance = {}
+        for path in itertools.product(range(states), repeat=len(row)):
+            p = model.start[path[0]] * np.prod(model.emit[row, path])
+            chance[path] = p * np.prod([model.move[a, b] for a, b in zip(path, path[1:])])
+        whole = sum(chance.values())
+        for path, p in chance.items():
+            starts[path[0]] += p / whole
+            for a, b in zip(path, path[1:]):
+                moves[a, b] += p / whole
+            for token, s in zip(row, path):
+                emits[token, s] += p / whole
+    for batches in ([rows], [rows[:1], rows[1:]], [[r] for r in rows]):
+        got = lm.expected_counts(model, iter([[r.tobytes() for r in b] for b in batches]))
+        for mine, plain in zip(got, (starts, moves, emits)):
+            assert np.allclose(mine, plain, atol=1e-4)
+
+
 def test_samples_by_a_bound_on_the_hash(spark):
     rows = spark.range(20_000).withColumnRenamed("id", "doc_id")
     plain = [r["doc_id"] for r in rows.selectExpr("doc_id", "xxhash64(doc_id) as h").collect()]
